@@ -876,8 +876,14 @@ def _panel_features_sql() -> str:
     piv, outs = [], []
     for c in values:
         for r in range(1, 14):
-            piv.append(f'max(CASE WHEN rank = {r} THEN "{c}" END) AS "{c}_{r}"')
             n = f'"{c}_{r}"'
+            if c == "diff_rank":   # constant on the padded grid
+                outs.append(f"CAST({'NULL' if r == 1 else '1.0'} AS FLOAT) AS {n}")
+                continue
+            if c == "ratio_rank":
+                outs.append(f"CAST({'NULL' if r == 1 else f'{r}.0 / {r - 1}.0'} AS FLOAT) AS {n}")
+                continue
+            piv.append(f'max(CASE WHEN rank = {r} THEN "{c}" END) AS "{c}_{r}"')
             if c in encoded:
                 outs.append(f"CASE WHEN {n} IS NULL THEN CAST('NaN' AS FLOAT) ELSE "
                             f"CAST(dense_rank() OVER (ORDER BY {n} ASC NULLS LAST) - 1 AS FLOAT) END AS {n}")
@@ -909,9 +915,7 @@ panel AS (SELECT o_custkey, CAST(14 - rn AS INTEGER) AS rank, o_orderstatus, o_t
           FROM ranked WHERE rn <= 13),
 gaps AS (SELECT *, CAST(date_diff('day', lag(date) OVER w, date) AS INTEGER) AS days_since_last_payment
          FROM panel {w}),
-lagged AS (SELECT *, CAST(CASE WHEN rank >= 2 THEN 1.0 END AS FLOAT) AS diff_rank,
-                  CASE WHEN rank >= 2 THEN rank / (rank - 1) END AS ratio_rank,
-                  {', '.join(diffs + ratios + trans)}
+lagged AS (SELECT *, {', '.join(diffs + ratios + trans)}
            FROM gaps {w}),
 wide AS (SELECT o_custkey, {', '.join(piv)} FROM lagged GROUP BY o_custkey),
 enc AS (SELECT o_custkey, {', '.join(outs)} FROM wide)

@@ -15,9 +15,10 @@ def normalize_cumsum(df: DataFrame, column: str, tiebreak: list[str] | None = No
     and replace it (or add ``name``) with the cumulative share of its total.
 
     The running sum is the distributed scan; the total is one aggregate."""
-    total = df.agg(F.sum(col(column)).alias("t")).collect()[0]["t"]
     order = [col(column).desc()] + [col(t).asc() for t in (tiebreak or [])]
-    out = ordered_scan(df, order, sums={"__cum": col(column)})
+    tot: dict = {}
+    out = ordered_scan(df, order, sums={"__cum": col(column)}, totals=tot)
+    total = tot.get("__cum") if tot.get("rows") else None
     target = name or column
     share = F.try_divide(F.col("__cum"), F.lit(float(total) if total is not None else None).cast("double"))
     return out.withColumn(target, share).drop("__cum")
@@ -27,10 +28,10 @@ def top_fraction(df: DataFrame, score: str, weight: Column, fraction: float = 0.
                  tiebreak: list[str] | None = None) -> DataFrame:
     """SO3: rows, best score first, while the cumulative normalised weight
     is at most ``fraction``."""
-    total = df.agg(F.sum(weight).alias("t")).collect()[0]["t"]
     order = [col(score).desc()] + [col(t).asc() for t in (tiebreak or [])]
-    out = ordered_scan(df, order, sums={"__cw": weight})
-    return out.where(F.col("__cw") / F.lit(float(total)) <= F.lit(fraction)).drop("__cw")
+    tot: dict = {}
+    out = ordered_scan(df, order, sums={"__cw": weight}, totals=tot)
+    return out.where(F.try_divide(F.col("__cw"), F.lit(float(tot["__cw"]))) <= F.lit(fraction)).drop("__cw")
 
 
 def top_share(df: DataFrame, value: str, name: str, fraction: float = 0.7) -> DataFrame:

@@ -66,11 +66,11 @@ def apply_mapping(df: DataFrame, mapping: DataFrame, columns: list[str], *,
     if not columns:
         return df
     mapping = mapping.where(F.col("column").isin(list(columns)))
-    size = mapping.limit(max_literal_entries + 1).count()
+    rows = bounded_collect(mapping, max_literal_entries)
     miss = F.lit(missing).cast(dtype)
-    if size <= max_literal_entries:
+    if rows is not None:
         per_col: dict[str, list] = {c: [] for c in columns}
-        for r in mapping.collect():
+        for r in rows:
             per_col[r["column"]] += [F.lit(r["value"]), F.lit(r["code"])]
         exprs = {}
         for c in columns:
@@ -88,6 +88,35 @@ def apply_mapping(df: DataFrame, mapping: DataFrame, columns: list[str], *,
     return out
 
 
+def bounded_collect(df: DataFrame, max_rows: int):
+    """The rows of a small table, or None when it has more than
+    ``max_rows`` (one job either way; at most ``max_rows + 1`` rows move)."""
+    rows = df.limit(max_rows + 1).collect()
+    return None if len(rows) > max_rows else rows
+
+
+def apply_mapping_by_rank(df: DataFrame, mapping: DataFrame, columns: list[str], rank: str,
+                          periods: int, max_literal_entries: int = MAX_LITERAL_ENTRIES):
+    """Apply a mapping fitted on pivoted names ``{c}_{r}`` to the long
+    table before the pivot: the code of ``c`` depends on its rank. Returns
+    None when the mapping is beyond the literal bound (then apply it after
+    the pivot). NULL and unseen values give NULL here."""
+    wide = {f"{c}_{r}": (c, r) for c in columns for r in range(1, periods + 1)}
+    rows = bounded_collect(mapping.where(F.col("column").isin(list(wide))), max_literal_entries)
+    if rows is None:
+        return None
+    per_col: dict[str, list] = {c: [] for c in columns}
+    for r in rows:
+        c, k = wide[r["column"]]
+        per_col[c] += [F.lit(f"{k}\u0001{r['value']}"), F.lit(r["code"])]
+    exprs = {}
+    for c in columns:
+        keyed = F.concat(F.col(rank).cast("string"), F.lit("\u0001"), col(c).cast("string"))
+        exprs[c] = (F.try_element_at(F.create_map(*per_col[c]), keyed) if per_col[c]
+                    else F.lit(None)).cast("float")
+    return df.withColumns(exprs)
+
+
 def _finish(v, code, miss, dtype, handle_unknown, name):
     coded = code.cast(dtype)
     if handle_unknown == "error":

@@ -35,13 +35,14 @@ def ranking_metric_table(df: DataFrame, prediction: str = "prediction", label: s
     p = sigmoid(col(prediction)) if raw_score else col(prediction)
     y = col(label).cast("double")
     base = df.select(p.alias("__p"), y.alias("__y"), *[col(t) for t in (tiebreak or [])])
-    tot = base.agg(F.sum("__y").alias("pos"), F.count(F.lit(1)).alias("n")).collect()[0]
-    n_pos = float(tot["pos"] or 0.0)
-    n_neg = float(tot["n"]) - n_pos
-    total_w = n_pos + NEG_WEIGHT * n_neg
     w = F.lit(NEG_WEIGHT) - F.lit(NEG_WEIGHT - 1.0) * F.col("__y")
     order = [F.col("__p").desc()] + [col(t).asc() for t in (tiebreak or [])]
-    scanned = ordered_scan(base.withColumn("__w", w), order, sums={"__cw": F.col("__w"), "__cy": F.col("__y")})
+    tot: dict = {}
+    scanned = ordered_scan(base.withColumn("__w", w), order, sums={"__cw": F.col("__w"), "__cy": F.col("__y")},
+                           totals=tot)
+    n_pos = float(tot.get("__cy", 0.0))
+    n_neg = float(tot["rows"]) - n_pos
+    total_w = n_pos + NEG_WEIGHT * n_neg
     if n_pos == 0 or n_neg == 0:
         null = F.lit(None).cast("double")
         return scanned.agg(null.alias("amex"), null.alias("default_rate"), null.alias("gini")).limit(1)

@@ -130,6 +130,7 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
                  count: str | None = None,
                  lags: Mapping[str, str] | None = None,
                  index: str | None = None,
+                 totals: dict | None = None,
                  num_partitions: int | None = None) -> DataFrame:
     """Add running values over ``order`` (a total order; include a
     tie-break), restarting at each ``segment`` value when one is given.
@@ -141,6 +142,9 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
            same segment (NULL on the first)
     index  output name of the global 1-based position in (segment, order),
            not restarted per segment
+    totals a dict to receive ``rows`` (row count) and, without a segment,
+           the grand total of every sum - taken from the partition tails, so
+           callers need no extra pass for them
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -190,6 +194,11 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
         c_last = [r[c] for c in lag_src]
         have = True
 
+    if totals is not None:
+        totals["rows"] = c_rows
+        if not segment:
+            for i, nm in enumerate(sums):
+                totals[nm] = sum(float(r[_P + "sum" + str(i)]) for r in tails)
     seg_type = src_types[segment] if segment else T.StringType()
     cfields = [T.StructField(_P + "pid", T.IntegerType()), T.StructField(_P + "crows", T.LongType()),
                T.StructField(_P + "cseg", seg_type),

@@ -34,20 +34,21 @@ def train_test_split(df: DataFrame, train_fraction: float = 0.75, order: Column
 
 def split_labels(df: DataFrame, train_fraction: float = 0.75, order: Column | None = None,
                  tiebreak: list[str] | None = None, seed: int = 1, name: str = "__train") -> DataFrame:
-    n = df.count()
-    cut = int(train_fraction * n)
     tb = tiebreak or df.columns
     key = order if order is not None else permutation_key(tb, seed)
+    tot: dict = {}
     scanned = ordered_scan(df.withColumn("__perm", key), [F.col("__perm")] + [col(c) for c in tb],
-                           count="__pos")
+                           count="__pos", totals=tot)
+    cut = int(train_fraction * tot["rows"])
     return scanned.withColumn(name, F.col("__pos") <= F.lit(cut)).drop("__perm", "__pos")
 
 
-def key_starts(df: DataFrame, key: str) -> DataFrame:
+def key_starts(df: DataFrame, key: str, totals: dict | None = None) -> DataFrame:
     """One row per key (in key order): count, start and end row (0-based,
-    inclusive) of the key in a table sorted by key."""
+    inclusive) of the key in a table sorted by key. ``totals["__cum"]``
+    receives the table's row count."""
     counts = df.groupBy(col(key)).agg(F.count(F.lit(1)).alias("__cnt"))
-    scanned = ordered_scan(counts, [col(key)], sums={"__cum": F.col("__cnt")})
+    scanned = ordered_scan(counts, [col(key)], sums={"__cum": F.col("__cnt")}, totals=totals)
     cum = F.col("__cum").cast("long")
     return scanned.select(col(key), F.col("__cnt").alias("count"),
                           (cum - F.col("__cnt")).alias("start"), (cum - F.lit(1)).alias("end"))
@@ -63,9 +64,9 @@ def boundary_split(df: DataFrame, key: str, train_fraction: float = 0.75) -> tup
 
 def boundary_labels(df: DataFrame, key: str, train_fraction: float = 0.75,
                     name: str = "__train") -> DataFrame:
-    starts = key_starts(df, key)
-    n = df.count()
-    cut = int(train_fraction * n)
+    tot: dict = {}
+    starts = key_starts(df, key, tot)
+    cut = int(train_fraction * int(tot["__cum"]))
     flags = starts.select(col(key), (F.col("start") < F.lit(cut)).alias(name))
     return df.join(flags, on=key, how="inner")
 
@@ -92,8 +93,9 @@ def chunk_boundaries(starts: DataFrame, n_rows: int, n: int) -> list[int]:
 
 def chunk_labels(df: DataFrame, key: str, n: int = 5, name: str = "chunk") -> DataFrame:
     """SP3: label every row with its chunk number (0-based)."""
-    starts = key_starts(df, key)
-    bounds = chunk_boundaries(starts, df.count(), n)
+    tot: dict = {}
+    starts = key_starts(df, key, tot)
+    bounds = chunk_boundaries(starts, int(tot["__cum"]), n)
     chunk = F.lit(0)
     for i, b in enumerate(bounds[1:], start=1):
         chunk = F.when(F.col("start") >= F.lit(b), F.lit(i)).otherwise(chunk)

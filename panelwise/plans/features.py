@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..operators.calendar import cast_dates, days_between
 from ..operators.clean import drop_first_period, filter_features, narrow_doubles, nans_to_nulls
-from ..operators.encode import apply_mapping, save_mapping, load_mapping
+from ..operators.encode import apply_mapping, apply_mapping_by_rank, load_mapping, save_mapping
 from ..operators.lags import diff_ratio, pairwise_gaps
 from ..operators.pivot import pivot_periods
 from ..operators.ranks import latest_periods
@@ -56,6 +56,7 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
     with a left join. With ``return_mapping`` the encoder mapping is
     returned too: ``(features, mapping)``."""
     key = spec.key
+    const_rank_lags: list[str] = []
     df = nans_to_nulls(df)
     df = cast_dates(df, spec)
     ordered = spec.with_(ts="date")
@@ -78,19 +79,41 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
     if add_diffs:
         panel = diff_ratio(panel, key, w_order, categorical=[c for c in spec.categorical if c in panel.columns],
                            ieee=not run_filter)
-        r = F.col(RANK_COLUMN)
-        if "diff_" + RANK_COLUMN in panel.columns:
-            panel = panel.withColumns({
-                "diff_" + RANK_COLUMN: F.when(r >= 2, F.lit(1.0)).cast("float"),
-                "ratio_" + RANK_COLUMN: F.when(r >= 2, r / (r - F.lit(1))),
-            })
+        # lags of the rank itself are the same for every key on the padded
+        # grid; they are added as constants after the pivot
+        const_rank_lags = [c for c in ("diff_" + RANK_COLUMN, "ratio_" + RANK_COLUMN) if c in panel.columns]
     if run_filter:
         panel = filter_features(panel, legacy_name_filter=legacy_name_filter, fill_null=filter_fill_null,
                                 categorical=spec.categorical, order=[key, RANK_COLUMN])
     panel = nans_to_nulls(panel)
 
-    values = [c for c in panel.columns if c not in (key, RANK_COLUMN)]
+    all_values = [c for c in panel.columns if c not in (key, RANK_COLUMN)]
+    panel = panel.drop(*const_rank_lags)
+    values = [c for c in all_values if c not in const_rank_lags]
+    pre_encoded: list[str] = []
+    if encode:
+        # the wide names the prefix rule will pick, and the long columns they come from
+        wide_names = [f"{c}_{r}" for c in values for r in range(1, spec.periods + 1)]
+        enc_wide = set(categorical_columns(wide_names, "both", spec.categorical))
+        enc_long = [c for c in values if any(f"{c}_{r}" in enc_wide for r in range(1, spec.periods + 1))]
+        if mapping is None:
+            mapping = _fit_wide_mapping(panel, None, key, values, spec.periods, sorted(enc_wide))
+            if save_mapping_to:
+                save_mapping(mapping, save_mapping_to)
+                mapping = load_mapping(panel.sparkSession, save_mapping_to)
+            unknown = "missing"
+        else:
+            unknown = "missing" if handle_unknown_encodings else "error"
+        if enc_long and (unknown == "missing"):
+            coded = apply_mapping_by_rank(panel, mapping, enc_long, RANK_COLUMN, spec.periods)
+            if coded is not None:
+                panel, pre_encoded = coded, [f"{c}_{r}" for c in enc_long for r in range(1, spec.periods + 1)]
     wide = pivot_periods(panel, key, RANK_COLUMN, spec.periods, values)
+    if const_rank_lags:
+        wide = _with_rank_lag_constants(wide, key, all_values, const_rank_lags, spec.periods)
+    if pre_encoded:
+        nan = F.lit(float("nan")).cast("float")
+        wide = wide.withColumns({c: F.coalesce(col(c), nan) for c in pre_encoded})
     if drop_first:
         wide = drop_first_period(wide)
     if add_stats:
@@ -99,17 +122,13 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
         wide = wide.join(target, on=key, how="left")
 
     if encode:
-        enc_cols = categorical_columns(wide, "both", spec.categorical)
-        if mapping is None:
-            mapping = _fit_wide_mapping(panel, wide, key, values, spec.periods, enc_cols)
-            if save_mapping_to:
-                save_mapping(mapping, save_mapping_to)
-                mapping = load_mapping(wide.sparkSession, save_mapping_to)
-            unknown = "missing"
-        else:
-            unknown = "missing" if handle_unknown_encodings else "error"
-        wide = apply_mapping(wide, mapping, enc_cols, missing=float("nan"), dtype="float",
-                             handle_unknown=unknown)
+        enc_cols = [c for c in categorical_columns(wide, "both", spec.categorical) if c not in set(pre_encoded)]
+        if enc_cols:
+            rest = [c for c in enc_cols if c not in set(wide_names)]
+            if rest and mapping is not None and unknown == "missing":
+                mapping = mapping.unionByName(_fit_wide_mapping(None, wide, key, [], spec.periods, rest))
+            wide = apply_mapping(wide, mapping, enc_cols, missing=float("nan"), dtype="float",
+                                 handle_unknown=unknown)
     if cast_f32:
         wide = narrow_doubles(wide)
     if drop_key:
@@ -120,6 +139,26 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
 run = build_features
 
 
+def _with_rank_lag_constants(wide: DataFrame, key: str, all_values: list[str], consts: list[str],
+                             periods: int) -> DataFrame:
+    """``diff_rank_r`` = 1 and ``ratio_rank_r`` = r/(r-1) for r >= 2, NULL
+    for r = 1 (what the lags of the rank give on the padded grid), placed
+    where the pivot would have put them."""
+    def const(c: str, r: int):
+        if r == 1:
+            v = F.lit(None)
+        elif c.startswith("diff_"):
+            v = F.lit(1.0)
+        else:
+            v = F.lit(r / (r - 1))
+        return v.cast("float" if c.startswith("diff_") else "double").alias(f"{c}_{r}")
+    cols = [col(key)]
+    for c in all_values:
+        for r in range(1, periods + 1):
+            cols.append(const(c, r) if c in consts else col(f"{c}_{r}"))
+    return wide.select(*cols)
+
+
 def _fit_wide_mapping(panel: DataFrame, wide: DataFrame, key: str, values: list[str], periods: int,
                       enc_cols: list[str]) -> DataFrame:
     """Sorted-value codes for the wide categorical columns, fitted on the
@@ -128,17 +167,18 @@ def _fit_wide_mapping(panel: DataFrame, wide: DataFrame, key: str, values: list[
     pivoted = {f"{c}_{r}": c for c in values for r in range(1, periods + 1)}
     long_cols = sorted({pivoted[c] for c in enc_cols if c in pivoted}, key=values.index)
     parts = []
-    if long_cols:
+    if long_cols and panel is not None:
         lv = _long_values(panel.select(RANK_COLUMN, *[col(c) for c in long_cols]), long_cols,
                           {"rank": F.col(RANK_COLUMN)})
         lv = lv.select(F.concat(F.col("column"), F.lit("_"), F.col("rank").cast("string")).alias("column"),
                        "value", "num")
         parts.append(lv)
     rest = [c for c in enc_cols if c not in pivoted]
-    if rest:
+    if rest and wide is not None:
         parts.append(_long_values(wide, rest))
     if not parts:
-        return wide.sparkSession.createDataFrame([], "column string, value string, code int")
+        spark = (panel if panel is not None else wide).sparkSession
+        return spark.createDataFrame([], "column string, value string, code int")
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
