@@ -25,13 +25,35 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
 _P = "__scan_"
+# largest per-segment group that a single task may take with a plain window
+WINDOW_MAX_ROWS = 1_000_000
+
+
+def _largest_segment(df: DataFrame, segment: str) -> tuple[int, int]:
+    """(rows of the largest segment, all rows) - one map-side combined job."""
+    r = (df.groupBy(F.col(segment)).agg(F.count(F.lit(1)).alias("n"))
+           .agg(F.max("n").alias("m"), F.sum("n").alias("t")).first())
+    return int(r["m"] or 0), int(r["t"] or 0)
+
+
+def _window_scan(df, order, segment, sums, count, lags) -> DataFrame:
+    w = Window.partitionBy(F.col(segment)).orderBy(*[_as_sort(o) for o in order])
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    outs = {}
+    if count:
+        outs[count] = F.row_number().over(w).cast("long")
+    for nm, e in sums.items():
+        outs[nm] = F.coalesce(F.sum(F.coalesce(e.cast("double"), F.lit(0.0))).over(run), F.lit(0.0))
+    for nm, src in lags.items():
+        outs[nm] = F.lag(F.col(src)).over(w)
+    return df.withColumns(outs)
 
 
 def _as_sort(c) -> Column:
@@ -131,7 +153,9 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
                  lags: Mapping[str, str] | None = None,
                  index: str | None = None,
                  totals: dict | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None,
+                 strategy: str = "auto",
+                 window_max_rows: int = WINDOW_MAX_ROWS) -> DataFrame:
     """Add running values over ``order`` (a total order; include a
     tie-break), restarting at each ``segment`` value when one is given.
 
@@ -145,11 +169,21 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
     totals a dict to receive ``rows`` (row count) and, without a segment,
            the grand total of every sum - taken from the partition tails, so
            callers need no extra pass for them
+    strategy  ``auto``: with a segment, one aggregate job measures the
+           largest segment; when it is at most ``window_max_rows`` rows an
+           ordinary per-segment window is used (every group fits a task),
+           otherwise the range-partitioned scan. ``scan``/``window`` force one.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     sums = dict(sums or {})
     lags = dict(lags or {})
+    if segment is not None and index is None and strategy != "scan":
+        largest, rows = _largest_segment(df, segment)
+        if strategy == "window" or largest <= window_max_rows:
+            if totals is not None:
+                totals["rows"] = rows
+            return _window_scan(df, order, segment, sums, count, lags)
+    ensure_checkpoint_dir(spark)
     n_parts = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
 
     sum_names = [_P + "in" + str(i) for i in range(len(sums))]

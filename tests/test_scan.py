@@ -1,5 +1,6 @@
 """The distributed ordered scan against Spark's single-task windows."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -11,11 +12,14 @@ def _rows(df, cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
-def test_segmented_scan_matches_window(spark):
+@pytest.mark.parametrize("strategy", ["scan", "window", "auto"])
+def test_segmented_scan_matches_window(spark, strategy):
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    got = ordered_scan(o, ["o_orderdate", "o_orderkey"], segment="o_custkey",
-                       sums={"cs": F.col("o_totalprice")}, count="n", index="i",
+    got = ordered_scan(o, ["o_orderdate", "o_orderkey"], segment="o_custkey", strategy=strategy,
+                       sums={"cs": F.col("o_totalprice")}, count="n", index="i" if strategy == "scan" else None,
                        lags={"prev": "o_totalprice", "prevd": "o_orderdate"})
+    got = got if strategy == "scan" else got.withColumn(
+        "i", F.row_number().over(Window.orderBy("o_custkey", "o_orderdate", "o_orderkey")))
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     ref = (o.withColumn("cs", F.sum("o_totalprice").over(w.rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("n", F.row_number().over(w)).withColumn("prev", F.lag("o_totalprice").over(w))
@@ -44,8 +48,8 @@ def test_hot_key_is_split_over_partitions(spark):
     n = 30000
     df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
                                F.col("id").alias("t"), F.lit(1.0).alias("v"))
-    got = ordered_scan(df, ["t"], segment="k",
-                       sums={"cv": F.col("v")}, count="n")
+    got = ordered_scan(df, ["t"], segment="k", sums={"cv": F.col("v")}, count="n",
+                       window_max_rows=n // 10)   # the hot key is above the bound: range-partitioned scan
     hot = got.where(F.col("k") == -1)
     assert hot.agg(F.max("n")).first()[0] == n // 3
     assert sorted(r[0] for r in hot.select("n").collect()) == list(range(1, n // 3 + 1))
