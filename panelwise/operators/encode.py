@@ -50,7 +50,9 @@ def fit_ordinal_encoder(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def first_seen_mapping(df: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
     """EN2 fit: codes in order of first appearance under ``order``."""
-    first = F.struct(*[col(o) for o in order]) if order else F.monotonically_increasing_id()
+    if not order:
+        raise ValueError("first-seen codes need an order (the row order that defines first)")
+    first = F.struct(*[col(o) for o in order])
     long = _long_values(df, columns, {"pos": first}).where(F.col("value").isNotNull())
     firsts = long.groupBy("column", "value").agg(F.min("pos").alias("pos"))
     w = Window.partitionBy("column").orderBy("pos")

@@ -31,9 +31,19 @@ def latest_periods(df: DataFrame, spec: PanelSpec, counts: DataFrame | None = No
     Output columns: key, rank, the other columns, total_number."""
     p = spec.periods
     w = Window.partitionBy(col(spec.key)).orderBy(*spec.order_columns(descending=True))
-    top = df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) <= p)
     if counts is None:
         counts = key_counts(df, spec.key)
+    bounded = spec.bounded
+    if bounded is None:
+        # one map-side combined job over the key column; when every key fits
+        # in ``periods`` rows the limit (and its map-side sort) is not needed
+        longest = counts.agg(F.max(COUNT_COLUMN)).first()[0]
+        bounded = longest is None or longest <= p
+    top = df.withColumn(_RN, F.row_number().over(w))
+    if not bounded:
+        # planned as a partial group limit before the shuffle: a hot key sends
+        # at most ``periods`` rows per map task
+        top = top.filter(F.col(_RN) <= p)
     top = top.join(counts.select(spec.key, COUNT_COLUMN), on=spec.key, how="inner")
     top = top.withColumn(RANK_COLUMN, (F.lit(p + 1) - F.col(_RN)).cast("int"))
     rest = [c for c in df.columns if c not in (spec.key, RANK_COLUMN)]

@@ -48,6 +48,9 @@ class PanelSpec:
                for ordering and dropped from the features
     categorical  statement columns treated as categories
     periods    statements kept per key (the most recent ones)
+    bounded    True if no key has more than ``periods`` statements: skips the
+               per-key limit and its map-side sort. False (default) always
+               applies the skew-safe limit; None measures with one aggregate
     """
 
     key: str = "customer_ID"
@@ -57,6 +60,7 @@ class PanelSpec:
     periods: int = DEFAULT_PERIODS
     ts_format: str = "yyyy-MM-dd"
     drop: tuple[str, ...] = field(default_factory=tuple)
+    bounded: bool | None = False
 
     def with_(self, **kw) -> "PanelSpec":
         return replace(self, **kw)
