@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import inf_to_null, nan_to_null
 from ..spec import (DEFAULT_CATEGORICAL, FLOAT_TYPES, SIGNED_INT_TYPES, categorical_columns, col,
-                    drop_regex, dtype_columns)
+                    drop_regex, dtype_columns, q)
 
 # patterns of the reference's first-period filter (fixed values)
 FIRST_DIFF_PATTERN = r"^(?:diff_)(.*)(?:_1)$"
@@ -65,8 +65,10 @@ def nans_to_nulls(df: DataFrame) -> DataFrame:
 
 def narrow_doubles(df: DataFrame) -> DataFrame:
     """PR10: every double column -> float."""
-    dbl = dtype_columns(df, "double")
-    return df.withColumns({c: col(c).cast("float") for c in dbl}) if dbl else df
+    dbl = set(dtype_columns(df, "double"))
+    if not dbl:
+        return df
+    return df.selectExpr(*[f"CAST({q(c)} AS FLOAT) AS {q(c)}" if c in dbl else q(c) for c in df.columns])
 
 
 def fill_null(df: DataFrame, value, columns: list[str]) -> DataFrame:

@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import hash_or_null
-from ..spec import DEFAULT_CATEGORICAL, categorical_columns, col
+from ..spec import DEFAULT_CATEGORICAL, categorical_columns, col, q, sql_literal
 
 _NUM = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-MAX_LITERAL_ENTRIES = 100_000
+MAX_LITERAL_ENTRIES = 50_000
 
 
 def _long_values(df: DataFrame, columns: list[str], extra: dict | None = None) -> DataFrame:
@@ -73,13 +73,17 @@ def apply_mapping(df: DataFrame, mapping: DataFrame, columns: list[str], *,
     if rows is not None:
         per_col: dict[str, list] = {c: [] for c in columns}
         for r in rows:
-            per_col[r["column"]] += [F.lit(r["value"]), F.lit(r["code"])]
-        exprs = {}
-        for c in columns:
-            v = col(c).cast("string")
-            code = F.try_element_at(F.create_map(*per_col[c]), v) if per_col[c] else F.lit(None).cast("int")
-            exprs[c] = _finish(v, code, miss, dtype, handle_unknown, c)
-        return df.withColumns(exprs)
+            per_col[r["column"]].append((r["value"], r["code"]))
+        todo = set(columns)
+        exprs = []
+        for c in df.columns:
+            if c not in todo:
+                exprs.append(q(c))
+                continue
+            v = f"CAST({q(c)} AS STRING)"
+            code = (f"try_element_at({_map_sql(per_col[c])}, {v})" if per_col[c] else "CAST(NULL AS INT)")
+            exprs.append(f"{_finish_sql(v, code, missing, dtype, handle_unknown, c)} AS {q(c)}")
+        return df.selectExpr(*exprs)
     out = df
     for i, c in enumerate(columns):
         part = mapping.where(F.col("column") == c).select(
@@ -110,13 +114,34 @@ def apply_mapping_by_rank(df: DataFrame, mapping: DataFrame, columns: list[str],
     per_col: dict[str, list] = {c: [] for c in columns}
     for r in rows:
         c, k = wide[r["column"]]
-        per_col[c] += [F.lit(f"{k}\u0001{r['value']}"), F.lit(r["code"])]
-    exprs = {}
-    for c in columns:
-        keyed = F.concat(F.col(rank).cast("string"), F.lit("\u0001"), col(c).cast("string"))
-        exprs[c] = (F.try_element_at(F.create_map(*per_col[c]), keyed) if per_col[c]
-                    else F.lit(None)).cast("float")
-    return df.withColumns(exprs)
+        per_col[c].append((f"{k}|{r['value']}", r["code"]))
+    todo = set(columns)
+    exprs = []
+    for c in df.columns:
+        if c not in todo:
+            exprs.append(q(c))
+            continue
+        keyed = f"concat(CAST({q(rank)} AS STRING), '|', CAST({q(c)} AS STRING))"
+        code = f"try_element_at({_map_sql(per_col[c])}, {keyed})" if per_col[c] else "NULL"
+        exprs.append(f"CAST({code} AS FLOAT) AS {q(c)}")
+    return df.selectExpr(*exprs)
+
+
+def _map_sql(pairs) -> str:
+    """A literal map expression (one SQL string, parsed once on the JVM)."""
+    return "map(" + ", ".join(f"{sql_literal(k)}, {sql_literal(int(v))}" for k, v in pairs) + ")"
+
+
+def _finish_sql(v: str, code: str, missing, dtype: str, handle_unknown: str, name: str) -> str:
+    miss = f"CAST({sql_literal(missing)} AS {dtype})"
+    if isinstance(missing, float) and missing != missing:
+        miss = f"CAST('NaN' AS {dtype})"
+    coded = f"CAST({code} AS {dtype})"
+    if handle_unknown == "error":
+        err = sql_literal(f"unknown category in column {name}")
+        return (f"CASE WHEN {v} IS NULL THEN {miss} WHEN {code} IS NULL THEN CAST(raise_error({err}) AS {dtype}) "
+                f"ELSE {coded} END")
+    return f"CASE WHEN {code} IS NULL THEN {miss} ELSE {coded} END"
 
 
 def _finish(v, code, miss, dtype, handle_unknown, name):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..spec import RANK_COLUMN, col
+from ..spec import RANK_COLUMN, col, q
 
 
 def pivot_periods(df: DataFrame, key: str, rank: str = RANK_COLUMN, periods: int = 13,
@@ -19,13 +19,13 @@ def pivot_periods(df: DataFrame, key: str, rank: str = RANK_COLUMN, periods: int
     if values is None:
         values = [c for c in df.columns if c not in (key, rank)]
     ranks = list(range(1, periods + 1))
-    aggs = [F.first(col(c)).alias(c) for c in values]
+    aggs = [F.expr(f"first({q(c)}) AS {q(c)}") for c in values]
     wide = df.groupBy(col(key)).pivot(rank, ranks).agg(*aggs)
     if len(values) == 1:
         names = {(values[0], r): str(r) for r in ranks}
     else:
         names = {(c, r): f"{r}_{c}" for c in values for r in ranks}
-    return wide.select(col(key), *[col(names[(c, r)]).alias(f"{c}_{r}") for c in values for r in ranks])
+    return wide.selectExpr(q(key), *[f"{q(names[(c, r)])} AS {q(f'{c}_{r}')}" for c in values for r in ranks])
 
 
 def pivot_by_slice(df: DataFrame, key: str, rank: str = RANK_COLUMN, periods: int = 13,
@@ -33,3 +33,23 @@ def pivot_by_slice(df: DataFrame, key: str, rank: str = RANK_COLUMN, periods: in
     """PV2: the reference's slice-based pivot gives the same table as PV1
     when every key has all periods; one implementation serves both."""
     return pivot_periods(df, key, rank, periods, values)
+
+
+def pivot_to_array(df: DataFrame, key: str, rank: str = RANK_COLUMN, periods: int = 13,
+                   values: list[str] | None = None, name: str = "features") -> tuple[DataFrame, list[str]]:
+    """PV1 as one ``array<float>`` column per key, for model input from very
+    wide panels: element ``v * periods + (r - 1)`` is value column ``v`` at
+    rank ``r`` (the same column-major order as the wide form; the names are
+    returned). One bounded per-key aggregate (at most ``periods`` rows per
+    key) replaces ``periods x len(values)`` pivot aggregates."""
+    if values is None:
+        values = [c for c in df.columns if c not in (key, rank)]
+    vals = F.array(*[col(c).cast("float") for c in values])
+    g = df.groupBy(col(key)).agg(F.map_from_entries(F.collect_list(F.struct(col(rank), vals))).alias("__m"))
+    m = F.col("__m")
+    flat = F.flatten(F.transform(
+        F.sequence(F.lit(1), F.lit(len(values))),
+        lambda v: F.transform(F.sequence(F.lit(1), F.lit(periods)),
+                              lambda r: F.try_element_at(F.try_element_at(m, r), v))))
+    names = [f"{c}_{r}" for c in values for r in range(1, periods + 1)]
+    return g.select(col(key), flat.alias(name)), names

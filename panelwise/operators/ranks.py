@@ -72,10 +72,15 @@ def add_index(df: DataFrame, order: list, name: str = "index") -> DataFrame:
 
 def index_and_count(df: DataFrame, key: str, order: list, name: str = "index",
                     count_name: str = "count") -> DataFrame:
-    """RN4: per-key row count plus a running sum of an index column of ones
-    over the whole table in ``order`` (so 1..n)."""
+    """RN4: per-key row count, and the running sum (in ``order``) of the
+    existing index column ``name``; without one, a column of ones is summed,
+    giving 1..n."""
     counts = df.groupBy(col(key)).agg(F.count(F.lit(1)).alias(count_name))
-    with_idx = add_index(df, order, name=name)
+    if name in df.columns:
+        with_idx = ordered_scan(df, order, sums={"__isum": col(name)})
+        with_idx = with_idx.withColumn(name, F.col("__isum").cast(df.schema[name].dataType)).drop("__isum")
+    else:
+        with_idx = add_index(df, order, name=name)
     return with_idx.join(counts, on=key, how="inner")
 
 

@@ -33,11 +33,11 @@ from ..operators.calendar import cast_dates, days_between
 from ..operators.clean import drop_first_period, filter_features, narrow_doubles, nans_to_nulls
 from ..operators.encode import apply_mapping, apply_mapping_by_rank, load_mapping, save_mapping
 from ..operators.lags import diff_ratio, pairwise_gaps
-from ..operators.pivot import pivot_periods
+from ..operators.pivot import pivot_periods, pivot_to_array
 from ..operators.ranks import latest_periods
 from ..operators.stats import key_stats
 from ..spec import (COUNT_COLUMN, DEFAULT_BALANCE_COLUMNS, DEFAULT_PAYMENT_COLUMNS, RANK_COLUMN,
-                    PanelSpec, categorical_columns, col)
+                    PanelSpec, categorical_columns, col, q)
 from ..operators.encode import _long_values
 from pyspark.sql import Window
 
@@ -50,11 +50,14 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
                    drop_first: bool = False, cast_f32: bool = True, encode: bool = True,
                    mapping: DataFrame | None = None, save_mapping_to: str | None = None,
                    handle_unknown_encodings: bool = False, drop_key: bool = True,
-                   return_mapping: bool = False):
+                   return_mapping: bool = False, as_array: bool = False):
     """Build the wide feature table (one row per key). Flags mirror the
     reference's ``run``; ``target`` is a table (key, label columns) joined
     with a left join. With ``return_mapping`` the encoder mapping is
-    returned too: ``(features, mapping)``."""
+    returned too: ``(features, mapping)``. With ``as_array`` the pivoted
+    features come as one ``array<float>`` column ``features`` (names in
+    ``build_features.feature_names`` order: see ``pivot.pivot_to_array``);
+    statistics and target stay columns."""
     key = spec.key
     const_rank_lags: list[str] = []
     df = nans_to_nulls(df)
@@ -108,12 +111,19 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
             coded = apply_mapping_by_rank(panel, mapping, enc_long, RANK_COLUMN, spec.periods)
             if coded is not None:
                 panel, pre_encoded = coded, [f"{c}_{r}" for c in enc_long for r in range(1, spec.periods + 1)]
-    wide = pivot_periods(panel, key, RANK_COLUMN, spec.periods, values)
+    if as_array:
+        if not encode and any(t == "string" for c, t in panel.dtypes if c in values):
+            raise ValueError("as_array needs numeric values: keep encode=True")
+        wide, _ = pivot_to_array(panel, key, RANK_COLUMN, spec.periods, values)
+        const_rank_lags, pre_encoded, wide_names = [], [], []
+    else:
+        wide = pivot_periods(panel, key, RANK_COLUMN, spec.periods, values)
     if const_rank_lags:
         wide = _with_rank_lag_constants(wide, key, all_values, const_rank_lags, spec.periods)
     if pre_encoded:
-        nan = F.lit(float("nan")).cast("float")
-        wide = wide.withColumns({c: F.coalesce(col(c), nan) for c in pre_encoded})
+        pe = set(pre_encoded)
+        wide = wide.selectExpr(*[f"coalesce({q(c)}, CAST('NaN' AS FLOAT)) AS {q(c)}" if c in pe else q(c)
+                                 for c in wide.columns])
     if drop_first:
         wide = drop_first_period(wide)
     if add_stats:
@@ -144,19 +154,15 @@ def _with_rank_lag_constants(wide: DataFrame, key: str, all_values: list[str], c
     """``diff_rank_r`` = 1 and ``ratio_rank_r`` = r/(r-1) for r >= 2, NULL
     for r = 1 (what the lags of the rank give on the padded grid), placed
     where the pivot would have put them."""
-    def const(c: str, r: int):
-        if r == 1:
-            v = F.lit(None)
-        elif c.startswith("diff_"):
-            v = F.lit(1.0)
-        else:
-            v = F.lit(r / (r - 1))
-        return v.cast("float" if c.startswith("diff_") else "double").alias(f"{c}_{r}")
-    cols = [col(key)]
+    def const(c: str, r: int) -> str:
+        typ = "FLOAT" if c.startswith("diff_") else "DOUBLE"
+        v = "NULL" if r == 1 else ("1.0D" if c.startswith("diff_") else f"{r}.0D / {r - 1}.0D")
+        return f"CAST({v} AS {typ}) AS {q(f'{c}_{r}')}"
+    exprs = [q(key)]
     for c in all_values:
         for r in range(1, periods + 1):
-            cols.append(const(c, r) if c in consts else col(f"{c}_{r}"))
-    return wide.select(*cols)
+            exprs.append(const(c, r) if c in consts else q(f"{c}_{r}"))
+    return wide.selectExpr(*exprs)
 
 
 def _fit_wide_mapping(panel: DataFrame, wide: DataFrame, key: str, values: list[str], periods: int,

@@ -72,7 +72,32 @@ class PanelSpec:
 
 def col(name: str) -> Column:
     """Column reference that tolerates any character in the name."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(q(name))
+
+
+def q(name: str) -> str:
+    """A column name quoted for SQL expression strings. Wide projections are
+    built as one ``selectExpr`` of such strings: one JVM call instead of
+    several per column."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_literal(v) -> str:
+    """A Python scalar as a Spark SQL literal."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return f"{v}L" if abs(v) > 2**31 - 1 else str(v)
+    if isinstance(v, float):
+        if v != v:
+            return "CAST('NaN' AS DOUBLE)"
+        if v in (float("inf"), float("-inf")):
+            return f"CAST('{'-' if v < 0 else ''}Infinity' AS DOUBLE)"
+        return repr(v) + "D"
+    s = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return "'" + s + "'"
 
 
 # ---------------------------------------------------------------------------

@@ -141,3 +141,19 @@ def test_fill_null_option(spark):
     r = _one(out, "a", ["days_since_last_payment_13", "B_30_13"])
     assert r[0] == -1
     assert isinstance(r[1], int)
+
+
+def test_array_form_equals_wide_form(spark):
+    from panelwise.operators.pivot import pivot_to_array
+    df = calendar.cast_dates(_panel(spark).drop("X_1", "D_63"), SPEC)
+    p = ranks.latest_periods(df, SPEC.with_(ts="date")).drop("seq", "date")
+    values = [c for c in p.columns if c not in ("customer_ID", "rank")]
+    wide = pivot.pivot_periods(p, "customer_ID", "rank", 13, values)
+    arr, names = pivot_to_array(p, "customer_ID", "rank", 13, values)
+    w = {r["customer_ID"]: r for r in wide.collect()}
+    for r in arr.collect():
+        got = r["features"]
+        want = [None if w[r["customer_ID"]][n] is None else float(w[r["customer_ID"]][n]) for n in names]
+        assert [None if g is None else pytest.approx(g, rel=1e-6) for g in got] == want
+    out = build_features(_panel(spark), SPEC, balance=(), payment=(), drop_key=False, as_array=True)
+    assert dict(out.dtypes)["features"] == "array<float>" and out.count() == 6
