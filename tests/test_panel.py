@@ -152,8 +152,9 @@ def test_array_form_equals_wide_form(spark):
     arr, names = pivot_to_array(p, "customer_ID", "rank", 13, values)
     w = {r["customer_ID"]: r for r in wide.collect()}
     for r in arr.collect():
-        got = r["features"]
-        want = [None if w[r["customer_ID"]][n] is None else float(w[r["customer_ID"]][n]) for n in names]
+        nn = lambda v: None if v is None or (isinstance(v, float) and math.isnan(v)) else float(v)  # noqa
+        got = [nn(g) for g in r["features"]]
+        want = [nn(w[r["customer_ID"]][n]) for n in names]
         assert [None if g is None else pytest.approx(g, rel=1e-6) for g in got] == want
     out = build_features(_panel(spark), SPEC, balance=(), payment=(), drop_key=False, as_array=True)
     assert dict(out.dtypes)["features"] == "array<float>" and out.count() == 6
