@@ -203,13 +203,13 @@ def _diff_ratio_sql(f32: bool) -> str:
 @query("diff_ratio", _diff_ratio_sql(False))
 def q_diff_ratio(spark, d):
     p = _lineitem_panel(spark, d)
-    return _ts_dates(lags.diff_ratio(p, "l_orderkey", [F.col("rank")], categorical=LINEITEM_SPEC.categorical))
+    return _ts_dates(lags.diff_ratio(p, "l_orderkey", ["rank"], categorical=LINEITEM_SPEC.categorical))
 
 
 @query("diff_ratio_f32", _diff_ratio_sql(True))
 def q_diff_ratio_f32(spark, d):
     p = _lineitem_panel(spark, d)
-    return _ts_dates(lags.diff_ratio(p, "l_orderkey", [F.col("rank")], categorical=LINEITEM_SPEC.categorical,
+    return _ts_dates(lags.diff_ratio(p, "l_orderkey", ["rank"], categorical=LINEITEM_SPEC.categorical,
                                      float32_ratio=True))
 
 

@@ -41,6 +41,6 @@ def days_between(df: DataFrame, key: str, order: list, name: str = GAP_COLUMN,
     """Days since the previous statement of the same key (NULL on the
     first); drops ``date``. ``order`` must be bounded per key (a panel of
     ``periods`` rows); for unbounded histories use ``ordered_scan`` lags."""
-    w = Window.partitionBy(col(key)).orderBy(*order)
+    w = Window.partitionBy(col(key)).orderBy(*[F.col(o) if isinstance(o, str) else o for o in order])
     out = df.withColumn(name, F.datediff(col("date"), F.lag(col("date")).over(w)))
     return out.drop("date") if drop_date else out

@@ -9,7 +9,6 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import inf_to_null, nan_to_null
 from ..spec import (DEFAULT_CATEGORICAL, FLOAT_TYPES, SIGNED_INT_TYPES, categorical_columns, col,
                     drop_regex, dtype_columns, q)
 
@@ -45,8 +44,11 @@ def filter_features(df: DataFrame, *, legacy_name_filter: bool = False, fill_nul
         gives the row order that defines "first")."""
     if legacy_name_filter:
         df = drop_first_period(df)
-    rc = ratio_columns(df, legacy=legacy_name_filter)
-    df = df.withColumns({c: inf_to_null(col(c)) for c in rc}) if rc else df
+    rc = set(ratio_columns(df, legacy=legacy_name_filter))
+    if rc:
+        inf = "CAST('Infinity' AS DOUBLE)"
+        df = df.selectExpr(*[f"CASE WHEN abs({q(c)}) = {inf} THEN NULL ELSE {q(c)} END AS {q(c)}" if c in rc
+                             else q(c) for c in df.columns])
     if fill_null:
         from .encode import first_seen_encode
         cats = categorical_columns(df, "both", categorical)
@@ -59,8 +61,11 @@ def filter_features(df: DataFrame, *, legacy_name_filter: bool = False, fill_nul
 
 def nans_to_nulls(df: DataFrame) -> DataFrame:
     """PR9: NaN -> NULL in every float/double column."""
-    fl = dtype_columns(df, *FLOAT_TYPES)
-    return df.withColumns({c: nan_to_null(col(c)) for c in fl}) if fl else df
+    fl = set(dtype_columns(df, *FLOAT_TYPES))
+    if not fl:
+        return df
+    return df.selectExpr(*[f"CASE WHEN isnan({q(c)}) THEN NULL ELSE {q(c)} END AS {q(c)}" if c in fl else q(c)
+                           for c in df.columns])
 
 
 def narrow_doubles(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import ieee_ratio, safe_ratio, transition
-from ..spec import CALENDAR_COLUMNS, DEFAULT_BALANCE_COLUMNS, DEFAULT_PAYMENT_COLUMNS, col
+from ..spec import CALENDAR_COLUMNS, DEFAULT_BALANCE_COLUMNS, DEFAULT_PAYMENT_COLUMNS, col, q
 from .scan import ordered_scan
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -54,27 +54,55 @@ def _lag_exprs(df, key, numeric, categorical, prev_of, ieee, f32_first):
     return diffs, ratios, trans
 
 
-def diff_ratio(df: DataFrame, key: str, order: list, categorical=(), numeric=None,
+def diff_ratio(df: DataFrame, key: str, order: list[str], categorical=(), numeric=None,
                ieee: bool = False, fill_transitions: bool = False,
                float32_ratio: bool = False) -> DataFrame:
     """RN9 (and RN10 with ``float32_ratio=True``): for every numeric column
     add ``diff_x`` (float) and ``ratio_x``; for every categorical column add
-    the transition ``diff_cat_x`` = "current->previous".
+    the transition ``diff_cat_x`` = "current->previous". ``order`` are
+    column names (optionally followed by `` DESC``) ordering a key's rows.
 
     Column order: RN9 appends diffs, ratios, transitions; RN10 appends
-    transitions, ratios, diffs and takes the ratio of float-cast values."""
+    transitions, ratios, diffs and takes the ratio of float-cast values.
+    Built as one projection of SQL expressions sharing one window, so a
+    statement table of hundreds of columns plans in one JVM call."""
     if numeric is None:
         numeric = numeric_feature_columns(df, key, categorical)
-    w = Window.partitionBy(col(key)).orderBy(*order)
-    prev_of = lambda c: F.lag(col(c)).over(w)
-    diffs, ratios, trans = _lag_exprs(df, key, numeric, categorical, prev_of, ieee, float32_ratio)
-    if fill_transitions:
-        trans = {k: F.coalesce(v, F.lit("")) for k, v in trans.items()}
-    parts = [trans, ratios, diffs] if float32_ratio else [diffs, ratios, trans]
-    exprs = {}
-    for p in parts:
-        exprs.update(p)
-    return df.withColumns(exprs)
+    order_sql = ", ".join(_order_sql(o) for o in order)
+    w = f"OVER (PARTITION BY {q(key)} ORDER BY {order_sql})"
+    diffs, ratios, trans = [], [], []
+    for c in numeric:
+        x, prev = q(c), f"lag({q(c)}) {w}"
+        diffs.append(f"CAST({x} - {prev} AS FLOAT) AS {q('diff_' + c)}")
+        if float32_ratio:
+            r = _ratio_sql(f"CAST({x} AS FLOAT)", f"CAST({prev} AS FLOAT)", ieee)
+            ratios.append(f"CAST({r} AS FLOAT) AS {q('ratio_' + c)}")
+        else:
+            ratios.append(f"{_ratio_sql(x, prev, ieee)} AS {q('ratio_' + c)}")
+    for c in categorical:
+        if c in df.columns:
+            t = f"concat(CAST({q(c)} AS STRING), '->', CAST(lag({q(c)}) {w} AS STRING))"
+            if fill_transitions:
+                t = f"coalesce({t}, '')"
+            trans.append(f"{t} AS {q('diff_cat_' + c)}")
+    parts = trans + ratios + diffs if float32_ratio else diffs + ratios + trans
+    return df.selectExpr(*[q(c) for c in df.columns], *parts)
+
+
+def _order_sql(o) -> str:
+    if not isinstance(o, str):
+        raise TypeError("order columns are given by name, e.g. ['rank'] or ['ts DESC']")
+    name, _, direction = o.partition(" ")
+    return f"{q(name)} {direction}".strip()
+
+
+def _ratio_sql(x: str, prev: str, ieee: bool) -> str:
+    num, den = f"CAST({x} AS DOUBLE)", f"CAST({prev} AS DOUBLE)"
+    if not ieee:
+        return f"try_divide({num}, {den})"
+    return (f"CASE WHEN {den} = 0 THEN (CASE WHEN {num} > 0 THEN CAST('Infinity' AS DOUBLE) "
+            f"WHEN {num} < 0 THEN CAST('-Infinity' AS DOUBLE) ELSE CAST('NaN' AS DOUBLE) END) "
+            f"ELSE try_divide({num}, {den}) END")
 
 
 def lag_features_scan(df: DataFrame, key: str, order: list, categorical=(), numeric=None,

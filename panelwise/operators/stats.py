@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..spec import CALENDAR_COLUMNS, SPAN_COLUMN, col
+from ..spec import CALENDAR_COLUMNS, SPAN_COLUMN, col, q
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -25,13 +25,11 @@ def key_stats(df: DataFrame, key: str, categorical=(), numeric=None,
                    if f.name not in ex and isinstance(f.dataType, _NUMERIC)]
     cats = [c for c in categorical if c in df.columns]
     aggs = []
-    aggs += [F.min(col(c)).alias("min_" + c) for c in numeric]
-    aggs += [F.max(col(c)).alias("max_" + c) for c in numeric]
-    aggs += [F.stddev_samp(col(c)).alias("std_" + c) for c in numeric]
-    aggs += [F.var_samp(col(c)).alias("var_" + c) for c in numeric]
-    aggs += [F.sum(col(c)).alias("sum_" + c) for c in numeric]
-    aggs += [F.min(col(c)).alias("min_" + c) for c in cats]
-    aggs += [F.max(col(c)).alias("max_" + c) for c in cats]
+    for fn, name in (("min", "min_"), ("max", "max_"), ("stddev_samp", "std_"), ("var_samp", "var_"),
+                     ("sum", "sum_")):
+        aggs += [F.expr(f"{fn}({q(c)}) AS {q(name + c)}") for c in numeric]
+    aggs += [F.expr(f"min({q(c)}) AS {q('min_' + c)}") for c in cats]
+    aggs += [F.expr(f"max({q(c)}) AS {q('max_' + c)}") for c in cats]
     if date is not None and date in df.columns:
         aggs.append(F.datediff(F.max(col(date)), F.min(col(date))).alias(SPAN_COLUMN))
     if with_count:

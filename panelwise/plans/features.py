@@ -70,7 +70,7 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
     counts = stats.select(key, COUNT_COLUMN)
 
     panel = latest_periods(df.drop(*spec.drop), ordered, counts).drop(*spec.order)
-    w_order = [F.col(RANK_COLUMN)]
+    w_order = [RANK_COLUMN]
     if add_diff_dates:
         panel = days_between(panel, key, w_order)
     else:

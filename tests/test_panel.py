@@ -123,7 +123,7 @@ def test_grid_elision_equals_padded_grid(spark):
     spec = SPEC.with_(ts="date")
     padded = ranks.full_ranks(df, spec).drop("seq")
     padded = calendar.days_between(padded, "customer_ID", [F.col("rank")])
-    padded = lags.diff_ratio(padded, "customer_ID", [F.col("rank")], categorical=SPEC.categorical)
+    padded = lags.diff_ratio(padded, "customer_ID", ["rank"], categorical=SPEC.categorical)
     values = [c for c in padded.columns if c not in ("customer_ID", "rank")]
     want = pivot.pivot_periods(padded, "customer_ID", "rank", 13, values)
     got = build_features(_panel(spark).drop("X_1"), SPEC, balance=(), payment=(), drop_key=False,
