@@ -184,12 +184,13 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
                 totals["rows"] = rows
             return _window_scan(df, order, segment, sums, count, lags)
     ensure_checkpoint_dir(spark)
-    n_parts = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
 
     sum_names = [_P + "in" + str(i) for i in range(len(sums))]
     work = df.withColumns({nm: e.cast("double") for nm, e in zip(sum_names, sums.values())}) if sums else df
     sort_keys = ([F.col(segment).asc()] if segment else []) + [_as_sort(o) for o in order]
-    ranged = (work.repartitionByRange(n_parts, *sort_keys)
+    # without an explicit count AQE may coalesce the range partitions; it
+    # merges neighbours only, so partition ids stay in range order
+    ranged = (work.repartitionByRange(*([num_partitions] if num_partitions else []), *sort_keys)
               .sortWithinPartitions(*sort_keys)
               .withColumn(_P + "pid", F.spark_partition_id()))
 

@@ -12,10 +12,12 @@ def _rows(df, cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
-@pytest.mark.parametrize("strategy", ["scan", "window", "auto"])
-def test_segmented_scan_matches_window(spark, strategy):
+@pytest.mark.parametrize("strategy,parts", [("scan", 8), ("scan", None), ("scan", 37), ("window", None),
+                                            ("auto", None)])
+def test_segmented_scan_matches_window(spark, strategy, parts):
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     got = ordered_scan(o, ["o_orderdate", "o_orderkey"], segment="o_custkey", strategy=strategy,
+                       num_partitions=parts,
                        sums={"cs": F.col("o_totalprice")}, count="n", index="i" if strategy == "scan" else None,
                        lags={"prev": "o_totalprice", "prevd": "o_orderdate"})
     got = got if strategy == "scan" else got.withColumn(
@@ -29,10 +31,11 @@ def test_segmented_scan_matches_window(spark, strategy):
     assert _rows(got, cols) == _rows(ref, cols)
 
 
-def test_global_scan_matches_window_and_totals(spark):
+@pytest.mark.parametrize("parts", [None, 8, 64])
+def test_global_scan_matches_window_and_totals(spark, parts):
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     tot = {}
-    got = ordered_scan(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")],
+    got = ordered_scan(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")], num_partitions=parts,
                        sums={"cs": F.col("o_totalprice")}, count="n", lags={"prev": "o_orderkey"}, totals=tot)
     w = Window.orderBy(F.col("o_totalprice").desc(), "o_orderkey")
     ref = (o.withColumn("cs", F.sum("o_totalprice").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -48,7 +51,7 @@ def test_hot_key_is_split_over_partitions(spark):
     n = 30000
     df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
                                F.col("id").alias("t"), F.lit(1.0).alias("v"))
-    got = ordered_scan(df, ["t"], segment="k", sums={"cv": F.col("v")}, count="n",
+    got = ordered_scan(df, ["t"], segment="k", sums={"cv": F.col("v")}, count="n", num_partitions=8,
                        window_max_rows=n // 10)   # the hot key is above the bound: range-partitioned scan
     hot = got.where(F.col("k") == -1)
     assert hot.agg(F.max("n")).first()[0] == n // 3
