@@ -819,6 +819,18 @@ def q_io_chunks(spark, d):
     return io.read_chunk(spark, path)
 
 
+@query("io_split", """
+WITH k AS (SELECT o_custkey, count(*) AS cnt FROM orders GROUP BY o_custkey),
+s AS (SELECT o_custkey, sum(cnt) OVER (ORDER BY o_custkey) - cnt AS start FROM k)
+SELECT o.* FROM orders o JOIN s USING (o_custkey)
+WHERE s.start < CAST(floor(0.75 * (SELECT count(*) FROM orders)) AS BIGINT)
+""")
+def q_io_split(spark, d):
+    path = io.scratch_path(spark, "io-split")
+    split.write_boundary_split(t(spark, d, "orders"), "o_custkey", path, 0.75)
+    return split.read_split(spark, path, "train")
+
+
 # ---------------------------------------------------------------------------
 # Model selection (ML1-ML3): no SQL equivalent (rows-only check)
 # ---------------------------------------------------------------------------

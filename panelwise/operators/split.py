@@ -139,3 +139,18 @@ def stratified_folds(df: DataFrame, label: str, order: list[str], k: int = 5, na
         acc = acc + (cnt(hi, f) - cnt(F.col("__S"), f))
         fold = fold + F.when(r0 >= acc, F.lit(1)).otherwise(F.lit(0))
     return scanned.withColumn(name, fold.cast("int")).drop("__r", "__S", "__N")
+
+
+def write_boundary_split(df: DataFrame, key: str, path: str, train_fraction: float = 0.75,
+                         part: str = "part") -> None:
+    """SP2 + IO3: write both sides of the boundary split in one pass, as
+    ``{path}/part=train`` and ``{path}/part=holdout``."""
+    flagged = boundary_labels(df, key, train_fraction)
+    out = flagged.withColumn(part, F.when(F.col("__train"), F.lit("train")).otherwise(F.lit("holdout")))
+    out.drop("__train").write.mode("overwrite").partitionBy(part).parquet(path)
+
+
+def read_split(spark, path: str, which: str = "train", part: str = "part") -> DataFrame:
+    """IO5: one side of a written split; the filter on the partition column
+    prunes the other side's files."""
+    return spark.read.parquet(path).where(F.col(part) == F.lit(which)).drop(part)
