@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .functions import hex_tail_to_uint64, ieee_ratio
 from .operators import calendar, clean, cumulative, encode, lags, metric, pivot, ranks, split, stats
-from .operators.scan import ordered_scan, row_index
+from .operators.scan import ordered_scan
 from .plans.features import build_features
 from .sources import io
 from .spec import PanelSpec, categorical_columns, col, dtype_columns, regex_columns

@@ -14,7 +14,7 @@ def normalize_cumsum(df: DataFrame, column: str, tiebreak: list[str] | None = No
     """CU1: sort by ``column`` descending (ties by ``tiebreak`` ascending)
     and replace it (or add ``name``) with the cumulative share of its total.
 
-    The running sum is the distributed scan; the total is one aggregate."""
+    The running sum and the total both come from the distributed scan."""
     order = [col(column).desc()] + [col(t).asc() for t in (tiebreak or [])]
     tot: dict = {}
     out = ordered_scan(df, order, sums={"__cum": col(column)}, totals=tot)

@@ -56,6 +56,35 @@ def ranking_metric_table(df: DataFrame, prediction: str = "prediction", label: s
                       F.col("g").alias("gini"))
 
 
+def ranking_metric_by(df: DataFrame, by: str, prediction: str = "prediction", label: str = "target",
+                      tiebreak: list[str] | None = None, raw_score: bool = False) -> DataFrame:
+    """ME1 per group (e.g. per cross-validation fold) in one pass: a scan
+    segmented by ``by`` plus one aggregate of class totals per group.
+    Output: (by, amex, default_rate, gini); NULL where a class is absent."""
+    p = sigmoid(col(prediction)) if raw_score else col(prediction)
+    base = df.select(col(by), p.alias("__p"), col(label).cast("double").alias("__y"),
+                     *[col(t) for t in (tiebreak or [])])
+    w = F.lit(NEG_WEIGHT) - F.lit(NEG_WEIGHT - 1.0) * F.col("__y")
+    order = [F.col("__p").desc()] + [col(t).asc() for t in (tiebreak or [])]
+    scanned = ordered_scan(base.withColumn("__w", w), order, segment=by,
+                           sums={"__cw": F.col("__w"), "__cy": F.col("__y")})
+    totals = base.groupBy(col(by)).agg(F.sum("__y").alias("__np"),
+                                       (F.count(F.lit(1)) - F.sum("__y")).alias("__nn"))
+    j = scanned.join(totals, on=by, how="inner")
+    tw = F.col("__np") + F.lit(NEG_WEIGHT) * F.col("__nn")
+    W = F.col("__cw") / tw
+    L = F.try_divide(F.col("__cy"), F.col("__np"))
+    g_max = F.lit(10.0) * F.col("__nn") * (F.lit(1.0) - F.lit(19.0) / tw)
+    agg = j.groupBy(col(by)).agg(
+        F.try_divide(F.sum(F.when(W <= F.lit(TOP_SHARE), F.col("__y")).otherwise(F.lit(0.0))),
+                     F.first("__np")).alias("__d"),
+        F.try_divide(F.sum((L - W) * F.col("__w")), F.first(g_max)).alias("__g"),
+        F.first("__np").alias("__np"), F.first("__nn").alias("__nn"))
+    ok = (F.col("__np") > 0) & (F.col("__nn") > 0)
+    return agg.select(col(by), F.when(ok, (F.col("__g") + F.col("__d")) * 0.5).alias("amex"),
+                      F.when(ok, F.col("__d")).alias("default_rate"), F.when(ok, F.col("__g")).alias("gini"))
+
+
 def ranking_metric(df: DataFrame, prediction: str = "prediction", label: str = "target",
                    tiebreak: list[str] | None = None, raw_score: bool = False) -> float | None:
     """ME1/ME2 as a number."""

@@ -12,6 +12,8 @@ Driver work is the loop over folds and selection rounds only.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cumulative import normalize_cumsum
 from ..operators.clean import row_sum, threshold_flags
-from ..operators.metric import ranking_metric
+from ..operators.metric import ranking_metric_by
 from ..operators.split import stratified_folds
 from ..sources.io import scratch_path, write_report_csv
 from ..spec import col
@@ -40,26 +42,31 @@ def _assemble(df: DataFrame, features: list[str]) -> DataFrame:
     return va.transform(df)
 
 
-def tree_importance_long(model, fold: int, features: list[str]) -> DataFrame:
-    """(fold, feature, gain, split) of a fitted tree ensemble: total split
-    gain and number of splits per feature, from the model's node table."""
+def tree_importance_long(models: dict, features: list[str]) -> DataFrame:
+    """(fold, feature, gain, split) of fitted tree ensembles (fold -> model):
+    total split gain and number of splits per feature, read from the node
+    tables the models write, aggregated in one job."""
     spark = SparkSession.getActiveSession()
-    path = scratch_path(spark, f"gbt-fold{fold}")
-    model.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
+    nodes = None
+    for fold, model in models.items():
+        path = scratch_path(spark, f"gbt-fold{fold}")
+        model.write().overwrite().save(path)
+        part = spark.read.parquet(f"{path}/data").select(F.lit(fold).alias("fold"), "nodeData")
+        nodes = part if nodes is None else nodes.unionByName(part)
     internal = nodes.where(F.col("nodeData.leftChild") >= 0)
-    per = internal.groupBy(F.col("nodeData.split.featureIndex").alias("fi")).agg(
+    per = internal.groupBy("fold", F.col("nodeData.split.featureIndex").alias("fi")).agg(
         F.sum("nodeData.gain").alias("gain"), F.count(F.lit(1)).alias("split"))
-    names = spark.createDataFrame([(i, f) for i, f in enumerate(features)], "fi int, feature string")
-    full = names.join(per, on="fi", how="left")
-    return full.select(F.lit(fold).alias("fold"), "feature",
-                       F.coalesce("gain", F.lit(0.0)).alias("gain"),
+    grid = spark.createDataFrame([(k, i, f) for k in models for i, f in enumerate(features)],
+                                 "fold int, fi int, feature string")
+    full = grid.join(per, on=["fold", "fi"], how="left")
+    return full.select("fold", "feature", F.coalesce("gain", F.lit(0.0)).alias("gain"),
                        F.coalesce("split", F.lit(0)).cast("long").alias("split"))
 
 
 def cross_validate(df: DataFrame, features: list[str], label: str, order: list[str], *,
                    folds: int = FOLDS, max_iter: int = CV_ITER, max_depth: int = 3,
-                   score: str = "metric", early_stopping: bool = True, seed: int = 0):
+                   score: str = "metric", early_stopping: bool = True, seed: int = 0,
+                   parallelism: int = FOLDS):
     """ML1: stratified k-fold GBT. Returns (scores, importances):
     scores (fold, score) - the ranking metric on the held-out fold, or the
     accuracy with ``score="accuracy"``; importances (fold, feature, gain,
@@ -68,8 +75,7 @@ def cross_validate(df: DataFrame, features: list[str], label: str, order: list[s
     folded = stratified_folds(df, label, order, k=folds, name="__fold")
     data = _assemble(folded, features).withColumn("__label", col(label).cast("double"))
     data = data.checkpoint(eager=True)
-    scores, imps = [], None
-    for k in range(folds):
+    def fit(k: int):
         gbt = GBTClassifier(featuresCol="features", labelCol="__label", maxIter=max_iter, maxDepth=max_depth,
                             seed=seed)
         if early_stopping:
@@ -77,17 +83,28 @@ def cross_validate(df: DataFrame, features: list[str], label: str, order: list[s
             gbt.setValidationIndicatorCol("__valid")
         else:
             train = data.where(F.col("__fold") != k)
-        model = gbt.fit(train)
-        test = model.transform(data.where(F.col("__fold") == k))
-        test = test.withColumn("__p1", vector_to_array("probability")[1])
-        if score == "accuracy":
-            s = test.agg(F.avg((F.col("prediction") == F.col("__label")).cast("double"))).first()[0]
-        else:
-            s = ranking_metric(test, "__p1", "__label", tiebreak=order)
-        scores.append((k, float("nan") if s is None else float(s)))
-        imp = tree_importance_long(model, k, features)
-        imps = imp if imps is None else imps.unionByName(imp)
-    return spark.createDataFrame(scores, "fold int, score double"), imps
+        return k, gbt.fit(train)
+
+    # folds are fitted concurrently (Spark runs jobs from several driver
+    # threads at once), as MLlib's CrossValidator does with ``parallelism``
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, folds))) as pool:
+        models = dict(pool.map(fit, range(folds)))
+    preds = None
+    for k in range(folds):
+        test = models[k].transform(data.where(F.col("__fold") == k))
+        test = test.select("__fold", "__label", "prediction", *[col(o) for o in order],
+                           vector_to_array("probability")[1].alias("__p1"))
+        preds = test if preds is None else preds.unionByName(test)
+    # every fold's held-out predictions scored in one pass
+    if score == "accuracy":
+        scores = preds.groupBy(F.col("__fold").alias("fold")).agg(
+            F.avg((F.col("prediction") == F.col("__label")).cast("double")).alias("score"))
+    else:
+        scores = ranking_metric_by(preds, "__fold", "__p1", "__label", tiebreak=order) \
+            .select(F.col("__fold").alias("fold"), F.coalesce("amex", F.lit(float("nan"))).alias("score"))
+    scores = spark.createDataFrame([(int(r["fold"]), float(r["score"])) for r in scores.collect()],
+                                   "fold int, score double")
+    return scores, tree_importance_long(models, features)
 
 
 def selection_round(df: DataFrame, columns: list[str], label: str, order: list[str], **kw):

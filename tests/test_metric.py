@@ -48,3 +48,20 @@ def test_top_share_boundary_exactly_four_percent(spark):
     assert t["default_rate"] == 0.0
     pred = np.array([r[1] for r in rows]); y = np.array([r[2] for r in rows])
     assert t["amex"] == pytest.approx(numpy_metric(pred, y), rel=1e-9)
+
+
+def test_metric_by_group_matches_single(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for g in range(3):
+        y = (rng.random(500) < 0.25 + 0.1 * g).astype(int)
+        pred = rng.random(500) + 0.4 * y
+        rows += [(g, g * 1000 + i, float(p), int(t)) for i, (p, t) in enumerate(zip(pred, y))]
+    rows += [(9, 9000 + i, float(i), 1) for i in range(5)]   # one class only -> NULL
+    df = spark.createDataFrame(rows, "g int, id long, prediction double, target int")
+    from panelwise.operators.metric import ranking_metric_by
+    by = {r["g"]: r["amex"] for r in ranking_metric_by(df, "g", "prediction", "target", ["id"]).collect()}
+    for g in range(3):
+        single = ranking_metric(df.where(f"g = {g}"), "prediction", "target", ["id"])
+        assert by[g] == pytest.approx(single, rel=1e-9)
+    assert by[9] is None
