@@ -14,7 +14,7 @@ shuffle per column, and AQE splits skewed values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,8 +44,7 @@ def fit_ordinal_encoder(df: DataFrame, columns: list[str]) -> DataFrame:
     """EN1 fit: per column, the sorted distinct non-null values get codes
     0..k-1. Numbers sort as numbers (2 before 10), text as text."""
     long = _long_values(df, columns).where(F.col("value").isNotNull()).distinct()
-    w = Window.partitionBy("column").orderBy(F.col("num").asc_nulls_last(), F.col("value"))
-    return long.select("column", "value", (F.dense_rank().over(w) - 1).cast("int").alias("code"))
+    return codes_from_distinct(long, "sorted")
 
 
 def first_seen_mapping(df: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
@@ -55,8 +54,42 @@ def first_seen_mapping(df: DataFrame, columns: list[str], order: list[str]) -> D
     first = F.struct(*[col(o) for o in order])
     long = _long_values(df, columns, {"pos": first}).where(F.col("value").isNotNull())
     firsts = long.groupBy("column", "value").agg(F.min("pos").alias("pos"))
-    w = Window.partitionBy("column").orderBy("pos")
-    return firsts.select("column", "value", (F.row_number().over(w) - 1).cast("int").alias("code"))
+    return codes_from_distinct(firsts, "first")
+
+
+def codes_from_distinct(distinct: DataFrame, rule: str, max_rows: int = MAX_LITERAL_ENTRIES) -> DataFrame:
+    """Codes 0..k-1 per column for a table of distinct (column, value, ...)
+    rows: ``sorted`` orders by (num, value), ``first`` by ``pos``.
+
+    Within the literal bound the table is collected (one job) and ranked on
+    the driver. Beyond it, the rank is a segmented distributed scan over the
+    columns, so no task gathers all values of one column."""
+    spark = distinct.sparkSession
+    rows = bounded_collect(distinct, max_rows)
+    if rows is not None:
+        by_col: dict[str, list] = {}
+        for r in rows:
+            by_col.setdefault(r["column"], []).append(r)
+        out = []
+        for c, rs in by_col.items():
+            rs.sort(key=_sorted_key if rule == "sorted" else _first_key)
+            out += [(c, r["value"], i) for i, r in enumerate(rs)]
+        return spark.createDataFrame(out, "column string, value string, code int")
+    from .scan import ordered_scan
+    order = ([F.col("num").asc_nulls_last(), F.col("value")] if rule == "sorted" else [F.col("pos")])
+    ranked = ordered_scan(distinct, order, segment="column", count="__code")
+    return ranked.select("column", "value", (F.col("__code") - 1).cast("int").alias("code"))
+
+
+def _sorted_key(r):
+    n = r["num"]
+    # Spark's ascending order: numbers (NaN above all of them), then NULL; ties by text
+    return (n is None, n is not None and n != n, n if n is not None and n == n else 0.0, r["value"])
+
+
+def _first_key(r):
+    # struct order with NULL first, as Spark's ascending min over structs
+    return tuple((x is not None, x) for x in r["pos"])
 
 
 def apply_mapping(df: DataFrame, mapping: DataFrame, columns: list[str], *,

@@ -26,7 +26,7 @@ Deviations from the reference, all deliberate:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.calendar import cast_dates, days_between
@@ -38,7 +38,7 @@ from ..operators.ranks import latest_periods
 from ..operators.stats import key_stats
 from ..spec import (COUNT_COLUMN, DEFAULT_BALANCE_COLUMNS, DEFAULT_PAYMENT_COLUMNS, RANK_COLUMN,
                     PanelSpec, categorical_columns, col, q)
-from ..operators.encode import _long_values
+from ..operators.encode import _long_values, codes_from_distinct
 
 
 def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFrame | None = None, *,
@@ -188,5 +188,4 @@ def _fit_wide_mapping(panel: DataFrame, wide: DataFrame, key: str, values: list[
     for p in parts[1:]:
         long = long.unionByName(p)
     long = long.where(F.col("value").isNotNull()).distinct()
-    w = Window.partitionBy("column").orderBy(F.col("num").asc_nulls_last(), F.col("value"))
-    return long.select("column", "value", (F.dense_rank().over(w) - 1).cast("int").alias("code"))
+    return codes_from_distinct(long, "sorted")

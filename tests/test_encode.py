@@ -47,3 +47,13 @@ def test_hash_keeps_null_and_hex_key(spark):
     hx = spark.createDataFrame([("0000ffffffffffffffff",)], "c string") \
               .select(hex_tail_to_uint64(F.col("c")).alias("v")).first().v
     assert int(hx) == 2 ** 64 - 1
+
+
+def test_large_mapping_uses_distributed_rank(spark):
+    df = spark.createDataFrame([(i, i % 40, f"s{i % 25:02d}") for i in range(400)], "id long, n int, s string")
+    small = encode.fit_ordinal_encoder(df, ["n", "s"])
+    long = encode._long_values(df, ["n", "s"]).where(F.col("value").isNotNull()).distinct()
+    big = encode.codes_from_distinct(long, "sorted", max_rows=10)     # beyond the bound: scan path
+    key = lambda d: sorted((r.column, r.value, r.code) for r in d.collect())
+    assert key(small) == key(big)
+    assert dict((r.value, r.code) for r in small.where("column = 'n'").collect())["10"] == 10
