@@ -23,20 +23,21 @@ def key_counts(df: DataFrame, key: str, name: str = COUNT_COLUMN) -> DataFrame:
     return df.groupBy(col(key)).agg(F.count(F.lit(1)).cast("int").alias(name))
 
 
-def latest_periods(df: DataFrame, spec: PanelSpec, counts: DataFrame | None = None) -> DataFrame:
+def latest_periods(df: DataFrame, spec: PanelSpec, counts: DataFrame | None = None,
+                   with_count: bool = True) -> DataFrame:
     """RN1: keep the most recent ``spec.periods`` statements of every key,
     add ``total_number`` (all statements of the key) and ``rank`` so that the
     latest statement has rank ``periods`` and earlier ones count down.
 
-    Output columns: key, rank, the other columns, total_number."""
+    Output columns: key, rank, the other columns, total_number (left out
+    with ``with_count=False``, which also drops the count join)."""
     p = spec.periods
     w = Window.partitionBy(col(spec.key)).orderBy(*spec.order_columns(descending=True))
-    if counts is None:
-        counts = key_counts(df, spec.key)
     bounded = spec.bounded
     if bounded is None:
         # one map-side combined job over the key column; when every key fits
         # in ``periods`` rows the limit (and its map-side sort) is not needed
+        counts = counts if counts is not None else key_counts(df, spec.key)
         longest = counts.agg(F.max(COUNT_COLUMN)).first()[0]
         bounded = longest is None or longest <= p
     top = df.withColumn(_RN, F.row_number().over(w))
@@ -44,9 +45,12 @@ def latest_periods(df: DataFrame, spec: PanelSpec, counts: DataFrame | None = No
         # planned as a partial group limit before the shuffle: a hot key sends
         # at most ``periods`` rows per map task
         top = top.filter(F.col(_RN) <= p)
-    top = top.join(counts.select(spec.key, COUNT_COLUMN), on=spec.key, how="inner")
     top = top.withColumn(RANK_COLUMN, (F.lit(p + 1) - F.col(_RN)).cast("int"))
     rest = [c for c in df.columns if c not in (spec.key, RANK_COLUMN)]
+    if not with_count:
+        return top.select(spec.key, RANK_COLUMN, *[col(c) for c in rest])
+    counts = counts if counts is not None else key_counts(df, spec.key)
+    top = top.join(counts.select(spec.key, COUNT_COLUMN), on=spec.key, how="inner")
     return top.select(spec.key, RANK_COLUMN, *[col(c) for c in rest], COUNT_COLUMN)
 
 

@@ -66,9 +66,13 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
 
     stats = key_stats(df.select(*[col(c) for c in feature_cols]), key, spec.categorical,
                       with_count=COUNT_COLUMN)
-    counts = stats.select(key, COUNT_COLUMN)
 
-    panel = latest_periods(df.drop(*spec.drop), ordered, counts).drop(*spec.order)
+    # total_number is constant per key: it (and its lags) are derived after
+    # the pivot from the statistics' row count, so the statement branch needs
+    # no count join before its windows; a NULL placeholder keeps the column
+    # order of the reference
+    panel = latest_periods(df.drop(*spec.drop), ordered, with_count=False).drop(*spec.order)
+    panel = panel.withColumn(COUNT_COLUMN, F.lit(None).cast("int"))
     w_order = [RANK_COLUMN]
     if add_diff_dates:
         panel = days_between(panel, key, w_order)
@@ -84,14 +88,15 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
         # lags of the rank itself are the same for every key on the padded
         # grid; they are added as constants after the pivot
         const_rank_lags = [c for c in ("diff_" + RANK_COLUMN, "ratio_" + RANK_COLUMN) if c in panel.columns]
+    derived = [c for c in (COUNT_COLUMN, "diff_" + COUNT_COLUMN, "ratio_" + COUNT_COLUMN) if c in panel.columns]
     if run_filter:
         panel = filter_features(panel, legacy_name_filter=legacy_name_filter, fill_null=filter_fill_null,
                                 categorical=spec.categorical, order=[key, RANK_COLUMN])
     panel = nans_to_nulls(panel)
 
     all_values = [c for c in panel.columns if c not in (key, RANK_COLUMN)]
-    panel = panel.drop(*const_rank_lags)
-    values = [c for c in all_values if c not in const_rank_lags]
+    panel = panel.drop(*const_rank_lags, *derived)
+    values = [c for c in all_values if c not in const_rank_lags and c not in derived]
     pre_encoded: list[str] = []
     if encode:
         # the wide names the prefix rule will pick, and the long columns they come from
@@ -114,19 +119,22 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
         if not encode and any(t == "string" for c, t in panel.dtypes if c in values):
             raise ValueError("as_array needs numeric values: keep encode=True")
         wide, _ = pivot_to_array(panel, key, RANK_COLUMN, spec.periods, values)
-        const_rank_lags, pre_encoded, wide_names = [], [], []
+        const_rank_lags, derived, pre_encoded, wide_names = [], [], [], []
     else:
         wide = pivot_periods(panel, key, RANK_COLUMN, spec.periods, values)
-    if const_rank_lags:
-        wide = _with_rank_lag_constants(wide, key, all_values, const_rank_lags, spec.periods)
+    # per-key row count: from the statistics when they are joined anyway
+    counted = stats if add_stats else stats.select(key, COUNT_COLUMN)
+    wide = wide.join(counted, on=key, how="inner")
+    if const_rank_lags or derived:
+        wide = _with_derived_columns(wide, key, all_values, const_rank_lags, derived, spec.periods)
+    if not as_array:
+        wide = wide.drop(COUNT_COLUMN)  # the array form keeps the count as a plain column
     if pre_encoded:
         pe = set(pre_encoded)
         wide = wide.selectExpr(*[f"coalesce({q(c)}, CAST('NaN' AS FLOAT)) AS {q(c)}" if c in pe else q(c)
                                  for c in wide.columns])
     if drop_first:
         wide = drop_first_period(wide)
-    if add_stats:
-        wide = wide.join(stats.drop(COUNT_COLUMN), on=key, how="inner")
     if target is not None:
         wide = wide.join(target, on=key, how="left")
 
@@ -148,20 +156,38 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
 run = build_features
 
 
-def _with_rank_lag_constants(wide: DataFrame, key: str, all_values: list[str], consts: list[str],
-                             periods: int) -> DataFrame:
-    """``diff_rank_r`` = 1 and ``ratio_rank_r`` = r/(r-1) for r >= 2, NULL
-    for r = 1 (what the lags of the rank give on the padded grid), placed
-    where the pivot would have put them."""
-    def const(c: str, r: int) -> str:
-        typ = "FLOAT" if c.startswith("diff_") else "DOUBLE"
-        v = "NULL" if r == 1 else ("1.0D" if c.startswith("diff_") else f"{r}.0D / {r - 1}.0D")
-        return f"CAST({v} AS {typ}) AS {q(f'{c}_{r}')}"
+def _with_derived_columns(wide: DataFrame, key: str, all_values: list[str], consts: list[str],
+                          derived: list[str], periods: int) -> DataFrame:
+    """Pivoted columns that need no pivot, placed where the pivot would have
+    put them:
+    * ``diff_rank_r`` = 1 and ``ratio_rank_r`` = r/(r-1) for r >= 2, NULL for
+      r = 1 (the lags of the rank on the padded grid);
+    * ``total_number_r`` = the key's row count n for the periods it has
+      (r >= first = periods - min(n, periods) + 1), its difference 0 and ratio
+      1 for r > first, NULL elsewhere (a per-key constant and its lags)."""
+    n = q(COUNT_COLUMN)
+    first = f"({periods} - least({n}, {periods}) + 1)"
+
+    def expr(c: str, r: int) -> str:
+        name = q(f"{c}_{r}")
+        if c in consts:
+            typ = "FLOAT" if c.startswith("diff_") else "DOUBLE"
+            v = "NULL" if r == 1 else ("1.0D" if c.startswith("diff_") else f"{r}.0D / {r - 1}.0D")
+            return f"CAST({v} AS {typ}) AS {name}"
+        if c == COUNT_COLUMN:
+            return f"CASE WHEN {r} >= {first} THEN CAST({n} AS INT) END AS {name}"
+        if c.startswith("diff_"):
+            return f"CASE WHEN {r} > {first} THEN CAST(0.0 AS FLOAT) END AS {name}"
+        return f"CASE WHEN {r} > {first} THEN CAST(1.0 AS DOUBLE) END AS {name}"
+
+    special = set(consts) | set(derived)
+    piv = [f"{c}_{r}" for c in all_values for r in range(1, periods + 1)]
+    rest = [c for c in wide.columns if c != key and c not in set(piv)]
     exprs = [q(key)]
     for c in all_values:
         for r in range(1, periods + 1):
-            exprs.append(const(c, r) if c in consts else q(f"{c}_{r}"))
-    return wide.selectExpr(*exprs)
+            exprs.append(expr(c, r) if c in special else q(f"{c}_{r}"))
+    return wide.selectExpr(*exprs, *[q(c) for c in rest])
 
 
 def _fit_wide_mapping(panel: DataFrame, wide: DataFrame, key: str, values: list[str], periods: int,
