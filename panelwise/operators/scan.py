@@ -10,8 +10,9 @@ two-pass prefix computation instead:
    a hot segment over many partitions; each partition is sorted locally.
 2. One Arrow pass per partition computes the partition-local running values
    (``mapInArrow``; the pass-through columns are not converted).
-3. The result is checkpointed to the reliable checkpoint directory, so the
-   partition ids and local values are fixed even if executors are lost.
+3. The result is written as a Parquet table under the reliable checkpoint
+   directory (``materialize``), so the partition ids and local values are
+   fixed even if executors are lost.
 4. One row per partition (its last row) is brought to the driver - at most
    ``num_partitions`` rows - and turned into carry-in values.
 5. The carries are broadcast (bounded by the partition count) and added.
@@ -31,6 +32,16 @@ from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
+# The per-partition Arrow function is shipped by value, so executors need
+# only numpy/pandas/pyarrow, not this package on their Python path.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle: ship the package with --py-files
+    pass
+
 _P = "__scan_"
 # largest per-segment group that a single task may take with a plain window
 WINDOW_MAX_ROWS = 1_000_000
@@ -60,6 +71,20 @@ def _as_sort(c) -> Column:
     return F.col(c).asc() if isinstance(c, str) else c
 
 
+def materialize(df: DataFrame, name: str = "scan") -> DataFrame:
+    """Cut the lineage: write ``df`` as a Parquet table in a fresh folder
+    under the session's reliable checkpoint directory and read it back.
+    Columnar and compressed (smaller than an RDD checkpoint), and later
+    reads prune columns and push filters down. Names are written as
+    positional ``c{i}`` because Parquet forbids some characters in names."""
+    from ..sources.io import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    names = df.columns
+    df.toDF(*[f"c{i}" for i in range(len(names))]).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).toDF(*names)
+
+
 def _local_scan(seg: str | None, sum_cols: list[str], lag_cols: list[str]):
     """Build the per-partition Arrow function."""
 
@@ -203,7 +228,7 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
     fields += [T.StructField(_P + "lag" + str(j), src_types[c]) for j, c in enumerate(lag_src)]
     fields += [T.StructField(_P + "last", T.BooleanType())]
     local = ranged.mapInArrow(_local_scan(segment, sum_names, lag_src), T.StructType(fields))
-    local = local.checkpoint(eager=True)
+    local = materialize(local)
 
     # one row per non-empty partition: its last row
     keep = [_P + "pid", _P + "first", _P + "cnt", _P + "pos"] + [_P + "sum" + str(i) for i in range(len(sums))]
