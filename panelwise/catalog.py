@@ -129,10 +129,9 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
 """)
 def q_days_between(spark, d):
     o = calendar.cast_dates(t(spark, d, "orders"), ORDERS_SPEC)
-    s = ordered_scan(o.select("o_orderkey", "o_custkey", "date"), ["date", "o_orderkey"],
-                     segment="o_custkey", lags={"__prev": "date"})
-    return s.select("o_orderkey", "o_custkey",
-                    F.datediff("date", "__prev").alias("days_since_last_payment"))
+    s = calendar.days_since_previous(o.select("o_orderkey", "o_custkey", "date"), "o_custkey",
+                                     ["date", "o_orderkey"])
+    return s.select("o_orderkey", "o_custkey", "days_since_last_payment")
 
 
 @query("distinct_keys", "SELECT DISTINCT o_custkey FROM orders")
@@ -150,9 +149,8 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
 """)
 def q_lag_diff(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    s = ordered_scan(o, ["o_orderdate", "o_orderkey"], segment="o_custkey", lags={"__p": "o_totalprice"})
-    return s.select("o_orderkey", "o_custkey",
-                    lags.lag_diff(F.col("o_totalprice"), F.col("__p")).alias("diff_o_totalprice"))
+    s = lags.lag_features_scan(o, "o_custkey", ["o_orderdate", "o_orderkey"], numeric=["o_totalprice"])
+    return s.select("o_orderkey", "o_custkey", "diff_o_totalprice")
 
 
 @query("lag_ratio", """
@@ -161,9 +159,8 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
 """)
 def q_lag_ratio(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    s = ordered_scan(o, ["o_orderdate", "o_orderkey"], segment="o_custkey", lags={"__p": "o_totalprice"})
-    return s.select("o_orderkey", "o_custkey",
-                    lags.lag_ratio(F.col("o_totalprice"), F.col("__p")).alias("ratio_o_totalprice"))
+    s = lags.lag_features_scan(o, "o_custkey", ["o_orderdate", "o_orderkey"], numeric=["o_totalprice"])
+    return s.select("o_orderkey", "o_custkey", "ratio_o_totalprice")
 
 
 def _lineitem_panel(spark, d):

@@ -44,3 +44,13 @@ def days_between(df: DataFrame, key: str, order: list, name: str = GAP_COLUMN,
     w = Window.partitionBy(col(key)).orderBy(*[F.col(o) if isinstance(o, str) else o for o in order])
     out = df.withColumn(name, F.datediff(col("date"), F.lag(col("date")).over(w)))
     return out.drop("date") if drop_date else out
+
+
+def days_since_previous(df: DataFrame, key: str, order: list, name: str = GAP_COLUMN,
+                        date: str = "date") -> DataFrame:
+    """RN11 over full histories (no ``periods`` bound): the previous date
+    comes from the segmented ordered scan, so a key with a large share of
+    all rows is split over many tasks."""
+    from .scan import ordered_scan
+    out = ordered_scan(df, order, segment=key, lags={"__prev_date": date})
+    return out.withColumn(name, F.datediff(col(date), F.col("__prev_date"))).drop("__prev_date")
