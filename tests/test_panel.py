@@ -158,3 +158,15 @@ def test_array_form_equals_wide_form(spark):
         assert [None if g is None else pytest.approx(g, rel=1e-6) for g in got] == want
     out = build_features(_panel(spark), SPEC, balance=(), payment=(), drop_key=False, as_array=True)
     assert dict(out.dtypes)["features"] == "array<float>" and out.count() == 6
+
+
+def test_pivot_ignores_out_of_range_ranks_and_keeps_keys(spark):
+    rows = [("k1", 1, 1.0, "a"), ("k1", 3, 3.0, "c"), ("k1", 5, 5.0, "e"),  # rank 5 > periods
+            ("k2", 4, 4.0, "d"), ("k3", 0, 0.0, "z"), ("k3", 2, None, None)]
+    df = spark.createDataFrame(rows, "k string, rank int, v double, s string")
+    out = {r["k"]: r.asDict() for r in pivot.pivot_periods(df, "k", "rank", 3).collect()}
+    assert set(out) == {"k1", "k2", "k3"}
+    assert list(out["k1"]) == ["k", "v_1", "v_2", "v_3", "s_1", "s_2", "s_3"]
+    assert out["k1"] == {"k": "k1", "v_1": 1.0, "v_2": None, "v_3": 3.0, "s_1": "a", "s_2": None, "s_3": "c"}
+    assert all(v is None for n, v in out["k2"].items() if n != "k")
+    assert all(v is None for n, v in out["k3"].items() if n != "k")
