@@ -170,3 +170,18 @@ def test_pivot_ignores_out_of_range_ranks_and_keeps_keys(spark):
     assert out["k1"] == {"k": "k1", "v_1": 1.0, "v_2": None, "v_3": 3.0, "s_1": "a", "s_2": None, "s_3": "c"}
     assert all(v is None for n, v in out["k2"].items() if n != "k")
     assert all(v is None for n, v in out["k3"].items() if n != "k")
+
+
+def test_key_stats_text_dictionary_equals_text_aggregate(spark):
+    from panelwise.operators.stats import key_stats
+    rows = [("k1", "b", None, 1.0), ("k1", "a", None, 2.0), ("k1", None, None, 3.0), ("k2", None, None, 4.0),
+            ("k3", "é", None, 5.0), ("k3", "z", None, 6.0), ("k3", "Z", None, 7.0)]
+    df = spark.createDataFrame(rows, "k string, c string, empty string, v double")
+    coded = key_stats(df, "k", ["c", "empty"], date=None)
+    plain = key_stats(df, "k", ["c", "empty"], date=None, max_dictionary_values=1)  # over the bound
+    assert coded.columns == plain.columns and dict(coded.dtypes) == dict(plain.dtypes)
+    got = {r["k"]: r.asDict() for r in coded.collect()}
+    assert got == {r["k"]: r.asDict() for r in plain.collect()}
+    assert (got["k1"]["min_c"], got["k1"]["max_c"]) == ("a", "b")
+    assert (got["k2"]["min_c"], got["k2"]["max_c"], got["k2"]["min_empty"]) == (None, None, None)
+    assert (got["k3"]["min_c"], got["k3"]["max_c"]) == ("Z", "é")
