@@ -57,3 +57,21 @@ def test_large_mapping_uses_distributed_rank(spark):
     key = lambda d: sorted((r.column, r.value, r.code) for r in d.collect())
     assert key(small) == key(big)
     assert dict((r.value, r.code) for r in small.where("column = 'n'").collect())["10"] == 10
+
+
+def test_large_column_is_joined_small_column_inlined(spark):
+    # 'big' has more codes than one literal map may hold, 's' few: mixed path
+    rows = [(i, f"v{i % 600:03d}", f"s{i % 3}") for i in range(1200)] + [(1200, None, None)]
+    df = spark.createDataFrame(rows, "id long, big string, s string")
+    out, mapping = encode.ordinal_encode(df, ["big", "s"])
+    assert mapping.where("column = 'big'").count() > encode.MAX_LITERAL_PER_COLUMN
+    got = {r.id: (r.big, r.s) for r in out.collect()}
+    assert got[123] == (123.0, 0.0) and got[599] == (599.0, 2.0) and got[1123] == (523.0, 1.0)
+    assert math.isnan(got[1200][0]) and math.isnan(got[1200][1])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan  # the large column's mapping is joined, not inlined
+    new = spark.createDataFrame([(1, "nope", "s1")], "id long, big string, s string")
+    r = encode.apply_mapping(new, mapping, ["big", "s"], handle_unknown="missing").first()
+    assert math.isnan(r.big) and r.s == 1.0
+    with pytest.raises(Exception):
+        encode.apply_mapping(new, mapping, ["big"], handle_unknown="error").collect()
