@@ -150,11 +150,11 @@ def apply_mapping_by_rank(df: DataFrame, mapping: DataFrame, columns: list[str],
     rows = bounded_collect(mapping.where(F.col("column").isin(list(wide))), max_literal_entries)
     if rows is None:
         return None
-    per_col: dict[str, list] = {c: [] for c in columns}
+    # one literal map per (column, rank), chosen by the row's rank
+    per_rank: dict[tuple, list] = {}
     for r in rows:
-        c, k = wide[r["column"]]
-        per_col[c].append((f"{k}|{r['value']}", r["code"]))
-    if any(len(v) > MAX_LITERAL_PER_COLUMN for v in per_col.values()):
+        per_rank.setdefault(wide[r["column"]], []).append((r["value"], r["code"]))
+    if any(len(v) > MAX_LITERAL_PER_COLUMN for v in per_rank.values()):
         return None
     todo = set(columns)
     exprs = []
@@ -162,8 +162,10 @@ def apply_mapping_by_rank(df: DataFrame, mapping: DataFrame, columns: list[str],
         if c not in todo:
             exprs.append(q(c))
             continue
-        keyed = f"concat(CAST({q(rank)} AS STRING), '|', CAST({q(c)} AS STRING))"
-        code = f"try_element_at({_map_sql(per_col[c])}, {keyed})" if per_col[c] else "NULL"
+        v = f"CAST({q(c)} AS STRING)"
+        arms = [f"WHEN {k} THEN try_element_at({_map_sql(per_rank[(c, k)])}, {v})"
+                for k in range(1, periods + 1) if (c, k) in per_rank]
+        code = f"CASE {q(rank)} {' '.join(arms)} END" if arms else "NULL"
         exprs.append(f"CAST({code} AS FLOAT) AS {q(c)}")
     return df.selectExpr(*exprs)
 
