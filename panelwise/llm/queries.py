@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import mixing, token_counts, token_store
+from . import line_frequency, mixing, quality, simhash, token_counts, token_store
 
 QUERIES = {
     "op2_token_store": token_store.op2_token_store,
     "op4_weighted_fair_mix": mixing.op4_weighted_fair_mix,
+    "op5_simhash_duplicates": simhash.op5_simhash_duplicates,
+    "op6_line_frequency": line_frequency.op6_line_frequency,
+    "op9_quality_classifier": quality.op9_quality_classifier,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
 SQL = {
     "op4_weighted_fair_mix": mixing.SQL,
+    "op6_line_frequency": line_frequency.SQL,
 }
