@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import line_frequency, mixing, pieces, quality, simhash, token_counts, token_store
+from . import line_frequency, mixing, multi_index, pieces, quality, simhash, token_counts, token_store
 
 QUERIES = {
     "op2_token_store": token_store.op2_token_store,
     "op4_weighted_fair_mix": mixing.op4_weighted_fair_mix,
     "op5_simhash_duplicates": simhash.op5_simhash_duplicates,
     "op6_line_frequency": line_frequency.op6_line_frequency,
+    "op7_embedding_duplicates": multi_index.op7_embedding_duplicates,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_quality_classifier": quality.op9_quality_classifier,
     "op10_token_counts": token_counts.op10_token_counts,
