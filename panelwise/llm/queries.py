@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import line_frequency, mixing, multi_index, pieces, quality, simhash, token_counts, token_store
+from . import line_frequency, mixing, multi_index, pieces, quality, simhash, suffixes, token_counts, token_store
 
 QUERIES = {
     "op2_token_store": token_store.op2_token_store,
+    "op3_long_repeats": suffixes.op3_long_repeats,
     "op4_weighted_fair_mix": mixing.op4_weighted_fair_mix,
     "op5_simhash_duplicates": simhash.op5_simhash_duplicates,
     "op6_line_frequency": line_frequency.op6_line_frequency,
