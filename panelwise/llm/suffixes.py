@@ -38,7 +38,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ship, small_batches, table, text_bytes, text_or_empty
+from .blocks import ASKED, arrays, cut_by_part, in_blocks, joined, ordered, row, rows
+from .common import ship, small_batches, table
 
 ship(__name__)
 
@@ -46,7 +47,6 @@ LENGTH = 200
 Q = 32
 BLOCK_BYTES = 4 << 20   # text of a block of documents
 CHUNK = 192 << 10       # bytes refined at a time: its arrays stay in the cache
-ASKED = "block long, part long, keys binary, seen binary, more binary"
 
 
 def combine(a, b):
@@ -139,20 +139,9 @@ def chunks(lengths, length: int, size: int = CHUNK):
 def _loaded(tbl):
     """A block's rows in a fixed order, its bytes and text lengths."""
     import numpy as np
-    tbl = tbl.sort_by([("__id", "ascending"), ("__text", "ascending")]).combine_chunks()
-    col = tbl.column("__text")
-    raws = [x.as_buffer() for x in col]
-    lengths = np.array([x.size for x in raws], dtype=np.int64)
-    return tbl, np.frombuffer(b"".join(raws), dtype=np.uint8), lengths
-
-
-def _parts(keys, n: int):
-    """Ranges of sorted uint64 ``keys`` by equal spans of their values: (part, from, to)."""
-    import numpy as np
-    part = ((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-    first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(keys) else []
-    for s, e in zip(first, [*first[1:], len(keys)]):
-        yield int(part[s]), int(s), int(e)
+    tbl = ordered(tbl)
+    raws = [x.as_buffer() for x in tbl.column("__text")]
+    return tbl, np.frombuffer(b"".join(raws), dtype=np.uint8), np.array([x.size for x in raws], dtype=np.int64)
 
 
 def _spread(start, wide):
@@ -162,31 +151,13 @@ def _spread(start, wide):
     return np.repeat(start - before, wide) + np.arange(int(wide.sum()))
 
 
-def _rows(out, schema):
-    import pyarrow as pa
-    return pa.Table.from_pylist(out, schema=schema)
-
-
 def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text",
             length: int = LENGTH, q: int = Q, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``columns`` of every document, n_bytes, n_removed, n_spans and kept
     (binary: the bytes that remain)."""
-    import pyarrow as pa
-    spark = docs.sparkSession
-    small_batches(spark)
-    total = docs.select(text_bytes(text_col).alias("b")).agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0]
-    n = max(1, -(-total // block_bytes))
+    small_batches(docs.sparkSession)
+    held, n, wide = in_blocks(docs, [F.col(c) for c in columns], id_col, text_col, block_bytes)
     parts = max(1, -(-n // 4))  # tasks that count identifiers
-    # No fewer partitions than Spark would make for the other side of a join by
-    # block: then that side follows this one and the texts move once.
-    wide = max(n, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    asked = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("keys", pa.binary()), ("seen", pa.binary()), ("more", pa.binary())])
-
-    extra = [F.col(c).alias(f"__c{i}") for i, c in enumerate(columns)]
-    text = text_or_empty(text_col)
-    held = (docs.select(F.col(id_col).alias("__id"), text.alias("__text"), *extra)
-            .withColumn("block", F.pmod(F.xxhash64("__id", "__text"), F.lit(n)))
-            .withColumn("__text", F.encode("__text", "UTF-8")).repartition(wide, "block"))
 
     def runs_of(raw, lengths):
         """All runs of a block, with the identifiers of each chunk's strings."""
@@ -206,18 +177,17 @@ def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
             run, at, count = np.unique(np.concatenate([r for _, r in found]), return_index=True, return_counts=True)
             anchor = np.concatenate([a for a, _ in found])[at]
             seen = np.minimum(count, 2).astype(np.uint8)
-            for p, s, e in _parts(run, parts):
-                out.append({"block": key[0].as_py(), "part": p, "keys": run[s:e].tobytes(), "seen": seen[s:e].tobytes(), "more": anchor[s:e].tobytes()})
-        return _rows(out, asked)
+            for p, s, e in cut_by_part(run, parts):
+                out.append(row(key[0].as_py(), p, run[s:e], seen[s:e], anchor[s:e]))
+        return rows(out)
 
     def gather(tbl):
         """Rows of a part: blocks, their key counts, and all keys, counts and anchors."""
         import numpy as np
         tbl = tbl.sort_by([("block", "ascending"), ("part", "ascending")])
-        keys = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in tbl.column("keys")]
-        seen = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in tbl.column("seen")])
-        more = [np.frombuffer(x.as_buffer(), dtype=np.uint64) if x.is_valid else np.zeros(0, dtype=np.uint64) for x in tbl.column("more")]
-        return tbl.column("block").to_pylist(), [len(k) for k in keys], np.concatenate(keys), seen, np.concatenate(more)
+        keys = arrays(tbl.column("keys"), "u8")
+        return (tbl.column("block").to_pylist(), [len(k) for k in keys], np.concatenate(keys),
+                joined(tbl.column("seen"), "u1"), joined(tbl.column("more"), "u8"))
 
     def run_totals(keys, seen, more):
         """Distinct runs of a part: (inverse, settled, anchor)."""
@@ -233,43 +203,41 @@ def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
         a, back = np.unique(anchor, return_inverse=True)
         places = np.minimum(np.bincount(back, np.where(settled, 2, 1), minlength=len(a)), 2).astype(np.uint8)
         open_ = (np.bincount(back, ~settled, minlength=len(a)) > 0).astype(np.uint8)
-        return _rows([{"block": key[0].as_py(), "part": p, "keys": a[s:e].tobytes(), "seen": places[s:e].tobytes(), "more": open_[s:e].tobytes()}
-                      for p, s, e in _parts(a, parts)], asked)
+        return rows([row(key[0].as_py(), p, a[s:e], places[s:e], open_[s:e]) for p, s, e in cut_by_part(a, parts)])
 
     def tell_anchors(key, tbl):
         """Answers to each asking part: 1 the anchor's bucket is shared, 2 it also has unsettled runs."""
         import numpy as np
         tbl = tbl.sort_by("block")
-        keys = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in tbl.column("keys")]
-        seen = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in tbl.column("seen")])
-        open_ = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in tbl.column("more")])
+        keys = arrays(tbl.column("keys"), "u8")
+        seen, open_ = joined(tbl.column("seen"), "u1"), joined(tbl.column("more"), "u1")
         a, inv = np.unique(np.concatenate(keys), return_inverse=True)
         shared = np.bincount(inv, seen, minlength=len(a)) >= 2
         code = (shared * (1 + (np.bincount(inv, open_, minlength=len(a)) > 0))).astype(np.uint8)[inv]
         out, s = [], 0
         for to, k in zip(tbl.column("block").to_pylist(), keys):
-            out.append({"block": to, "part": key[0].as_py(), "keys": None, "seen": code[s:s + len(k)].tobytes(), "more": None})
+            out.append(row(to, key[0].as_py(), seen=code[s:s + len(k)]))
             s += len(k)
-        return _rows(out, asked)
+        return rows(out)
 
     def tell_runs(key, tbl, answers):
         """Answers to each block, per run: 0 unique, 1 repeats, 2 ask about its
         strings, 3 repeats and its strings are asked about too."""
         import numpy as np
         if not tbl.num_rows:
-            return _rows([], asked)
+            return rows([])
         blocks, counts, keys, seen, more = gather(tbl)
         inv, settled, anchor, at = run_totals(keys, seen, more)
         a, back = np.unique(anchor, return_inverse=True)
-        told = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in answers.sort_by("part").column("seen")])[back]
+        told = joined(answers.sort_by("part").column("seen"), "u1")[back]
         code = np.where(settled, 1, np.where(told > 0, 2, 0)).astype(np.uint8)
         each = code[inv]
         each[at[settled & (told == 2)]] = 3  # the first block that has the run
         out, s = [], 0
         for to, c in zip(blocks, counts):
-            out.append({"block": to, "part": key[0].as_py(), "keys": None, "seen": each[s:s + c].tobytes(), "more": None})
+            out.append(row(to, key[0].as_py(), seen=each[s:s + c]))
             s += c
-        return _rows(out, asked)
+        return rows(out)
 
     def ask_strings(key, tbl, answers):
         """The distinct strings of a block that are asked about and, in a row
@@ -278,8 +246,8 @@ def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
         import numpy as np
         _, raw, lengths = _loaded(tbl)
         if not answers.num_rows:
-            return _rows([], asked)
-        code = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint8) for x in answers.sort_by("part").column("seen")])
+            return rows([])
+        code = joined(answers.sort_by("part").column("seen"), "u1")
         strings = np.empty(len(raw), dtype=np.uint64)
         found = []
         for s, first, last, _, run, ids in runs_of(raw, lengths):
@@ -296,11 +264,11 @@ def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
         ids, number, count = np.unique(strings[_spread(start, wide)], return_inverse=True, return_counts=True)
         seen = np.minimum(count, 2).astype(np.uint8)
         block = key[0].as_py()
-        out = [{"block": block, "part": p, "keys": ids[s:e].tobytes(), "seen": seen[s:e].tobytes(), "more": None} for p, s, e in _parts(ids, parts)]
+        out = [row(block, p, ids[s:e], seen[s:e]) for p, s, e in cut_by_part(ids, parts)]
         settled = (each == 1) | (each == 3)
-        out.append({"block": block, "part": -1 - block, "keys": np.stack((first[settled], last[settled])).astype("<i8").tobytes(),
-                    "seen": np.stack((start, wide)).astype("<i8").tobytes(), "more": number.astype("<i4").tobytes()})
-        return _rows(out, asked)
+        out.append(row(block, -1 - block, np.stack((first[settled], last[settled])).astype("<i8"),
+                       np.stack((start, wide)).astype("<i8"), number.astype("<i4")))
+        return rows(out)
 
     def tell_strings(key, tbl):
         """Answers to each block, per string: whether it starts in two places."""
@@ -312,10 +280,9 @@ def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
         twice = (np.bincount(inv, seen, minlength=len(ids)) >= 2).astype(np.uint8)[inv]
         out, s = [], 0
         for to, c in zip(blocks, counts):
-            out.append({"block": to, "part": key[0].as_py(), "keys": None, "seen": np.packbits(twice[s:s + c]).tobytes(),
-                        "more": np.array([c], dtype="<i8").tobytes()})
+            out.append(row(to, key[0].as_py(), seen=np.packbits(twice[s:s + c]), more=np.array([c], dtype="<i8")))
             s += c
-        return _rows(out, asked)
+        return rows(out)
 
     def cut(key, tbl, answers):
         """The block's documents without their repeats."""
@@ -324,12 +291,12 @@ def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
         tbl, raw, lengths = _loaded(tbl)
         edge = np.zeros(len(raw) + 1, dtype=np.int64)
         twice, place = [], None
-        for row in answers.sort_by("part").to_pylist():
-            if row["part"] < 0:
-                place = row
+        for told_ in answers.sort_by("part").to_pylist():
+            if told_["part"] < 0:
+                place = told_
             else:
-                c = int(np.frombuffer(row["more"], dtype="<i8")[0])
-                twice.append(np.unpackbits(np.frombuffer(row["seen"], dtype=np.uint8), count=c))
+                c = int(np.frombuffer(told_["more"], dtype="<i8")[0])
+                twice.append(np.unpackbits(np.frombuffer(told_["seen"], dtype=np.uint8), count=c))
         if place is not None:
             first, last = np.frombuffer(place["keys"], dtype="<i8").reshape(2, -1)
             start, wide = np.frombuffer(place["seen"], dtype="<i8").reshape(2, -1)
