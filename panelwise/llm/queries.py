@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import line_frequency, mixing, multi_index, pieces, quality, simhash, suffixes, token_counts, token_store
+from . import context_tree, line_frequency, mixing, multi_index, pieces, quality, simhash, suffixes, token_counts, token_store
 
 QUERIES = {
+    "op1_context_tree": context_tree.op1_context_tree,
     "op2_token_store": token_store.op2_token_store,
     "op3_long_repeats": suffixes.op3_long_repeats,
     "op4_weighted_fair_mix": mixing.op4_weighted_fair_mix,
