@@ -223,7 +223,7 @@ def near_duplicates(docs: DataFrame, columns: list[str] | None = None, id_col: s
     """One row per document: id, ``columns``, fp long and component_id, the
     smallest id that links reach."""
     columns = columns or []
-    marked = written(fingerprints(docs, [id_col, *columns], text_col, words), "simhash")
+    marked = written(fingerprints(docs, [id_col, *columns], text_col, words), "simhash")  # texts only if asked for
     entries = written(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-entries")
     roots = components(fingerprint_links(entries.select("fp"), distance))
     # Least id of each component, from one row per distinct fingerprint.
@@ -233,6 +233,14 @@ def near_duplicates(docs: DataFrame, columns: list[str] | None = None, id_col: s
     return marked.join(named, F.col("fp") == F.col("__fp")).drop("__fp")
 
 
+def first_of_id(docs: DataFrame, columns: list[str], id_col: str = "doc_id") -> DataFrame:
+    """One row per id: the least by the other columns. Rows are compared with
+    a minimum that combines before the shuffle, so a repeated id is not hot."""
+    rest = [c for c in columns if c != id_col]
+    one = docs.groupBy(id_col).agg(F.min(F.struct(*rest)).alias("__first"))
+    return one.select(id_col, *[F.col("__first")[c].alias(c) for c in rest]).select(*columns)
+
+
 def op5_simhash_duplicates(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -46,6 +46,10 @@ ship(__name__)
 LENGTH = 200
 Q = 32
 BLOCK_BYTES = 4 << 20   # text of a block of documents
+# A whole UTF-8 character, kept, or any other byte, dropped.
+PARTIAL = (r"([\x00-\x7F]+|[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]|[\xE1-\xEC\xEE\xEF][\x80-\xBF]{2}"
+           r"|\xED[\x80-\x9F][\x80-\xBF]|\xF0[\x90-\xBF][\x80-\xBF]{2}|[\xF1-\xF3][\x80-\xBF]{3}|\xF4[\x80-\x8F][\x80-\xBF]{2})"
+           r"|[\x80-\xFF]")
 CHUNK = 192 << 10       # bytes refined at a time: its arrays stay in the cache
 
 
@@ -330,6 +334,12 @@ def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
     return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(columns)], "n_bytes", "n_removed", "n_spans", "kept")
 
 
+def whole_characters(kept):
+    """The text of UTF-8 bytes from which bytes were cut: what is not a whole
+    character goes. (Latin-1 gives one character per byte for the pattern.)"""
+    return F.decode(F.encode(F.regexp_replace(F.decode(kept, "ISO-8859-1"), PARTIAL, "$1"), "ISO-8859-1"), "UTF-8")
+
+
 def op3_long_repeats(spark, sf_dir: str) -> DataFrame:
     return repeats(table(spark, sf_dir, "documents"), ["doc_id"]).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
