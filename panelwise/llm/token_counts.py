@@ -12,8 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import batches_of, ship, table, text_or_empty
-from .tokens import ByteBpe, tokenizer_path
+from .common import batches_of, ship, small_batches, table, text_or_empty
+from .tokens import byte_bpe, tokenizer_path
 
 ship(__name__)
 
@@ -24,10 +24,11 @@ def token_lengths(docs: DataFrame, text_col: str = "text", tokenizer: str | None
     """One row per document: length long, its encoded length."""
     path = tokenizer or tokenizer_path()
     extra = int(end_id)
+    small_batches(docs.sparkSession)
 
     def count(batches):
         import pyarrow as pa
-        enc = ByteBpe(path)
+        enc = byte_bpe(path)
         for b in batches:
             col = b.column(0)
             for s, e in batches_of(col, 1 << 20):

@@ -29,8 +29,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import batches_of, scratch, ship, table, text_bytes, text_or_empty
-from .tokens import ByteBpe, tokenizer_path
+from .common import batches_of, scratch, ship, small_batches, table, text_bytes, text_or_empty
+from .tokens import byte_bpe, tokenizer_path
 
 ship(__name__)
 
@@ -104,6 +104,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                  part_bytes: int = PART_BYTES) -> None:
     """Encode every document and write shards, parts and index under ``path``."""
     spark = docs.sparkSession
+    small_batches(spark)
     tok = tokenizer or tokenizer_path()
     total, rows = docs.select(text_bytes(text_col).alias("b")).agg(F.coalesce(F.sum("b"), F.lit(0)), F.count("*")).first()
     n_parts = max(1, -(-total // part_bytes))
@@ -113,7 +114,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
-        enc = ByteBpe(tok)
+        enc = byte_bpe(tok)
         part = TaskContext.get().partitionId()
         end = np.array([END_ID], dtype="<u4").tobytes()
         seq = first = size = 0
@@ -189,17 +190,27 @@ def _opened(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return (spark.read.schema(SHARDS).parquet(f"{path}/shards"), spark.read.schema(PARTS).parquet(f"{path}/parts"))
 
 
-def _slice(payload: str, d: str):
-    return f"substring({payload}, cast({d}.at * 4 + 1 as int), cast({d}.n * 4 as int))"
-
-
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Every stored document, sliced from the payloads: key, start (ids of all
     documents before it), n, ids binary."""
     shards, parts = _opened(spark, path)
-    cut = f"transform(docs, d -> struct(d.key as key, base + first + d.at as start, d.n as n, {_slice('payload', 'd')} as ids))"
+
+    def cut(batches):
+        import pyarrow as pa
+        for b in batches:
+            for row in range(b.num_rows):
+                payload = b.column(0)[row].as_buffer()
+                before = b.column(1)[row].as_py()
+                docs = b.column(2)[row].as_py()
+                ids = [payload.slice(d["at"] * 4, d["n"] * 4).to_pybytes() for d in docs]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([d["key"] for d in docs], pa.int64()), pa.array([before + d["at"] for d in docs], pa.int64()),
+                     pa.array([d["n"] for d in docs], pa.int64()), pa.array(ids, pa.binary())], ["key", "start", "n", "ids"])
+
     # ``parts`` has one row of 16 bytes per PART_BYTES of text.
-    return shards.join(F.broadcast(parts), "part").selectExpr(f"inline({cut})")
+    small_batches(spark, 8)  # shards a batch
+    return (shards.join(F.broadcast(parts), "part").select("payload", F.expr("base + first"), "docs")
+            .mapInArrow(cut, "key long, start long, n long, ids binary"))
 
 
 def lookup(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "key") -> DataFrame:
@@ -234,9 +245,23 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "key"
     # All keys of a shard are read together: the payload moves once. A shard
     # lists its keys, so their number is bounded by what SHARD_BYTES holds.
     asked = places.groupBy("part", "seq").agg(F.collect_list(F.struct("key", "at", "n")).alias("asked"))
-    cut = ("transform(filter(asked, d -> array_contains(docs, named_struct('key', d.key, 'at', d.at, 'n', d.n))), "
-           f"d -> struct(d.key as key, base + first + d.at as start, d.n as n, {_slice('payload', 'd')} as ids))")
-    return (shards.join(asked, ["part", "seq"]).join(F.broadcast(parts), "part").selectExpr(f"inline({cut})"))
+
+    def cut(batches):
+        import pyarrow as pa
+        for b in batches:
+            for row in range(b.num_rows):
+                payload = b.column(0)[row].as_buffer()
+                before = b.column(1)[row].as_py()
+                stored = {(d["key"], d["at"], d["n"]) for d in b.column(2)[row].as_py()}
+                docs = [d for d in b.column(3)[row].as_py() if (d["key"], d["at"], d["n"]) in stored]
+                ids = [payload.slice(d["at"] * 4, d["n"] * 4).to_pybytes() for d in docs]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([d["key"] for d in docs], pa.int64()), pa.array([before + d["at"] for d in docs], pa.int64()),
+                     pa.array([d["n"] for d in docs], pa.int64()), pa.array(ids, pa.binary())], ["key", "start", "n", "ids"])
+
+    return (shards.join(asked, ["part", "seq"]).join(F.broadcast(parts), "part")
+            .select("payload", F.expr("base + first"), "docs", "asked")
+            .mapInArrow(cut, "key long, start long, n long, ids binary"))
 
 
 def op2_token_store(spark, sf_dir: str) -> DataFrame:

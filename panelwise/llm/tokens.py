@@ -1,11 +1,12 @@
 """Byte-level BPE encoding for the token operators.
 
 The vocabulary's splitting pattern never lets a token run across a single
-space that has a non-space character on both sides (a space joins the token
-that follows it). A text may therefore be cut before every such space, and
-each piece encodes alone to the same ids as inside the text. Pieces repeat a
-lot, so a task keeps the ids of the pieces it has seen lately and hands only
-new ones to the tokenizers library, many joined into one text.
+space or line feed that has a character other than white space on both sides
+(a space begins the token that follows it, a line feed is its own). A text may
+therefore be cut before every such character, and each word encodes alone to
+the same ids as inside the text. Words repeat a lot, so a worker keeps the ids
+of the words it has seen lately and hands only new ones to the tokenizers
+library, many joined into one text.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from .common import ship
 ship(__name__)
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
-CACHE_PIECES = 150_000  # pieces in each of the two generations of the cache
+CACHE_WORDS = 200_000  # words in each of the two generations of the cache
 
 
 def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
@@ -23,79 +24,117 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def worker_state(key, make):
+    """An object that a Python worker keeps from task to task."""
+    import sys
+    import types
+    held = sys.modules.setdefault("_panelwise_worker", types.ModuleType("_panelwise_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
+def words_of(text: str) -> list[str]:
+    """Words after single spaces, without the space, and after single line
+    feeds, with it."""
+    return text.replace("\n", " \n").split(" ")
+
+
+def safe(word: str) -> bool:
+    """Whether ``word`` has no white space beside the cuts around it."""
+    if not word or word == "\n":
+        return False
+    return not word[word[0] == "\n"].isspace() and not word[-1].isspace()
+
+
+class WordCache:
+    """Ids of words, in two generations: the words of the last ``CACHE_WORDS``
+    new ones and of the generation before are remembered."""
+
+    def __init__(self, learn, limit: int = CACHE_WORDS):
+        self.learn, self.limit = learn, limit
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def encode(self, cut: list[list[str]]) -> list[bytes | None]:
+        """The joined ids of each list of words; None if ``learn`` leaves
+        one of them out."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        found = [list(map(young.get, words)) for words in cut]
+        new = {}
+        for words, ids in zip(cut, found):
+            if None in ids:
+                for w, x in zip(words, ids):
+                    if x is None and w not in new:
+                        got = old.get(w)
+                        if got is None:
+                            new[w] = None
+                        else:
+                            young[w] = got
+        if new:
+            young.update(self.learn(list(new)))
+        out = []
+        for words, ids in zip(cut, found):
+            if None in ids:
+                ids = list(map(young.get, words))
+            out.append(None if None in ids else b"".join(ids))
+        return out
+
+
 class ByteBpe:
     """Ids of whole texts, equal to ``Tokenizer.encode(text,
     add_special_tokens=False)`` with special strings taken as ordinary text."""
 
     def __init__(self, path: str):
         import os
-        import re
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
         from tokenizers import Tokenizer
         self.np = np
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        # A space beside other white space: such texts are cut by the slower
-        # rule that looks at both neighbours.
-        self.odd = re.compile(r"\s | \s")
-        self.cut = re.compile(r"(?<=\S)(?= \S)")
-        # str.split() separates at some control characters that the pattern
-        # counts as white space too; the byte length of every id finds the
-        # borders of pieces that were encoded together.
-        size = [0] * self.tok.get_vocab_size()
+        # The byte length of every id finds the borders of words that were
+        # encoded together.
+        self.size = np.zeros(self.tok.get_vocab_size(), dtype=np.int64)
         for piece, i in self.tok.get_vocab().items():
-            size[i] = len(piece)
-        self.size = np.array(size, dtype=np.int64)
-
-    def pieces(self, text: str) -> list[str]:
-        if self.odd.search(text):
-            return self.cut.split(text)
-        first, *rest = text.split(" ")
-        out = [" " + x for x in rest]
-        if first:
-            out.insert(0, first)
-        return out
+            self.size[i] = len(piece)
+        self.cache = WordCache(self._learn)
+
+    def _ids(self, texts: list[str]) -> list:
+        return [self.np.array(e.ids, dtype="<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not cached. Pieces that begin with a space
-        and end without white space can follow each other in one text."""
-        np, found = self.np, {}
-        joint = [p for p in new if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()]
-        if joint:
-            ids = np.array(self.tok.encode_batch_fast(["".join(joint)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.cumsum(self.size[ids])
-            want = np.cumsum([len(p.encode()) for p in joint])
-            at = np.searchsorted(ends, want) + 1
-            assert len(at) == 0 or (ends[at - 1] == want).all()
-            raw = ids.tobytes()
-            s = 0
-            for p, e in zip(joint, (at * 4).tolist()):
-                found[p] = raw[s:e]
-                s = e
-        alone = [p for p in new if p not in found]
-        if alone:
-            for p, e in zip(alone, self.tok.encode_batch_fast(alone, add_special_tokens=False)):
-                found[p] = np.array(e.ids, dtype="<u4").tobytes()
+        """Ids of the words that may be cut out of a text."""
+        np = self.np
+        good = [w for w in new if safe(w)]
+        if not good:
+            return {}
+        cut = [w if w[0] == "\n" else " " + w for w in good]
+        ids = self._ids(["".join(cut)])[0]
+        at = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(w.encode()) for w in cut])) + 1
+        raw, s, found = ids.tobytes(), 0, {}
+        for w, e in zip(good, (at * 4).tolist()):
+            found[w] = raw[s:e]
+            s = e
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self.pieces(t) for t in texts]
-        young, old = self.young, self.old
-        new = {}
-        for ps in cut:
-            for p in ps:
-                if p not in young:
-                    if p in old:
-                        young[p] = old[p]
-                    else:
-                        new[p] = b""
-        if new:
-            young.update(self._learn(list(new)))
-        out = [b"".join([young[p] for p in ps]) for ps in cut]
-        if len(young) > CACHE_PIECES:
-            self.old, self.young = young, {}
+        cut = [words_of(t) for t in texts]
+        heads = [words.pop(0) for words in cut]
+        rest = self.cache.encode(cut)
+        # The first word has no space before it, and texts with unsafe cuts
+        # are encoded whole.
+        whole = [i for i, (h, r) in enumerate(zip(heads, rest)) if r is None or not h or h[-1].isspace()]
+        odd = set(whole)
+        first = [i for i in range(len(texts)) if i not in odd]
+        out = [b""] * len(texts)
+        for i, e in zip(whole + first, self._ids([texts[i] for i in whole] + [heads[i] for i in first])):
+            out[i] = e.tobytes() + (b"" if i in odd else rest[i])
         return out
+
+
+def byte_bpe(path: str) -> ByteBpe:
+    return worker_state(("byte_bpe", path), lambda: ByteBpe(path))
