@@ -98,23 +98,27 @@ SELECT o_custkey, CAST(14 - rn AS INTEGER) AS rank, o_orderkey, o_orderstatus, o
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY date DESC, o_orderkey DESC) AS rn,
              count(*) OVER (PARTITION BY o_custkey) AS total_number
       FROM (SELECT *, CAST(o_orderdate AS DATE) AS date FROM orders))
-WHERE rn <= 13
 """
 
 
 @query("add_rank", _RANKED_ORDERS)
 def q_add_rank(spark, d):
     o = calendar.cast_dates(t(spark, d, "orders"), ORDERS_SPEC)
-    return _ts_dates(ranks.latest_periods(o, ORDERS_SPEC.with_(ts="date")))
+    return _ts_dates(ranks.add_rank(o, ORDERS_SPEC.with_(ts="date")))
+
+
+def _latest_orders(spark, d):
+    o = calendar.cast_dates(t(spark, d, "orders"), ORDERS_SPEC)
+    return ranks.latest_periods(o, ORDERS_SPEC.with_(ts="date"), with_count=False)
 
 
 @query("full_ranks", f"""
 WITH ranked AS ({_RANKED_ORDERS}),
 grid AS (SELECT k.o_custkey, CAST(r.rank AS INTEGER) AS rank
          FROM (SELECT DISTINCT o_custkey FROM orders) k CROSS JOIN range(1, 14) r(rank))
-SELECT g.o_custkey, g.rank, x.o_orderkey, x.o_orderstatus, x.o_totalprice, x.o_orderpriority, x."Year",
+SELECT coalesce(g.o_custkey, x.o_custkey) AS o_custkey, coalesce(g.rank, x.rank) AS rank, x.o_orderkey, x.o_orderstatus, x.o_totalprice, x.o_orderpriority, x."Year",
        x."Month", x."Day", x.date, x.total_number
-FROM grid g LEFT JOIN ranked x ON g.o_custkey = x.o_custkey AND g.rank = x.rank
+FROM grid g FULL JOIN ranked x ON g.o_custkey = x.o_custkey AND g.rank = x.rank
 """)
 def q_full_ranks(spark, d):
     o = calendar.cast_dates(t(spark, d, "orders"), ORDERS_SPEC)
@@ -165,7 +169,7 @@ def q_lag_ratio(spark, d):
 
 def _lineitem_panel(spark, d):
     li = calendar.cast_dates(t(spark, d, "lineitem"), LINEITEM_SPEC)
-    return ranks.latest_periods(li, LINEITEM_SPEC.with_(ts="date"))
+    return ranks.add_rank(li, LINEITEM_SPEC.with_(ts="date"))
 
 
 _LI_NUMERIC = ("rank", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -180,7 +184,6 @@ SELECT l_orderkey, CAST(14 - rn AS INTEGER) AS rank, l_partkey, l_suppkey, l_lin
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY date DESC, {_LI_ORDER_SQL}) AS rn,
              count(*) OVER (PARTITION BY l_orderkey) AS total_number
       FROM (SELECT *, CAST(l_shipdate AS DATE) AS date FROM lineitem))
-WHERE rn <= 13
 """
 
 
@@ -220,6 +223,20 @@ def q_category_transition(spark, d):
     return s.select("event_id", "user_id", "event_type", "diff_cat_event_type")
 
 
+@query("transition_fill", """
+WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+SELECT event_id, user_id, 14 - rn AS rank, coalesce(event_type || '->' || lag(event_type) OVER w, '') AS diff_cat_event_type
+FROM e WINDOW w AS (PARTITION BY user_id ORDER BY rn DESC)
+""")
+def q_transition_fill(spark, d):
+    """RN8 with empty text on each key's first row."""
+    e = t(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    spec = PanelSpec(key="user_id", ts="ts", order=("event_id",), categorical=("event_type",))
+    p = ranks.add_rank(e, spec).select("event_id", "user_id", "rank", "event_type")
+    out = lags.diff_ratio(p, "user_id", ["rank"], categorical=["event_type"], numeric=[], fill_transitions=True)
+    return out.select("event_id", "user_id", F.col("rank").cast("long").alias("rank"), "diff_cat_event_type")
+
+
 @query("pairwise_gap", """
 SELECT l_orderkey, l_linenumber, l_partkey,
        l_extendedprice - l_tax AS "l_extendedprice-l_tax", l_extendedprice - l_discount AS "l_extendedprice-l_discount",
@@ -271,6 +288,20 @@ def q_nan_to_null(spark, d):
     return clean.nans_to_nulls(_raw_ratios(spark, d))
 
 
+@query("name_filter", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CASE WHEN isinf(ratio_l_tax) OR isnan(ratio_l_tax) THEN NULL ELSE ratio_l_tax END AS ratio_l_tax
+FROM ({_RAW_RATIOS})
+""")
+def q_name_filter(spark, d):
+    """PR8 by names: first-period lag columns go, kinds of selectors agree."""
+    r = _raw_ratios(spark, d)
+    r = r.withColumn("diff_x_1", F.col("ratio_l_tax")).withColumnRenamed("ratio_l_discount", "ratio_l_discount_1")
+    out = clean.nans_to_nulls(clean.filter_features(r, legacy_name_filter=True))
+    numeric = categorical_columns(out, "numeric", categorical=("l_", "ratio_"))
+    return out.select(*numeric, *categorical_columns(out, "string"))
+
+
 @query("narrow", f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        CAST(CASE WHEN isinf(ratio_l_discount) OR isnan(ratio_l_discount) THEN NULL ELSE ratio_l_discount END
@@ -300,13 +331,13 @@ def _pivot_sql(values: list[str], casts: dict[str, str] | None = None) -> str:
 
 @query("pivot_periods", f"WITH ranked AS ({_RANKED_ORDERS}) {_pivot_sql(['o_totalprice', 'o_orderstatus'])}")
 def q_pivot_periods(spark, d):
-    p = q_add_rank(spark, d)
+    p = _latest_orders(spark, d)
     return pivot.pivot_periods(p, "o_custkey", "rank", 13, ["o_totalprice", "o_orderstatus"])
 
 
 @query("pivot_by_slice", f"WITH ranked AS ({_RANKED_ORDERS}) {_pivot_sql(['o_totalprice'])}")
 def q_pivot_by_slice(spark, d):
-    p = q_add_rank(spark, d)
+    p = _latest_orders(spark, d)
     return pivot.pivot_by_slice(p, "o_custkey", "rank", 13, ["o_totalprice"])
 
 
@@ -358,6 +389,21 @@ def q_index_count(spark, d):
     return ranks.index_and_count(o, "o_custkey", ["o_orderkey"])
 
 
+@query("index_sum", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CAST(sum(l_linenumber) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
+            ROWS UNBOUNDED PRECEDING) AS BIGINT) AS "index",
+       count(*) OVER (PARTITION BY l_orderkey) AS "count"
+FROM lineitem
+""")
+def q_index_sum(spark, d):
+    """RN4 where an index column exists: its running sum."""
+    li = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                                        F.col("l_linenumber").cast("long").alias("index"))
+    return ranks.index_and_count(li, "l_orderkey", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                    "l_quantity"]).drop("l_quantity")
+
+
 @query("rank_df", """
 SELECT row_number() OVER (ORDER BY o_custkey, o_orderdate, o_orderkey) AS "index", o_custkey,
        CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS rank
@@ -446,6 +492,21 @@ def q_encode_missing(spark, d):
     return out.select("event_id", "diff_cat_event_type")
 
 
+@query("encode_saved", """
+WITH m AS (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment <> 'MACHINERY'),
+k AS (SELECT c_mktsegment, row_number() OVER (ORDER BY c_mktsegment) - 1 AS code FROM m)
+SELECT c_custkey, CASE WHEN k.code IS NULL THEN 'NaN'::FLOAT ELSE CAST(k.code AS FLOAT) END AS c_mktsegment
+FROM customer LEFT JOIN k USING (c_mktsegment)
+""")
+def q_encode_saved(spark, d):
+    """EN1 with a mapping that was saved, loaded, and lacks a value."""
+    c = t(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    path = io.scratch_path(spark, "mapping")
+    encode.ordinal_encode(c.where(F.col("c_mktsegment") != "MACHINERY"), ["c_mktsegment"], save_to=path)
+    out, _ = encode.ordinal_encode(c, ["c_mktsegment"], mapping=encode.load_mapping(spark, path), handle_unknown=True)
+    return out
+
+
 @query("first_seen_encode", f"""
 WITH tr AS ({_EVENT_TRANSITIONS}),
 firsts AS (SELECT diff_cat_event_type AS v, min(struct_pack(u := user_id, t := ts, e := event_id)) AS pos
@@ -460,11 +521,20 @@ def q_first_seen_encode(spark, d):
     return out.select("event_id", "diff_cat_event_type")
 
 
-@query("hash_cats", "SELECT count(*) AS n FROM orders GROUP BY o_orderpriority, o_orderstatus")
+@query("hash_cats", """
+SELECT o_orderkey, min(o_orderkey) OVER (PARTITION BY o_orderpriority) AS first_priority,
+       min(o_orderkey) OVER (PARTITION BY o_orderstatus) AS first_status, o_orderstatus IS NULL AS status_null
+FROM (SELECT o_orderkey, o_orderpriority, NULLIF(o_orderstatus, 'P') AS o_orderstatus FROM orders)
+""")
 def q_hash_cats(spark, d):
-    o = t(spark, d, "orders").select("o_orderpriority", "o_orderstatus")
+    """Hash values differ by engine: each row shows the first row whose hash
+    equals its own, which must be the first row with its value."""
+    o = t(spark, d, "orders").select("o_orderkey", "o_orderpriority", F.expr("nullif(o_orderstatus, 'P')").alias("o_orderstatus"))
     h = encode.hash_columns(o, ["o_orderpriority", "o_orderstatus"])
-    return h.groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("n")).select("n")
+    for c, name in (("o_orderpriority", "first_priority"), ("o_orderstatus", "first_status")):
+        first = h.groupBy(F.col(c).alias("__h")).agg(F.min("o_orderkey").alias(name))
+        h = h.join(first, F.col(c).eqNullSafe(F.col("__h")), "left").drop("__h")
+    return h.select("o_orderkey", "first_priority", "first_status", F.col("o_orderstatus").isNull().alias("status_null"))
 
 
 @query("hex_key", """
@@ -601,6 +671,27 @@ def q_rank_metric(spark, d):
     return m.select(*[_f(c).alias(c) for c in m.columns])
 
 
+@query("metric_evaluator", f"""
+WITH s AS ({_SCORED}),
+tot AS (SELECT sum(target) AS n_pos, count(*) - sum(target) AS n_neg FROM s),
+c AS (SELECT s.*, 20.0 - 19.0 * target AS w,
+             sum(20.0 - 19.0 * target) OVER (ORDER BY prediction DESC, doc_id ROWS UNBOUNDED PRECEDING) AS cw,
+             sum(target) OVER (ORDER BY prediction DESC, doc_id ROWS UNBOUNDED PRECEDING) AS cy
+      FROM s)
+SELECT CAST(0.5 * (sum(CASE WHEN cw / (n_pos + 20.0 * n_neg) <= 0.04 THEN target ELSE 0 END) / n_pos
+                   + sum((cy / n_pos - cw / (n_pos + 20.0 * n_neg)) * w)
+                     / (10.0 * n_neg * (1 - 19.0 / (n_pos + 20.0 * n_neg)))) AS FLOAT) AS score,
+       max(n_pos + n_neg) AS n_rows
+FROM c, tot GROUP BY n_pos, n_neg
+""")
+def q_metric_evaluator(spark, d):
+    """ME3 on the raw score, whose sigmoid keeps the order."""
+    s = _scored(spark, d).withColumn("raw", F.col("prediction") / 1e6)
+    e = metric.RankingMetricEvaluator("raw", "target", rawScore=True, tiebreakCols=["doc_id"])
+    value = e.evaluate(s)
+    return s.agg(F.lit(value).cast("float").alias("score"), F.count(F.lit(1)).cast("double").alias("n_rows"))
+
+
 @query("top_fraction", f"""
 WITH s AS ({_SCORED}),
 c AS (SELECT doc_id, target,
@@ -706,7 +797,7 @@ FROM c
 @query("importance_table", _importance_sql())
 def q_importance_table(spark, d):
     from .plans.selection import importance_table
-    imp = importance_table(_importance_long(spark, d), folds=5)
+    imp = importance_table(_importance_long(spark, d))
     flo = [c for c in imp.columns if c.startswith("gain_cv_") or c in ("gain_cumsum", "split_cumsum")]
     return imp.withColumns({c: _f(c) for c in flo})
 
@@ -792,6 +883,19 @@ def q_io_csv(spark, d):
     return io.read_labels_csv(spark, path, schema="doc_id bigint, quality int, toxic int")
 
 
+@query("io_report", f"""
+WITH l AS ({_IMPORTANCE_LONG})
+SELECT feature AS columns, CAST(sum(gain) AS FLOAT) AS feature_importance FROM l GROUP BY feature
+""")
+def q_io_report(spark, d):
+    """IO7: a ranking written as one CSV and read back."""
+    s = stats.fold_sums(_importance_long(spark, d), "gain", ["feature"])
+    path = io.scratch_path(spark, "report")
+    io.write_report_csv(s.select(F.col("feature").alias("columns"), F.col("gain").alias("feature_importance")), path)
+    out = spark.read.csv(path, header=True, schema="columns string, feature_importance double")
+    return out.select("columns", _f("feature_importance").alias("feature_importance"))
+
+
 @query("io_chunks", """
 WITH RECURSIVE k AS (SELECT o_custkey, count(*) AS cnt FROM orders GROUP BY o_custkey),
 s AS (SELECT o_custkey, sum(cnt) OVER (ORDER BY o_custkey) - cnt AS start,
@@ -829,7 +933,7 @@ def q_io_split(spark, d):
 
 
 # ---------------------------------------------------------------------------
-# Model selection (ML1-ML3): no SQL equivalent (rows-only check)
+# Model selection (ML1-ML3, ME4): SQL for what does not depend on the learner
 # ---------------------------------------------------------------------------
 
 DOC_FEATURES = ["n_chars", "n_words", "n_lines", "lang", "source", "toxic"]
@@ -845,11 +949,28 @@ def _doc_training_table(spark, d):
     return j.select("doc_id", "quality", *[F.col(c).cast("double").alias(c) for c in DOC_FEATURES])
 
 
-@query("cv_gbt")
+@query("cv_gbt", f"""
+SELECT fold, count(*) AS n_rows, CAST(sum(quality) AS BIGINT) AS n_pos, 10 AS n_trees
+FROM ({_kfold_sql(5)}) GROUP BY fold
+""")
 def q_cv_gbt(spark, d):
+    """ML1: the folds' sizes and that every tree is fitted; scores depend on
+    the learner, so only that they are in range."""
     from .plans.selection import cross_validate
-    scores, _ = cross_validate(_doc_training_table(spark, d), DOC_FEATURES, "quality", ["doc_id"])
-    return scores
+    cv = cross_validate(_doc_training_table(spark, d), DOC_FEATURES, "quality", ["doc_id"])
+    ok = cv.scores.where("score between -1 and 1 or isnan(score)")
+    return ok.select("fold", "n_rows", "n_pos", "n_trees")
+
+
+@query("predict", """
+SELECT l.doc_id, true AS is_probability FROM labels l JOIN documents d USING (doc_id)
+""")
+def q_predict(spark, d):
+    """ME4: every document scored by the mean of the folds' models."""
+    from .plans.selection import cross_validate, predict
+    table = _doc_training_table(spark, d)
+    cv = cross_validate(table, DOC_FEATURES, "quality", ["doc_id"], folds=2, max_iter=3)
+    return predict(cv.models, table, DOC_FEATURES).select("doc_id", F.col("prediction").between(0, 1).alias("is_probability"))
 
 
 @query("select_features")
@@ -887,7 +1008,7 @@ def _panel_features_sql() -> str:
         for r in range(1, 14):
             n = f'"{c}_{r}"'
             if c == "diff_rank":   # constant on the padded grid
-                outs.append(f"CAST({'NULL' if r == 1 else '1.0'} AS FLOAT) AS {n}")
+                outs.append(f"CAST({'CASE WHEN total_number > 13 THEN 1.0 END' if r == 1 else '1.0'} AS FLOAT) AS {n}")
                 continue
             if c == "ratio_rank":
                 outs.append(f"CAST({'NULL' if r == 1 else f'{r}.0 / {r - 1}.0'} AS FLOAT) AS {n}")
@@ -921,16 +1042,72 @@ ranked AS (SELECT b.*, s.total_number,
 panel AS (SELECT o_custkey, CAST(14 - rn AS INTEGER) AS rank, o_orderstatus, o_totalprice, o_orderpriority,
                  CAST(year(date) AS INTEGER) AS "Year", CAST(month(date) AS INTEGER) AS "Month",
                  CAST(day(date) AS INTEGER) AS "Day", date, total_number
-          FROM ranked WHERE rn <= 13),
+          FROM ranked WHERE rn <= 15),
 gaps AS (SELECT *, CAST(date_diff('day', lag(date) OVER w, date) AS INTEGER) AS days_since_last_payment
          FROM panel {w}),
 lagged AS (SELECT *, {', '.join(diffs + ratios + trans)}
            FROM gaps {w}),
 wide AS (SELECT o_custkey, {', '.join(piv)} FROM lagged GROUP BY o_custkey),
-enc AS (SELECT o_custkey, {', '.join(outs)} FROM wide)
+enc AS (SELECT o_custkey, {', '.join(outs)} FROM wide JOIN (SELECT o_custkey, total_number FROM stats) USING (o_custkey))
 SELECT enc.*, {', '.join(st)}, CAST(c.c_mktsegment = 'MACHINERY' AS INTEGER) AS target
 FROM enc JOIN stats s USING (o_custkey) LEFT JOIN customer c ON enc.o_custkey = c.c_custkey
 """
 
 
 query("panel_features", _panel_features_sql())(panel_features)
+
+
+def _exploded(df: DataFrame) -> DataFrame:
+    """An array-form result as (key, name, value)."""
+    from .plans.features import feature_names
+    names = F.array(*[F.lit(n) for n in feature_names(df)])
+    return df.select("o_custkey", F.explode(F.arrays_zip(names.alias("name"), F.col("features").alias("value"))).alias("f")) \
+             .select("o_custkey", "f.name", "f.value")
+
+
+def _long_features_sql() -> str:
+    values = ["o_orderstatus", "o_totalprice", "o_orderpriority", "Year", "Month", "Day", "total_number", "days_since_last_payment"]
+    lagged = ["rank", "o_totalprice", "total_number", "days_since_last_payment"]
+    values += [f"diff_{c}" for c in lagged] + [f"ratio_{c}" for c in lagged] + ["diff_cat_o_orderstatus", "diff_cat_o_orderpriority"]
+    names = [f"{c}_{r}" for c in values for r in range(1, 14)]
+    rows = ", ".join(f"struct_pack(name := '{n}', value := CAST(\"{n}\" AS FLOAT))" for n in names)
+    return f"""
+SELECT o_custkey, u.name AS name, u.value AS value
+FROM (SELECT o_custkey, unnest([{rows}]) AS u FROM ({_panel_features_sql()}))
+"""
+
+
+@query("panel_features_array", _long_features_sql())
+def q_panel_features_array(spark, d):
+    """PL1 in the array form: the same values as the wide form."""
+    o = t(spark, d, "orders")
+    return _exploded(build_features(o, ORDERS_SPEC, drop_key=False, as_array=True))
+
+
+@query("panel_features_loaded", _long_features_sql())
+def q_panel_features_loaded(spark, d):
+    """PL1 in the array form with a mapping that was fitted, saved and loaded."""
+    o = t(spark, d, "orders")
+    path = io.scratch_path(spark, "encodings")
+    build_features(o, ORDERS_SPEC, drop_key=False, save_mapping_to=path)
+    return _exploded(build_features(o, ORDERS_SPEC, drop_key=False, as_array=True, mapping=encode.load_mapping(spark, path)))
+
+
+@query("panel_fill", """
+WITH b AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS date, o_totalprice, o_orderkey FROM orders),
+r AS (SELECT *, 14 - row_number() OVER (PARTITION BY o_custkey ORDER BY date DESC, o_orderkey DESC) AS rank,
+             CAST(count(*) OVER (PARTITION BY o_custkey) AS INTEGER) AS total_number,
+             CAST(date_diff('day', lag(date) OVER (PARTITION BY o_custkey ORDER BY date, o_orderkey), date) AS INTEGER) AS gap
+      FROM b),
+g AS (SELECT k.o_custkey, p.rank FROM (SELECT DISTINCT o_custkey FROM orders) k CROSS JOIN range(1, 14) p(rank))
+SELECT g.o_custkey, CAST(g.rank AS INTEGER) AS rank, coalesce(r.total_number, -1) AS total_number,
+       coalesce(r.gap, -1) AS days_since_last_payment, coalesce(CAST(year(r.date) AS INTEGER), -1) AS "Year",
+       CAST(r.o_totalprice AS FLOAT) AS o_totalprice
+FROM g LEFT JOIN r ON g.o_custkey = r.o_custkey AND g.rank = r.rank
+""")
+def q_panel_fill(spark, d):
+    """PL1 with ``filter_fill_null``: integers are -1 in periods a key lacks."""
+    wide = build_features(t(spark, d, "orders"), ORDERS_SPEC, drop_key=False, filter_fill_null=True, add_diffs=False)
+    cols = ["total_number", "days_since_last_payment", "Year", "o_totalprice"]
+    rows = F.array(*[F.struct(F.lit(r).alias("rank"), *[col(f"{c}_{r}").alias(c) for c in cols]) for r in range(1, 14)])
+    return wide.select("o_custkey", F.inline(rows))

@@ -55,7 +55,7 @@ def filter_features(df: DataFrame, *, legacy_name_filter: bool = False, fill_nul
         ints = [c for c in dtype_columns(df, *SIGNED_INT_TYPES) if c not in cats]
         df = df.withColumns({c: F.coalesce(col(c), F.lit(-1).cast(df.schema[c].dataType)) for c in ints})
         if cats:
-            df = first_seen_encode(df, cats, order or [], as_string=True)
+            df = first_seen_encode(df, cats, order or [])
     return df
 
 

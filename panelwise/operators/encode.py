@@ -140,34 +140,51 @@ def bounded_collect(df: DataFrame, max_rows: int):
     return None if len(rows) > max_rows else rows
 
 
-def apply_mapping_by_rank(df: DataFrame, mapping: DataFrame, columns: list[str], rank: str,
-                          periods: int, max_literal_entries: int = MAX_LITERAL_ENTRIES):
-    """Apply a mapping fitted on pivoted names ``{c}_{r}`` to the long
-    table before the pivot: the code of ``c`` depends on its rank. Returns
-    None when the mapping is beyond the literal bound (then apply it after
-    the pivot). NULL and unseen values give NULL here."""
-    wide = {f"{c}_{r}": (c, r) for c in columns for r in range(1, periods + 1)}
-    rows = bounded_collect(mapping.where(F.col("column").isin(list(wide))), max_literal_entries)
-    if rows is None:
-        return None
-    # one literal map per (column, rank), chosen by the row's rank
-    per_rank: dict[tuple, list] = {}
-    for r in rows:
-        per_rank.setdefault(wide[r["column"]], []).append((r["value"], r["code"]))
-    if any(len(v) > MAX_LITERAL_PER_COLUMN for v in per_rank.values()):
-        return None
-    todo = set(columns)
+def apply_mapping_by_rank(df: DataFrame, mapping: DataFrame, columns: list[str], rank: str, periods: int,
+                          handle_unknown: str = "missing", literal: int = MAX_LITERAL_PER_COLUMN) -> DataFrame:
+    """Apply a mapping fitted on pivoted names ``{c}_{r}`` to the long table
+    before the pivot: the code of ``c`` depends on its rank. NULL gives NULL
+    here, and so does an unseen value unless ``handle_unknown="error"``.
+
+    A (column, rank) with at most ``literal`` codes becomes a literal map; the
+    codes of larger ones are joined by (rank, value), one join a column. Both ways give the
+    same codes; which one is taken depends on the counts of codes, a bounded
+    table of columns x periods."""
+    spark = df.sparkSession
+    wide = [(f"{c}_{r}", c, r) for c in columns for r in range(1, periods + 1)]
+    names = spark.createDataFrame(wide, "column string, __name string, __rank int")
+    codes = mapping.join(F.broadcast(names), "column")  # columns x periods names
+    sizes = {(r["__name"], r["__rank"]): r["count"] for r in codes.groupBy("__name", "__rank").count().collect()}
+    small = {k for k, n in sizes.items() if n <= literal}
+    inlined: dict[tuple, list] = {}
+    if small:
+        few = spark.createDataFrame(sorted(small), "__name string, __rank int")
+        for r in codes.join(F.broadcast(few), ["__name", "__rank"]).collect():
+            inlined.setdefault((r["__name"], r["__rank"]), []).append((r["value"], r["code"]))
+    joined = [c for c in columns if any(k[0] == c and k not in small for k in sizes)]
+    out = df
+    for i, c in enumerate(joined):
+        part = codes.where(F.col("__name") == c).select(F.col("__rank").alias(f"__r{i}"), F.col("value").alias(f"__v{i}"),
+                                                        F.col("code").alias(f"__c{i}"))
+        out = out.join(part, (col(rank) == F.col(f"__r{i}")) & (col(c).cast("string") == F.col(f"__v{i}")), "left")
     exprs = []
-    for c in df.columns:
-        if c not in todo:
-            exprs.append(q(c))
+    for name in df.columns:
+        if name not in columns:
+            exprs.append(q(name))
             continue
-        v = f"CAST({q(c)} AS STRING)"
-        arms = [f"WHEN {k} THEN try_element_at({_map_sql(per_rank[(c, k)])}, {v})"
-                for k in range(1, periods + 1) if (c, k) in per_rank]
-        code = f"CASE {q(rank)} {' '.join(arms)} END" if arms else "NULL"
-        exprs.append(f"CAST({code} AS FLOAT) AS {q(c)}")
-    return df.selectExpr(*exprs)
+        value = f"CAST({q(name)} AS STRING)"
+        if name in joined:
+            code = f"__c{joined.index(name)}"
+        else:
+            arms = [f"WHEN {r} THEN try_element_at({_map_sql(sorted(inlined[(name, r)]))}, {value})"
+                    for r in range(1, periods + 1) if (name, r) in inlined]
+            code = f"CASE {q(rank)} {' '.join(arms)} END" if arms else "CAST(NULL AS INT)"
+        if handle_unknown == "error":
+            text = sql_literal(f"unknown category in column {name}")
+            code = (f"CASE WHEN {value} IS NOT NULL AND {q(rank)} BETWEEN 1 AND {periods} AND {code} IS NULL "
+                    f"THEN CAST(raise_error({text}) AS FLOAT) ELSE {code} END")
+        exprs.append(f"CAST({code} AS FLOAT) AS {q(name)}")
+    return out.selectExpr(*exprs)
 
 
 def _map_sql(pairs) -> str:
@@ -232,8 +249,7 @@ def encode_categoricals(df: DataFrame, columns: list[str] | None = None, *,
                           missing=-1, dtype="int", categorical=categorical)
 
 
-def first_seen_encode(df: DataFrame, columns: list[str], order: list[str], as_string: bool = False,
-                      dtype: str = "int") -> DataFrame:
+def first_seen_encode(df: DataFrame, columns: list[str], order: list[str], dtype: str = "int") -> DataFrame:
     """EN2: dictionary codes in first-seen order (NULL stays NULL)."""
     mapping = first_seen_mapping(df, columns, order)
     return apply_mapping(df, mapping, columns, missing=None, dtype=dtype, handle_unknown="missing")

@@ -6,9 +6,10 @@ d = sum(y where W <= 0.04) / n_pos, L = cumsum(y) / n_pos,
 G = sum((L - W) * w), G_max = 10 n_neg (1 - 19 / (n_pos + 20 n_neg)),
 metric = (G / G_max + d) / 2.
 
-The running sums come from the distributed scan (range-partitioned on
-prediction and tie-break, so even one prediction value shared by a third of
-all rows is split over many tasks); the rest is one global aggregate.
+The running sums come from the distributed scan, range-partitioned on
+prediction and tie-break. The tie-break is not optional: it makes the result
+defined where predictions tie, and it is what splits one prediction shared by
+a third of all rows over many tasks. The rest is one global aggregate.
 """
 
 from __future__ import annotations
@@ -28,15 +29,22 @@ NEG_WEIGHT = 20.0
 TOP_SHARE = 0.04
 
 
-def ranking_metric_table(df: DataFrame, prediction: str = "prediction", label: str = "target",
-                         tiebreak: list[str] | None = None, raw_score: bool = False) -> DataFrame:
+def best_first(score: Column, tiebreak: list[str]) -> list[Column]:
+    """Descending by ``score``, ties by ``tiebreak``."""
+    if not tiebreak:
+        raise ValueError("rows with equal scores need a tie-break column")
+    return [score.desc(), *[col(t).asc() for t in tiebreak]]
+
+
+def ranking_metric_table(df: DataFrame, prediction: str, label: str, tiebreak: list[str],
+                         raw_score: bool = False) -> DataFrame:
     """ME1/ME2 as a one-row table: ``amex``, ``default_rate`` (d) and
     ``gini`` (normalised G). NULL when a class is absent."""
     p = sigmoid(col(prediction)) if raw_score else col(prediction)
     y = col(label).cast("double")
-    base = df.select(p.alias("__p"), y.alias("__y"), *[col(t) for t in (tiebreak or [])])
+    base = df.select(p.alias("__p"), y.alias("__y"), *[col(t) for t in tiebreak])
     w = F.lit(NEG_WEIGHT) - F.lit(NEG_WEIGHT - 1.0) * F.col("__y")
-    order = [F.col("__p").desc()] + [col(t).asc() for t in (tiebreak or [])]
+    order = best_first(F.col("__p"), tiebreak)
     tot: dict = {}
     scanned = ordered_scan(base.withColumn("__w", w), order, sums={"__cw": F.col("__w"), "__cy": F.col("__y")},
                            totals=tot)
@@ -56,21 +64,21 @@ def ranking_metric_table(df: DataFrame, prediction: str = "prediction", label: s
                       F.col("g").alias("gini"))
 
 
-def ranking_metric_by(df: DataFrame, by: str, prediction: str = "prediction", label: str = "target",
-                      tiebreak: list[str] | None = None, raw_score: bool = False) -> DataFrame:
+def ranking_metric_by(df: DataFrame, by: str, prediction: str, label: str, tiebreak: list[str],
+                      raw_score: bool = False) -> DataFrame:
     """ME1 per group (e.g. per cross-validation fold) in one pass: a scan
     segmented by ``by`` plus one aggregate of class totals per group.
     Output: (by, amex, default_rate, gini); NULL where a class is absent."""
     p = sigmoid(col(prediction)) if raw_score else col(prediction)
     base = df.select(col(by), p.alias("__p"), col(label).cast("double").alias("__y"),
-                     *[col(t) for t in (tiebreak or [])])
+                     *[col(t) for t in tiebreak])
     w = F.lit(NEG_WEIGHT) - F.lit(NEG_WEIGHT - 1.0) * F.col("__y")
-    order = [F.col("__p").desc()] + [col(t).asc() for t in (tiebreak or [])]
+    order = best_first(F.col("__p"), tiebreak)
     scanned = ordered_scan(base.withColumn("__w", w), order, segment=by,
                            sums={"__cw": F.col("__w"), "__cy": F.col("__y")})
-    totals = base.groupBy(col(by)).agg(F.sum("__y").alias("__np"),
-                                       (F.count(F.lit(1)) - F.sum("__y")).alias("__nn"))
-    j = scanned.join(totals, on=by, how="inner")
+    totals = base.groupBy(col(by).alias("__by")).agg(F.sum("__y").alias("__np"),
+                                                     (F.count(F.lit(1)) - F.sum("__y")).alias("__nn"))
+    j = scanned.join(totals, col(by).eqNullSafe(F.col("__by")), "left").drop("__by")
     tw = F.col("__np") + F.lit(NEG_WEIGHT) * F.col("__nn")
     W = F.col("__cw") / tw
     L = F.try_divide(F.col("__cy"), F.col("__np"))
@@ -85,14 +93,15 @@ def ranking_metric_by(df: DataFrame, by: str, prediction: str = "prediction", la
                       F.when(ok, F.col("__d")).alias("default_rate"), F.when(ok, F.col("__g")).alias("gini"))
 
 
-def ranking_metric(df: DataFrame, prediction: str = "prediction", label: str = "target",
-                   tiebreak: list[str] | None = None, raw_score: bool = False) -> float | None:
+def ranking_metric(df: DataFrame, prediction: str, label: str, tiebreak: list[str],
+                   raw_score: bool = False) -> float | None:
     """ME1/ME2 as a number."""
     return ranking_metric_table(df, prediction, label, tiebreak, raw_score).collect()[0]["amex"]
 
 
 class RankingMetricEvaluator(Evaluator):
-    """ME3: the metric as an MLlib evaluator (larger is better). With
+    """ME3: the metric as an MLlib evaluator (larger is better).
+    ``tiebreakCols`` order rows with one prediction and must be given. With
     ``rawScore=True`` the sigmoid is applied to the prediction first."""
 
     predictionCol = Param(Params._dummy(), "predictionCol", "score column", TypeConverters.toString)
@@ -103,6 +112,8 @@ class RankingMetricEvaluator(Evaluator):
     def __init__(self, predictionCol: str = "probability_1", labelCol: str = "label",
                  rawScore: bool = False, tiebreakCols: list[str] | None = None):
         super().__init__()
+        if not tiebreakCols:
+            raise ValueError("give tiebreakCols: they order rows with one prediction")
         self._setDefault(predictionCol="probability_1", labelCol="label", rawScore=False, tiebreakCols=[])
         self._set(predictionCol=predictionCol, labelCol=labelCol, rawScore=rawScore,
                   tiebreakCols=list(tiebreakCols or []))
@@ -116,11 +127,6 @@ class RankingMetricEvaluator(Evaluator):
         return True
 
 
-def predict_proba(df: DataFrame, raw: str, name: str = "prediction") -> DataFrame:
-    """ME4: probability = sigmoid(raw model score)."""
-    return df.withColumn(name, sigmoid(col(raw)))
-
-
 def loss_columns(df: DataFrame, target: str, raw: str, beta: float = 2.0, eps: float = 1e-7) -> DataFrame:
     """ME5/ME6 per row: probability, clipped cross-entropy with its
     gradient and Hessian in p, the logistic gradient/Hessian in the raw
@@ -139,8 +145,3 @@ def loss_columns(df: DataFrame, target: str, raw: str, beta: float = 2.0, eps: f
         "beta_hess": beta_hess(t, col(raw), beta),
     })
 
-
-def mean_loss(df: DataFrame, target: str, p: Column, by: list[str] | None = None, eps: float = 1e-7) -> DataFrame:
-    """Average log-likelihood per group."""
-    t = col(target).cast("double")
-    return df.groupBy(*(by or [])).agg(F.avg(cross_entropy(t, p, eps)).alias("mean_ce"))

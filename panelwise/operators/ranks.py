@@ -24,49 +24,62 @@ def key_counts(df: DataFrame, key: str, name: str = COUNT_COLUMN) -> DataFrame:
 
 
 def latest_periods(df: DataFrame, spec: PanelSpec, counts: DataFrame | None = None,
-                   with_count: bool = True) -> DataFrame:
-    """RN1: keep the most recent ``spec.periods`` statements of every key,
-    add ``total_number`` (all statements of the key) and ``rank`` so that the
-    latest statement has rank ``periods`` and earlier ones count down.
+                   with_count: bool = True, before: int = 0) -> DataFrame:
+    """The most recent ``spec.periods`` statements of every key and, with
+    ``before``, that many earlier ones (for lags), ranked as by ``add_rank``;
+    ``total_number`` counts all statements of the key.
 
     Output columns: key, rank, the other columns, total_number (left out
     with ``with_count=False``, which also drops the count join)."""
     p = spec.periods
     w = Window.partitionBy(col(spec.key)).orderBy(*spec.order_columns(descending=True))
-    bounded = spec.bounded
-    if bounded is None:
-        # one map-side combined job over the key column; when every key fits
-        # in ``periods`` rows the limit (and its map-side sort) is not needed
-        counts = counts if counts is not None else key_counts(df, spec.key)
-        longest = counts.agg(F.max(COUNT_COLUMN)).first()[0]
-        bounded = longest is None or longest <= p
     top = df.withColumn(_RN, F.row_number().over(w))
-    if not bounded:
+    if not spec.bounded:
         # planned as a partial group limit before the shuffle: a hot key sends
-        # at most ``periods`` rows per map task
-        top = top.filter(F.col(_RN) <= p)
+        # at most ``periods + before`` rows per map task
+        top = top.filter(F.col(_RN) <= p + before)
     top = top.withColumn(RANK_COLUMN, (F.lit(p + 1) - F.col(_RN)).cast("int"))
     rest = [c for c in df.columns if c not in (spec.key, RANK_COLUMN)]
     if not with_count:
         return top.select(spec.key, RANK_COLUMN, *[col(c) for c in rest])
     counts = counts if counts is not None else key_counts(df, spec.key)
-    top = top.join(counts.select(spec.key, COUNT_COLUMN), on=spec.key, how="inner")
+    counts = counts.select(col(spec.key).alias("__key"), COUNT_COLUMN)
+    top = top.join(counts, col(spec.key).eqNullSafe(F.col("__key")), "left").drop("__key")
     return top.select(spec.key, RANK_COLUMN, *[col(c) for c in rest], COUNT_COLUMN)
 
 
+def add_rank(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """RN1: every statement with its rank in its key, counted so that the
+    latest has rank ``periods``; statements before the first period have
+    ranks 0, -1, ... Adds ``total_number``, the key's statements.
+
+    Positions come from the ordered scan, so a hot key is spread over tasks;
+    they are counted from the first statement and shifted by the count."""
+    order = spec.order_columns()
+    scanned = ordered_scan(df, order, segment=spec.key, count="__pos")
+    counts = key_counts(df, spec.key).withColumnRenamed(spec.key, "__key")
+    j = scanned.join(counts, col(spec.key).eqNullSafe(F.col("__key")), "left").drop("__key")
+    rank = (F.col("__pos") - F.col(COUNT_COLUMN) + F.lit(spec.periods)).cast("int").alias(RANK_COLUMN)
+    rest = [c for c in df.columns if c not in (spec.key, RANK_COLUMN)]
+    return j.select(spec.key, rank, *[col(c) for c in rest], COUNT_COLUMN)
+
+
 def full_ranks(df: DataFrame, spec: PanelSpec, counts: DataFrame | None = None) -> DataFrame:
-    """RN2: RN1 padded to exactly ranks 1..periods per key; the missing
-    earliest periods are rows of NULLs (rank and key filled in).
+    """RN2: RN1 padded so that every key has all ranks 1..periods; a missing
+    period is a row of NULLs (rank and key filled in). No statement is lost:
+    ranks below 1 stay.
 
     The key x rank grid is generated from the one-row-per-key count table
     with ``sequence``+``explode`` (no cross join)."""
-    if counts is None:
-        counts = key_counts(df, spec.key)
-    ranked = latest_periods(df, spec, counts)
-    grid = counts.select(col(spec.key),
-                         F.explode(F.sequence(F.lit(1), F.lit(spec.periods))).alias(RANK_COLUMN))
-    out = grid.join(ranked, on=[spec.key, RANK_COLUMN], how="left")
-    return out.select(spec.key, RANK_COLUMN, *[c for c in ranked.columns if c not in (spec.key, RANK_COLUMN)])
+    ranked = add_rank(df, spec)
+    counts = counts if counts is not None else key_counts(df, spec.key)
+    grid = counts.select(col(spec.key).alias("__key"),
+                         F.explode(F.sequence(F.lit(1), F.lit(spec.periods))).alias("__rank"))
+    out = ranked.join(grid, col(spec.key).eqNullSafe(F.col("__key")) & (F.col(RANK_COLUMN) == F.col("__rank")), "full")
+    rest = [c for c in ranked.columns if c not in (spec.key, RANK_COLUMN)]
+    padded = F.col("__rank").isNotNull()  # the grid's key stands for a NULL key too
+    return out.select(F.when(padded, F.col("__key")).otherwise(col(spec.key)).alias(spec.key),
+                      F.coalesce(RANK_COLUMN, "__rank").alias(RANK_COLUMN), *[col(c) for c in rest])
 
 
 def add_index(df: DataFrame, order: list, name: str = "index") -> DataFrame:
@@ -85,7 +98,8 @@ def index_and_count(df: DataFrame, key: str, order: list, name: str = "index",
         with_idx = with_idx.withColumn(name, F.col("__isum").cast(df.schema[name].dataType)).drop("__isum")
     else:
         with_idx = add_index(df, order, name=name)
-    return with_idx.join(counts, on=key, how="inner")
+    counts = counts.withColumnRenamed(key, "__key")
+    return with_idx.join(counts, col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
 
 
 def rank_df(df: DataFrame, key: str, order: list[str], rank: str = RANK_COLUMN,

@@ -73,7 +73,8 @@ def _as_sort(c) -> Column:
 
 def materialize(df: DataFrame, name: str = "scan") -> DataFrame:
     """Cut the lineage: write ``df`` as a Parquet table in a fresh folder
-    under the session's reliable checkpoint directory and read it back.
+    under the session's reliable checkpoint directory and read it back
+    (``session.clear_scratch`` removes such folders).
     Columnar and compressed (smaller than an RDD checkpoint), and later
     reads prune columns and push filters down. Names are written as
     positional ``c{i}`` because Parquet forbids some characters in names."""
@@ -110,15 +111,12 @@ def _local_scan(seg: str | None, sum_cols: list[str], lag_cols: list[str]):
 def _scan_batch(rb, n, st, seg, sum_cols, lag_cols):
     started = st["started"]
     if seg is not None:
-        s = rb.column(seg).to_pandas()
-        prev = s.shift(1)
-        if started:
-            prev.iloc[0] = st["last_seg"]
-        same = ((s == prev) | (s.isna() & prev.isna())).to_numpy(dtype=bool)
+        s = rb.column(seg)
+        head = st["last_seg"] if started else s.slice(0, 1)
+        changed = ~_equal(s, pa.concat_arrays([head, s.slice(0, n - 1)]))
         if not started:
-            same[0] = False
-        changed = ~same
-        st["last_seg"] = s.iloc[-1]
+            changed[0] = True
+        st["last_seg"] = s.slice(n - 1, 1)
     else:
         changed = np.zeros(n, dtype=bool)
         changed[0] = not started
@@ -144,10 +142,10 @@ def _scan_batch(rb, n, st, seg, sum_cols, lag_cols):
     out[_P + "cnt"] = pa.array(cnt)
 
     for i, c in enumerate(sum_cols):
-        v = rb.column(c).to_numpy(zero_copy_only=False)
-        v = np.nan_to_num(np.asarray(v, dtype=np.float64), nan=0.0)
-        cs = pd.Series(v).groupby(gid).cumsum().to_numpy()
-        cs[cont] += st["sums"][i]
+        v = pc.fill_null(rb.column(c), 0.0).to_numpy(zero_copy_only=False)  # NULL adds nothing, NaN stays
+        cs = _running(v, gid)
+        with np.errstate(invalid="ignore"):  # inf - inf is NaN, as in any sum
+            cs[cont] += st["sums"][i]
         st["sums"][i] = float(cs[-1])
         out[_P + "sum" + str(i)] = pa.array(cs)
 
@@ -162,6 +160,32 @@ def _scan_batch(rb, n, st, seg, sum_cols, lag_cols):
     return out
 
 
+def _equal(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Element-wise equality on the original type, as Spark groups: NULL
+    equals NULL, NaN equals NaN, -0.0 equals 0.0."""
+    if pa.types.is_nested(a.type):
+        return np.array([x == y for x, y in zip(a.to_pylist(), b.to_pylist())], dtype=bool)
+    same = pc.fill_null(pc.equal(a, b), False)
+    both = pc.and_(pc.is_null(a), pc.is_null(b))
+    if pa.types.is_floating(a.type):
+        both = pc.or_(both, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+    return pc.or_(same, both).to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _running(v: np.ndarray, gid: np.ndarray) -> np.ndarray:
+    """Running sums that restart with ``gid``; a NaN or infinity spoils the
+    rest of its own group only."""
+    finite = np.isfinite(v)
+    out = pd.Series(np.where(finite, v, 0.0)).groupby(gid).cumsum().to_numpy().copy()
+    if not finite.all():
+        by = lambda flag: pd.Series(flag.astype(np.int64)).groupby(gid).cumsum().to_numpy() > 0
+        up, down, nan = by(v == np.inf), by(v == -np.inf), by(np.isnan(v))
+        out[up] = np.inf
+        out[down] = -np.inf
+        out[nan | (up & down)] = np.nan
+    return out
+
+
 def _emit(rb, cols, last):
     n = rb.num_rows
     flag = np.zeros(n, dtype=bool)
@@ -244,7 +268,7 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
         c_rows += int(r[_P + "pos"]) + 1
         seg_val = r[segment] if segment else None
         single = bool(r[_P + "first"])
-        if have and single and (seg_val == c_seg):
+        if have and single and (seg_val == c_seg or (seg_val != seg_val and c_seg != c_seg)):
             c_cnt += int(r[_P + "cnt"])
             c_sums = [a + float(r[_P + "sum" + str(i)]) for i, a in enumerate(c_sums)]
         else:

@@ -3,7 +3,7 @@
 None of them sorts the table into one task: positions come from the
 distributed scan, over the row table or over the one-row-per-key table.
 The only driver work is a handful of scalar look-ups (row counts, at most
-``n`` chunk boundaries, one row per class).
+``n`` chunk boundaries).
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from ..spec import col
 from .scan import ordered_scan
 
-MAX_CLASSES = 10_000
-
 
 def permutation_key(columns: list[str], seed: int = 1) -> Column:
     """Default shuffle order: a seeded 64-bit hash of the given columns."""
@@ -64,43 +62,51 @@ def boundary_split(df: DataFrame, key: str, train_fraction: float = 0.75) -> tup
 
 def boundary_labels(df: DataFrame, key: str, train_fraction: float = 0.75,
                     name: str = "__train") -> DataFrame:
+    """The cut is one key, found in the one-row-per-key table; every row is
+    labelled by comparing its key with it, without a join. NULL keys sort first."""
     tot: dict = {}
     starts = key_starts(df, key, tot)
-    cut = int(train_fraction * int(tot["__cum"]))
-    flags = starts.select(col(key), (F.col("start") < F.lit(cut)).alias(name))
-    return df.join(flags, on=key, how="inner")
-
-
-def chunk_boundaries(starts: DataFrame, n_rows: int, n: int) -> list[int]:
-    """Greedy chunk starts: from start p, a chunk runs to the end of the key
-    that holds row ``p + n_rows // n``; the last chunk ends at the table's
-    end. At most ``n`` look-ups, each a filter on the one-row-per-key table."""
-    step = n_rows // n
-    bounds = [0]
-    p = 0
+    cut = int(train_fraction * int(tot.get("__cum") or 0))
+    first = _first_key(starts, key, F.col("start") >= cut)
+    if cut <= 0:
+        return df.withColumn(name, F.lit(False))
+    return df.withColumn(name, _before(key, first))
+
+
+def _first_key(starts: DataFrame, key: str, condition: Column):
+    """(key, start) of the first key in order that meets ``condition``, or None."""
+    r = starts.where(condition).agg(F.min(F.struct(F.col("start").alias("s"), col(key).alias("k"))).alias("m")).first()["m"]
+    return None if r is None else (r["k"], int(r["s"]))
+
+
+def _before(key: str, bound) -> Column:
+    """Whether a row's key is below the bound's; NULL keys are below all others."""
+    return F.lit(True) if bound is None else F.coalesce(col(key) < F.lit(bound[0]), F.lit(True))
+
+
+def chunk_bounds(starts: DataFrame, key: str, n_rows: int, n: int) -> list[tuple]:
+    """(first key, first row) of every chunk but the first. From row p a
+    chunk runs to the end of the key that holds row ``p + n_rows // n``: the next
+    one begins with the first key that starts later. One look-up a chunk, on
+    the one-row-per-key table."""
+    step, p, bounds = n_rows // n, 0, []
     while True:
-        t = p + step
-        if t + 1 >= n_rows:
-            break
-        row = starts.where((F.col("start") <= t) & (F.col("end") >= t)).select("end").first()
-        e = int(row["end"])
-        if e + 1 >= n_rows:
-            break
-        p = e + 1
-        bounds.append(p)
-    return bounds
+        found = _first_key(starts, key, F.col("start") > p + step)
+        if found is None:
+            return bounds
+        bounds.append(found)
+        p = found[1]
 
 
 def chunk_labels(df: DataFrame, key: str, n: int = 5, name: str = "chunk") -> DataFrame:
-    """SP3: label every row with its chunk number (0-based)."""
+    """SP3: label every row with its chunk number (0-based), by comparing its
+    key with the chunks' first keys."""
     tot: dict = {}
     starts = key_starts(df, key, tot)
-    bounds = chunk_boundaries(starts, int(tot["__cum"]), n)
     chunk = F.lit(0)
-    for i, b in enumerate(bounds[1:], start=1):
-        chunk = F.when(F.col("start") >= F.lit(b), F.lit(i)).otherwise(chunk)
-    labels = starts.select(col(key), chunk.cast("int").alias(name))
-    return df.join(labels, on=key, how="inner")
+    for bound in chunk_bounds(starts, key, int(tot.get("__cum") or 0), n):
+        chunk = chunk + F.when(_before(key, bound), F.lit(0)).otherwise(F.lit(1))
+    return df.withColumn(name, chunk.cast("int"))
 
 
 def stratified_folds(df: DataFrame, label: str, order: list[str], k: int = 5, name: str = "fold") -> DataFrame:
@@ -109,36 +115,27 @@ def stratified_folds(df: DataFrame, label: str, order: list[str], k: int = 5, na
     round-robin to the folds, and each class's rows (in ``order``) fill its
     folds in contiguous blocks.
 
-    Work: one aggregate per class (bounded by ``MAX_CLASSES``), one
-    segmented scan for the within-class position."""
+    Work: one aggregate per class, a scan of the classes for their place in
+    the sorted list and a segmented scan of the rows for their place in their class.
+    Rows meet their class in an ordinary join, so any number of classes
+    works; a NULL label is a class."""
     first = F.struct(*[col(o) for o in order])
-    classes = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("__n"), F.min(first).alias("__first"))
-    rows = classes.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError("too many classes for a stratified split")
-    rows.sort(key=lambda r: r["__first"])
-    starts, s = [], 0
-    for r in rows:
-        starts.append((r[label], s, int(r["__n"])))
-        s += int(r["__n"])
-    spark = df.sparkSession
-    ltype = df.schema[label].dataType.simpleString()
-    cls = spark.createDataFrame(starts, f"`{label}` {ltype}, __S long, __N long")
+    classes = df.groupBy(col(label).alias("__label")).agg(F.count(F.lit(1)).alias("__N"), F.min(first).alias("__first"))
+    classes = ordered_scan(classes, [F.col("__first")], sums={"__end": F.col("__N")})
+    classes = classes.select("__label", (F.col("__end").cast("long") - F.col("__N")).alias("__S"), "__N")
     scanned = ordered_scan(df, [col(o) for o in order], segment=label, count="__r")
-    scanned = scanned.join(F.broadcast(cls), on=label, how="inner")
+    scanned = scanned.join(classes, col(label).eqNullSafe(F.col("__label")), "left")
     r0 = F.col("__r") - F.lit(1)
 
-    def cnt(m: Column, i: int) -> Column:
-        # number of j in [0, m) with j % k == i
-        return F.greatest(F.lit(0), F.floor((m - F.lit(i) + F.lit(k - 1)) / F.lit(k)))
+    def dealt(m: Column, fold: int) -> Column:
+        # cards a fold has after m were dealt
+        return F.floor((m + F.lit(k - 1 - fold)) / F.lit(k))
 
-    hi = F.col("__S") + F.col("__N")
-    fold = F.lit(0)
-    acc = F.lit(0)
+    fold, upto = F.lit(0), F.lit(0)
     for f in range(k - 1):
-        acc = acc + (cnt(hi, f) - cnt(F.col("__S"), f))
-        fold = fold + F.when(r0 >= acc, F.lit(1)).otherwise(F.lit(0))
-    return scanned.withColumn(name, fold.cast("int")).drop("__r", "__S", "__N")
+        upto = upto + dealt(F.col("__S") + F.col("__N"), f) - dealt(F.col("__S"), f)
+        fold = fold + F.when(r0 >= upto, F.lit(1)).otherwise(F.lit(0))
+    return scanned.withColumn(name, fold.cast("int")).drop("__r", "__S", "__N", "__label")
 
 
 def write_boundary_split(df: DataFrame, key: str, path: str, train_fraction: float = 0.75,

@@ -12,38 +12,20 @@ from ..spec import CALENDAR_COLUMNS, SPAN_COLUMN, col, q
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-# Largest sorted dictionary per text column that key_stats inlines: a value's
-# code is its position in a literal array, looked up by a linear scan.
-MAX_DICTIONARY_VALUES = 256
-
-
 def key_stats(df: DataFrame, key: str, categorical=(), numeric=None,
-              date: str | None = "date", with_count: str | None = None,
-              max_dictionary_values: int = MAX_DICTIONARY_VALUES) -> DataFrame:
+              date: str | None = "date", with_count: str | None = None) -> DataFrame:
     """AG1 + AG2: per key ``min_ max_ std_ var_ sum_`` of the numeric
     columns (sample std/var), ``min_ max_`` of the categorical ones and the
     span ``days_from_first_to_last_payment``. Output order: all min, all
     max, all std, all var, all sum, categorical min, categorical max, span.
     ``with_count`` adds the row count per key under that name (last).
 
-    ``min``/``max`` of a text column would turn the whole aggregate into a
-    sort aggregate (text buffers are not fixed-width), i.e. a sort of every
-    input row on the map side. Text categoricals are therefore aggregated as
-    their 1-based position in the column's sorted distinct values (one
-    narrow distinct job, collected only within ``max_dictionary_values`` per
-    column) and mapped back after the aggregate, which keeps the exact
-    result in a hash aggregate. Beyond the bound the text is aggregated
-    as is."""
+    One aggregate and one read; text is compared by its UTF-8 bytes."""
     if numeric is None:
         ex = set(categorical) | set(CALENDAR_COLUMNS) | {key}
         numeric = [f.name for f in df.schema.fields
                    if f.name not in ex and isinstance(f.dataType, _NUMERIC)]
     cats = [c for c in categorical if c in df.columns]
-    texts = [c for c in cats if isinstance(df.schema[c].dataType, T.StringType)]
-    dictionaries = _sorted_dictionaries(df, texts, max_dictionary_values) if texts else {}
-    lits = {c: F.array(*[F.lit(v) for v in vals]).cast("array<string>") for c, vals in dictionaries.items()}
-    if lits:
-        df = df.withColumns({c: F.array_position(arr, col(c)).cast("int") for c, arr in lits.items()})
     aggs = []
     for fn, name in (("min", "min_"), ("max", "max_"), ("stddev_samp", "std_"), ("var_samp", "var_"),
                      ("sum", "sum_")):
@@ -54,29 +36,7 @@ def key_stats(df: DataFrame, key: str, categorical=(), numeric=None,
         aggs.append(F.datediff(F.max(col(date)), F.min(col(date))).alias(SPAN_COLUMN))
     if with_count:
         aggs.append(F.count(F.lit(1)).cast("int").alias(with_count))
-    out = df.groupBy(col(key)).agg(*aggs)
-    if lits:
-        out = out.withColumns({f"{fn}_{c}": F.element_at(arr, col(f"{fn}_{c}"))
-                               for c, arr in lits.items() for fn in ("min", "max")})
-    return out
-
-
-def _sorted_dictionaries(df: DataFrame, columns: list[str], max_values: int) -> dict[str, list[str]]:
-    """Sorted distinct non-NULL values of text columns (Spark's text order is
-    UTF-8 byte order), from one map-side combined distinct over the narrow
-    columns. Empty when together they exceed ``max_values`` per column."""
-    from .encode import bounded_collect
-    long = (df.select(*[col(c) for c in columns]).unpivot([], columns, "column", "value")
-            .where(F.col("value").isNotNull()).distinct())
-    rows = bounded_collect(long, max_values * len(columns))
-    if rows is None:
-        return {}
-    by_col: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
-        by_col[r["column"]].append(r["value"])
-    if any(len(v) > max_values for v in by_col.values()):
-        return {}
-    return {c: sorted(v, key=lambda s: s.encode("utf-8")) for c, v in by_col.items()}
+    return df.groupBy(col(key)).agg(*aggs)
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:

@@ -1,25 +1,25 @@
 """PL1: the panel feature build - many dated statements per key in, one
 wide feature row per key out.
 
-Plan shape (``explain`` it): the statement table is read once per branch
-with pruned columns.
-* stats branch: partial aggregate -> exchange on key -> final aggregate;
-* feature branch: partial top-``periods`` limit per key -> exchange on key
-  -> window limit -> join with the per-key count (already partitioned on the
-  key) -> lag window -> pivot -> join with the stats; the window, the pivot
-  aggregate and both joins reuse that one hash partitioning.
-The optional encoder fit is a narrow extra job over the categorical columns
-of the long panel (distinct values only).
+The statement table is read twice, with pruned columns:
+* statistics: partial aggregate -> exchange on key -> final aggregate;
+* statements: partial top-(``periods`` + 2) limit per key -> exchange on key
+  -> window limit -> lag windows. The result, at most ``periods`` + 2 rows per
+  key, is written once to the scratch folder; the encoder is fitted from it
+  and the pivot reads it, so neither repeats the windows.
+
+Category codes are applied to that long panel, before the pivot, in one way
+for the wide and the array form and for fitted and loaded mappings.
 
 Deviations from the reference, all deliberate:
-* statements beyond the latest ``periods`` of a key are not ranked (the
-  reference's 8-bit rank wraps around); they still count in the statistics
-  and in ``total_number``;
+* the two statements before the first period are ranked (0, -1) and feed the
+  lags of period 1 and the lags of its day gap; earlier ones are not needed by
+  any feature. All statements count in the statistics and in ``total_number``;
 * the key x rank padding grid is not materialised: padding only adds rows
   before the first real one, so lags on real rows are unchanged and the
   pivot yields the same NULLs. ``diff_rank``/``ratio_rank`` - the only lag
   columns that see the padding - are emitted as the values the padded grid
-  gives (1 and r/(r-1) for r >= 2);
+  gives; ``filter_fill_null`` also fills the periods that a key lacks;
 * NaN inputs become NULL before the statistics (Spark orders NaN above all
   numbers, which would change min/max).
 """
@@ -30,15 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.calendar import cast_dates, days_between
-from ..operators.clean import drop_first_period, filter_features, narrow_doubles, nans_to_nulls
-from ..operators.encode import apply_mapping, apply_mapping_by_rank, load_mapping, save_mapping
+from ..operators.clean import filter_features, narrow_doubles, nans_to_nulls
+from ..operators.encode import (_long_values, apply_mapping, apply_mapping_by_rank, codes_from_distinct, load_mapping,
+                                save_mapping)
 from ..operators.lags import diff_ratio, pairwise_gaps
 from ..operators.pivot import pivot_periods, pivot_to_array
 from ..operators.ranks import latest_periods
+from ..operators.scan import materialize
 from ..operators.stats import key_stats
-from ..spec import (COUNT_COLUMN, DEFAULT_BALANCE_COLUMNS, DEFAULT_PAYMENT_COLUMNS, RANK_COLUMN,
-                    PanelSpec, categorical_columns, col, q)
-from ..operators.encode import _long_values, codes_from_distinct
+from ..spec import (COUNT_COLUMN, DEFAULT_BALANCE_COLUMNS, DEFAULT_PAYMENT_COLUMNS, RANK_COLUMN, SIGNED_INT_TYPES,
+                    PanelSpec, categorical_columns, col, dtype_columns, q)
 
 
 def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFrame | None = None, *,
@@ -71,7 +72,7 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
     # the pivot from the statistics' row count, so the statement branch needs
     # no count join before its windows; a NULL placeholder keeps the column
     # order of the reference
-    panel = latest_periods(df.drop(*spec.drop), ordered, with_count=False).drop(*spec.order)
+    panel = latest_periods(df.drop(*spec.drop), ordered, with_count=False, before=2).drop(*spec.order)
     panel = panel.withColumn(COUNT_COLUMN, F.lit(None).cast("int"))
     w_order = [RANK_COLUMN]
     if add_diff_dates:
@@ -95,57 +96,63 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
     panel = nans_to_nulls(panel)
 
     all_values = [c for c in panel.columns if c not in (key, RANK_COLUMN)]
-    panel = panel.drop(*const_rank_lags, *derived)
-    values = [c for c in all_values if c not in const_rank_lags and c not in derived]
-    pre_encoded: list[str] = []
+    special = [*const_rank_lags, *derived]
+    panel = panel.drop(*special)
+    values = [c for c in all_values if c not in special]
+    periods = range(1, spec.periods + 1)
+    panel = materialize(panel, "panel")
+    # the fill covers whole integer columns, so also the periods a key lacks
+    fill = run_filter and filter_fill_null
+    filled = {c for c in dtype_columns(panel, *SIGNED_INT_TYPES) if c in values} if fill else set()
+    filled -= set(categorical_columns(panel, "both", spec.categorical))
     if encode:
-        # the wide names the prefix rule will pick, and the long columns they come from
-        wide_names = [f"{c}_{r}" for c in values for r in range(1, spec.periods + 1)]
-        enc_wide = set(categorical_columns(wide_names, "both", spec.categorical))
-        enc_long = [c for c in values if any(f"{c}_{r}" in enc_wide for r in range(1, spec.periods + 1))]
+        # the wide names the prefix rule picks, and the long columns they come from
+        coded = set(categorical_columns([f"{c}_{r}" for c in values for r in periods], "both", spec.categorical))
+        long_coded = [c for c in values if any(f"{c}_{r}" in coded for r in periods)]
+        also = [] if target is None else [c for c in categorical_columns(target, "both", spec.categorical) if c != key]
+        unknown = "missing" if mapping is None or handle_unknown_encodings else "error"
         if mapping is None:
-            mapping = _fit_wide_mapping(panel, None, key, values, spec.periods, sorted(enc_wide))
+            labels = target.join(stats.select(key), key, "left_semi") if also else None
+            mapping = _fit_mapping(panel, long_coded, labels, also, spec.periods)
             if save_mapping_to:
                 save_mapping(mapping, save_mapping_to)
                 mapping = load_mapping(panel.sparkSession, save_mapping_to)
-            unknown = "missing"
-        else:
-            unknown = "missing" if handle_unknown_encodings else "error"
-        if enc_long and (unknown == "missing"):
-            coded = apply_mapping_by_rank(panel, mapping, enc_long, RANK_COLUMN, spec.periods)
-            if coded is not None:
-                panel, pre_encoded = coded, [f"{c}_{r}" for c in enc_long for r in range(1, spec.periods + 1)]
-    if as_array:
-        if not encode and any(t == "string" for c, t in panel.dtypes if c in values):
-            raise ValueError("as_array needs numeric values: keep encode=True")
-        wide, _ = pivot_to_array(panel, key, RANK_COLUMN, spec.periods, values)
-        const_rank_lags, derived, pre_encoded, wide_names = [], [], [], []
+            elif long_coded or also:
+                mapping = materialize(mapping, "mapping")
+        panel = apply_mapping_by_rank(panel, mapping, long_coded, RANK_COLUMN, spec.periods, unknown)
     else:
-        wide = pivot_periods(panel, key, RANK_COLUMN, spec.periods, values)
+        long_coded, also = [], []
+        if as_array and any(kind == "string" for c, kind in panel.dtypes if c in values):
+            raise ValueError("as_array needs numeric values: keep encode=True")
+
+    def cell(c: str, r: int, value: str) -> str:
+        if c in special:
+            return _derived(c, r, spec.periods, const_rank_lags, fill)
+        if c in long_coded:
+            return f"coalesce({value}, CAST('NaN' AS FLOAT))"
+        return f"coalesce({value}, -1)" if c in filled else value
+
+    wide = (pivot_to_array(panel, key, RANK_COLUMN, spec.periods, values)[0] if as_array
+            else pivot_periods(panel, key, RANK_COLUMN, spec.periods, values))
     # per-key row count: from the statistics when they are joined anyway
-    counted = stats if add_stats else stats.select(key, COUNT_COLUMN)
-    wide = wide.join(counted, on=key, how="inner")
-    if const_rank_lags or derived:
-        wide = _with_derived_columns(wide, key, all_values, const_rank_lags, derived, spec.periods)
-    if not as_array:
-        wide = wide.drop(COUNT_COLUMN)  # the array form keeps the count as a plain column
-    if pre_encoded:
-        pe = set(pre_encoded)
-        wide = wide.selectExpr(*[f"coalesce({q(c)}, CAST('NaN' AS FLOAT)) AS {q(c)}" if c in pe else q(c)
-                                 for c in wide.columns])
-    if drop_first:
-        wide = drop_first_period(wide)
+    counted = (stats if add_stats else stats.select(key, COUNT_COLUMN)).withColumnRenamed(key, "__key")
+    wide = wide.join(counted, col(key).eqNullSafe(F.col("__key")), "inner").drop("__key")
+    rest = [c for c in wide.columns if c not in (key, COUNT_COLUMN, "features") and (as_array or c in counted.columns)]
+    keep = [c for c in all_values if not (drop_first and c.startswith(("diff_", "ratio_")))]
+    cells = [(c, r) for c in all_values for r in periods if c in keep or r > 1]
+    if as_array:
+        at = {c: i for i, c in enumerate(values)}
+        parts = [f"CAST({cell(c, r, f'features[{at.get(c, 0) * spec.periods + r - 1}]')} AS FLOAT)" for c, r in cells]
+        wide = wide.selectExpr(q(key), f"array({', '.join(parts)}) AS features", *[q(c) for c in rest])
+        wide = wide.withMetadata("features", {"names": [f"{c}_{r}" for c, r in cells]})
+    else:
+        wide = wide.selectExpr(q(key), *[f"{cell(c, r, q(f'{c}_{r}'))} AS {q(f'{c}_{r}')}" for c, r in cells],
+                               *[q(c) for c in rest])
     if target is not None:
-        wide = wide.join(target, on=key, how="left")
-
-    if encode:
-        enc_cols = [c for c in categorical_columns(wide, "both", spec.categorical) if c not in set(pre_encoded)]
-        if enc_cols:
-            rest = [c for c in enc_cols if c not in set(wide_names)]
-            if rest and mapping is not None and unknown == "missing":
-                mapping = mapping.unionByName(_fit_wide_mapping(None, wide, key, [], spec.periods, rest))
-            wide = apply_mapping(wide, mapping, enc_cols, missing=float("nan"), dtype="float",
-                                 handle_unknown=unknown)
+        labels = target.withColumnRenamed(key, "__key")
+        wide = wide.join(labels, col(key) == F.col("__key"), "left").drop("__key")
+        if also:
+            wide = apply_mapping(wide, mapping, also, missing=float("nan"), dtype="float", handle_unknown=unknown)
     if cast_f32:
         wide = narrow_doubles(wide)
     if drop_key:
@@ -156,62 +163,52 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
 run = build_features
 
 
-def _with_derived_columns(wide: DataFrame, key: str, all_values: list[str], consts: list[str],
-                          derived: list[str], periods: int) -> DataFrame:
-    """Pivoted columns that need no pivot, placed where the pivot would have
-    put them:
-    * ``diff_rank_r`` = 1 and ``ratio_rank_r`` = r/(r-1) for r >= 2, NULL for
-      r = 1 (the lags of the rank on the padded grid);
-    * ``total_number_r`` = the key's row count n for the periods it has
-      (r >= first = periods - min(n, periods) + 1), its difference 0 and ratio
-      1 for r > first, NULL elsewhere (a per-key constant and its lags)."""
+def feature_names(features: DataFrame) -> list[str]:
+    """Names of the elements of an ``as_array`` result's ``features``."""
+    return list(features.schema["features"].metadata["names"])
+
+
+def _derived(c: str, r: int, periods: int, consts: list[str], fill: bool) -> str:
+    """A pivoted column that needs no pivot, as SQL over the key's count n:
+
+    * lags of the rank on the padded grid: ``diff_rank_r`` = 1 and
+      ``ratio_rank_r`` = r/(r-1) for r >= 2; for r = 1 the difference is 1 if
+      there is a statement before the first period, else NULL (the ratio is 1/0);
+    * ``total_number_r`` = n for the periods the key has (r > periods - n),
+      its difference 0 and ratio 1 where the statement before exists as well."""
     n = q(COUNT_COLUMN)
-    first = f"({periods} - least({n}, {periods}) + 1)"
-
-    def expr(c: str, r: int) -> str:
-        name = q(f"{c}_{r}")
-        if c in consts:
-            typ = "FLOAT" if c.startswith("diff_") else "DOUBLE"
-            v = "NULL" if r == 1 else ("1.0D" if c.startswith("diff_") else f"{r}.0D / {r - 1}.0D")
-            return f"CAST({v} AS {typ}) AS {name}"
-        if c == COUNT_COLUMN:
-            return f"CASE WHEN {r} >= {first} THEN CAST({n} AS INT) END AS {name}"
+    first = f"({periods} - {n} + 1)"  # the key's first rank, below 1 for long histories
+    if c in consts:
+        earlier = f"{first} < 1"
         if c.startswith("diff_"):
-            return f"CASE WHEN {r} > {first} THEN CAST(0.0 AS FLOAT) END AS {name}"
-        return f"CASE WHEN {r} > {first} THEN CAST(1.0 AS DOUBLE) END AS {name}"
-
-    special = set(consts) | set(derived)
-    piv = [f"{c}_{r}" for c in all_values for r in range(1, periods + 1)]
-    rest = [c for c in wide.columns if c != key and c not in set(piv)]
-    exprs = [q(key)]
-    for c in all_values:
-        for r in range(1, periods + 1):
-            exprs.append(expr(c, r) if c in special else q(f"{c}_{r}"))
-    return wide.selectExpr(*exprs, *[q(c) for c in rest])
+            value = "CAST(1 AS FLOAT)" if r > 1 else f"CASE WHEN {earlier} THEN CAST(1 AS FLOAT) END"
+        else:
+            value = f"CAST({r}.0D / {r - 1}.0D AS DOUBLE)" if r > 1 else "CAST(NULL AS DOUBLE)"
+    elif c == COUNT_COLUMN:
+        value = f"CASE WHEN {r} >= {first} THEN CAST({n} AS INT) END"
+    elif c.startswith("diff_"):
+        value = f"CASE WHEN {r} > {first} THEN CAST(0 AS FLOAT) END"
+    else:
+        value = f"CASE WHEN {r} > {first} THEN CAST(1 AS DOUBLE) END"
+    return f"coalesce({value}, -1)" if fill and c == COUNT_COLUMN else value
 
 
-def _fit_wide_mapping(panel: DataFrame, wide: DataFrame, key: str, values: list[str], periods: int,
-                      enc_cols: list[str]) -> DataFrame:
+def _fit_mapping(panel: DataFrame, long_coded: list[str], labels: DataFrame | None, also: list[str],
+                 periods: int) -> DataFrame:
     """Sorted-value codes for the wide categorical columns, fitted on the
     long panel: the distinct values of ``{c}_{r}`` are those of ``c`` at rank
-    r, so no pass over the wide table is needed."""
-    pivoted = {f"{c}_{r}": c for c in values for r in range(1, periods + 1)}
-    long_cols = sorted({pivoted[c] for c in enc_cols if c in pivoted}, key=values.index)
+    r. Also for the listed label columns."""
     parts = []
-    if long_cols and panel is not None:
-        lv = _long_values(panel.select(RANK_COLUMN, *[col(c) for c in long_cols]), long_cols,
-                          {"rank": F.col(RANK_COLUMN)})
-        lv = lv.select(F.concat(F.col("column"), F.lit("_"), F.col("rank").cast("string")).alias("column"),
-                       "value", "num")
-        parts.append(lv)
-    rest = [c for c in enc_cols if c not in pivoted]
-    if rest and wide is not None:
-        parts.append(_long_values(wide, rest))
+    if long_coded:
+        lv = _long_values(panel.where(col(RANK_COLUMN).between(1, periods)).select(RANK_COLUMN, *[col(c) for c in long_coded]),
+                          long_coded, {"rank": F.col(RANK_COLUMN)})
+        parts.append(lv.select(F.concat(F.col("column"), F.lit("_"), F.col("rank").cast("string")).alias("column"), "value", "num"))
+    if also:
+        parts.append(_long_values(labels, also))
     if not parts:
-        spark = (panel if panel is not None else wide).sparkSession
-        return spark.createDataFrame([], "column string, value string, code int")
+        return panel.sparkSession.createDataFrame([], "column string, value string, code int")
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    long = long.where(F.col("value").isNotNull()).distinct()
-    return codes_from_distinct(long, "sorted")
+    return codes_from_distinct(long.where(F.col("value").isNotNull()).distinct(), "sorted")
+

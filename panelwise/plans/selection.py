@@ -13,17 +13,18 @@ Driver work is the loop over folds and selection rounds only.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.cumulative import normalize_cumsum
 from ..operators.clean import row_sum, threshold_flags
 from ..operators.metric import ranking_metric_by
 from ..operators.split import stratified_folds
+from ..operators.stats import fold_stats
 from ..sources.io import scratch_path, write_report_csv
 from ..spec import col
 
@@ -37,6 +38,19 @@ SELECTION_ITER = 3
 CV_ITER = 10
 
 
+@dataclass
+class CrossValidation:
+    """What cross-validation gives: the fitted model of each fold, scores and
+    importances per fold, and their means and standard deviations."""
+
+    models: dict
+    scores: DataFrame
+    importances: DataFrame
+    mean: float
+    std: float
+    mean_importances: DataFrame
+
+
 def _assemble(df: DataFrame, features: list[str]) -> DataFrame:
     va = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     return va.transform(df)
@@ -65,16 +79,19 @@ def tree_importance_long(models: dict, features: list[str]) -> DataFrame:
 
 def cross_validate(df: DataFrame, features: list[str], label: str, order: list[str], *,
                    folds: int = FOLDS, max_iter: int = CV_ITER, max_depth: int = 3,
-                   score: str = "metric", early_stopping: bool = True, seed: int = 0,
-                   parallelism: int = FOLDS):
-    """ML1: stratified k-fold GBT. Returns (scores, importances):
-    scores (fold, score) - the ranking metric on the held-out fold, or the
-    accuracy with ``score="accuracy"``; importances (fold, feature, gain,
-    split), zero for unused features. Mean/std: ``stats.fold_stats``."""
+                   score: str = "metric", early_stopping: bool = False, seed: int = 0,
+                   parallelism: int = FOLDS) -> CrossValidation:
+    """ML1: stratified k-fold GBT.
+
+    scores (fold, score, n_rows, n_pos, n_trees): the ranking metric on the
+    held-out fold, or the accuracy with ``score="accuracy"``; importances (fold, feature, gain,
+    split), zero for unused features. All ``max_iter`` trees are fitted unless
+    ``early_stopping`` hands the held-out fold to the learner as well."""
     spark = df.sparkSession
     folded = stratified_folds(df, label, order, k=folds, name="__fold")
     data = _assemble(folded, features).withColumn("__label", col(label).cast("double"))
     data = data.checkpoint(eager=True)
+
     def fit(k: int):
         gbt = GBTClassifier(featuresCol="features", labelCol="__label", maxIter=max_iter, maxDepth=max_depth,
                             seed=seed)
@@ -102,18 +119,33 @@ def cross_validate(df: DataFrame, features: list[str], label: str, order: list[s
     else:
         scores = ranking_metric_by(preds, "__fold", "__p1", "__label", tiebreak=order) \
             .select(F.col("__fold").alias("fold"), F.coalesce("amex", F.lit(float("nan"))).alias("score"))
-    scores = spark.createDataFrame([(int(r["fold"]), float(r["score"])) for r in scores.collect()],
-                                   "fold int, score double")
-    return scores, tree_importance_long(models, features)
+    sizes = data.groupBy(F.col("__fold").alias("fold")).agg(F.count(F.lit(1)).alias("n_rows"),
+                                                            F.sum("__label").cast("long").alias("n_pos"))
+    rows = [(int(r["fold"]), float(r["score"]), r["n_rows"], r["n_pos"], models[r["fold"]].getNumTrees)
+            for r in scores.join(sizes, "fold").collect()]
+    table = spark.createDataFrame(sorted(rows), "fold int, score double, n_rows long, n_pos long, n_trees int")
+    mean, std = fold_stats(table, "score").first()
+    importances = tree_importance_long(models, features)
+    return CrossValidation(models, table, importances, mean, std, fold_stats(importances, "gain", ["feature"]))
+
+
+def predict(models, df: DataFrame, features: list[str], name: str = "prediction") -> DataFrame:
+    """ME4: the probability of class 1 by a fitted model, or the mean over a
+    fold -> model mapping (``CrossValidation.models``), added as ``name``."""
+    out, parts = _assemble(df, features), []
+    for i, model in enumerate(models.values() if isinstance(models, dict) else [models]):
+        p = f"__p{i}"
+        out = model.transform(out).withColumn(p, vector_to_array("probability")[1]).drop("rawPrediction", "probability", "prediction")
+        parts.append(F.col(p))
+    return out.withColumn(name, sum(parts[1:], parts[0]) / len(parts)).drop("features", *[f"__p{i}" for i in range(len(parts))])
 
 
 def selection_round(df: DataFrame, columns: list[str], label: str, order: list[str], **kw):
     """ML2: CV on a column subset; returns (mean score, importances summed
     over folds as a (feature, feature_importance) table)."""
-    scores, imps = cross_validate(df, columns, label, order, max_iter=kw.pop("max_iter", SELECTION_ITER), **kw)
-    mean = scores.agg(F.avg("score")).first()[0]
-    summed = imps.groupBy("feature").agg(F.sum("gain").alias("feature_importance"))
-    return mean, summed
+    cv = cross_validate(df, columns, label, order, max_iter=kw.pop("max_iter", SELECTION_ITER), **kw)
+    summed = cv.importances.groupBy("feature").agg(F.sum("gain").alias("feature_importance"))
+    return cv.mean, summed
 
 
 def recursive_feature_elimination(df: DataFrame, features: list[str], label: str, order: list[str], *,
@@ -121,7 +153,7 @@ def recursive_feature_elimination(df: DataFrame, features: list[str], label: str
                                   report_dir: str | None = None, **kw):
     """ML3: repeat ML2, keep the best ``int(keep * n)`` features by summed
     importance, write each round's ranking as CSV (``{report_dir}/
-    feature_importance_{i:02}``). Stops early when one column is left.
+    feature_importance_{i:02}``). The round with one column is scored and is the last.
     Returns (last ranking, best score, score per round)."""
     columns = list(features)
     best, history, ranking = None, [], None
@@ -138,25 +170,29 @@ def recursive_feature_elimination(df: DataFrame, features: list[str], label: str
         if n_keep < 1:
             break
         columns = [r["columns"] for r in ranking.limit(n_keep).collect()]
-        if len(columns) <= 1:
-            break
     return ranking, best, history
 
 
-def importance_table(long: DataFrame, folds: int = FOLDS, threshold: float = 0.999) -> DataFrame:
-    """ML4: per feature ``gain_cv_NN``/``split_cv_NN`` per fold, their row
-    sums turned into cumulative shares (``gain_cumsum``, ``split_cumsum``,
-    best first), flags below ``threshold``; sorted by ``gain_cumsum``."""
-    wide = long.groupBy(F.col("feature").alias("columns")).pivot("fold", list(range(folds))).agg(
-        F.sum("gain").alias("gain"), F.sum("split").alias("split"))
-    sel = [F.col("columns")]
-    sel += [F.coalesce(col(f"{i}_gain"), F.lit(0.0)).alias(f"gain_cv_{i:02d}") for i in range(folds)]
-    sel += [F.coalesce(col(f"{i}_split"), F.lit(0)).cast("long").alias(f"split_cv_{i:02d}") for i in range(folds)]
-    wide = wide.select(*sel)
-    wide = row_sum(wide, [f"gain_cv_{i:02d}" for i in range(folds)], "gain_cumsum")
-    wide = row_sum(wide, [f"split_cv_{i:02d}" for i in range(folds)], "split_cumsum")
-    wide = normalize_cumsum(wide, "gain_cumsum", ["columns"])
-    wide = normalize_cumsum(wide, "split_cumsum", ["columns"])
+def importance_table(long: DataFrame, threshold: float = 0.999) -> DataFrame:
+    """ML4: per feature ``gain_cv_NN``/``split_cv_NN`` for every fold in the
+    table, their row sums turned into cumulative shares (``gain_cumsum``,
+    ``split_cumsum``, best first), flags below ``threshold``; sorted by
+    ``gain_cumsum``.
+
+    One row per feature of a model: both shares come from plain windows over
+    that table, whose size is the count of the model's columns."""
+    folds = sorted(r["fold"] for r in long.select("fold").distinct().collect())
+    sums = []
+    for what, kind in (("gain", "double"), ("split", "long")):
+        sums += [F.coalesce(F.sum(F.when(F.col("fold") == i, F.col(what))), F.lit(0)).cast(kind).alias(f"{what}_cv_{i:02d}")
+                 for i in folds]
+    wide = long.groupBy(F.col("feature").alias("columns")).agg(*sums)
+    for what in ("gain", "split"):
+        name = f"{what}_cumsum"
+        wide = row_sum(wide, [f"{what}_cv_{i:02d}" for i in folds], name)
+        order = Window.orderBy(F.col(name).desc(), F.col("columns")).rowsBetween(Window.unboundedPreceding, 0)
+        share = F.try_divide(F.sum(name).over(order).cast("double"), F.sum(name).over(Window.partitionBy()))
+        wide = wide.withColumn("__share", share).drop(name).withColumnRenamed("__share", name)
     wide = threshold_flags(wide, ["gain_cumsum", "split_cumsum"], threshold)
     wide = wide.withColumnRenamed(f"gain_cumsum_{threshold}", f"gain_{threshold}") \
                .withColumnRenamed(f"split_cumsum_{threshold}", f"split_{threshold}")

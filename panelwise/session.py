@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -55,8 +56,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running scans")
     path = tempfile.mkdtemp(prefix="panelwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+_SCRATCH: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's reliable checkpoint directory
+    (shared storage on a cluster). ``clear_scratch`` removes it."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch tables that this program has written so far, once
+    the results that read them are stored. Returns how many there were."""
+    n = len(_SCRATCH)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n

@@ -4,12 +4,10 @@ partitioned chunk layout, one report directory per round)."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path  # noqa: F401  (part of this module's interface)
 
 LABEL_SCHEMA = "customer_ID string, target int"
 
@@ -43,10 +41,3 @@ def read_chunk(spark: SparkSession, path: str, i: int | None = None, chunk: str
 def write_report_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """IO7: a small ranking report as one CSV file with a header."""
     df.coalesce(1).write.mode(mode).option("header", True).csv(path)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's reliable checkpoint directory
-    (shared storage on a cluster)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"

@@ -49,8 +49,8 @@ class PanelSpec:
     categorical  statement columns treated as categories
     periods    statements kept per key (the most recent ones)
     bounded    True if no key has more than ``periods`` statements: skips the
-               per-key limit and its map-side sort. False (default) always
-               applies the skew-safe limit; None measures with one aggregate
+               per-key limit and its map-side sort. False (default) applies
+               the skew-safe limit
     """
 
     key: str = "customer_ID"
@@ -60,7 +60,7 @@ class PanelSpec:
     periods: int = DEFAULT_PERIODS
     ts_format: str = "yyyy-MM-dd"
     drop: tuple[str, ...] = field(default_factory=tuple)
-    bounded: bool | None = False
+    bounded: bool = False
 
     def with_(self, **kw) -> "PanelSpec":
         return replace(self, **kw)
@@ -108,18 +108,14 @@ def sql_literal(v) -> str:
 def categorical_columns(columns, kind: str = "both",
                         categorical=DEFAULT_CATEGORICAL,
                         transition_prefix: str = TRANSITION_PREFIX) -> list[str]:
-    """Names by prefix: ``string`` -> transition columns, ``numeric`` ->
-    columns starting with a categorical name (so pivoted ``B_30_4`` counts),
-    ``both`` -> either. Statistic names such as ``min_B_30`` do not match."""
-    names = list(columns.columns) if hasattr(columns, "columns") else list(columns)
-    if kind == "string":
-        return [c for c in names if c.startswith(transition_prefix)]
-    if kind == "numeric":
-        return [c for c in names if any(c.startswith(p) for p in categorical)]
-    if kind != "both":
-        raise ValueError(f"kind must be both, string or numeric, not {kind!r}")
-    prefixes = tuple(categorical) + (transition_prefix,)
-    return [c for c in names if any(c.startswith(p) for p in prefixes)]
+    """Names that begin with one of the prefixes of ``kind``: ``numeric`` the
+    categorical names (so pivoted ``B_30_4`` counts), ``string`` the
+    transition columns, ``both`` all of them. ``min_B_30`` does not match."""
+    prefixes = {"numeric": tuple(categorical), "string": (transition_prefix,),
+                "both": (*categorical, transition_prefix)}
+    if kind not in prefixes:
+        raise ValueError(f"kind is one of {', '.join(prefixes)}, not {kind!r}")
+    return [name for name in getattr(columns, "columns", columns) if name.startswith(prefixes[kind])]
 
 
 def all_except(df, exclude) -> list[str]:

@@ -22,8 +22,8 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
-    got = frame_digest(Q[name](spark, SF_SMALL).toPandas())
-    want = frame_digest(con.execute(SQL[name]).fetchdf())
+    got = frame_digest(Q[name](spark, SF_SMALL).toArrow())
+    want = frame_digest(con.execute(SQL[name]).to_arrow_table())
     assert got == want
 
 

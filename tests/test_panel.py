@@ -43,8 +43,11 @@ def test_shapes_and_ranks(spark):
     assert out.count() == 6
     r = _one(out, "e", ["total_number_13", "total_number_1", "diff_rank_1", "diff_rank_2", "ratio_rank_13"])
     assert r[0] == 25 and r[1] == 25          # all statements count, latest 13 are kept
-    assert r[2] is None and r[3] == 1.0
+    assert r[2] == 1.0 and r[3] == 1.0        # a statement precedes period 1
     assert abs(r[4] - 13 / 12) < 1e-6
+    r = _one(out, "e", ["diff_P_2_1", "days_since_last_payment_1", "diff_total_number_1"])
+    assert tuple(r) == (1.0, 30, 0.0)          # lags see it too
+    assert _one(out, "c", ["diff_rank_1", "diff_P_2_1"]) == (None, None)
     r = _one(out, "a", ["P_2_13", "P_2_12", "total_number_13", "days_since_last_payment_13"])
     assert r[0] == 0.0 and r[1] is None and r[2] == 1 and r[3] is None
     # ties on the date: seq decides, the later row is the latest
@@ -141,6 +144,8 @@ def test_fill_null_option(spark):
     r = _one(out, "a", ["days_since_last_payment_13", "B_30_13"])
     assert r[0] == -1
     assert isinstance(r[1], int)
+    r = _one(out, "a", ["days_since_last_payment_12", "Year_3", "total_number_12", "total_number_13", "P_2_12", "B_30_12"])
+    assert tuple(r) == (-1, -1, -1, 1, None, None)  # periods the key lacks are filled too
 
 
 def test_array_form_equals_wide_form(spark):
@@ -172,16 +177,90 @@ def test_pivot_ignores_out_of_range_ranks_and_keeps_keys(spark):
     assert all(v is None for n, v in out["k3"].items() if n != "k")
 
 
-def test_key_stats_text_dictionary_equals_text_aggregate(spark):
+def test_key_stats_of_text(spark):
     from panelwise.operators.stats import key_stats
     rows = [("k1", "b", None, 1.0), ("k1", "a", None, 2.0), ("k1", None, None, 3.0), ("k2", None, None, 4.0),
-            ("k3", "é", None, 5.0), ("k3", "z", None, 6.0), ("k3", "Z", None, 7.0)]
+            ("k3", "é", None, 5.0), ("k3", "z", None, 6.0), (None, "Z", None, 7.0)]
     df = spark.createDataFrame(rows, "k string, c string, empty string, v double")
-    coded = key_stats(df, "k", ["c", "empty"], date=None)
-    plain = key_stats(df, "k", ["c", "empty"], date=None, max_dictionary_values=1)  # over the bound
-    assert coded.columns == plain.columns and dict(coded.dtypes) == dict(plain.dtypes)
-    got = {r["k"]: r.asDict() for r in coded.collect()}
-    assert got == {r["k"]: r.asDict() for r in plain.collect()}
+    got = {r["k"]: r.asDict() for r in key_stats(df, "k", ["c", "empty"], date=None).collect()}
     assert (got["k1"]["min_c"], got["k1"]["max_c"]) == ("a", "b")
     assert (got["k2"]["min_c"], got["k2"]["max_c"], got["k2"]["min_empty"]) == (None, None, None)
-    assert (got["k3"]["min_c"], got["k3"]["max_c"]) == ("Z", "é")
+    assert (got["k3"]["min_c"], got["k3"]["max_c"], got[None]["min_c"]) == ("z", "é", "Z")
+
+
+def _values(df, wide):
+    """{(key, name): value} of the wide or the array form; NaN as text."""
+    from panelwise.plans.features import feature_names
+    out = {}
+    for r in df.collect():
+        pairs = zip(feature_names(df), r["features"]) if not wide else r.asDict().items()
+        for n, v in pairs:
+            if wide is False or n in wide:
+                out[r["customer_ID"], n] = "nan" if isinstance(v, float) and math.isnan(v) else v if v is None else float(v)
+    return out
+
+
+@pytest.mark.parametrize("kind", ["int", "text"])
+@pytest.mark.parametrize("n", [40, 700])  # below and above the bound of inlined codes
+def test_array_and_wide_codes_agree(spark, kind, n, tmp_path):
+    rows = [(f"k{i % 350}", (dt.date(2020, 1, 1) + dt.timedelta(days=i // 350)).isoformat(), i,
+             i * 10 % (10 * n) if kind == "int" else f"c{i % n:04d}", float(i % 9)) for i in range(2100)]
+    df = spark.createDataFrame(rows, f"customer_ID string, S_2 string, seq int, B_30 {'int' if kind == 'int' else 'string'}, P_2 double")
+    spec = PanelSpec(key="customer_ID", ts="S_2", order=("seq",), categorical=("B_30",), periods=4)
+    if n == 700:  # one rank alone has more codes than are inlined
+        df = df.withColumn("customer_ID", F.concat(F.lit("k"), F.col("seq").cast("string")))
+    path = str(tmp_path / "codes")
+    wide = build_features(df, spec, drop_key=False, save_mapping_to=path)
+    loaded = spark.read.parquet(path)
+    array = build_features(df, spec, drop_key=False, as_array=True)
+    from panelwise.plans.features import feature_names
+    names = set(feature_names(array))
+    assert {"total_number_4", "diff_rank_2", "B_30_4"} <= names <= set(wide.columns)
+    want = _values(wide, names)
+    for other in (array, build_features(df, spec, drop_key=False, as_array=True, mapping=loaded)):
+        assert _values(other, False) == want
+    assert _values(build_features(df, spec, drop_key=False, mapping=loaded), names) == want
+    codes = sorted({v for (_, c), v in want.items() if c == "B_30_4" and v != "nan"})
+    assert codes == [float(i) for i in range(len(codes))] and (n < 512) == (len(codes) <= 512)
+    unseen = df.withColumn("B_30", F.lit("-5" if kind == "int" else "zz").cast(df.schema["B_30"].dataType))
+    with pytest.raises(Exception, match="unknown category"):
+        build_features(unseen, spec, as_array=True, mapping=loaded).collect()
+
+
+def test_label_columns_are_coded_and_saved(spark, tmp_path):
+    labels = spark.createDataFrame([("a", "x"), ("b", "y"), ("zz", "w")], "customer_ID string, B_30_group string")
+    path = str(tmp_path / "codes")
+    first = build_features(_panel(spark), SPEC, labels, balance=(), payment=(), drop_key=False, save_mapping_to=path)
+    assert _one(first, "a", ["B_30_group"])[0] == 0.0 and _one(first, "b", ["B_30_group"])[0] == 1.0
+    again = build_features(_panel(spark), SPEC, labels.where("customer_ID <> 'zz'"), balance=(), payment=(), drop_key=False,
+                           mapping=spark.read.parquet(path))
+    assert _one(again, "b", ["B_30_group"])[0] == 1.0
+
+
+def test_null_keys_are_a_key(spark):
+    df = _panel(spark).withColumn("customer_ID", F.when(F.col("customer_ID") != "b", F.col("customer_ID")))
+    out = build_features(df, SPEC, balance=(), payment=(), drop_key=False)
+    assert out.count() == 6 and out.where("customer_ID is null").count() == 1
+    spec, dated = SPEC.with_(ts="date"), calendar.cast_dates(df, SPEC)
+    assert ranks.add_rank(dated, spec).count() == dated.count()
+    full = ranks.full_ranks(dated, spec)
+    assert full.where("customer_ID is null and rank between 1 and 13").count() == 13
+    assert full.count() == 6 * 13 + 1 + 12     # keys d and e keep 1 and 12 earlier statements
+    assert ranks.index_and_count(dated, "customer_ID", ["customer_ID", "seq"]).count() == dated.count()
+
+
+def test_source_is_read_twice(spark, tmp_path):
+    n = spark.sparkContext.accumulator(0)
+    path = str(tmp_path / "panel")
+    _panel(spark).write.parquet(path)
+    df = spark.read.parquet(path)
+    rows = df.count()
+
+    def seen(batches):
+        for b in batches:
+            n.add(b.num_rows)
+            yield b
+
+    out = build_features(df.mapInArrow(seen, df.schema), SPEC, balance=(), payment=(), drop_key=False)
+    out.write.format("noop").mode("overwrite").save()
+    assert n.value == 2 * rows

@@ -51,10 +51,3 @@ def test_no_single_partition_windows_in_scans(spark):
                  "top_fraction", "row_slice", "positional_join", "days_between"):
         plan = _plan(entry.queries()[name](spark, SF_SMALL))
         assert not _gathers_rows(plan), name
-
-
-def test_stats_stay_in_hash_aggregates(spark):
-    # text min/max would make the stats a sort aggregate (a map-side sort of every row)
-    for q in ("key_stats", "panel_features"):
-        plan = _plan(entry.queries()[q](spark, SF_SMALL))
-        assert "SortAggregate" not in plan and "HashAggregate" in plan, q

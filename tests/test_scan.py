@@ -66,3 +66,13 @@ def test_row_index_and_empty_partitions(spark):
     df = spark.range(5).select(F.col("id").alias("x"))
     out = row_index(df, ["x"], name="i", start=0)
     assert sorted((r.x, r.i) for r in out.collect()) == [(i, i) for i in range(5)]
+
+
+def test_scratch_tables_are_removed(spark):
+    import os
+    from panelwise.session import clear_scratch, scratch_path
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    assert clear_scratch(spark) >= 1 and not os.path.exists(local)

@@ -32,3 +32,22 @@ def test_scan_equals_windows(spark, rows, parts, segmented):
     cols = ["id", F.round("cs", 6).alias("cs"), "n", "pv", "po"]
     key = lambda d: sorted(tuple(r) for r in d.select(*cols).collect())
     assert key(got) == key(ref)
+
+
+values = st.one_of(st.none(), st.sampled_from([0.0, -0.0, 1.5, -2.0, float("nan"), float("inf"), float("-inf")]))
+segments = {
+    "long": st.sampled_from([None, 2 ** 53, 2 ** 53 + 1, 2 ** 53 + 2, -2 ** 63, 2 ** 63 - 1]),
+    "double": st.sampled_from([None, 0.0, -0.0, float("nan"), float("inf"), 2.5]),
+    "string": st.sampled_from([None, "", "a", "A"]),
+}
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.data(), kind=st.sampled_from(sorted(segments)), parts=st.sampled_from([1, 4, 9]))
+def test_scan_and_window_agree_on_any_values(spark, data, kind, parts):
+    rows = data.draw(st.lists(st.tuples(segments[kind], values), min_size=1, max_size=60))
+    df = spark.createDataFrame([(i, s, v) for i, (s, v) in enumerate(rows)], f"id long, s {kind}, v double")
+    both = [ordered_scan(df, ["id"], segment="s", sums={"cs": F.col("v")}, count="n", lags={"pv": "v"},
+                         num_partitions=parts, strategy=k) for k in ("scan", "window")]
+    a, b = (sorted(tuple(map(str, r)) for r in d.select("id", "cs", "n", "pv").collect()) for d in both)
+    assert a == b

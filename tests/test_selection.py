@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from panelwise.plans.selection import cross_validate, importance_table, recursive_feature_elimination
+from panelwise.plans.selection import cross_validate, importance_table, predict, recursive_feature_elimination
 
 
 def _data(spark, n=400):
@@ -16,14 +16,24 @@ def _data(spark, n=400):
 
 
 def test_cross_validate_scores_and_importances(spark):
-    scores, imps = cross_validate(_data(spark), ["x1", "x2", "x3"], "y", ["id"], max_iter=5)
-    s = scores.orderBy("fold").collect()
-    assert [r.fold for r in s] == list(range(5))
+    data = _data(spark)
+    cv = cross_validate(data, ["x1", "x2", "x3"], "y", ["id"], max_iter=5)
+    s = cv.scores.orderBy("fold").collect()
+    assert [r.fold for r in s] == list(range(5)) and sum(r.n_rows for r in s) == 400
     assert all(r.score > 0.5 for r in s)           # x1 separates the classes
+    assert all(r.n_trees == 5 for r in s)          # nothing stops early
+    assert abs(cv.mean - np.mean([r.score for r in s])) < 1e-12 and abs(cv.std - np.std([r.score for r in s])) < 1e-12
+    assert cv.mean_importances.count() == 3
+    scored = predict(cv.models, data, ["x1", "x2", "x3"])
+    assert scored.columns == [*data.columns, "prediction"]
+    assert scored.where("(prediction > 0.5) = (y = 1)").count() > 380
+    one = predict(cv.models[0], data, ["x1", "x2", "x3"]).agg(F.min("prediction"), F.max("prediction")).first()
+    assert 0 <= one[0] < one[1] <= 1
+    imps = cv.importances
     per = {r.feature: r.gain for r in imps.groupBy("feature").agg(F.sum("gain").alias("gain")).collect()}
     assert set(per) == {"x1", "x2", "x3"} and per["x1"] == max(per.values())
-    acc, _ = cross_validate(_data(spark), ["x1"], "y", ["id"], max_iter=3, score="accuracy")
-    assert acc.agg(F.min("score")).first()[0] > 0.8
+    acc = cross_validate(_data(spark), ["x1"], "y", ["id"], max_iter=3, score="accuracy")
+    assert acc.scores.agg(F.min("score")).first()[0] > 0.8
 
 
 def test_importance_table_shares_and_flags(spark):
@@ -37,10 +47,17 @@ def test_importance_table_shares_and_flags(spark):
     assert abs(t["b"]["split_cumsum"] - 9 / 13) < 1e-12
 
 
+def test_importance_table_of_ten_folds(spark):
+    long = spark.createDataFrame([(f, "a", 1.0, 2) for f in range(10)], "fold int, feature string, gain double, split long")
+    t = importance_table(long)
+    assert sum(c.startswith("gain_cv_") for c in t.columns) == 10 and t.first()["split_cv_09"] == 2
+
+
 def test_feature_elimination_writes_reports(spark, tmp_path):
     ranking, best, history = recursive_feature_elimination(_data(spark), ["x1", "x2", "x3"], "y", ["id"],
                                                            report_dir=str(tmp_path))
-    assert [h[1] for h in history] == [3, 2]       # 3 -> int(2.1)=2 -> int(1.4)=1 stops
+    assert [h[1] for h in history] == [3, 2, 1]    # 3 -> int(2.1)=2 -> int(1.4)=1, scored as well
+    assert all(h[2] is not None for h in history)
     assert best is not None and best > 0.5
     assert (tmp_path / "feature_importance_00").exists() and (tmp_path / "feature_importance_01").exists()
     assert ranking.first()["columns"] == "x1"

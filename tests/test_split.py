@@ -1,56 +1,71 @@
-"""Splits and folds against plain-Python versions of the reference loops."""
+"""Splits and folds by their properties and small cases worked out by hand."""
 
-import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from panelwise.operators import split
 
+KEYS = "k long, j long"
 
-def _sizes_table(spark, sizes):
-    rows = [(k, j) for k, n in enumerate(sizes) for j in range(n)]
-    return spark.createDataFrame(rows, "k long, j long")
-
-
-def python_chunks(keys, n):
-    """The greedy chunking loop, closing the last chunk at the end."""
-    L = len(keys)
-    step = L // n
-    starts, p = [0], 0
-    while True:
-        cur = p + step
-        if cur + 1 >= L:
-            break
-        while cur + 1 < L and keys[cur] == keys[cur + 1]:
-            cur += 1
-        if cur + 1 >= L:
-            break
-        p = cur + 1
-        starts.append(p)
-    out = []
-    for i in range(L):
-        out.append(max(c for c, s in enumerate(starts) if s <= i))
-    return out
-
-
-def test_chunks_match_loop(spark):
-    for sizes, n in [([3, 1, 4, 1, 5, 9, 2, 6], 3), ([1] * 7, 5), ([2, 2], 5), ([10, 1, 1], 2), ([4], 3)]:
-        df = _sizes_table(spark, sizes)
-        got = split.chunk_labels(df, "k", n).orderBy("k", "j").select("chunk").collect()
-        keys = [k for k, s in enumerate(sizes) for _ in range(s)]
-        assert [r[0] for r in got] == python_chunks(keys, n), (sizes, n)
-
-
-def test_boundary_split_never_divides_key(spark):
-    sizes = [3, 5, 2, 7, 1, 4]
-    df = _sizes_table(spark, sizes)
-    lab = split.boundary_labels(df, "k", 0.75)
-    per_key = lab.groupBy("k").agg(F.countDistinct("__train").alias("n")).where("n > 1").count()
-    assert per_key == 0
-    keys = [k for k, s in enumerate(sizes) for _ in range(s)]
-    cut = int(0.75 * len(keys))
-    while 0 < cut < len(keys) and keys[cut] == keys[cut - 1]:
-        cut += 1
-    assert lab.where("__train").count() == cut
+
+def table(spark, sizes, nulls=0):
+    rows = [(k, j) for k, n in enumerate(sizes) for j in range(n)] + [(None, j) for j in range(nulls)]
+    return spark.createDataFrame(rows, KEYS)
+
+
+def labels_of(df, name):
+    """key -> its labels, checked to be one."""
+    got = {}
+    for r in df.groupBy("k").agg(F.collect_set(name).alias("l")).collect():
+        assert len(r["l"]) == 1, "a key is divided"
+        got[r["k"]] = r["l"][0]
+    return got
+
+
+@pytest.mark.parametrize("sizes,n,want", [
+    ([3, 1, 4, 1, 5, 9, 2, 6], 3, [0, 0, 0, 0, 0, 1, 1, 2]),  # rows 0-13 (row 10 is in key 4), 14-24, 25-30
+    ([1] * 7, 5, [0, 0, 1, 1, 2, 2, 3]),                       # 7 // 5 = 1: a chunk ends with the key after its first
+    ([2, 2], 5, [0, 1]),
+    ([10, 1, 1], 2, [0, 1, 1]),
+    ([4], 3, [0]),
+])
+def test_chunks_by_hand(spark, sizes, n, want):
+    got = labels_of(split.chunk_labels(table(spark, sizes), "k", n), "chunk")
+    assert [got[k] for k in range(len(sizes))] == want
+
+
+def test_chunks_are_contiguous_and_full(spark):
+    sizes = [(7 * i) % 11 + 1 for i in range(60)]
+    got = labels_of(split.chunk_labels(table(spark, sizes), "k", 6), "chunk")
+    chunks = [got[k] for k in range(len(sizes))]
+    assert chunks == sorted(chunks) and set(chunks) == set(range(max(chunks) + 1))
+    step = sum(sizes) // 6
+    for c in range(max(chunks)):  # all but the last hold more than a step, by at most one key
+        inside = [s for s, x in zip(sizes, chunks) if x == c]
+        assert step < sum(inside) <= step + max(inside)
+
+
+def test_null_keys_stay(spark):
+    df = table(spark, [3, 1, 4], nulls=5)
+    assert labels_of(split.chunk_labels(df, "k", 3), "chunk") == {None: 0, 0: 1, 1: 1, 2: 1}
+    assert labels_of(split.boundary_labels(df, "k", 0.5), "__train") == {None: True, 0: True, 1: False, 2: False}
+    folds = split.stratified_folds(df, "k", ["j"], k=2)
+    assert folds.count() == df.count() and folds.where("fold is null").count() == 0
+
+
+@pytest.mark.parametrize("fraction,train", [(0.75, 4), (0.0, 0), (1.0, 6), (0.01, 0)])
+def test_boundary_split(spark, fraction, train):
+    # 22 rows starting at 0, 3, 8, 10, 17, 18: row 16 is inside key 3, so key 4 is the first holdout key
+    df = table(spark, [3, 5, 2, 7, 1, 4])
+    got = labels_of(split.boundary_labels(df, "k", fraction), "__train")
+    assert [got[k] for k in range(6)] == [k < train for k in range(6)]
+    a, b = split.boundary_split(df, "k", fraction)
+    assert a.count() + b.count() == 22
+
+
+def test_boundary_split_joins_nothing(spark):
+    plan = split.boundary_labels(table(spark, [3, 5, 2]), "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
 
 
 def test_exact_split_sizes(spark):
@@ -60,25 +75,22 @@ def test_exact_split_sizes(spark):
     assert train.join(test, "x").count() == 0
 
 
-def sklearn_like_folds(y, k):
-    """Non-shuffled stratified folds: classes by first appearance, sorted
-    labels dealt round-robin, contiguous blocks per class."""
-    _, first_idx, inv = np.unique(y, return_index=True, return_inverse=True)
-    _, perm = np.unique(first_idx, return_inverse=True)
-    enc = perm[inv]
-    y_order = np.sort(enc)
-    alloc = np.asarray([np.bincount(y_order[i::k], minlength=len(first_idx)) for i in range(k)])
-    folds = np.empty(len(y), dtype=int)
-    for c in range(len(first_idx)):
-        folds[enc == c] = np.arange(k).repeat(alloc[:, c])
-    return folds
-
-
-def test_stratified_folds_match_allocation(spark):
-    rng = np.random.default_rng(3)
-    for n, classes in [(103, [1, 0]), (57, [0, 1, 2]), (12, [1, 1, 0])]:
-        y = rng.choice(sorted(set(classes)), size=n, p=None)
-        y[0] = classes[0]
-        df = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "id long, y int")
-        got = split.stratified_folds(df, "y", ["id"], k=5).orderBy("id").select("fold").collect()
-        assert [r[0] for r in got] == list(sklearn_like_folds(y, 5))
+def test_folds_by_hand(spark):
+    # y = b a a b a: b is class 0, a class 1; sorted classes b b a a a are dealt to folds 0 1 0 1 0
+    df = spark.createDataFrame([(0, "b"), (1, "a"), (2, "a"), (3, "b"), (4, "a")], "id long, y string")
+    got = [r["fold"] for r in split.stratified_folds(df, "y", ["id"], k=2).orderBy("id").collect()]
+    assert got == [0, 0, 0, 1, 1]
+
+
+@pytest.mark.parametrize("n,classes,k", [(103, 2, 5), (57, 3, 5), (12, 4, 3), (40, 40, 4)])
+def test_folds_are_balanced_contiguous_blocks(spark, n, classes, k):
+    df = spark.createDataFrame([(i, (i * i + i // 3) % classes) for i in range(n)], "id long, y int")
+    rows = split.stratified_folds(df, "y", ["id"], k=k).orderBy("id").collect()
+    assert len(rows) == n
+    whole = [sum(r["fold"] == f for r in rows) for f in range(k)]
+    assert max(whole) - min(whole) <= 1
+    for c in {r["y"] for r in rows}:
+        folds = [r["fold"] for r in rows if r["y"] == c]
+        assert folds == sorted(folds)
+        each = [folds.count(f) for f in range(k)]
+        assert max(each) - min(each) <= 1
