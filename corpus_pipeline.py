@@ -9,42 +9,55 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelwise.llm import common, mixing, pieces, quality, simhash, suffixes
 from panelwise.session import ensure_checkpoint_dir
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+REST = "__rest"
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the other columns as one struct: whatever they are
+    called, they cannot clash with an operator's own columns."""
+    return docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")]).alias(REST))
+
+
+def _unpacked(packed: DataFrame, docs: DataFrame, **new: Column) -> DataFrame:
+    """The columns of ``docs`` again, those in ``new`` replaced."""
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    return packed.select(*[new.get(c, own.get(c, F.col(REST)[c])).alias(c) for c in docs.columns])
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of the best grade is at least one half."""
     labels = common.table(spark, sf_dir, "labels")
-    return quality.rated(docs, labels, COLUMNS).where("selected").select(*COLUMNS)
+    return _unpacked(quality.rated(_packed(docs), labels, ["doc_id", "text", REST]).where("selected"), docs)
 
 
 def simhash_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the
     smallest id, of rows with that id the first in order of text and the other columns."""
-    found = simhash.near_duplicates(docs, [c for c in COLUMNS if c != "doc_id"])
-    own = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*COLUMNS)
-    return simhash.first_of_id(own, COLUMNS)
+    found = simhash.near_duplicates(_packed(docs), ["text", REST])
+    own = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return _unpacked(simhash.first_of_id(own, ["doc_id", "text", REST]), docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of long repeats. A character that lost a byte
     goes whole; n_chars is counted again, and documents with nothing left go."""
-    cut = suffixes.repeats(docs, COLUMNS)
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(suffixes.whole_characters(F.col("kept")))
-    empty = (F.col("n_removed") > 0) & (F.length(F.trim("text")) == 0)
-    return (cut.withColumn("text", text).where(~F.coalesce(empty, F.lit(False)))
-            .withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
-            .select(*COLUMNS))
+    cut = suffixes.repeats(_packed(docs), ["doc_id", "text", REST])
+    whole = F.col("n_removed") == 0
+    left = cut.withColumn("__left", F.when(~whole, suffixes.whole_characters(F.col("kept"))))
+    left = left.where(whole | (F.length(F.trim("__left")) > 0))
+    count = F.when(whole, F.col(REST)["n_chars"]).otherwise(F.char_length("__left").cast("long"))
+    return _unpacked(left, docs, text=F.when(whole, F.col("text")).otherwise(F.col("__left")), n_chars=count)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix; one that is taken twice appears twice."""
-    return mixing.mixed_documents(docs).select(*COLUMNS)
+    packed = _packed(docs).withColumn("__source", F.col(REST)["source"])
+    return _unpacked(mixing.mixed_documents(packed, source_col="__source"), docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

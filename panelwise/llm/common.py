@@ -8,6 +8,7 @@ import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from panelwise.session import ensure_checkpoint_dir
 
@@ -49,6 +50,13 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def fields(df: DataFrame, names: list[str], more: str, prefix: str = "") -> StructType:
+    """The schema of columns of ``df`` (renamed prefix0, prefix1, ... with a
+    prefix) and of ``more``, a DDL string."""
+    own = [StructField(f"{prefix}{i}" if prefix else n, df.schema[n].dataType) for i, n in enumerate(names)]
+    return StructType(own + StructType.fromDDL(more).fields)
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .blocks import ASKED, arrays, cut_by_part, in_blocks, joined, ordered, row, rows
-from .common import ship, small_batches, table
+from .common import fields, ship, small_batches, table
 
 ship(__name__)
 
@@ -480,9 +480,9 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
     top = sums.select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(models - 1).cast("long"))).alias("part"), "keys", "seen", "more")
     told = owned.groupBy("part").cogroup(top.groupBy("part")).applyInArrow(evaluate, ASKED)
     answers = asked.groupBy("part").cogroup(told.groupBy("block")).applyInArrow(tell, ASKED)
-    fields = ["__c0 boolean", *[f"`__c{i + 1}` {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(columns)]]
-    result = by_block.cogroup(answers.groupBy("block")).applyInArrow(finish, ", ".join([
-        *fields, "n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"]))
+    scored = "n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
+    given = docs.select(held_out(id_col).alias("__c0"), *[F.col(c).alias(f"__c{i + 1}") for i, c in enumerate(columns)])
+    result = by_block.cogroup(answers.groupBy("block")).applyInArrow(finish, fields(given, given.columns, scored))
     return result.select(*[F.col(f"__c{i + 1}").alias(c) for i, c in enumerate(columns)], F.col("__c0").alias("held_out"),
                          "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches_of, ship, small_batches, table, text_or_empty
+from .common import batches_of, fields, ship, small_batches, table, text_or_empty
 from .tokens import WordCache, worker_state, words_of
 
 ship(__name__)
@@ -222,8 +222,7 @@ def encoded(docs: DataFrame, columns: list[str], text_col: str = "text", model:
                     [*part.schema.names[:-1], "ids", "ends", "decoded"])
 
     given = docs.select(*columns, text_or_empty(text_col).alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
-    return given.mapInArrow(run, (fields + ", " if fields else "") + "ids binary, ends binary, decoded string")
+    return given.mapInArrow(run, fields(given, columns, "ids binary, ends binary, decoded string"))
 
 
 def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import batches_of, ship, small_batches, table, text_or_empty
+from .common import batches_of, fields, ship, small_batches, table, text_or_empty
 
 ship(__name__)
 
@@ -237,8 +237,7 @@ def score(docs: DataFrame, model, columns: list[str], text_col: str = "text", bi
                     [*part.schema.names[:-1], "score", "expected_grade", "tail"])
 
     given = docs.select(*columns, text_or_empty(text_col).alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
-    return given.mapInArrow(run, f"{fields}, score double, expected_grade double, tail array<double>")
+    return given.mapInArrow(run, fields(given, columns, "score double, expected_grade double, tail array<double>"))
 
 
 def rated(docs: DataFrame, labels: DataFrame, columns: list[str], grade: int = GRADES - 1, least: float = 0.5, **kw) -> DataFrame:

@@ -33,7 +33,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches_of, ship, small_batches, table, text_or_empty, written
+from .common import batches_of, fields, ship, small_batches, table, text_or_empty, written
 from .graph import components
 
 ship(__name__)
@@ -84,8 +84,7 @@ def fingerprints(docs: DataFrame, columns: list[str], text_col: str = "text", wo
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(fp)], [*part.schema.names[:-1], "fp"])
 
     given = docs.select(*columns, text_or_empty(text_col).alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
-    return given.mapInArrow(run, f"{fields}, fp long")
+    return given.mapInArrow(run, fields(given, columns, "fp long"))
 
 
 def gray_rank(x):

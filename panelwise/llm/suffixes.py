@@ -39,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .blocks import ASKED, arrays, cut_by_part, in_blocks, joined, ordered, row, rows
-from .common import ship, small_batches, table
+from .common import fields, ship, small_batches, table
 
 ship(__name__)
 
@@ -171,6 +171,18 @@ def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
             if len(first):
                 yield s, first, last, anchor, run, strings
 
+    def strings_of(raw, start, wide):
+        """Identifiers of the strings that start in spans (start, wide)."""
+        import numpy as np
+        size = wide + length - 1
+        upto, ids, s = np.cumsum(size), [], 0
+        while s < len(start):
+            e = max(s + 1, int(np.searchsorted(upto, (upto[s - 1] if s else 0) + CHUNK, side="right")))
+            _, found = refine(raw[_spread(start[s:e], size[s:e])], length, q)
+            ids.append(found[_spread(np.cumsum(size[s:e]) - size[s:e], wide[s:e])])
+            s = e
+        return np.concatenate(ids)
+
     def ask_runs(key, tbl):
         """The distinct runs of a block: identifier, anchor, and whether there is one or more."""
         import numpy as np
@@ -245,8 +257,8 @@ def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
 
     def ask_strings(key, tbl, answers):
         """The distinct strings of a block that are asked about and, in a row
-        of the block's own, what puts the answers in place: spans of settled runs, and
-        starts, widths and string numbers of the runs asked about."""
+        of the block's own, what puts the answers in place: spans of settled
+        runs, and starts and widths of the runs asked about."""
         import numpy as np
         _, raw, lengths = _loaded(tbl)
         if not answers.num_rows:
@@ -265,13 +277,13 @@ def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
         each[second] = 1  # of a settled run its first place here is enough
         ask = each >= 2
         start, wide = first[ask], last[ask] - first[ask] + 1
-        ids, number, count = np.unique(strings[_spread(start, wide)], return_inverse=True, return_counts=True)
+        ids, count = np.unique(strings[_spread(start, wide)], return_counts=True)
         seen = np.minimum(count, 2).astype(np.uint8)
         block = key[0].as_py()
         out = [row(block, p, ids[s:e], seen[s:e]) for p, s, e in cut_by_part(ids, parts)]
         settled = (each == 1) | (each == 3)
         out.append(row(block, -1 - block, np.stack((first[settled], last[settled])).astype("<i8"),
-                       np.stack((start, wide)).astype("<i8"), number.astype("<i4")))
+                       np.stack((start, wide)).astype("<i8")))
         return rows(out)
 
     def tell_strings(key, tbl):
@@ -305,7 +317,10 @@ def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
             first, last = np.frombuffer(place["keys"], dtype="<i8").reshape(2, -1)
             start, wide = np.frombuffer(place["seen"], dtype="<i8").reshape(2, -1)
             if len(start):
-                hit = _spread(start, wide)[np.concatenate(twice)[np.frombuffer(place["more"], dtype="<i4")] == 1]
+                # Answers are in the order of the sorted strings; refining the
+                # asked runs again is cheaper than sending each string's number.
+                _, number = np.unique(strings_of(raw, start, wide), return_inverse=True)
+                hit = _spread(start, wide)[np.concatenate(twice)[number] == 1]
                 first, last = np.concatenate((first, hit)), np.concatenate((last, hit))
             np.add.at(edge, first, 1)
             np.subtract.at(edge, last + length, 1)
@@ -328,9 +343,8 @@ def repeats(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
     codes = runs.groupBy("part").cogroup(anchors.groupBy("block")).applyInArrow(tell_runs, ASKED)
     strings = by_block.cogroup(codes.groupBy("block")).applyInArrow(ask_strings, ASKED)
     told = strings.groupBy("part").applyInArrow(tell_strings, ASKED)
-    fields = [f"`__c{i}` {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(columns)]
     out = by_block.cogroup(told.groupBy("block")).applyInArrow(
-        cut, ", ".join([*fields, "n_bytes long, n_removed long, n_spans long, kept binary"]))
+        cut, fields(docs, columns, "n_bytes long, n_removed long, n_spans long, kept binary", "__c"))
     return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(columns)], "n_bytes", "n_removed", "n_spans", "kept")
 
 

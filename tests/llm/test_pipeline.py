@@ -2,11 +2,14 @@ import random
 
 import numpy as np
 import sentencepiece as sp
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from panelwise.llm import mixing, pieces, quality
 
 from .conftest import SCHEMA
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 from .test_simhash import fingerprint, roots
 from .test_suffixes import brute
 
@@ -21,7 +24,7 @@ def tables(spark, path):
     texts += [prose(30) + " vile " + prose(20) + " nasty filth" for _ in range(40)] + [None, "", " \n"]
     rows = [(i, t, "en", rng.choice(["s0", "s1", "s2", None]), len(t or ""), 1, 2, 3, 4) for i, t in enumerate(texts)]
     labels = [(i, 1, int("vile" in (t or ""))) for i, t in enumerate(texts) if i % 3]
-    spark.createDataFrame(rows, SCHEMA).select(*cp.COLUMNS).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(rows, SCHEMA).select(*COLUMNS).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     return rows
 
@@ -33,7 +36,7 @@ def test_every_stage_by_brute_force(spark, tmp_path):
     for k, (_, stage) in enumerate(cp.STAGES):
         out = stage(spark, docs, sf)
         if k < len(cp.STAGES) - 1:
-            assert out.columns == cp.COLUMNS and out.schema == docs.schema
+            assert out.columns == COLUMNS and out.schema == docs.schema
         out.write.parquet(f"{tmp_path}/{k}")
         docs = spark.read.parquet(f"{tmp_path}/{k}")
         seen.append(sorted(docs.collect(), key=lambda r: r["doc_id"]))
@@ -75,7 +78,21 @@ def test_run_equals_its_stages(spark):
     assert out.where("not round_trip").count() == 0
 
 
+def test_stages_keep_columns_with_clashing_names(spark, tmp_path):
+    sf = str(tmp_path / "sf")
+    tables(spark, sf)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    names = ["score", "selected", "kept", "fp", "n_removed", "copies", "size", "ids", "tail", "block", "part", "component_id", "a-b", "target"]
+    for i, n in enumerate(names):
+        docs = docs.withColumn(n, F.when(F.col("doc_id") % 2 == 0, F.lit(i)))
+    for _, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns and out.count() > 0
+        assert out.where("doc_id % 2 = 0 and (score <> 0 or kept <> 2 or `a-b` <> 12 or target <> 13)").count() == 0
+    assert cp.STAGES[-1][1](spark, docs, sf).count() == docs.count()
+
+
 def test_stages_take_empty_tables(spark, no_docs):
-    docs = no_docs.select(*cp.COLUMNS)
+    docs = no_docs.select(*COLUMNS)
     for _, stage in cp.STAGES:
         assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0
