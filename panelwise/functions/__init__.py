@@ -10,10 +10,8 @@ from .columns import (  # noqa: F401
     hash_or_null,
     hex_tail_to_uint64,
     ieee_ratio,
-    inf_to_null,
     logistic_grad,
     logistic_hess,
-    nan_to_null,
     safe_ratio,
     sigmoid,
     transition,

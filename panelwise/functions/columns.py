@@ -35,14 +35,6 @@ def transition(current: Column, previous: Column) -> Column:
     return F.concat(current.cast("string"), F.lit("->"), previous.cast("string"))
 
 
-def inf_to_null(c: Column) -> Column:
-    return F.when(F.abs(c) == F.lit(INF), F.lit(None)).otherwise(c)
-
-
-def nan_to_null(c: Column) -> Column:
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
-
-
 def hash_or_null(c: Column) -> Column:
     """64-bit hash of a value; NULL stays NULL (``xxhash64(NULL)`` is 42)."""
     return F.when(c.isNotNull(), F.xxhash64(c))
@@ -62,6 +54,7 @@ def clip(c: Column, lo: float, hi: float) -> Column:
     return F.greatest(F.least(c, F.lit(hi)), F.lit(lo))
 
 
+# These closed forms must equal the reference's.
 # Binary cross-entropy with an epsilon, as a log-likelihood (positive sign):
 #   t*log(p+e) + (1-t+e)*log(1-p+e)
 # and its first and second derivative in p.

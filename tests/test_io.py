@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -41,3 +42,12 @@ def test_labels_csv_and_report(spark, tmp_path):
     rp = str(tmp_path / "report")
     io.write_report_csv(lab.groupBy("quality").count().orderBy(F.desc("count")), rp)
     assert len([f for f in os.listdir(rp) if f.endswith(".csv")]) == 1
+
+
+def test_table_equality_is_by_rows(spark):
+    from panelwise.operators.clean import assert_frames_equal
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (None, "y")], "n int, s string")
+    assert_frames_equal(a, a.orderBy("s"))
+    for other in (a.distinct(), a.unionAll(a.limit(1)), a.withColumnRenamed("s", "t")):
+        with pytest.raises(AssertionError):
+            assert_frames_equal(a, other)
