@@ -43,6 +43,7 @@ DEPTH = 4
 BLOCK_BYTES = 8 << 20
 CHUNK = 1 << 20      # places sorted at a time
 MARK = 0xFF          # no UTF-8 text has this byte
+MAX_MODELS = 4096    # each gets the 1 MB of depths 1 and 0; there are 65,536 two-byte contexts at most
 SCATTER = 0x9E3779B97F4A7C15
 FOLDS, HELD_OUT = 7, 2
 SCALE = 1 << 10      # sums of log weights travel as whole numbers: exact in any order
@@ -216,7 +217,7 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
     held, n, wide = in_blocks(docs, [held_out(id_col), *[F.col(c) for c in columns]], id_col, text_col, block_bytes)
     n_columns = len(columns)
     parts = max(1, -(-n // 2))      # tasks that add up counts
-    models = max(1, -(-n // 4))     # tasks that own contexts
+    models = max(1, min(-(-n // 4), MAX_MODELS))  # tasks that own contexts
     WORDS = parts                   # parts from here on hold words
 
     def load(tbl):

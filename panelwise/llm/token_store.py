@@ -35,7 +35,8 @@ from .tokens import byte_bpe, tokenizer_path
 ship(__name__)
 
 SHARD_BYTES = 4 << 20   # payload of a shard, unless one document is longer
-PART_BYTES = 32 << 20   # text per part (a range of keys)
+PART_BYTES = 32 << 20   # text per part (a range of keys), at least
+MAX_PARTS = 20_000      # parts; the table of their bases, one row each, is collected and broadcast
 BUCKET_KEYS = 20_000    # keys per bucket of the index
 END_ID = 0
 LEVELS = 48
@@ -107,7 +108,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     small_batches(spark)
     tok = tokenizer or tokenizer_path()
     total, rows = docs.select(text_bytes(text_col).alias("b")).agg(F.coalesce(F.sum("b"), F.lit(0)), F.count("*")).first()
-    n_parts = max(1, -(-total // part_bytes))
+    n_parts = max(1, min(-(-total // part_bytes), MAX_PARTS))
     buckets = max(1, -(-rows // bucket_keys))
 
     def encode(batches):
@@ -154,7 +155,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
      .write.option("compression", "zstd").parquet(f"{path}/shards"))
 
     shards = spark.read.schema(SHARDS).parquet(f"{path}/shards")
-    # One row per part, that is one per PART_BYTES of text.
+    # One row per part: at most MAX_PARTS.
     base, bases = 0, []
     for r in shards.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():
         bases.append((r["part"], base, buckets))
@@ -207,7 +208,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array([d["key"] for d in docs], pa.int64()), pa.array([before + d["at"] for d in docs], pa.int64()),
                      pa.array([d["n"] for d in docs], pa.int64()), pa.array(ids, pa.binary())], ["key", "start", "n", "ids"])
 
-    # ``parts`` has one row of 16 bytes per PART_BYTES of text.
+    # ``parts`` has at most MAX_PARTS rows of 16 bytes.
     small_batches(spark, 8)  # shards a batch
     return (shards.join(F.broadcast(parts), "part").select("payload", F.expr("base + first"), "docs")
             .mapInArrow(cut, "key long, start long, n long, ids binary"))
