@@ -32,7 +32,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import batches_of, fields, ship, small_batches, table, text_or_empty
+from .common import batches_of, fields, ship, small_batches, table, text_or_empty, written
 
 ship(__name__)
 
@@ -112,19 +112,28 @@ class Features:
         return out
 
 
-def screen(words: list, low, bits: int, min_df: int = MIN_DF, min_z: float = MIN_Z):
-    """Which word features tell documents below the best grade from others."""
-    import numpy as np
-    n, size = len(words), 1 << bits
-    if not n:
-        return np.zeros(size, dtype=bool)
-    at = np.repeat(low, [len(x) for x in words])
-    ids = np.concatenate(words).astype(np.int64)
-    df = np.bincount(ids, minlength=size)
-    bad = np.bincount(ids[at], minlength=size)
-    p = (low.sum() + 0.5) / (n + 1)
-    z = (bad - df * p) / np.sqrt(np.maximum(df, 1) * p * (1 - p))
-    return (df >= min_df) & (np.abs(z) >= min_z)
+def screen(features: DataFrame, best: int, bits: int, min_df: int = MIN_DF, min_z: float = MIN_Z) -> list[int]:
+    """The word features that tell documents below grade ``best`` from others.
+    ``features``: grade and words (int32 bytes). Counts are made in tasks."""
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+        n, low = np.zeros(1 << bits, dtype=np.int64), np.zeros(1 << bits, dtype=np.int64)
+        for b in batches:
+            for grade, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                ids = np.frombuffer(words, dtype="<i4")
+                n[ids] += 1
+                if grade < best:
+                    low[ids] += 1
+        ids = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n[ids]), pa.array(low[ids])], ["id", "n", "low"])
+
+    r = features.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("grade") < best).cast("int")), F.lit(0)).alias("low")).first()
+    p = (r["low"] + 0.5) / (r["n"] + 1)
+    z = (F.col("low") - F.col("n") * p) / F.sqrt(F.col("n") * (p * (1 - p)))
+    told = (features.select("grade", "words").mapInArrow(count, "id long, n long, low long").groupBy("id")
+            .agg(F.sum("n").alias("n"), F.sum("low").alias("low")).where((F.col("n") >= min_df) & (F.abs(z) >= min_z)))
+    return sorted(x["id"] for x in told.select("id").collect())
 
 
 def fit(features: list, grades, bits: int = BITS, n_grades: int = GRADES, epochs: int = EPOCHS,
@@ -193,15 +202,25 @@ def train(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col:
                      pa.array([np.array(f.shape(x), "<i4").tobytes() for x in raw], pa.binary())], ["grade", "words", "shape"])
 
     # The sample has about max_rows rows of 12 bytes, so it is broadcast.
-    rows = (docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("text"))
-            .join(F.broadcast(sample), "__id").select("grade", "text")
-            .mapInArrow(extract, "grade int, words binary, shape binary").collect())
-    rows.sort()
-    grade = np.array([r["grade"] for r in rows], dtype=np.int64)
-    words = [np.frombuffer(r["words"], dtype="<i4") for r in rows]
-    wanted = screen(words, grade < n_grades - 1, bits)
-    both = [np.unique(np.concatenate((w[wanted[w]], np.frombuffer(r["shape"], dtype="<i4")))) for w, r in zip(words, rows)]
-    weights, cuts = fit(both, grade, bits, n_grades)
+    found = written(docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("text"))
+                    .join(F.broadcast(sample), "__id").select("grade", "text")
+                    .mapInArrow(extract, "grade int, words binary, shape binary"), "quality-sample")
+    wanted = np.zeros(1 << bits, dtype=bool)
+    wanted[screen(found, n_grades - 1, bits)] = True
+
+    def narrow(batches):
+        import numpy as np
+        import pyarrow as pa
+        for b in batches:
+            both = []
+            for words, shape in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                w = np.frombuffer(words, dtype="<i4")
+                both.append(np.unique(np.concatenate((w[wanted[w]], np.frombuffer(shape, dtype="<i4")))).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(both, pa.binary())], ["grade", "ids"])
+
+    # Only the screened features of the sample come to the driver: some dozens a row.
+    rows = sorted(tuple(r) for r in found.mapInArrow(narrow, "grade int, ids binary").collect())
+    weights, cuts = fit([np.frombuffer(x, dtype="<i4") for _, x in rows], [g for g, _ in rows], bits, n_grades)
     return weights, cuts, wanted
 
 
@@ -250,4 +269,5 @@ def rated(docs: DataFrame, labels: DataFrame, columns: list[str], grade: int = G
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+    r = rated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+    return r.withColumnRenamed("selected", "kept")
