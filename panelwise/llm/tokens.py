@@ -16,7 +16,7 @@ from .common import ship
 ship(__name__)
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
-CACHE_WORDS = 200_000  # words in each of the two generations of the cache
+CACHE_WORDS = 300_000  # words in each of the two generations of the cache
 
 
 def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
@@ -40,13 +40,6 @@ def words_of(text: str) -> list[str]:
     return text.replace("\n", " \n").split(" ")
 
 
-def safe(word: str) -> bool:
-    """Whether ``word`` has no white space beside the cuts around it."""
-    if not word or word == "\n":
-        return False
-    return not word[word[0] == "\n"].isspace() and not word[-1].isspace()
-
-
 class WordCache:
     """Ids of words, in two generations: the words of the last ``CACHE_WORDS``
     new ones and of the generation before are remembered."""
@@ -59,28 +52,36 @@ class WordCache:
     def encode(self, cut: list[list[str]]) -> list[bytes | None]:
         """The joined ids of each list of words; None if ``learn`` leaves
         one of them out."""
+        import gc
+        gc.disable()  # many short lists and no cycles: collections find nothing
+        try:
+            return self._encode(cut)
+        finally:
+            gc.enable()
+
+    def _encode(self, cut: list[list[str]]) -> list[bytes | None]:
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
         found = [list(map(young.get, words)) for words in cut]
-        new = {}
+        gaps, new = [], {}
         for words, ids in zip(cut, found):
-            if None in ids:
-                for w, x in zip(words, ids):
-                    if x is None and w not in new:
-                        got = old.get(w)
-                        if got is None:
-                            new[w] = None
-                        else:
-                            young[w] = got
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                w = words[at]
+                gaps.append((ids, at, w))
+                if w not in new:
+                    if w in old:
+                        young[w] = old[w]
+                    else:
+                        new[w] = None
         if new:
             young.update(self.learn(list(new)))
-        out = []
-        for words, ids in zip(cut, found):
-            if None in ids:
-                ids = list(map(young.get, words))
-            out.append(None if None in ids else b"".join(ids))
-        return out
+        for ids, at, w in gaps:
+            ids[at] = young.get(w)
+        odd = {id(ids) for ids, at, _ in gaps if ids[at] is None}
+        return [None if id(ids) in odd else b"".join(ids) for ids in found]
 
 
 class ByteBpe:
@@ -101,23 +102,36 @@ class ByteBpe:
         for piece, i in self.tok.get_vocab().items():
             self.size[i] = len(piece)
         self.cache = WordCache(self._learn)
+        self.marks = {m: x.tobytes() for m, x in zip(".,", self._ids([".", ","]))}
 
     def _ids(self, texts: list[str]) -> list:
         return [self.np.array(e.ids, dtype="<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of the words that may be cut out of a text."""
-        np = self.np
-        good = [w for w in new if safe(w)]
-        if not good:
-            return {}
+        """Ids of the words that may be cut out of a text: those with no
+        white space beside the cuts around them."""
+        good = [w for w in new if w and not w[-1].isspace() and not w[w[0] == "\n"].isspace()]
+        found, mark, known = {}, self.marks, self.cache.young
+        rest = []
+        for w in good:
+            # A comma or full stop after a letter is a token of its own.
+            m = mark.get(w[-1])
+            base = known.get(w[:-1]) if m and w[-2:-1] < "\u0250" and w[-2:-1].isalpha() else None
+            if base is None:
+                rest.append(w)
+            else:
+                found[w] = base + m
+        good = rest
         cut = [w if w[0] == "\n" else " " + w for w in good]
-        ids = self._ids(["".join(cut)])[0]
-        at = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(w.encode()) for w in cut])) + 1
-        raw, s, found = ids.tobytes(), 0, {}
-        for w, e in zip(good, (at * 4).tolist()):
-            found[w] = raw[s:e]
-            s = e
+        joint = "".join(cut)
+        if not joint:
+            return found
+        np, ids = self.np, self._ids([joint])[0]
+        size = map(len, cut) if joint.isascii() else (len(w.encode()) for w in cut)
+        ends = np.cumsum(np.fromiter(size, np.int64, len(cut)))
+        at = np.searchsorted(np.cumsum(self.size[ids]), ends) * 4 + 4
+        raw, at = ids.tobytes(), at.tolist()
+        found.update((w, raw[s:e]) for w, s, e in zip(good, [0, *at], at))
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
