@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import batches_of, ship, small_batches, table, text_or_empty
+from .common import batches_of, ship, small_batches, table, text_or_empty, written
 from .tokens import byte_bpe, tokenizer_path
 
 ship(__name__)
@@ -47,7 +47,8 @@ def length_histogram(lengths: DataFrame, block: int = BLOCK) -> DataFrame:
     length or less, as a share). The sums go by blocks of lengths, so no task
     sees the whole histogram in detail.
     """
-    h = (lengths.groupBy("length").agg(F.count("*").alias("n_docs"))
+    # Written: the documents are encoded once, not for each of its two readers.
+    h = (written(lengths.groupBy("length").agg(F.count("*").alias("n_docs")), "lengths")
          .withColumn("n_tokens", F.col("length") * F.col("n_docs"))
          .withColumn("block", F.floor(F.col("length") / block)))
     above = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
