@@ -4,8 +4,11 @@ Unit vectors are cut into halves, each with its own codebook; a vector's cell
 is its pair of nearest codewords, so two codebooks of k words make a grid of
 k * k cells. A search visits cells in the order of the sum of both halves'
 distances (multi-sequence order) and stops after the count of cells that
-reaches the target recall, measured on a sample of queries against every vector. What it
-meets is verified by the cosine in double precision.
+reaches the target recall, measured on a sample of queries. Partners planted at
+exactly the linking cosine make up for partners that the sample has not: pairs
+count as found if either end visits the other's cell. The true links of the
+sample to other vectors (a query is no partner of itself) have to be reached too.
+What a search meets is verified by the cosine in double precision.
 
 Equal vectors are one entry with a count. A cell's entries and its visitors
 are dealt into blocks, and one task compares one block of each, so a
@@ -88,6 +91,41 @@ def visits(x, books, count: int):
     return o1[np.arange(len(x))[:, None], i[pick]] * len(books[1]) + o2[np.arange(len(x))[:, None], j[pick]]
 
 
+def ranks(x, books, cell):
+    """The place (from 1) of one given cell of each row in multi-sequence
+    order; of equal sums the last."""
+    import numpy as np
+    h = x.shape[1] // 2
+    d1, d2 = distances(x[:, :h], books[0]), distances(x[:, h:], books[1])
+    at = np.arange(len(x))
+    total = d1[at, cell // len(books[1])] + d2[at, cell % len(books[1])] + 1e-12
+    d2 = np.sort(d2, axis=1)
+    return np.array([np.searchsorted(b, t - a, side="right").sum() for a, b, t in zip(d1, d2, total)], dtype=np.int64)
+
+
+def planted_ranks(queries, books, cosine: float, seed: int = SEED):
+    """Per kind of direction: how deep the traversal of a query or of a partner
+    at just this cosine, whichever is less deep, finds the other one. The
+    partner lies anywhere, beside one half only, or towards another query."""
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    x = np.tile(queries, (-(-QUERIES // max(1, len(queries))), 1))
+    h = x.shape[1] // 2
+    anywhere = rng.normal(size=x.shape)
+    first, second = anywhere.copy(), anywhere.copy()
+    first[:, h:], second[:, :h] = 0, 0
+    out = []
+    for z in (anywhere, first, second, x[rng.permutation(len(x))]):
+        z = z - (z * x).sum(axis=1, keepdims=True) * x
+        size = np.sqrt((z * z).sum(axis=1))
+        ok = size > 1e-6
+        a = x[ok]
+        b = cosine * a + (1 - cosine * cosine) ** 0.5 * z[ok] / size[ok, None]
+        if len(a):
+            out.append(np.minimum(ranks(a, books, visits(b, books, 1)[:, 0]), ranks(b, books, visits(a, books, 1)[:, 0])))
+    return out
+
+
 def forest(a, b, n: int):
     """Spanning links of the graph on 0..n-1 with links (a, b)."""
     import numpy as np
@@ -153,7 +191,9 @@ def fit(entries: DataFrame, dim: int, cosine: float = COSINE, recall: float = RE
     h = dim // 2
     books = (codebook(train[:, :h], k), codebook(train[:, h:], k))
     cells = len(books[0]) * len(books[1])
-    queries = unit(_sample(entries, QUERIES, total, SEED + 1), dim)
+    drawn = _sample(entries, QUERIES, total, SEED + 1)
+    own = {v: i for i, v in enumerate(drawn)}
+    queries = unit(drawn, dim)
     order = visits(queries, books, cells)
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.arange(order.shape[1])[None, :], axis=1)
@@ -164,9 +204,14 @@ def fit(entries: DataFrame, dim: int, cosine: float = COSINE, recall: float = RE
         for b in batches:
             if not b.num_rows:
                 continue
-            x = unit(b.column(0).to_pylist(), dim)
+            raw = b.column(0).to_pylist()
+            x = unit(raw, dim)
             cell = visits(x, books, 1)[:, 0]
-            q, m = np.nonzero(queries @ x.T >= cosine)
+            near = queries @ x.T >= cosine
+            for i, v in enumerate(raw):
+                if v in own:  # entries are distinct: this is the query itself
+                    near[own[v], i] = False
+            q, m = np.nonzero(near)
             at, n = np.unique(np.stack((q, place[q, cell[m]])), axis=1, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(at[0]), pa.array(at[1]), pa.array(n)], ["q", "place", "n"])
 
@@ -181,6 +226,9 @@ def fit(entries: DataFrame, dim: int, cosine: float = COSINE, recall: float = RE
         for weight in (n.astype(float), per_query):  # over links, and over queries
             by = np.bincount(at, weight, minlength=cells).cumsum()
             need = max(need, int(np.searchsorted(by / by[-1], recall) + 1))
+    for rank in planted_ranks(queries, books, cosine):
+        by = np.bincount(rank - 1, minlength=cells).cumsum()
+        need = max(need, int(np.searchsorted(by / by[-1], recall) + 1))
     return books, min(need, cells)
 
 

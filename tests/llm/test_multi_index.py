@@ -70,3 +70,18 @@ def test_edges(spark):
     same = spark.createDataFrame([(7, [1.0, 2.0], 0, 1)] * 3 + [(4, [2.0, 4.0], 0, 1)], SCHEMA)
     assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in mi.near_duplicates(same).collect()) == [
         (4, 3, 4, True), (7, 3, 4, False), (7, 3, 4, False), (7, 3, 4, False)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rare_pairs_are_found(spark, seed):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(8000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.normal(size=(60, 64))
+    z -= (z * x[:60]).sum(axis=1, keepdims=True) * x[:60]
+    c = rng.uniform(0.951, 0.99, (60, 1))
+    y = c * x[:60] + np.sqrt(1 - c * c) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    vectors = np.concatenate([x, y]).astype(np.float32).tolist()
+    got = found(spark.createDataFrame([(i, v, 0, 1) for i, v in enumerate(vectors)], SCHEMA))
+    assert sum(got[8000 + i] == (1, i, False) for i in range(60)) >= 58
+    assert all(got[i] == (0, i, True) for i in range(60, 8000))
