@@ -37,10 +37,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def simhash_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the
-    smallest id, of rows with that id the first in order of text and the other columns."""
-    found = simhash.near_duplicates(_packed(docs), ["text", REST])
+    smallest id, of rows with that id the first in order of text and the other
+    columns. Rows of equal or null ids that are no near-duplicates all stay."""
+    found = simhash.near_duplicates(_packed(docs), ["text", REST], with_root=True)
     own = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return _unpacked(simhash.first_of_id(own, ["doc_id", "text", REST]), docs)
+    return _unpacked(simhash.first_of_id(own, ["root", "doc_id", "text", REST], "root"), docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

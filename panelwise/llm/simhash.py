@@ -218,9 +218,10 @@ def fingerprint_links(entries: DataFrame, distance: int = DISTANCE, large: int =
 
 
 def near_duplicates(docs: DataFrame, columns: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text",
-                    words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+                    words: int = WORDS, distance: int = DISTANCE, with_root: bool = False) -> DataFrame:
     """One row per document: id, ``columns``, fp long and component_id, the
-    smallest id that links reach."""
+    smallest id that links reach; if asked for, also root: one number per
+    component, whatever its ids."""
     columns = columns or []
     marked = written(fingerprints(docs, [id_col, *columns], text_col, words), "simhash")  # texts only if asked for
     entries = written(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-entries")
@@ -228,7 +229,7 @@ def near_duplicates(docs: DataFrame, columns: list[str] | None = None, id_col: s
     # Least id of each component, from one row per distinct fingerprint.
     of = entries.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
     least = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = of.select("fp", "root").join(least, "root").select(F.col("fp").alias("__fp"), "component_id")
+    named = of.select("fp", "root").join(least, "root").select(F.col("fp").alias("__fp"), "component_id", *["root"] * with_root)
     return marked.join(named, F.col("fp") == F.col("__fp")).drop("__fp")
 
 

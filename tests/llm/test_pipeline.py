@@ -71,6 +71,17 @@ def test_every_stage_by_brute_force(spark, tmp_path):
         assert r["round_trip"]
 
 
+def test_simhash_stage_keeps_unlinked_rows_of_one_id(spark):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(40)) for _ in range(8)]
+    given = [(None, 0), (None, 1), (None, 2), (None, 2), (7, 3), (7, 4), (7, 4), (9, 5), (3, 5), (None, 5), (7, 6), (5, 6), (7, 7)]
+    docs = spark.createDataFrame([(i, texts[t], "en", "s", k) for k, (i, t) in enumerate(given)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    out = cp.simhash_duplicates(spark, docs, "/root/testdata/sf0.001").collect()
+    want = [(None, 0), (None, 1), (None, 2), (7, 3), (7, 4), (3, 5), (5, 6), (7, 7)]
+    assert sorted((r["doc_id"] or 0, texts.index(r["text"])) for r in out) == sorted((i or 0, t) for i, t in want)
+
+
 def test_run_equals_its_stages(spark):
     sf = "/root/testdata/sf0.001"
     out = cp.run(spark, sf)
