@@ -7,8 +7,9 @@ and a document that keeps too few of its words is rejected.
 
 Two passes over narrow data: each document is reduced once to its rule
 figures and one small row per distinct line (hash and words), written to the
-scratch folder. Counting and removal then run on line hashes; texts are never
-shuffled. Counts are combined before the shuffle, and the join of lines with
+scratch folder. Counting and removal then run on line hashes. Only if the
+cleaned texts are asked for, texts are written and shuffled once as well: each
+document meets the hashes of its own boilerplate lines. Counts are combined before the shuffle, and the join of lines with
 the boilerplate lines is an ordinary join that adaptive execution may split.
 
 Rule figures of a text, with words ``[^\\x20\\x09-\\x0D]+``: n_words, word_chars,
@@ -18,7 +19,8 @@ found twice or more in the text, the first included). Windows are compared by
 
 Defined results: a null text has no words (base_failed, not kept); a null
 host is a host of its own; blank lines are no lines; repeated rows count as
-documents of their own; an empty table gives an empty result.
+documents of their own; an empty table gives an empty result. A cleaned text
+has all other lines (blank ones too) as they were; of a null text it is null.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ SYMBOLS = "#*$%&|<>"
 BLANK = " \t\n\x0b\x0c\r"
 SPLIT = r"'[\\x20\\x09-\\x0D]+'"
 WORDS = r"'[^\\x20\\x09-\\x0D]+'"
+LINE_HASH = f"xxhash64(lower(trim(regexp_replace(l, {SPLIT}, ' '))))"
 
 
 def rule_figures(docs: DataFrame, columns: list[str], text_col: str = "text", host_col: str = "source") -> DataFrame:
@@ -59,21 +62,23 @@ def rule_figures(docs: DataFrame, columns: list[str], text_col: str = "text", ho
     d = d.withColumn("__r", F.expr(f"array_sort(filter({twice}, i -> i >= 0))"))
     covered = f"transform(__r, (x, j) -> if(j < size(__r) - 1, least({k}, __r[j + 1] - x), {k}))"
     d = d.withColumn("__l", F.expr(f"filter(split(__t, '\\n'), l -> l rlike {WORDS})"))
-    normal = f"lower(trim(regexp_replace(l, {SPLIT}, ' ')))"
     return d.select(
         *columns, F.col("__host").alias("host"), F.expr("cast(size(__h) as bigint)").alias("n_words"),
         F.char_length(F.translate("__t", BLANK, "")).cast("long").alias("word_chars"),
         (F.char_length("__t") - F.char_length(F.translate("__t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.expr("cast(size(__l) - size(array_distinct(__l)) as bigint)").alias("n_dup_lines"),
         F.expr(f"coalesce(aggregate({covered}, 0L, (a, x) -> a + x), 0L)").alias("n_repeat_words"),
-        F.expr(f"transform(__l, l -> struct(xxhash64({normal}) as hash, regexp_count(l, {WORDS}) as words))").alias("lines"))
+        F.expr(f"transform(__l, l -> struct({LINE_HASH} as hash, regexp_count(l, {WORDS}) as words))").alias("lines"))
 
 
 def line_rules(docs: DataFrame, columns: list[str], text_col: str = "text", host_col: str = "source",
-               min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE, min_kept: float = MIN_KEPT) -> DataFrame:
+               min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE, min_kept: float = MIN_KEPT,
+               cleaned: bool = True) -> DataFrame:
     """One row per document: ``columns``, the rule figures, n_removed_words
-    (words in boilerplate lines), base_failed and kept."""
-    base = written(rule_figures(docs, columns, text_col, host_col)
+    (words in boilerplate lines), base_failed and kept; with ``cleaned`` also
+    cleaned_text, the text without its boilerplate lines."""
+    given = docs.withColumn("__text", F.col(text_col)) if cleaned else docs
+    base = written(rule_figures(given, columns + ["__text"] * cleaned, text_col, host_col)
                    .withColumn("__row", F.monotonically_increasing_id()), "line-rules")
     hosts = base.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("docs"))
     seen = (base.select("host", F.explode(F.array_distinct("lines.hash")).alias("hash"))
@@ -83,17 +88,21 @@ def line_rules(docs: DataFrame, columns: list[str], text_col: str = "text", host
               .select(F.col("host").alias("h"), F.col("hash").alias("c")))
     lines = base.select("__row", "host", F.inline("lines"))
     removed = (lines.join(common, F.col("host").eqNullSafe(F.col("h")) & (F.col("hash") == F.col("c")), "left_semi")
-               .groupBy(F.col("__row").alias("__r")).agg(F.sum("words").alias("removed")))
+               .groupBy(F.col("__row").alias("__r"))
+               .agg(F.sum("words").alias("removed"), *[F.collect_set("hash").alias("__own")] * cleaned))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     gone = F.coalesce("removed", F.lit(0)).cast("long")
+    stays = f"not(l rlike {WORDS}) or not(array_contains(__own, {LINE_HASH}))"
+    text = F.expr(f"if(__own is null, __text, array_join(filter(split(__text, '\\n'), l -> {stays}), '\\n'))")
     return (base.drop("lines").join(removed, F.col("__row") == F.col("__r"), "left")
             .select(*columns, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     gone.alias("n_removed_words"), failed.alias("base_failed"),
-                    (~failed & (F.col("n_words") - gone >= F.col("n_words") * min_kept)).alias("kept")))
+                    (~failed & (F.col("n_words") - gone >= F.col("n_words") * min_kept)).alias("kept"),
+                    *[text.alias("cleaned_text")] * cleaned))
 
 
 def op6_line_frequency(spark, sf_dir: str) -> DataFrame:
-    return line_rules(table(spark, sf_dir, "documents"), ["doc_id"])
+    return line_rules(table(spark, sf_dir, "documents"), ["doc_id"], cleaned=False)
 
 
 # Literal numbers are the parameters above.

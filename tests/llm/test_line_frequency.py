@@ -38,6 +38,18 @@ def test_common_lines_go(spark):
     assert all(got[i]["n_removed_words"] == 0 and got[i]["kept"] for i in range(13, 23))
 
 
+def test_cleaned_text(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    notice = "All  Rights RESERVED by the site owner"
+    texts = [f"{own(i)}\n\n{notice if i % 2 else notice.lower()} \n tail  {i}\n" for i in range(12)] + [notice, None, ""]
+    docs = make_docs(spark, texts + [f"x\n{notice}"], sources=["h"] * 15 + [None])
+    got = {r["doc_id"]: r for r in lf.line_rules(docs, ["doc_id", "text"]).collect()}
+    assert [got[i]["cleaned_text"] for i in range(12)] == [f"{own(i)}\n\n tail  {i}\n" for i in range(12)]
+    assert [got[i]["cleaned_text"] for i in range(12, 16)] == ["", None, "", f"x\n{notice}"]
+    for r in got.values():
+        assert r["n_words"] - r["n_removed_words"] == figures(r["cleaned_text"])[0]
+
+
 def test_empty(no_docs, docs):
     assert lf.line_rules(no_docs, ["doc_id"]).count() == 0
     out = lf.line_rules(docs, docs.columns[:5])
