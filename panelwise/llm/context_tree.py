@@ -39,7 +39,7 @@ from .common import fields, ship, small_batches, table
 
 ship(__name__)
 
-DEPTH = 4
+DEPTH = 6
 BLOCK_BYTES = 8 << 20
 CHUNK = 1 << 20      # places sorted at a time
 MARK = 0xFF          # no UTF-8 text has this byte

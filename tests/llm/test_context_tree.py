@@ -117,3 +117,11 @@ def test_edges(spark, no_docs):
     held = next(i for i in range(100) if crc32(str(i).encode()) % 7 == 2)
     r = ct.scores(make_docs(spark, ["ab"], ids=[held]), ["doc_id"]).first()  # nothing to learn from
     assert r["train_tokens"] == 0 and r["base_score"] == 0 and math.isclose(r["score"], 24 * math.log10(.5), rel_tol=1e-6)
+
+
+def test_contexts_of_six_bytes_are_learnt(spark):
+    rng = np.random.default_rng(8)
+    texts = ["".join(("xabcde1 ", "yabcde2 ")[i] for i in rng.integers(0, 2, 150)) for _ in range(60)]
+    got = [r for r in ct.scores(make_docs(spark, texts), ["doc_id"]).collect() if r["held_out"]]
+    # One free bit in eight bytes; a second one if the x or y is out of sight.
+    assert got and all(r["bits_per_byte"] < 0.19 for r in got)
