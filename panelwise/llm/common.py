@@ -57,6 +57,19 @@ def fields(df: DataFrame, names: list[str], more: str, prefix: str = "") -> Stru
     return StructType(own + StructType.fromDDL(more).fields)
 
 
+def returned_as(columns: list[str], results) -> list[str]:
+    """The names under which an operator returns the columns it was asked for:
+    their own, but ``given_<name>`` for one named like a result."""
+    taken = {r.lower() for r in results}
+    names = []
+    for c in columns:
+        while c.lower() in taken:
+            c = f"given_{c}"
+        taken.add(c.lower())
+        names.append(c)
+    return names
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
