@@ -962,23 +962,144 @@ def q_cv_gbt(spark, d):
     return ok.select("fold", "n_rows", "n_pos", "n_trees")
 
 
-@query("predict", """
-SELECT l.doc_id, true AS is_probability FROM labels l JOIN documents d USING (doc_id)
-""")
-def q_predict(spark, d):
-    """ME4: every document scored by the mean of the folds' models."""
-    from .plans.selection import cross_validate, predict
-    table = _doc_training_table(spark, d)
-    cv = cross_validate(table, DOC_FEATURES, "quality", ["doc_id"], folds=2, max_iter=3)
-    return predict(cv.models, table, DOC_FEATURES).select("doc_id", F.col("prediction").between(0, 1).alias("is_probability"))
+# Boosted trees of depth 1 on nominal features can be recomputed in SQL: a tree
+# orders a feature's categories by their mean residual, cuts where the
+# squared sums gain most and gives each side its mean; later trees see the
+# residuals of the log loss and count a tenth. Missing values are a category.
+
+def _folds_sql(k: int) -> str:
+    """(id, fold) of a table ``base`` (id, y, ...), as ``kfold``."""
+    return _kfold_sql(k).replace("FROM labels", "FROM (SELECT id AS doc_id, y AS quality FROM base)")
+
+
+def _stumps_sql(tag: str, features: str, rounds: int, folds: int) -> str:
+    """CTEs ``{tag}t{r}`` (k, id, y, fold, raw): raw scores of all rows after r
+    trees of the model that fold k is held out of; ``{tag}b{r}`` (k, feature, gain):
+    its splits. Reads ``base``, ``folds`` and ``u`` (id, feature, value); ``features`` is a condition on ``u``."""
+    out = [f"{tag}u AS MATERIALIZED (SELECT * FROM u WHERE {features})",
+           f"{tag}t0 AS (SELECT k, id, y, fold, 0.0::DOUBLE AS raw FROM base JOIN folds USING (id), (SELECT unnest(range(0, {folds})) AS k))"]
+    for r in range(1, rounds + 1):
+        residual = "2.0 * y - 1" if r == 1 else "4.0 * (2 * y - 1) / (1 + exp(2.0 * (2 * y - 1) * raw))"
+        step = "1.0" if r == 1 else "0.1"
+        out += [f"""{tag}v{r} AS (SELECT k, feature, value, count(*)::DOUBLE AS n, sum({residual})::DOUBLE AS s
+      FROM {tag}t{r - 1} JOIN {tag}u USING (id) WHERE fold <> k GROUP BY ALL)""",
+                f"""{tag}c{r} AS MATERIALIZED (SELECT *, row_number() OVER w AS pos, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+             sum(n) OVER (PARTITION BY k, feature) AS nt, sum(s) OVER (PARTITION BY k, feature) AS st FROM {tag}v{r}
+      WINDOW w AS (PARTITION BY k, feature ORDER BY s / n, value NULLS LAST ROWS UNBOUNDED PRECEDING))""",
+                f"""{tag}b{r} AS MATERIALIZED (SELECT k, feature, pos AS cut, sl / nl AS lv, (st - sl) / (nt - nl) AS rv,
+             (sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt) / nt AS gain FROM {tag}c{r} WHERE nl < nt
+      QUALIFY row_number() OVER (PARTITION BY k ORDER BY gain DESC, feature, cut) = 1)""",
+                f"""{tag}t{r} AS MATERIALIZED (SELECT t.k, t.id, t.y, t.fold, t.raw + {step} * CASE WHEN c.pos <= b.cut THEN b.lv ELSE b.rv END AS raw
+      FROM {tag}t{r - 1} t JOIN {tag}b{r} b USING (k) JOIN {tag}u u ON u.id = t.id AND u.feature = b.feature
+      LEFT JOIN {tag}c{r} c ON c.k = t.k AND c.feature = b.feature AND c.value IS NOT DISTINCT FROM u.value)"""]
+    held = " UNION ALL ".join(f"SELECT k, {r} AS round, id, y, raw FROM {tag}t{r} WHERE fold = k" for r in range(1, rounds + 1))
+    out.append(f"""{tag}m AS MATERIALIZED (SELECT k AS fold, round, CASE WHEN p > 0 AND q > 0 THEN
+        (sum((lorenz - share) * w) / (10.0 * q * (1 - 19.0 / (p + 20.0 * q))) + sum(CASE WHEN share <= 0.04 THEN y ELSE 0 END) / p) / 2 END AS metric
+      FROM (SELECT *, sum(w) OVER o / (p + 20.0 * q) AS share, sum(y) OVER o / p AS lorenz
+            FROM (SELECT *, 20.0 - 19 * y AS w, sum(y) OVER (PARTITION BY k, round)::DOUBLE AS p, sum(1 - y) OVER (PARTITION BY k, round)::DOUBLE AS q FROM ({held}))
+            WINDOW o AS (PARTITION BY k, round ORDER BY raw DESC, id ROWS UNBOUNDED PRECEDING)) GROUP BY k, round, p, q)""")
+    return ",\n".join(out)
+
+
+def _boosted_sql(base: str, unpivot: str, folds: int, body: str, result: str) -> str:
+    return f"""
+WITH base AS MATERIALIZED ({base}),
+folds AS MATERIALIZED (SELECT doc_id AS id, fold FROM ({_folds_sql(folds)})),
+u AS MATERIALIZED ({unpivot}),
+{body}
+{result}
+"""
+
+
+DOC_NOMINAL = ["lang", "n_digits", "source"]
+_DOC_BASE = """SELECT doc_id AS id, CAST(quality AS DOUBLE) AS y, lang, CAST(len(CAST(n_chars AS VARCHAR)) AS VARCHAR) AS n_digits, source
+  FROM labels JOIN documents USING (doc_id)"""
+_DOC_LONG = " UNION ALL ".join(f"SELECT id, '{c}' AS feature, {c} AS value FROM base" for c in DOC_NOMINAL)
+_ROUNDS_RESULT = """SELECT fold::INTEGER AS fold, round::INTEGER AS round, CAST(metric AS FLOAT) AS metric FROM am
+UNION ALL SELECT NULL, round::INTEGER, CAST(avg(metric) AS FLOAT) FROM am GROUP BY round"""
+
 
+def _doc_nominal_table(spark, d):
+    """Labelled documents with three encoded categories, and their sizes."""
+    from .plans.training import nominal_sizes
+    docs = t(spark, d, "documents").select("doc_id", "lang", "source", F.length(F.col("n_chars").cast("string")).cast("string").alias("n_digits"))
+    coded, mapping = encode.ordinal_encode(t(spark, d, "labels").select("doc_id", "quality").join(docs, "doc_id"), DOC_NOMINAL)
+    return coded, nominal_sizes(mapping)
 
-@query("select_features")
+
+@query("cv_rounds", _boosted_sql(_DOC_BASE, _DOC_LONG, 5, _stumps_sql("a", "true", 3, 5), _ROUNDS_RESULT))
+def q_cv_rounds(spark, d):
+    """ML1: the metric of every fold after every tree, and its mean by round."""
+    from .plans.selection import cross_validate, cv_rounds
+    table, sizes = _doc_nominal_table(spark, d)
+    cv = cross_validate(table, DOC_NOMINAL, "quality", ["doc_id"], nominal=sizes, max_iter=3, max_depth=1, staged=True)
+    return cv_rounds(cv).select("fold", "round", _f("metric").alias("metric"))
+
+
+@query("predict", _boosted_sql(_DOC_BASE, _DOC_LONG, 2, _stumps_sql("a", "true", 3, 2), """
+SELECT id AS doc_id, CAST(avg(raw) AS FLOAT) AS raw, CAST(avg(1 / (1 + exp(-raw))) AS FLOAT) AS prediction FROM at3 GROUP BY id"""))
+def q_predict(spark, d):
+    """ME4: every document's raw score and its sigmoid, means over the folds' models."""
+    from .plans.selection import cross_validate, predict
+    table, sizes = _doc_nominal_table(spark, d)
+    cv = cross_validate(table, DOC_NOMINAL, "quality", ["doc_id"], nominal=sizes, folds=2, max_iter=3, max_depth=1)
+    return predict(cv.models, table, cv.spec, raw="raw").select("doc_id", _f("raw").alias("raw"), _f("prediction").alias("prediction"))
+
+
+def _select_sql(rounds: int = 3, folds: int = 5) -> str:
+    """Three selection rounds: all features, the best two, the best one."""
+    body, results, features = [], [], "true"
+    for i, n in enumerate((3, 2, 1)):
+        tag = f"s{i}"
+        body.append(_stumps_sql(tag, features, rounds, folds))
+        splits = " UNION ALL ".join(f"SELECT {r} AS round, feature, gain FROM {tag}b{r}" for r in range(1, rounds + 1))
+        body.append(f"""{tag}mean AS (SELECT round, avg(metric) AS m FROM {tag}m GROUP BY round),
+{tag}best AS (SELECT round AS best FROM {tag}mean ORDER BY m DESC, round LIMIT 1),
+{tag}rank AS MATERIALIZED (SELECT f.feature, coalesce(sum(gain), 0) AS importance FROM (SELECT DISTINCT feature FROM {tag}u) f
+   LEFT JOIN (SELECT * FROM ({splits}), {tag}best WHERE round <= best) g ON g.feature = f.feature GROUP BY f.feature)""")
+        results.append(f"""SELECT {i}::INTEGER AS round, feature AS "columns", CAST(importance AS FLOAT) AS feature_importance,
+       CAST((SELECT avg(m) FROM {tag}mean, {tag}best WHERE round <= best) AS FLOAT) AS score FROM {tag}rank""")
+        features = f"feature IN (SELECT feature FROM {tag}rank ORDER BY importance DESC, feature LIMIT {int(0.7 * n)})"
+    return _boosted_sql(_DOC_BASE, _DOC_LONG, folds, ",\n".join(body), " UNION ALL ".join(results))
+
+
+@query("select_features", _select_sql())
 def q_select_features(spark, d):
+    """ML2, ML3: every round's ranking and score."""
     from .plans.selection import recursive_feature_elimination
-    ranking, _, _ = recursive_feature_elimination(_doc_training_table(spark, d), DOC_FEATURES, "quality",
-                                                  ["doc_id"], report_dir=io.scratch_path(spark, "rfe"))
-    return ranking
+    table, sizes = _doc_nominal_table(spark, d)
+    rankings: list = []
+    _, _, history = recursive_feature_elimination(table, DOC_NOMINAL, "quality", ["doc_id"], nominal=sizes, max_depth=1,
+                                                  report_dir=io.scratch_path(spark, "rfe"), rankings=rankings)
+    out = None
+    for (i, _, score), ranking in zip(history, rankings):
+        part = ranking.select(F.lit(i).alias("round"), "columns", _f("feature_importance").alias("feature_importance"),
+                              F.lit(score).cast("float").alias("score"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+PANEL_NOMINAL = ["diff_cat_o_orderpriority_13", "diff_cat_o_orderstatus_13", "o_orderpriority_13", "o_orderstatus_13"]
+_PANEL_BASE = """SELECT o_custkey AS id, CAST(c_mktsegment = 'MACHINERY' AS INTEGER)::DOUBLE AS y, o_orderpriority_13, o_orderstatus_13,
+         o_orderpriority_13 || '->' || before_p AS diff_cat_o_orderpriority_13, o_orderstatus_13 || '->' || before_s AS diff_cat_o_orderstatus_13
+  FROM (SELECT o_custkey, o_orderpriority AS o_orderpriority_13, o_orderstatus AS o_orderstatus_13,
+               lag(o_orderpriority) OVER w AS before_p, lag(o_orderstatus) OVER w AS before_s,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS back
+        FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey))
+  JOIN customer ON c_custkey = o_custkey WHERE back = 1"""
+_PANEL_LONG = " UNION ALL ".join(f"SELECT id, '{c}' AS feature, {c} AS value FROM base" for c in PANEL_NOMINAL)
+
+
+@query("cv_panel", _boosted_sql(_PANEL_BASE, _PANEL_LONG, 5, _stumps_sql("a", "true", 3, 5), _ROUNDS_RESULT))
+def q_cv_panel(spark, d):
+    """ML1 on the feature build's array form: all features are prepared as one
+    vector, and four categories of the latest period are sliced from it."""
+    from .plans.selection import cross_validate_prepared, cv_rounds, prepare
+    from .plans.training import nominal_sizes
+    features, mapping = build_features(t(spark, d, "orders"), ORDERS_SPEC, _target(spark, d), drop_key=False, as_array=True, return_mapping=True)
+    prepared = prepare(features.where("target IS NOT NULL"), "features", "target", ["o_custkey"], nominal=nominal_sizes(mapping))
+    cv = cross_validate_prepared(prepared, PANEL_NOMINAL, max_iter=3, max_depth=1, staged=True)
+    return cv_rounds(cv).select("fold", "round", _f("metric").alias("metric"))
 
 
 # ---------------------------------------------------------------------------
