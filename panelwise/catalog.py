@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .functions import hex_tail_to_uint64, ieee_ratio
 from .operators import calendar, clean, cumulative, encode, lags, metric, pivot, ranks, split, stats
-from .operators.scan import ordered_scan
+from .operators.scan import largest_segment, ordered_scan
 from .plans.features import build_features
 from .sources import io
 from .spec import PanelSpec, categorical_columns, col, dtype_columns, regex_columns
@@ -168,8 +168,10 @@ def q_lag_ratio(spark, d):
 
 
 def _lineitem_panel(spark, d):
+    """The ranked statements and the rows of the largest key, measured once."""
     li = calendar.cast_dates(t(spark, d, "lineitem"), LINEITEM_SPEC)
-    return ranks.add_rank(li, LINEITEM_SPEC.with_(ts="date"))
+    largest, _ = largest_segment(t(spark, d, "lineitem"), "l_orderkey")
+    return ranks.add_rank(li, LINEITEM_SPEC.with_(ts="date"), largest), largest
 
 
 _LI_NUMERIC = ("rank", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -202,15 +204,22 @@ def _diff_ratio_sql(f32: bool) -> str:
 
 @query("diff_ratio", _diff_ratio_sql(False))
 def q_diff_ratio(spark, d):
-    p = _lineitem_panel(spark, d)
-    return _ts_dates(lags.diff_ratio(p, "l_orderkey", ["rank"], categorical=LINEITEM_SPEC.categorical))
+    p, largest = _lineitem_panel(spark, d)
+    return _ts_dates(lags.diff_ratio(p, "l_orderkey", ["rank"], categorical=LINEITEM_SPEC.categorical, largest=largest))
 
 
 @query("diff_ratio_f32", _diff_ratio_sql(True))
 def q_diff_ratio_f32(spark, d):
-    p = _lineitem_panel(spark, d)
+    p, largest = _lineitem_panel(spark, d)
     return _ts_dates(lags.diff_ratio(p, "l_orderkey", ["rank"], categorical=LINEITEM_SPEC.categorical,
-                                     float32_ratio=True))
+                                     float32_ratio=True, largest=largest))
+
+
+@query("diff_ratio_halo", _diff_ratio_sql(False))
+def q_diff_ratio_halo(spark, d):
+    """RN9 with every key spread over range partitions, as for keys beyond a task."""
+    p, _ = _lineitem_panel(spark, d)
+    return _ts_dates(lags.diff_ratio(p, "l_orderkey", ["rank"], categorical=LINEITEM_SPEC.categorical, strategy="halo"))
 
 
 @query("category_transition", """
@@ -232,8 +241,9 @@ def q_transition_fill(spark, d):
     """RN8 with empty text on each key's first row."""
     e = t(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
     spec = PanelSpec(key="user_id", ts="ts", order=("event_id",), categorical=("event_type",))
-    p = ranks.add_rank(e, spec).select("event_id", "user_id", "rank", "event_type")
-    out = lags.diff_ratio(p, "user_id", ["rank"], categorical=["event_type"], numeric=[], fill_transitions=True)
+    largest, _ = largest_segment(e, "user_id")
+    p = ranks.add_rank(e, spec, largest).select("event_id", "user_id", "rank", "event_type")
+    out = lags.diff_ratio(p, "user_id", ["rank"], categorical=["event_type"], numeric=[], fill_transitions=True, largest=largest)
     return out.select("event_id", "user_id", F.col("rank").cast("long").alias("rank"), "diff_cat_event_type")
 
 

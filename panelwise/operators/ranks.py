@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..spec import COUNT_COLUMN, RANK_COLUMN, PanelSpec, col
-from .scan import ordered_scan, row_index
+from .scan import WINDOW_MAX_ROWS, largest_segment, ordered_scan, row_index
 
 _RN = "__rn_desc"
 
@@ -48,15 +48,23 @@ def latest_periods(df: DataFrame, spec: PanelSpec, counts: DataFrame | None = No
     return top.select(spec.key, RANK_COLUMN, *[col(c) for c in rest], COUNT_COLUMN)
 
 
-def add_rank(df: DataFrame, spec: PanelSpec) -> DataFrame:
+def add_rank(df: DataFrame, spec: PanelSpec, largest: int | None = None) -> DataFrame:
     """RN1: every statement with its rank in its key, counted so that the
     latest has rank ``periods``; statements before the first period have
     ranks 0, -1, ... Adds ``total_number``, the key's statements.
 
     Positions come from the ordered scan, so a hot key is spread over tasks;
-    they are counted from the first statement and shifted by the count."""
+    they are counted from the first statement and shifted by the count. If the
+    largest key (``largest`` rows; measured if not given) fits a task, two windows
+    over one exchange give position and count."""
     order = spec.order_columns()
-    scanned = ordered_scan(df, order, segment=spec.key, count="__pos")
+    largest = largest if largest is not None else largest_segment(df, spec.key)[0]
+    if largest <= WINDOW_MAX_ROWS:
+        w = Window.partitionBy(col(spec.key)).orderBy(*spec.order_columns(descending=True))
+        both = df.withColumns({_RN: F.row_number().over(w), COUNT_COLUMN: F.count(F.lit(1)).over(Window.partitionBy(col(spec.key))).cast("int")})
+        rank = (F.lit(spec.periods + 1) - F.col(_RN)).cast("int").alias(RANK_COLUMN)
+        return both.select(spec.key, rank, *[col(c) for c in df.columns if c not in (spec.key, RANK_COLUMN)], COUNT_COLUMN)
+    scanned = ordered_scan(df, order, segment=spec.key, count="__pos", largest=largest)
     counts = key_counts(df, spec.key).withColumnRenamed(spec.key, "__key")
     j = scanned.join(counts, col(spec.key).eqNullSafe(F.col("__key")), "left").drop("__key")
     rank = (F.col("__pos") - F.col(COUNT_COLUMN) + F.lit(spec.periods)).cast("int").alias(RANK_COLUMN)

@@ -47,7 +47,7 @@ _P = "__scan_"
 WINDOW_MAX_ROWS = 1_000_000
 
 
-def _largest_segment(df: DataFrame, segment: str) -> tuple[int, int]:
+def largest_segment(df: DataFrame, segment: str) -> tuple[int, int]:
     """(rows of the largest segment, all rows) - one map-side combined job."""
     r = (df.groupBy(F.col(segment)).agg(F.count(F.lit(1)).alias("n"))
            .agg(F.max("n").alias("m"), F.sum("n").alias("t")).first())
@@ -204,7 +204,8 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
                  totals: dict | None = None,
                  num_partitions: int | None = None,
                  strategy: str = "auto",
-                 window_max_rows: int = WINDOW_MAX_ROWS) -> DataFrame:
+                 window_max_rows: int = WINDOW_MAX_ROWS,
+                 largest: int | None = None) -> DataFrame:
     """Add running values over ``order`` (a total order; include a
     tie-break), restarting at each ``segment`` value when one is given.
 
@@ -222,12 +223,13 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
            largest segment; when it is at most ``window_max_rows`` rows an
            ordinary per-segment window is used (every group fits a task),
            otherwise the range-partitioned scan. ``scan``/``window`` force one.
+    largest  rows of the largest segment, if the caller has measured it
     """
     spark = df.sparkSession
     sums = dict(sums or {})
     lags = dict(lags or {})
     if segment is not None and index is None and strategy != "scan":
-        largest, rows = _largest_segment(df, segment)
+        largest, rows = (largest, None) if largest is not None and totals is None else largest_segment(df, segment)
         if strategy == "window" or largest <= window_max_rows:
             if totals is not None:
                 totals["rows"] = rows

@@ -85,7 +85,7 @@ def build_features(df: DataFrame, spec: PanelSpec = PanelSpec(), target: DataFra
         panel = pairwise_gaps(panel, bal, pay)
     if add_diffs:
         panel = diff_ratio(panel, key, w_order, categorical=[c for c in spec.categorical if c in panel.columns],
-                           ieee=not run_filter)
+                           ieee=not run_filter, strategy="window")
         # lags of the rank itself are the same for every key on the padded
         # grid; they are added as constants after the pivot
         const_rank_lags = [c for c in ("diff_" + RANK_COLUMN, "ratio_" + RANK_COLUMN) if c in panel.columns]
