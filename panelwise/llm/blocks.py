@@ -49,6 +49,36 @@ def cut_by_part(keys, n: int):
         yield int(part[s]), int(s), int(e)
 
 
+def packed(x) -> bytes:
+    """Whole numbers as byte planes (all lowest bytes, then all second ones, ...),
+    compressed: planes of small numbers are nearly all zero."""
+    import numpy as np
+    import pyarrow as pa
+    raw = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(raw: bytes | None, kind: str):
+    import numpy as np
+    import pyarrow as pa
+    if not raw:
+        return np.zeros(0, dtype=kind)
+    flat = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd")
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(flat, dtype=np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def packed_keys(keys) -> bytes:
+    """Ascending 64-bit keys, as the packed differences of neighbours."""
+    import numpy as np
+    return packed(np.diff(keys, prepend=keys[:1] * 0).astype("<u8"))
+
+
+def unpacked_keys(raw: bytes | None):
+    import numpy as np
+    return np.cumsum(unpacked(raw, "<u8"), dtype=np.uint64)
+
+
 def rows(out: list[dict]):
     import pyarrow as pa
     return pa.Table.from_pylist(out, schema=pa.schema([
@@ -56,7 +86,7 @@ def rows(out: list[dict]):
 
 
 def row(block: int, part: int, keys=None, seen=None, more=None) -> dict:
-    as_bytes = lambda x: None if x is None else x.tobytes()
+    as_bytes = lambda x: x if x is None or isinstance(x, bytes) else x.tobytes()
     return {"block": block, "part": part, "keys": as_bytes(keys), "seen": as_bytes(seen), "more": as_bytes(more)}
 
 

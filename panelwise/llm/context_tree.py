@@ -12,10 +12,12 @@ The tree is built once from the distinct (context, byte) grams of the corpus
 and their training counts; texts never meet it whole. A block of documents
 sends its distinct grams, tasks that own a share of all grams add up the
 counts, tasks that own a share of the contexts (by the two latest bytes) build the
-tree below depth 2 and sum up what depths 1 and 0 need (at most 2 * 65,536
+tree below depth 2 and sum up what depths 1 and 0 need (at most 3 * 65,536
 numbers), and the log probability of each gram goes back the same way to the
 blocks that asked. The size of a task's share follows the distinct grams, and
-a gram that every document has is one row per block.
+a gram that every document has is one entry per block. Messages hold sorted grams as
+packed differences (2 to 3 bytes a gram) and log probabilities to 36 bits of
+their fractions, so a score's relative error is 2^-37 (about 7e-12) at most.
 
 The word base (c + 1) / (N + V + 1) asks for word counts in the same way, by
 64-bit hashes of words.
@@ -34,7 +36,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .blocks import ASKED, arrays, cut_by_part, in_blocks, joined, ordered, row, rows
+from .blocks import ASKED, arrays, cut_by_part, in_blocks, joined, ordered, packed, packed_keys, row, rows, unpacked, unpacked_keys
 from .common import fields, ship, small_batches, table
 
 ship(__name__)
@@ -46,7 +48,8 @@ MARK = 0xFF          # no UTF-8 text has this byte
 MAX_MODELS = 4096    # each gets the 1 MB of depths 1 and 0; there are 65,536 two-byte contexts at most
 SCATTER = 0x9E3779B97F4A7C15
 FOLDS, HELD_OUT = 7, 2
-SCALE = 1 << 10      # sums of log weights travel as whole numbers: exact in any order
+SCALE = 1 << 30      # sums of log weights travel as whole numbers and such fractions: exact in any order
+SUMS = 196_610       # counts, whole log weights, N and V, fractions of log weights
 
 
 def log_gamma(x):
@@ -96,6 +99,19 @@ def runs(x):
     return np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.zeros(0, dtype=np.int64)
 
 
+def rounded(x):
+    """Doubles as whole numbers of 48 bits: 36 bits of their fractions, a
+    relative error of 2^-37 at most."""
+    import numpy as np
+    u = np.uint64
+    return (np.asarray(x, dtype="<f8").view(np.uint64) + u(1 << 15)) >> u(16)
+
+
+def as_doubles(x):
+    import numpy as np
+    return (x << np.uint64(16)).view("<f8")
+
+
 class Level:
     """All decisions with contexts of one depth: per bit the nodes, their
     estimates and weights."""
@@ -282,13 +298,17 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
         order = np.argsort(keys)
         return keys[order], [words[i] for i in order.tolist()], counts[order]
 
-    def scattered(grams):
-        """Grams as keys that fall evenly on parts, sorted, and their order."""
+    def by_part(grams):
+        """The order of sorted grams by part, and (part, from, to) in it. A
+        part has whole contexts of the four latest bytes, by their hash, and its grams stay sorted:
+        neighbours differ little, so a message needs 2 to 3 bytes a gram."""
         import numpy as np
+        u = np.uint64
         with np.errstate(over="ignore"):
-            keys = grams * np.uint64(SCATTER)
-        order = np.argsort(keys)
-        return keys[order], order
+            part = ((((grams >> u(8 * (DEPTH - 3))) * u(SCATTER) >> u(32)) * u(parts)) >> u(32)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        first = runs(part[order])
+        return order, [(int(part[order[s]]), int(s), int(e)) for s, e in zip(first, [*first[1:], len(order)])]
 
     def ask(key, tbl):
         _, texts, out = load(tbl)
@@ -296,27 +316,21 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
             return rows([])
         block = key[0].as_py()
         grams, counts = block_grams(texts, out)
-        keys, order = scattered(grams)
-        counts = counts[order].astype("<u4")
-        made = [row(block, p, keys[s:e], counts[s:e]) for p, s, e in cut_by_part(keys, parts)]
+        order, cuts = by_part(grams)
+        made = [row(block, p, packed_keys(grams[order[s:e]]), packed(counts[order[s:e]].astype("<u4"))) for p, s, e in cuts]
         keys, _, counts = block_words(texts, out)
         counts = counts.astype("<u4")
-        return rows(made + [row(block, WORDS + p, keys[s:e], counts[s:e]) for p, s, e in cut_by_part(keys, parts)])
+        return rows(made + [row(block, WORDS + p, packed_keys(keys[s:e]), packed(counts[s:e])) for p, s, e in cut_by_part(keys, parts)])
 
     def totals(tbl):
         """A part's distinct keys with their total counts, and where each asked key is."""
         import numpy as np
         tbl = tbl.sort_by("block")
-        asked = arrays(tbl.column("keys"), "u8")
+        asked = [unpacked_keys(x.as_py()) for x in tbl.column("keys")]
         keys, back = np.unique(np.concatenate(asked), return_inverse=True)
-        count = np.bincount(back, joined(tbl.column("seen"), "<u4"), minlength=len(keys)).astype(np.int64)
-        return tbl.column("block").to_pylist(), asked, keys, back, count
-
-    def to_grams(keys):
-        import numpy as np
-        back = pow(SCATTER, -1, 1 << 64)
-        with np.errstate(over="ignore"):
-            return keys * np.uint64(back)
+        seen = np.concatenate([unpacked(x.as_py(), "<u4") for x in tbl.column("seen")])
+        count = np.bincount(back, seen, minlength=len(keys)).astype(np.int64)
+        return tbl.column("block").to_pylist(), [len(x) for x in asked], keys, back, count
 
     def owners(grams):
         """The model task of each gram: by its two latest context bytes."""
@@ -334,21 +348,21 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
         _, _, keys, _, count = totals(tbl)
         if part >= WORDS:
             return rows([row(part, part % models, seen=np.array([count.sum(), (count > 0).sum()], dtype="<i8"))])
-        grams = to_grams(keys)
-        owner = owners(grams)
+        owner = owners(keys)
         order = np.argsort(owner, kind="stable")
         out = []
         for s, e in zip(at := runs(owner[order]).tolist(), [*at[1:], len(order)]):
             mine = order[s:e]
-            out.append(row(part, int(owner[mine[0]]), grams[mine], count[mine].astype("<i8")))
+            out.append(row(part, int(owner[mine[0]]), packed_keys(keys[mine]), packed(count[mine].astype("<i8"))))
         return rows(out)
 
     def own(tbl):
         """An owner's grams, sorted, their counts, and the asking rows."""
         import numpy as np
         tbl = tbl.sort_by("block")
-        asked = arrays(tbl.column("keys"), "u8")
-        grams, counts = np.concatenate(asked), np.concatenate([c for c, k in zip(arrays(tbl.column("seen"), "<i8"), asked) if len(k)] or [np.zeros(0, dtype=np.int64)])
+        asked = [unpacked_keys(x.as_py()) for x in tbl.column("keys")]
+        grams = np.concatenate(asked)
+        counts = np.concatenate([unpacked(c.as_py(), "<i8") for c, k in zip(tbl.column("seen"), asked) if len(k)] or [np.zeros(0, dtype=np.int64)])
         order = np.argsort(grams)
         return tbl.column("block").to_pylist(), asked, grams, order, counts
 
@@ -370,18 +384,20 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
                 up = levels[2].parents(k)
                 c, bits = (up >> u(k)).astype(np.int64), (up & u((1 << k) - 1)).astype(np.int64)
                 at, back = np.unique(65536 + c * 256 + ((1 << k) | bits), return_inverse=True)
-                place.append(at)
-                value.append(np.round(np.bincount(back, np.round(weights[2][k] * SCALE), minlength=len(at))).astype(np.int64))
-        words = [x for x, k in zip(arrays(tbl.sort_by("block").column("seen"), "<i8"), arrays(tbl.sort_by("block").column("keys"), "u8")) if not len(k)]
+                whole = np.floor(weights[2][k])
+                for first, part in ((0, whole), (65538, np.round((weights[2][k] - whole) * SCALE))):
+                    place.append(at + first)
+                    value.append(np.round(np.bincount(back, part, minlength=len(at))).astype(np.int64))
+        words = [np.frombuffer(x.as_py(), dtype="<i8") for x, k in zip(tbl.column("seen"), tbl.column("keys")) if not k.is_valid]
         if words:
             place.append(np.array([131072, 131073]))
             value.append(np.sum(words, axis=0))
         return pa.table({"place": pa.array(np.concatenate(place or [np.zeros(0, np.int64)])), "value": pa.array(np.concatenate(value or [np.zeros(0, np.int64)]))})
 
     def one_row(key, tbl):
-        """At most 131,074 sums as one row."""
+        """At most ``SUMS`` sums as one row."""
         import numpy as np
-        all_ = np.zeros(131074, dtype="<i8")
+        all_ = np.zeros(SUMS, dtype="<i8")
         all_[tbl.column("place").to_numpy()] = tbl.column("value").to_numpy()
         return rows([row(0, 0, all_)])
 
@@ -392,13 +408,14 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
             return rows([])
         sums = joined(top.column("keys"), "<i8")
         blocks, asked, grams, order, counts = own(tbl)
-        counts_top, below = sums[:65536].reshape(256, 256).astype(float), sums[65536:131072].reshape(256, 256) / SCALE
+        counts_top = sums[:65536].reshape(256, 256).astype(float)
+        below = (sums[65536:131072] + sums[131074:] / SCALE).reshape(256, 256)
         out = np.zeros(len(grams), dtype="<f8")
         if len(grams):
             out[order] = gram_log10(grams[order], counts[order], Top(counts_top, below))
         made, s = [], 0
         for to, k in zip(blocks, asked):
-            made.append(row(to, key[0].as_py(), out[s:s + len(k)], sums[131072:]))
+            made.append(row(to, key[0].as_py(), out[s:s + len(k)], sums[131072:131074]))
             s += len(k)
         return rows(made)
 
@@ -414,13 +431,14 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
             value = count.astype("<i8")
             scalars = arrays(answers.column("seen"), "<i8")[0]
         else:
-            value = np.zeros(len(keys), dtype="<f4")
-            order = np.argsort(owners(to_grams(keys)), kind="stable")
+            value = np.zeros(len(keys), dtype="<f8")
+            order = np.argsort(owners(keys), kind="stable")
             value[order] = joined(answers.sort_by("part").column("keys"), "<f8")
+            value = rounded(value)
         value, made, s = value[back], [], 0
         for to, k in zip(blocks, asked):
-            made.append(row(to, part, value[s:s + len(k)], scalars))
-            s += len(k)
+            made.append(row(to, part, packed(value[s:s + k]), scalars))
+            s += k
         return rows(made)
 
     def finish(key, tbl, answers):
@@ -434,9 +452,9 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
         of_grams, of_words = answers.filter(pa.array(part < WORDS)), answers.filter(pa.array(part >= WORDS))
         total, distinct = (int(x) for x in arrays(of_words.column("seen"), "<i8")[0])
         grams, _ = block_grams(texts, out)
-        _, order = scattered(grams)
+        order, _ = by_part(grams)
         value = np.zeros(len(grams), dtype=np.float64)
-        value[order] = joined(of_grams.column("keys"), "<f4")
+        value[order] = as_doubles(np.concatenate([unpacked(x.as_py(), "<u8") for x in of_grams.column("keys")]))
         score = []
         for s, e, seq, first, size in places(texts):
             keys = gram_keys(seq)[spread(first, size)]
@@ -452,7 +470,7 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
             each[place] = np.repeat(value[np.searchsorted(grams, here[at])], np.diff(np.concatenate((at, [len(here)]))))
             score.append(np.add.reduceat(each, np.cumsum(size) - size))
         _, words, _ = block_words(texts, out)
-        count = joined(of_words.column("keys"), "<i8")
+        count = np.concatenate([unpacked(x.as_py(), "<i8") for x in of_words.column("keys")])
         logs = dict(zip(words, np.log10(count + 1.0).tolist()))
         known = {w for w, c in zip(words, count.tolist()) if c > 0}
         end = logs.pop(b" ")
