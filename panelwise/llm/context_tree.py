@@ -451,23 +451,22 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
         part = answers.column("part").to_numpy()
         of_grams, of_words = answers.filter(pa.array(part < WORDS)), answers.filter(pa.array(part >= WORDS))
         total, distinct = (int(x) for x in arrays(of_words.column("seen"), "<i8")[0])
-        grams, _ = block_grams(texts, out)
+        sorted_places, found = [], []
+        for s, e, seq, first, size in places(texts):
+            keys = gram_keys(seq)[spread(first, size)]
+            place = np.argsort(keys)  # equal grams have one value: any order of them will do
+            here = keys[place]
+            at = runs(here)
+            found.append(here[at])
+            sorted_places.append((place.astype(np.int32), np.diff(np.concatenate((at, [len(here)]))).astype(np.int32), size))
+        grams = np.unique(np.concatenate(found))
         order, _ = by_part(grams)
         value = np.zeros(len(grams), dtype=np.float64)
         value[order] = as_doubles(np.concatenate([unpacked(x.as_py(), "<u8") for x in of_grams.column("keys")]))
         score = []
-        for s, e, seq, first, size in places(texts):
-            keys = gram_keys(seq)[spread(first, size)]
-            bits = u(max(1, int(len(keys)).bit_length()))
-            if 8 * (DEPTH + 1) + int(bits) <= 64:  # sorts keys and places together
-                x = np.sort((keys << bits) | np.arange(len(keys), dtype=u))
-                here, place = x >> bits, (x & ((u(1) << bits) - u(1))).astype(np.int64)
-            else:
-                place = np.argsort(keys, kind="stable")
-                here = keys[place]
-            at = runs(here)
-            each = np.empty(len(keys))
-            each[place] = np.repeat(value[np.searchsorted(grams, here[at])], np.diff(np.concatenate((at, [len(here)]))))
+        for own, (place, often, size) in zip(found, sorted_places):
+            each = np.empty(len(place))
+            each[place] = np.repeat(value[np.searchsorted(grams, own)], often)
             score.append(np.add.reduceat(each, np.cumsum(size) - size))
         _, words, _ = block_words(texts, out)
         count = np.concatenate([unpacked(x.as_py(), "<i8") for x in of_words.column("keys")])
