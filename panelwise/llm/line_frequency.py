@@ -5,12 +5,15 @@ hashed. Per host the distinct documents of each line are counted; a line in
 more documents than the limit is boilerplate. Boilerplate lines are removed,
 and a document that keeps too few of its words is rejected.
 
-Two passes over narrow data: each document is reduced once to its rule
+Each document is reduced once to its rule
 figures and one small row per distinct line (hash and words), written to the
-scratch folder. Counting and removal then run on line hashes. Only if the
-cleaned texts are asked for, texts are written and shuffled once as well: each
-document meets the hashes of its own boilerplate lines. Counts are combined before the shuffle, and the join of lines with
-the boilerplate lines is an ordinary join that adaptive execution may split.
+scratch folder. Counting and removal then run on line hashes. Texts are shuffled once: each
+text meets the hashes of its own boilerplate lines, by the digest of host and text, so
+copies within a host are worked on once. Counts are combined before the shuffle, and the joins of lines with
+the boilerplate lines and of texts with theirs are ordinary joins that adaptive execution may split.
+
+A line is boilerplate of a host in more than ``MIN_DOCS`` of its documents. The limit does not
+move with the host's size: a line caught today stays caught when the host grows.
 
 Rule figures of a text, with words ``[^\\x20\\x09-\\x0D]+``: n_words, word_chars,
 n_symbols, n_dup_lines, n_repeat_words (words in windows of ``WINDOW`` words
@@ -20,26 +23,29 @@ found twice or more in the text, the first included). Windows are compared by
 Defined results: a null text has no words (base_failed, not kept); a null
 host is a host of its own; blank lines are no lines; repeated rows count as
 documents of their own; an empty table gives an empty result. A cleaned text
-has all other lines (blank ones too) as they were; of a null text it is null.
+has all other lines (blank ones too) as they were; of a null text it is null,
+with the digest of an empty text. A column asked for that is named like a result is returned
+as ``given_<name>``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SPACES, table, text_or_empty, written
+from .common import SPACES, returned_as, table, text_or_empty, written
 
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_DOCS = 10        # a line in at most this many documents of a host stays
-HOST_SHARE = 0.01    # or in at most this share of the host's documents
 MIN_KEPT = 0.5       # a document keeps at least this share of its words
 
 SYMBOLS = "#*$%&|<>"
 BLANK = " \t\n\x0b\x0c\r"
 SPLIT = r"'[\\x20\\x09-\\x0D]+'"
 WORDS = r"'[^\\x20\\x09-\\x0D]+'"
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "base_failed", "kept",
+           "cleaned_text", "cleaned_sha256")
 LINE_HASH = f"xxhash64(lower(trim(regexp_replace(l, {SPLIT}, ' '))))"
 
 
@@ -71,38 +77,47 @@ def rule_figures(docs: DataFrame, columns: list[str], text_col: str = "text", ho
         F.expr(f"transform(__l, l -> struct({LINE_HASH} as hash, regexp_count(l, {WORDS}) as words))").alias("lines"))
 
 
+def text_key(text_col: str, host_col: str):
+    """A digest of host and text: rows that agree in it have the same results."""
+    host = F.coalesce(F.concat(F.lit("h"), F.col(host_col).cast("string")), F.lit(""))
+    return F.md5(F.concat(F.length(host).cast("string"), F.lit(":"), host, F.coalesce(F.concat(F.lit("t"), F.col(text_col)), F.lit(""))).cast("binary"))
+
+
 def line_rules(docs: DataFrame, columns: list[str], text_col: str = "text", host_col: str = "source",
-               min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE, min_kept: float = MIN_KEPT,
-               cleaned: bool = True) -> DataFrame:
+               min_docs: int = MIN_DOCS, min_kept: float = MIN_KEPT, digest_only: bool = False) -> DataFrame:
     """One row per document: ``columns``, the rule figures, n_removed_words
-    (words in boilerplate lines), base_failed and kept; with ``cleaned`` also
-    cleaned_text, the text without its boilerplate lines."""
-    given = docs.withColumn("__text", F.col(text_col)) if cleaned else docs
-    base = written(rule_figures(given, columns + ["__text"] * cleaned, text_col, host_col)
-                   .withColumn("__row", F.monotonically_increasing_id()), "line-rules")
-    hosts = base.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("docs"))
+    (words in boilerplate lines), base_failed, kept, cleaned_text (the text
+    without its boilerplate lines; left out with ``digest_only``) and cleaned_sha256."""
+    own = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    given = docs.select(own.alias("__own"), F.col(text_col).cast("string").alias("__text"), F.col(host_col).alias("__host"))
+    given = given.withColumn("__key", text_key("__text", "__host"))
+    base = written(rule_figures(given, ["__key"], "__text", "__host"), "line-rules")
     seen = (base.select("host", F.explode(F.array_distinct("lines.hash")).alias("hash"))
-            .groupBy("host", "hash").agg(F.count("*").alias("in_docs")).where(F.col("in_docs") > min_docs))
-    common = (seen.join(hosts, F.col("host").eqNullSafe(F.col("h")))
-              .where(F.col("in_docs") > F.col("docs") * host_share)
-              .select(F.col("host").alias("h"), F.col("hash").alias("c")))
-    lines = base.select("__row", "host", F.inline("lines"))
+            .groupBy("host", "hash").agg(F.count("*").alias("in_docs")))
+    common = seen.where(F.col("in_docs") > min_docs).select(F.col("host").alias("h"), F.col("hash").alias("c"))
+    # Equal texts of a host have equal lines: each line of a key counts once, whatever the copies.
+    lines = base.select("__key", "host", F.posexplode("lines").alias("at", "line")).select("__key", "host", "at", "line.*")
     removed = (lines.join(common, F.col("host").eqNullSafe(F.col("h")) & (F.col("hash") == F.col("c")), "left_semi")
-               .groupBy(F.col("__row").alias("__r"))
-               .agg(F.sum("words").alias("removed"), *[F.collect_set("hash").alias("__own")] * cleaned))
+               .groupBy(F.col("__key").alias("__r"), "at").agg(F.first("hash").alias("hash"), F.first("words").alias("words"))
+               .groupBy("__r").agg(F.sum("words").alias("removed"), F.collect_set("hash").alias("__gone")))
+    figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    per = base.groupBy(F.col("__key").alias("__k")).agg(*[F.max(f).alias(f) for f in figures])
+    per = per.join(removed, F.col("__k") == F.col("__r"), "left").drop("__r")
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     gone = F.coalesce("removed", F.lit(0)).cast("long")
-    stays = f"not(l rlike {WORDS}) or not(array_contains(__own, {LINE_HASH}))"
-    text = F.expr(f"if(__own is null, __text, array_join(filter(split(__text, '\\n'), l -> {stays}), '\\n'))")
-    return (base.drop("lines").join(removed, F.col("__row") == F.col("__r"), "left")
-            .select(*columns, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    gone.alias("n_removed_words"), failed.alias("base_failed"),
-                    (~failed & (F.col("n_words") - gone >= F.col("n_words") * min_kept)).alias("kept"),
-                    *[text.alias("cleaned_text")] * cleaned))
+    stays = f"not(l rlike {WORDS}) or not(array_contains(__gone, {LINE_HASH}))"
+    cleaned = F.expr(f"if(__gone is null, __text, array_join(filter(split(__text, '\\n'), l -> {stays}), '\n'))")
+    out = given.select("__own", "__text", "__key").join(per, F.col("__key") == F.col("__k")).withColumn("__clean", cleaned)
+    names = returned_as(columns, RESULTS)
+    return out.select(*[F.col("__own")[f"c{i}"].alias(n) for i, n in enumerate(names)], *figures,
+                      gone.alias("n_removed_words"), failed.alias("base_failed"),
+                      (~failed & (F.col("n_words") - gone >= F.col("n_words") * min_kept)).alias("kept"),
+                      *([] if digest_only else [F.col("__clean").alias("cleaned_text")]),
+                      F.sha2(F.coalesce("__clean", F.lit("")).cast("binary"), 256).alias("cleaned_sha256"))
 
 
 def op6_line_frequency(spark, sf_dir: str) -> DataFrame:
-    return line_rules(table(spark, sf_dir, "documents"), ["doc_id"], cleaned=False)
+    return line_rules(table(spark, sf_dir, "documents"), ["doc_id"], digest_only=True)
 
 
 # Literal numbers are the parameters above.
@@ -118,15 +133,16 @@ f AS (SELECT w.rid, doc_id, source, ls, len(ws)::BIGINT AS n_words,
              len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
              (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words
       FROM w LEFT JOIN cov ON w.rid = cov.rid),
-l AS (SELECT rid, source, lower(trim(regexp_replace(u, '[\x20\x09-\x0D]+', ' ', 'g'))) AS line,
-             len(regexp_extract_all(u, '[^\x20\x09-\x0D]+')) AS words FROM (SELECT rid, source, unnest(ls) AS u FROM f)),
-h AS (SELECT source, count(*) AS docs FROM d GROUP BY source),
-c AS (SELECT l.source, line FROM l JOIN h ON l.source IS NOT DISTINCT FROM h.source
-      GROUP BY l.source, line, docs HAVING count(DISTINCT rid) > 10 AND count(DISTINCT rid) > docs * 0.01),
-r AS (SELECT rid, sum(words) AS n FROM l WHERE EXISTS (SELECT 1 FROM c WHERE c.source IS NOT DISTINCT FROM l.source AND c.line = l.line) GROUP BY rid),
-z AS (SELECT f.*, coalesce(r.n, 0)::BIGINT AS n_removed_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed
+l AS (SELECT rid, source, pos, u, lower(trim(regexp_replace(u, '[\x20\x09-\x0D]+', ' ', 'g'))) AS line,
+             len(regexp_extract_all(u, '[^\x20\x09-\x0D]+')) AS words
+      FROM (SELECT rid, source, unnest(string_split(t, chr(10))) AS u, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS pos FROM w)),
+c AS (SELECT source, line FROM l WHERE words > 0 GROUP BY source, line HAVING count(DISTINCT rid) > 10),
+x AS (SELECT l.*, words > 0 AND EXISTS (SELECT 1 FROM c WHERE c.source IS NOT DISTINCT FROM l.source AND c.line = l.line) AS gone FROM l),
+r AS (SELECT rid, coalesce(sum(words) FILTER (WHERE gone), 0) AS n, coalesce(string_agg(u, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS clean
+      FROM x GROUP BY rid),
+z AS (SELECT f.*, coalesce(r.n, 0)::BIGINT AS n_removed_words, coalesce(r.clean, '') AS clean, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed
       FROM f LEFT JOIN r ON f.rid = r.rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_removed_words, base_failed,
-       NOT base_failed AND n_words - n_removed_words >= n_words * 0.5 AS kept
+       NOT base_failed AND n_words - n_removed_words >= n_words * 0.5 AS kept, sha256(clean) AS cleaned_sha256
 FROM z
 """

@@ -50,6 +50,31 @@ def test_cleaned_text(spark):
         assert r["n_words"] - r["n_removed_words"] == figures(r["cleaned_text"])[0]
 
 
+def test_limit_does_not_move_with_the_host(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    texts = [f"{own(i)}\nshared notice line" if i < 15 else own(i) for i in range(2000)]  # 1% of the host is 20
+    got = {r["doc_id"]: r for r in lf.line_rules(make_docs(spark, texts, sources=["h"]), ["doc_id"]).collect()}
+    assert all(got[i]["n_removed_words"] == 3 and got[i]["cleaned_text"] == own(i) for i in range(15))
+    assert all(got[i]["n_removed_words"] == 0 for i in range(15, 2000))
+
+
+def test_copies_clashing_names_and_long_texts(spark):
+    import hashlib
+    line = " ".join(f"v{k}" for k in range(25))
+    long = "\n".join(f"{line} {i}" for i in range(8000))
+    docs = make_docs(spark, [f"{line}\n{line}\nend"] * 40 + [long, None], sources=["h"] * 40 + ["g", "g"], ids=[1] * 30 + list(range(2, 14)))
+    out = lf.line_rules(docs.selectExpr("*", "1 as host", "2 as kept", "3 as n_words", "4 as lines", "5 as c0"),
+                        ["doc_id", "host", "kept", "n_words", "lines", "c0", "text"])
+    assert out.columns[:7] == ["doc_id", "host", "given_kept", "given_n_words", "lines", "c0", "text"]
+    rows = out.collect()
+    assert len(rows) == 42 and all((r["host"], r["given_kept"], r["given_n_words"], r["lines"], r["c0"]) == (1, 2, 3, 4, 5) for r in rows)
+    copies = [r for r in rows if r["text"] and r["text"].startswith(line + "\n" + line)]
+    assert len(copies) == 40 and all(r["n_removed_words"] == 51 and r["cleaned_text"] == "" for r in copies)
+    other = [r for r in rows if r["text"] == long][0]
+    assert other["n_words"] == 8000 * 26 and other["n_removed_words"] == 0 and other["cleaned_text"] == long
+    assert all(r["cleaned_sha256"] == hashlib.sha256((r["cleaned_text"] or "").encode()).hexdigest() for r in rows)
+
+
 def test_empty(no_docs, docs):
     assert lf.line_rules(no_docs, ["doc_id"]).count() == 0
     out = lf.line_rules(docs, docs.columns[:5])
