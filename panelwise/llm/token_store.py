@@ -3,33 +3,36 @@
 Format: a folder with three Parquet tables, so that any store that Spark
 reads and writes can hold it.
 
-* ``shards``: (part, seq, first long, payload binary, docs). Payload: raw
+* ``shards``, a folder per part: (part, seq, first long, payload binary, docs). Payload: raw
   token ids of consecutive documents, little-endian unsigned 32-bit, in
   ascending key order; ``first`` counts the ids of earlier shards of the part;
   docs lists (key, at, n), a document's place and count of ids in the payload.
-* ``parts``: (part, base long, buckets int): ids in all earlier parts.
+* ``parts``: (part, base long, shards int, buckets int): ids in all earlier parts.
 * ``index``: (bucket, sizes, levels, prints, slots): for a bucket of keys, a
   minimal perfect hash (a cascade of bit arrays: a key settles at the first
   level where it is alone in its slot; its number is the rank of that bit),
-  and at that number the key's 32-bit fingerprint and its place: part, seq,
-  at, n.
+  and at that number the key's 32-bit fingerprint and the span of its
+  documents, which follow each other: part and seq of the first and of the
+  last shard with the key.
 
 A keyed read hashes the key to its bucket, finds its number, compares the
-fingerprint and slices the payload: constant time a key. A key that is not
+fingerprint and opens the shards of the span, usually one: constant time a key. Only
+the folders of their parts are read. A key that is not
 stored passes the fingerprint with a chance of 2^-32; the shard's own list of
 keys, read with the payload, then refuses it.
 
-Defined results: a null key sorts first and is stored, but only keyed reads
-of non-null keys find documents; rows with the same key are all stored, and
-the index points to the first of them; a null or empty text has only its end id;
-an empty table gives empty files.
+Defined results: a null key sorts first and is stored, but keyed reads find
+only non-null keys (``read_documents`` scans for the others); rows with the same key are all stored and
+all found, however many shards they fill; rows equal in key and text are stored next to
+each other by the same task; a null or empty text has only its end id;
+an empty table gives empty files. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import batches_of, scratch, ship, small_batches, table, text_bytes, text_or_empty
+from .common import batches_of, scratch, ship, small_batches, table, text_bytes, text_or_empty, written
 from .tokens import byte_bpe, tokenizer_path
 
 ship(__name__)
@@ -44,8 +47,9 @@ GAMMA = 2.0             # bits per key at each level
 
 DOCS = "array<struct<key: bigint, at: bigint, n: bigint>>"
 SHARDS = f"part int, seq int, first long, n long, payload binary, docs {DOCS}"
-PARTS = "part int, base long, buckets int"
-SLOT = [("part", "<i4"), ("seq", "<i4"), ("at", "<i8"), ("n", "<i8")]
+PARTS = "part int, base long, shards int, buckets int"
+SLOT = [("part", "<i4"), ("seq", "<i4"), ("last_part", "<i4"), ("last_seq", "<i4")]
+SPAN = "key long, part int, seq int, last_part int, last_seq int"
 
 
 def _mixed(keys, seed: int):
@@ -152,13 +156,13 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
      .withColumn("tie", F.xxhash64("text"))
      .repartitionByRange(n_parts, *order[:2]).sortWithinPartitions(*order)
      .select("key", "text").mapInArrow(encode, SHARDS)
-     .write.option("compression", "zstd").parquet(f"{path}/shards"))
+     .write.partitionBy("part").option("compression", "zstd").parquet(f"{path}/shards"))
 
     shards = spark.read.schema(SHARDS).parquet(f"{path}/shards")
     # One row per part: at most MAX_PARTS.
     base, bases = 0, []
-    for r in shards.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():
-        bases.append((r["part"], base, buckets))
+    for r in shards.groupBy("part").agg(F.sum("n").alias("n"), F.count("*").alias("shards")).orderBy("part").collect():
+        bases.append((r["part"], base, r["shards"], buckets))
         base += r["n"]
     spark.createDataFrame(bases, PARTS).coalesce(1).write.parquet(f"{path}/parts")
 
@@ -179,9 +183,10 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             "prints": pa.array([_fingerprints(k[back]).tobytes()], pa.binary()),
             "slots": pa.array([slots.tobytes()], pa.binary())})
 
-    (shards.select("part", "seq", F.explode("docs").alias("d")).where("d.key IS NOT NULL")
-     .groupBy(F.col("d.key").alias("key")).agg(F.min(F.struct("part", "seq", "d.at", "d.n")).alias("p"))
-     .select("key", "p.*", F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
+    shard = F.struct("part", "seq")
+    (shards.select("part", "seq", F.explode("docs.key").alias("key")).where("key IS NOT NULL")
+     .groupBy("key").agg(F.min(shard).alias("a"), F.max(shard).alias("z"))
+     .select("key", "a.*", F.col("z.part").alias("last_part"), F.col("z.seq").alias("last_seq"), F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket"))
      .groupBy("bucket")
      .applyInArrow(index, "bucket long, sizes array<long>, levels array<binary>, prints binary, slots binary")
      .write.parquet(f"{path}/index"))
@@ -191,33 +196,24 @@ def _opened(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return (spark.read.schema(SHARDS).parquet(f"{path}/shards"), spark.read.schema(PARTS).parquet(f"{path}/parts"))
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Every stored document, sliced from the payloads: key, start (ids of all
-    documents before it), n, ids binary."""
-    shards, parts = _opened(spark, path)
+def _sliced(shards: DataFrame, parts: DataFrame) -> DataFrame:
+    """Every document of the shards, sliced from the payloads: part, seq, key,
+    start (ids of all documents before it), n, ids binary."""
+    # ``parts`` has at most MAX_PARTS rows of 20 bytes.
+    docs = shards.join(F.broadcast(parts.select("part", "base")), "part").select("part", "seq", "payload", (F.col("base") + F.col("first")).alias("before"), F.explode("docs").alias("d"))
+    return docs.select("part", "seq", "d.key", (F.col("before") + F.col("d.at")).alias("start"), "d.n",
+                       F.expr("substring(payload, int(d.at * 4 + 1), int(d.n * 4))").alias("ids"))
 
-    def cut(batches):
-        import pyarrow as pa
-        for b in batches:
-            for row in range(b.num_rows):
-                payload = b.column(0)[row].as_buffer()
-                before = b.column(1)[row].as_py()
-                docs = b.column(2)[row].as_py()
-                ids = [payload.slice(d["at"] * 4, d["n"] * 4).to_pybytes() for d in docs]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([d["key"] for d in docs], pa.int64()), pa.array([before + d["at"] for d in docs], pa.int64()),
-                     pa.array([d["n"] for d in docs], pa.int64()), pa.array(ids, pa.binary())], ["key", "start", "n", "ids"])
 
-    # ``parts`` has at most MAX_PARTS rows of 16 bytes.
-    small_batches(spark, 8)  # shards a batch
-    return (shards.join(F.broadcast(parts), "part").select("payload", F.expr("base + first"), "docs")
-            .mapInArrow(cut, "key long, start long, n long, ids binary"))
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Every stored document by a scan: key, start, n, ids binary."""
+    return _sliced(*_opened(spark, path)).drop("part", "seq")
 
 
-def lookup(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "key") -> DataFrame:
-    """Keyed reads through the index: one row per distinct key of ``keys``
-    that is stored: key, start, n, ids binary."""
-    shards, parts = _opened(spark, path)
+def spans(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "key") -> DataFrame:
+    """Where the index says that the distinct keys of ``keys`` are: key and,
+    per shard of its span, part and seq. A written table."""
+    _, parts = _opened(spark, path)
     index = spark.read.parquet(f"{path}/index")
     buckets = (parts.agg(F.max("buckets")).first()[0] or 1)
     wanted = (keys.where(F.col(key_col).isNotNull()).select(F.col(key_col).cast("long").alias("key")).distinct()
@@ -226,7 +222,7 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "key"
     def find(key, left, right):
         import numpy as np
         import pyarrow as pa
-        kinds = [("key", pa.int64()), ("part", pa.int32()), ("seq", pa.int32()), ("at", pa.int64()), ("n", pa.int64())]
+        kinds = [("key", pa.int64()), *[(c, pa.int32()) for c, _ in SLOT]]
         ks = left.column("key").to_numpy()
         if not len(ks) or not right.num_rows:
             return pa.table({c: pa.array([], k) for c, k in kinds})
@@ -241,32 +237,40 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "key"
         return pa.table({"key": pa.array(ks[ok], pa.int64()),
                          **{c: pa.array(np.ascontiguousarray(got[c]), k) for c, k in kinds[1:]}})
 
-    places = (wanted.groupBy("bucket").cogroup(index.groupBy("bucket"))
-              .applyInArrow(find, "key long, part int, seq int, at long, n long"))
-    # All keys of a shard are read together: the payload moves once. A shard
-    # lists its keys, so their number is bounded by what SHARD_BYTES holds.
-    asked = places.groupBy("part", "seq").agg(F.collect_list(F.struct("key", "at", "n")).alias("asked"))
+    places = wanted.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInArrow(find, SPAN)
+    # A span covers its first part from seq on, its last part up to last_seq and all between.
+    each = places.withColumn("p", F.explode(F.sequence("part", "last_part")))
+    each = each.join(F.broadcast(parts.select(F.col("part").alias("q"), "shards")), F.col("p") == F.col("q"))
+    first = F.when(F.col("p") == F.col("part"), F.col("seq")).otherwise(0)
+    last = F.when(F.col("p") == F.col("last_part"), F.col("last_seq")).otherwise(F.col("shards") - 1)
+    return written(each.select("key", F.col("p").alias("part"), F.explode(F.sequence(first, last)).alias("seq")), "spans")
 
-    def cut(batches):
-        import pyarrow as pa
-        for b in batches:
-            for row in range(b.num_rows):
-                payload = b.column(0)[row].as_buffer()
-                before = b.column(1)[row].as_py()
-                stored = {(d["key"], d["at"], d["n"]) for d in b.column(2)[row].as_py()}
-                docs = [d for d in b.column(3)[row].as_py() if (d["key"], d["at"], d["n"]) in stored]
-                ids = [payload.slice(d["at"] * 4, d["n"] * 4).to_pybytes() for d in docs]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([d["key"] for d in docs], pa.int64()), pa.array([before + d["at"] for d in docs], pa.int64()),
-                     pa.array([d["n"] for d in docs], pa.int64()), pa.array(ids, pa.binary())], ["key", "start", "n", "ids"])
 
-    return (shards.join(asked, ["part", "seq"]).join(F.broadcast(parts), "part")
-            .select("payload", F.expr("base + first"), "docs", "asked")
-            .mapInArrow(cut, "key long, start long, n long, ids binary"))
+def lookup(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "key") -> DataFrame:
+    """Keyed reads through the index: every document whose key is among the
+    distinct keys of ``keys``: key, start, n, ids binary. Only the folders of the
+    parts that the index names are read."""
+    shards, parts = _opened(spark, path)
+    places = spans(spark, path, keys, key_col)
+    named = [r[0] for r in places.select("part").distinct().collect()]  # at most MAX_PARTS
+    asked = places.select(F.col("key").alias("k"), F.col("part").alias("p"), F.col("seq").alias("s"))
+    on = (F.col("key") == F.col("k")) & (F.col("part") == F.col("p")) & (F.col("seq") == F.col("s"))
+    return _sliced(shards.where(F.col("part").isin(named)), parts).join(asked, on).select("key", "start", "n", "ids")
+
+
+def indexed_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Every stored document with a digest instead of its ids: key, start, n,
+    ids_crc32. Documents with a key are those that the index leads to; those without are found by a scan."""
+    shards, parts = _opened(spark, path)
+    docs = _sliced(shards, parts).select("part", "seq", "key", "start", "n", F.crc32("ids").alias("ids_crc32"))
+    places = spans(spark, path, shards.select(F.explode("docs.key").alias("key")))
+    asked = places.select(F.col("key").alias("k"), F.col("part").alias("p"), F.col("seq").alias("s"))
+    on = (F.col("key") == F.col("k")) & (F.col("part") == F.col("p")) & (F.col("seq") == F.col("s"))
+    return docs.where("key IS NOT NULL").join(asked, on).select("key", "start", "n", "ids_crc32").unionByName(
+        docs.where("key IS NULL").select("key", "start", "n", "ids_crc32"))
 
 
 def op2_token_store(spark, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-store")
     write_tokens(table(spark, sf_dir, "documents"), path)
-    return (read_documents(spark, path)
-            .select(F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")))
+    return indexed_documents(spark, path).select(F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), "ids_crc32")

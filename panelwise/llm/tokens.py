@@ -4,7 +4,8 @@ The vocabulary's splitting pattern never lets a token run across a single
 space or line feed that has a character other than white space on both sides
 (a space begins the token that follows it, a line feed is its own). A text may
 therefore be cut before every such character, and each word encodes alone to
-the same ids as inside the text. Words repeat a lot, so a worker keeps the ids
+the same ids as inside the text. A text that holds the content of an added
+token (``<|endoftext|>``), which the library cuts out first, is encoded whole. Words repeat a lot, so a worker keeps the ids
 of the words it has seen lately and hands only new ones to the tokenizers
 library, many joined into one text.
 """
@@ -86,7 +87,7 @@ class WordCache:
 
 class ByteBpe:
     """Ids of whole texts, equal to ``Tokenizer.encode(text,
-    add_special_tokens=False)`` with special strings taken as ordinary text."""
+    add_special_tokens=False)``."""
 
     def __init__(self, path: str):
         import os
@@ -95,7 +96,7 @@ class ByteBpe:
         from tokenizers import Tokenizer
         self.np = np
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         # The byte length of every id finds the borders of words that were
         # encoded together.
         self.size = np.zeros(self.tok.get_vocab_size(), dtype=np.int64)
@@ -136,12 +137,13 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [words_of(t) for t in texts]
+        special = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        cut = [words_of("" if i in special else t) for i, t in enumerate(texts)]
         heads = [words.pop(0) for words in cut]
         rest = self.cache.encode(cut)
         # The first word has no space before it, and texts with unsafe cuts
         # are encoded whole.
-        whole = [i for i, (h, r) in enumerate(zip(heads, rest)) if r is None or not h or h[-1].isspace()]
+        whole = [i for i, (h, r) in enumerate(zip(heads, rest)) if i in special or r is None or not h or h[-1].isspace()]
         odd = set(whole)
         first = [i for i in range(len(texts)) if i not in odd]
         out = [b""] * len(texts)

@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -8,14 +9,13 @@ from panelwise.llm import token_counts, token_store, tokens
 
 from .conftest import make_docs, some_texts
 
-ODD = ["", " ", "  a", "a  b", "a \n b", "x  y", "end ", "\n", "\nx", "a\n\nb  c", "<|endoftext|> hi", " lead", "tab\t tab",
+ODD = ["", " ", "  a", "a  b", "a \n b", "x  y", "end ", "\n", "\nx", "a\n\nb  c", "<|endoftext|> hi", "a <|endoftext|>", "x<|endoftext|><|endoftext|> y\n<|endoftext|>", "<|endoftext| >", " lead", "tab\t tab",
        "日本 語 テ", "a\x1c b", "a  b", "é x", "a b c", "it's we'll\nI'd", "😀 x", "\r\n x", "a\n b"]
 
 
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(tokens.tokenizer_path())
-    t.encode_special_tokens = True
     return lambda texts: [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -27,6 +27,7 @@ def test_byte_bpe_equals_library(library):
     texts = ODD + [t or "" for t in some_texts()]
     enc = tokens.ByteBpe(tokens.tokenizer_path())
     assert [as_ids(x) for x in enc.encode(texts)] == library(texts)
+    assert as_ids(enc.encode(["<|endoftext|> hi"])[0]) == [50256, 23105]
     enc.cache.limit = 5  # generations change all the time
     for t, want in zip(texts * 2, library(texts) * 2):
         assert as_ids(enc.encode([t])[0]) == want
@@ -51,12 +52,41 @@ def test_store_round_trip(spark, library, tmp_path):
         assert as_ids(r["ids"]) in want[r["key"]]
         start += r["n"]
     asked = spark.createDataFrame([(k,) for k in ids + [10 ** 9, 7]] + [(ids[0],)], "key long")
-    found = {r["key"]: r for r in token_store.lookup(spark, path, asked).collect()}
-    assert set(found) == {k for k in ids if k is not None}
-    first = {}
-    for r in got:
-        first.setdefault(r["key"], r)
-    assert all(found[k]["start"] == first[k]["start"] and found[k]["ids"] == first[k]["ids"] for k in found)
+    found = token_store.lookup(spark, path, asked).collect()
+    assert sorted((r["key"], r["start"], r["ids"]) for r in found) == sorted((r["key"], r["start"], r["ids"]) for r in got if r["key"] is not None)
+    by_index = {(r["key"], r["start"], r["n"], r["ids_crc32"]) for r in token_store.indexed_documents(spark, path).collect()}
+    assert by_index == {(r["key"], r["start"], r["n"], zlib.crc32(r["ids"])) for r in got}
+
+
+def test_a_key_in_many_shards_and_parts(spark, library, tmp_path):
+    texts = [f"word{i} " * 30 for i in range(200)]
+    ids = [5] * 120 + list(range(10, 90))
+    path = f"{tmp_path}/store"
+    token_store.write_tokens(make_docs(spark, texts, ids=ids), path, shard_bytes=600, part_bytes=4000, bucket_keys=9)
+    places = token_store.spans(spark, path, spark.createDataFrame([(5,)], "key long"))
+    assert places.select("part").distinct().count() > 1 and places.count() > 5
+    got = token_store.lookup(spark, path, spark.createDataFrame([(5,), (11,)], "key long")).collect()
+    assert sorted(as_ids(r["ids"]) for r in got) == sorted(library([t])[0] + [0] for t, i in zip(texts, ids) if i in (5, 11))
+
+
+def test_one_key_reads_one_part(spark, tmp_path):
+    path = f"{tmp_path}/store"
+    token_store.write_tokens(make_docs(spark, [f"text {i} " * 50 for i in range(100)]), path, part_bytes=3000)
+    parts = spark.read.parquet(f"{path}/parts").count()
+    found = token_store.lookup(spark, path, spark.createDataFrame([(40,)], "key long"))
+    place = token_store.spans(spark, path, spark.createDataFrame([(40,)], "key long")).collect()
+    scans = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x and "payload" in x]
+    assert parts > 5 and len(place) == 1 and len(scans) == 1
+    filters = re.search(r"PartitionFilters: \[(.*?)\], Pushed", scans[0]).group(1)
+    assert re.search(rf"part#\d+ = {place[0]['part']}\)", filters) and found.count() == 1
+
+
+def test_very_long_text(spark, library, tmp_path):
+    long = "".join(f"w{i % 7919}, " for i in range(150_000))
+    path = f"{tmp_path}/store"
+    token_store.write_tokens(make_docs(spark, ["a", long, None]), path, shard_bytes=1000)
+    got = {r["key"]: as_ids(r["ids"]) for r in token_store.read_documents(spark, path).collect()}
+    assert got == {0: library(["a"])[0] + [0], 1: library([long])[0] + [0], 2: [0]}
 
 
 def test_store_of_no_documents(spark, no_docs, tmp_path):
@@ -101,6 +131,14 @@ def test_histogram_answers(spark, library):
     assert token_counts.totals(h).first()["n_tokens"] == sum(lens)
 
 
+def test_histogram_with_the_end_id(spark, library):
+    texts = some_texts() + ["<|endoftext|>"]
+    h = token_counts.length_histogram(token_counts.token_lengths(make_docs(spark, texts), end_id=True))
+    want = sorted(len(x) + 1 for x in library([t or "" for t in texts]))
+    assert sorted(x for r in h.collect() for x in [r["length"]] * r["n_docs"]) == want
+    assert h.agg({"n_tokens": "sum"}).first()[0] == sum(want)
+
+
 def test_histogram_of_nothing(no_docs):
     h = token_counts.length_histogram(token_counts.token_lengths(no_docs))
     assert h.count() == 0 and token_counts.quantile(h, 0.5) is None and token_counts.truncated_total(h, 9) == 0
