@@ -78,9 +78,9 @@ def rule_figures(docs: DataFrame, columns: list[str], text_col: str = "text", ho
 
 
 def text_key(text_col: str, host_col: str):
-    """A digest of host and text: rows that agree in it have the same results."""
+    """A 128-bit digest of host and text: rows that agree in it have the same results."""
     host = F.coalesce(F.concat(F.lit("h"), F.col(host_col).cast("string")), F.lit(""))
-    return F.md5(F.concat(F.length(host).cast("string"), F.lit(":"), host, F.coalesce(F.concat(F.lit("t"), F.col(text_col)), F.lit(""))).cast("binary"))
+    return F.unhex(F.md5(F.concat(F.length(host).cast("string"), F.lit(":"), host, F.coalesce(F.concat(F.lit("t"), F.col(text_col)), F.lit(""))).cast("binary")))
 
 
 def line_rules(docs: DataFrame, columns: list[str], text_col: str = "text", host_col: str = "source",
@@ -91,18 +91,18 @@ def line_rules(docs: DataFrame, columns: list[str], text_col: str = "text", host
     own = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
     given = docs.select(own.alias("__own"), F.col(text_col).cast("string").alias("__text"), F.col(host_col).alias("__host"))
     given = given.withColumn("__key", text_key("__text", "__host"))
-    base = written(rule_figures(given, ["__key"], "__text", "__host"), "line-rules")
+    base = written(rule_figures(given, ["__key"], "__text", "__host").withColumn("__row", F.monotonically_increasing_id()), "line-rules")
     seen = (base.select("host", F.explode(F.array_distinct("lines.hash")).alias("hash"))
             .groupBy("host", "hash").agg(F.count("*").alias("in_docs")))
     common = seen.where(F.col("in_docs") > min_docs).select(F.col("host").alias("h"), F.col("hash").alias("c"))
-    # Equal texts of a host have equal lines: each line of a key counts once, whatever the copies.
-    lines = base.select("__key", "host", F.posexplode("lines").alias("at", "line")).select("__key", "host", "at", "line.*")
+    lines = base.select("__row", "host", F.inline("lines"))
     removed = (lines.join(common, F.col("host").eqNullSafe(F.col("h")) & (F.col("hash") == F.col("c")), "left_semi")
-               .groupBy(F.col("__key").alias("__r"), "at").agg(F.first("hash").alias("hash"), F.first("words").alias("words"))
-               .groupBy("__r").agg(F.sum("words").alias("removed"), F.collect_set("hash").alias("__gone")))
+               .groupBy(F.col("__row").alias("__r")).agg(F.sum("words").alias("removed"), F.collect_set("hash").alias("__gone")))
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    per = base.groupBy(F.col("__key").alias("__k")).agg(*[F.max(f).alias(f) for f in figures])
-    per = per.join(removed, F.col("__k") == F.col("__r"), "left").drop("__r")
+    # Rows of one key agree in everything: any of them stands for all.
+    per = (base.select("__key", "__row", *figures).join(removed, F.col("__row") == F.col("__r"), "left")
+           .groupBy(F.col("__key").alias("__k")).agg(*[F.max(f).alias(f) for f in figures], F.max("removed").alias("removed"),
+                                                     F.first("__gone", ignorenulls=True).alias("__gone")))
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
     gone = F.coalesce("removed", F.lit(0)).cast("long")
     stays = f"not(l rlike {WORDS}) or not(array_contains(__gone, {LINE_HASH}))"
