@@ -185,8 +185,9 @@ def train(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col:
     import numpy as np
     small_batches(docs.sparkSession)
     n = grades.count()
-    share = min(1.0, max_rows / max(1, n))
-    pick = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < int(share * 1_000_000)
+    # Ids by a 62-bit hash: any share of them can be picked, however small.
+    whole = 1 << 62
+    pick = F.xxhash64("doc_id", F.lit(SEED)).bitwiseAND(F.lit(whole - 1)) < F.lit(whole * max_rows // max(1, n, max_rows))
     sample = grades.where(pick).select(F.col("doc_id").alias("__id"), "grade")
 
     def extract(batches):
@@ -201,10 +202,15 @@ def train(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col:
                     [b.column(0).slice(s, e - s), pa.array([np.array(sorted(f.words(x)), "<i4").tobytes() for x in raw], pa.binary()),
                      pa.array([np.array(f.shape(x), "<i4").tobytes() for x in raw], pa.binary())], ["grade", "words", "shape"])
 
-    # The sample has about max_rows rows of 12 bytes, so it is broadcast.
-    found = written(docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("text"))
-                    .join(F.broadcast(sample), "__id").select("grade", "text")
-                    .mapInArrow(extract, "grade int, words binary, shape binary"), "quality-sample")
+    # The sample has about max_rows rows of 12 bytes, so it is broadcast. An id that
+    # many rows share counts once, with the text of least hash (then least text):
+    # the hash is found by an aggregate, so equal ids move one short row a task.
+    texts = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("text")).join(F.broadcast(sample), "__id")
+    texts = texts.withColumn("__hash", F.xxhash64("text"))
+    chosen = texts.groupBy(F.col("__id").alias("__i")).agg(F.min("__hash").alias("__h"))
+    one = (texts.join(F.broadcast(chosen), (F.col("__id") == F.col("__i")) & (F.col("__hash") == F.col("__h")))
+           .groupBy("__id").agg(F.first("grade").alias("grade"), F.min("text").alias("text")))
+    found = written(one.select("grade", "text").mapInArrow(extract, "grade int, words binary, shape binary"), "quality-sample")
     wanted = np.zeros(1 << bits, dtype=bool)
     wanted[screen(found, n_grades - 1, bits)] = True
 

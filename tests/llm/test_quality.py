@@ -69,6 +69,21 @@ def test_sample_bound(tables):
     assert np.abs(weights).max() > 0
 
 
+def test_repeated_ids_count_once_in_the_sample(spark, tables, monkeypatch):
+    rows, docs, labels = tables
+    hot = docs.where("doc_id = 1").crossJoin(spark.range(3000)).drop("id")
+    some = docs.unionByName(hot.withColumn("text", hot["text"])).unionByName(
+        hot.selectExpr(*[c if c != "text" else "concat(text, ' ', cast(rand(3) as string)) as text" for c in docs.columns]))
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y, *a: seen.append(len(y)) or fit(x, y, *a))
+    quality.train(some, quality.graded(labels))
+    assert seen == [labels.count()]
+    seen.clear()
+    quality.train(some, quality.graded(labels), max_rows=100)
+    assert 50 <= seen[0] <= 160
+
+
 def test_edges(spark, tables, no_docs):
     _, docs, labels = tables
     none = spark.createDataFrame([], labels.schema)
