@@ -9,12 +9,15 @@ target.
 Both orders (inside a source and over all) are range sorts in two steps:
 sums per bucket of the order, then a running sum inside each bucket. Buckets
 number about the square root of the rows, so neither a hot source nor the
-whole table meets in one task.
+whole table meets in one task. A document's place is a hash of its id and text, so
+rows of one (or no) id are spread; rows that agree in both are one entry with a
+count in the orders, and are dealt out one by one only where their finish times matter.
 
 Defined results: a null text has size 0; a null source is a source of its
 own, last in order; documents without words are never queued (taken 0); rows
-that agree in id and text are ordered next to each other, which of them is
-cut last does not show; an empty table gives an empty result.
+that agree in id, source and text follow each other in the queue and share what they win as
+evenly as whole copies allow, in any order; a very long text is taken whole or not; other columns are
+carried along under whatever names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_REPEAT = 2
 SEED = "mix-1"
+RUN = 10_000     # equal rows that one task deals out
+GROUP = ["doc_id", "source", "spot", "tie"]
 
 
 def word_count(text: Column) -> Column:
@@ -87,28 +92,44 @@ def running_sum(df: DataFrame, value: str, out: str, keys: list[str], bucket: st
 def queue_positions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source", seed: str = SEED) -> DataFrame:
     """(doc_id, source, size, spot, tie): spot is the shuffled place of a
-    document in its source, a hash of its id; tie settles equal ids."""
+    document in its source, a hash of its id and text; tie is the text's digest."""
     text = F.col(text_col)
-    return docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text).alias("size"),
-        F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("spot"),
-        F.md5(F.coalesce(text, F.lit(""))).alias("tie"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text).alias("size"),
+                       F.md5(F.coalesce(text, F.lit(""))).alias("tie")).select(
+        "doc_id", "source", "size", _spot(seed).alias("spot"), "tie")
 
 
-def mix_table(queued: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeat: int = MAX_REPEAT) -> DataFrame:
-    """From :func:`queue_positions` (as a written table): one row per document
-    with its size, source_size, target and ``copies`` (times taken)."""
-    spark = queued.sparkSession
+def _spot(seed: str) -> Column:
+    return F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("/"), F.col("tie")))
+
+
+def each_twin(groups: DataFrame, name: str = "nth") -> DataFrame:
+    """One row per document of every group (``twins`` of them), numbered from
+    0. Large groups are cut into runs that are spread before they are dealt out."""
+    few = groups.where(F.col("twins") <= RUN).withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.col("twins") - 1)))
+    many = groups.where(F.col("twins") > RUN).withColumn("__first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("twins") - 1, F.lit(RUN).cast("long"))))
+    spread = many.repartition(int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    many = spread.withColumn(name, F.explode(F.sequence("__first", F.least(F.col("__first") + (RUN - 1), F.col("twins") - 1))))
+    return few.unionByName(many.drop("__first"))
+
+
+def group_copies(queued: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeat: int = MAX_REPEAT) -> DataFrame:
+    """From :func:`queue_positions` (as a written table): one row per group of
+    equal documents with size, source_size, target, ``twins`` (documents) and
+    ``won`` (times taken, all twins together)."""
     n = queued.count()
     parts = max(1, math.isqrt(n))
     span = max(1, math.ceil(16 ** 6 / parts))
     targets = source_targets(queued, weights, share, max_repeat)
-    q = queued.withColumn("slot", F.floor(F.conv(F.substring("spot", 1, 6), 16, 10).cast("long") / span))
-    q = running_sum(q, "size", "done", ["source"], "slot", ["spot", "doc_id", "tie"])
+    q = queued.groupBy(*GROUP).agg(F.max("size").alias("size"), F.count("*").alias("twins"))
+    q = q.withColumn("words", F.col("size") * F.col("twins"))
+    q = q.withColumn("slot", F.floor(F.conv(F.substring("spot", 1, 6), 16, 10).cast("long") / span))
+    q = running_sum(q, "words", "done", ["source"], "slot", ["spot", "doc_id", "tie"])
     targets = targets.withColumnRenamed("source", "__s")
     q = q.join(targets, F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s", "slot")
+    q = written(q.withColumn("before", F.col("done") - F.col("words")).drop("done", "words"), "mix-groups")
     # Virtual finish times of every turn a document has in its source's queue.
-    turns = (q.where("size > 0")
+    turns = (each_twin(q.where("size > 0")).withColumn("done", F.col("before") + (F.col("nth") + 1) * F.col("size"))
              .withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(max_repeat - 1))))
              .withColumn("finish", (F.col("turn") * F.col("source_size") + F.col("done")) / F.col("target"))
              .withColumn("slot", F.floor(F.least(F.col("finish"), F.lit(float(max_repeat + 1))) * parts)))
@@ -128,45 +149,60 @@ def mix_table(queued: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repe
         taken = turns.where(F.col("slot") < slot).unionByName(last)
     else:
         taken = turns
-    copies = taken.groupBy("doc_id", "source", "spot", "tie").agg(F.count("*").alias("copies"))
-    # Rows equal in id, source and text share their turns evenly, first come first.
-    twin = Window.partitionBy("doc_id", "source", "spot", "tie").orderBy("done")
-    q = q.withColumn("__nth", F.row_number().over(twin) - 1).withColumn("__twins", F.count("*").over(
-        Window.partitionBy("doc_id", "source", "spot", "tie")))
-    c = copies.select(F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("spot").alias("__p"),
-                      F.col("tie").alias("__t"), "copies")
-    on = (F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("source").eqNullSafe(F.col("__s"))
-          & (F.col("spot") == F.col("__p")) & (F.col("tie") == F.col("__t")))
-    out = q.join(c, on, "left").withColumn("__all", F.coalesce("copies", F.lit(0)))
-    own = F.floor(F.col("__all") / F.col("__twins")) + F.when(
-        F.col("__nth") < F.col("__all") % F.col("__twins"), 1).otherwise(0)
-    return out.select("doc_id", "source", "spot", "tie", "size", "source_size", "target", own.cast("int").alias("copies"))
+    won = taken.groupBy(*GROUP).agg(F.count("*").alias("won"))
+    won = won.select(*[F.col(c).alias(f"__{c}") for c in GROUP], "won")
+    out = q.join(won, _same_group(), "left").drop(*[f"__{c}" for c in GROUP])
+    return out.select(*GROUP, "size", "source_size", "target", "twins", F.coalesce("won", F.lit(0)).alias("won"))
+
+
+def _same_group() -> Column:
+    same = F.lit(True)
+    for c in GROUP:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return same
+
+
+def _own_copies(nth: str) -> Column:
+    """What twin number ``nth`` gets of its group's copies."""
+    return (F.floor(F.col("won") / F.col("twins")) + F.when(F.col(nth) < F.col("won") % F.col("twins"), 1).otherwise(0)).cast("int")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, share: float = SHARE, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies."""
+    """One row per document: doc_id, source, spot, tie, size, source_size, target, copies."""
     queued = written(queue_positions(docs, id_col, text_col, source_col, seed), "mix-queue")
-    return mix_table(queued, weights, share, max_repeat)
+    groups = written(group_copies(queued, weights, share, max_repeat), "mix-won")
+    return each_twin(groups).select(*GROUP, "size", "source_size", "target", _own_copies("nth").alias("copies"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    source_col: str = "source", **kw) -> DataFrame:
-    """The documents of the mix, a document taken twice appearing twice.
-    Columns as in ``docs``; documents without words stay (they cost nothing)."""
-    seed = kw.pop("seed", SEED)
-    m = mix(docs, id_col, text_col, source_col, seed=seed, **kw)
-    m = m.groupBy("doc_id", "source", "tie").agg(F.sum("copies").alias("__all"), F.count("*").alias("__twins"),
-                                               F.max("size").alias("__size"))
-    m = m.select(F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("tie").alias("__t"), "__all", "__twins", "__size")
-    on = (F.col(id_col).eqNullSafe(F.col("__d")) & F.col(source_col).eqNullSafe(F.col("__s"))
-          & (F.md5(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__t")))
-    # Identical rows are interchangeable: each gets the larger even share, so
-    # that a group of twins keeps at least the copies that it won.
-    n = F.when(F.col("__size") == 0, 1).otherwise(F.ceil(F.col("__all") / F.col("__twins")).cast("int"))
-    return (docs.join(m, on, "inner").withColumn("__n", n).where("__n > 0")
-            .withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-            .select(*docs.columns))
+                    source_col: str = "source", seed: str = SEED, **kw) -> DataFrame:
+    """The documents of the mix, a document taken twice appearing twice: as
+    many words as the mix takes. Columns as in ``docs``; documents without words stay (they cost nothing).
+
+    Documents are written once under a row number, which meets the copies
+    won. Only in groups whose twins do not all get the same are rows ranked, by
+    partition of that table and with the counts of earlier partitions."""
+    text = F.col(text_col)
+    held = written(docs.select(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row"), F.col(id_col).alias("doc_id"),
+                               F.col(source_col).alias("source"), word_count(text).alias("size"), F.md5(F.coalesce(text, F.lit(""))).alias("tie"),
+                               F.monotonically_increasing_id().alias("at"), F.spark_partition_id().alias("part")), "mix-documents")
+    queued = held.select("doc_id", "source", "size", _spot(seed).alias("spot"), "tie", "at", "part")
+    groups = group_copies(queued.drop("at", "part"), **kw).select(*[F.col(c).alias(f"__{c}") for c in GROUP], "twins", "won")
+    rows = written(queued.join(groups, _same_group()).select(*GROUP, "size", "at", "part", "twins", "won"), "mix-rows")
+    uneven = F.col("won") % F.col("twins") != 0
+    even = rows.where(~uneven).withColumn("nth", F.lit(0).cast("long"))
+    odd = rows.where(uneven)
+    order = Window.partitionBy(*GROUP).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    starts = odd.groupBy(*GROUP, "part").count().withColumn("start", F.coalesce(F.sum("count").over(order), F.lit(0)))
+    starts = starts.select(*[F.col(c).alias(f"__{c}") for c in GROUP], F.col("part").alias("__part"), "start")
+    ranked = (odd.withColumn("local", F.row_number().over(Window.partitionBy(*GROUP, "part").orderBy("at")) - 1)
+              .join(starts, _same_group() & (F.col("part") == F.col("__part"))).withColumn("nth", F.col("start") + F.col("local")))
+    copies = F.when(F.col("size") == 0, 1).otherwise(_own_copies("nth"))
+    chosen = even.select("at", copies.alias("n")).unionByName(ranked.select("at", copies.alias("n"))).where("n > 0")
+    chosen = chosen.withColumnRenamed("at", "__at")
+    return (held.join(chosen, F.col("at") == F.col("__at")).withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n"))))
+            .select(*[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)]))
 
 
 def op4_weighted_fair_mix(spark, sf_dir: str) -> DataFrame:
@@ -179,7 +215,7 @@ def op4_weighted_fair_mix(spark, sf_dir: str) -> DataFrame:
 SQL = r"""
 WITH q AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('mix-1' || coalesce(doc_id::VARCHAR, '')) AS spot, md5(coalesce(text, '')) AS tie
+         md5('mix-1' || coalesce(doc_id::VARCHAR, '') || '/' || md5(coalesce(text, ''))) AS spot, md5(coalesce(text, '')) AS tie
   FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM q GROUP BY source),
 s1 AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w,

@@ -64,6 +64,48 @@ def test_repeated_rows_share_their_turns(spark):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+def words_of(rows):
+    return sum(len((r["text"] or "").split()) for r in rows)
+
+
+def test_documents_returned_are_the_words_taken(spark, monkeypatch):
+    texts = ["five words are in here"] * 50 + [f"w{i} " * (i + 1) for i in range(10)] + [None, ""]
+    docs = make_docs(spark, texts, ids=[1] * 50 + list(range(2, 12)) + [12, 13], sources=["s"]).repartition(4)
+    monkeypatch.setattr(mixing, "RUN", 7)  # equal rows in several runs
+    taken = mixing.mix(docs).collect()
+    out = mixing.mixed_documents(docs).collect()
+    assert len(taken) == 62 and words_of(out) == sum(r["size"] * r["copies"] for r in taken)
+    assert words_of(out) <= 1.5 * words_of(docs.collect())
+    per = defaultdict(int)
+    for r in taken:
+        per[r["doc_id"]] += r["copies"] if r["size"] else 1
+    got = defaultdict(int)
+    for r in out:
+        got[r["doc_id"]] += 1
+    assert dict(got) == {k: n for k, n in per.items() if n}
+    twins = sorted(r["copies"] for r in taken if r["doc_id"] == 1)
+    assert twins[-1] - twins[0] <= 1
+
+
+def test_a_hot_id_is_spread(spark):
+    n = 6000
+    docs = make_docs(spark, [f"a b {i}" for i in range(n)], ids=[9 if i % 3 == 0 else None if i % 3 == 1 else i for i in range(n)], sources=["s"])
+    parts = int(n ** 0.5)
+    span = -(-16 ** 6 // parts)
+    per = defaultdict(int)
+    for r in mixing.queue_positions(docs).collect():
+        per[int(r["spot"][:6], 16) // span] += 1
+    assert max(per.values()) < 5 * n / parts
+
+
+def test_clashing_names_and_very_long_texts(spark):
+    docs = make_docs(spark, ["x " * 500_000, "a b", "c"], sources=["s", "s", "t"]).selectExpr("*", "1 as twins", "2 as won", "3 as at", "4 as row", "5 as spot")
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    assert all((r["twins"], r["won"], r["at"], r["row"], r["spot"]) == (1, 2, 3, 4, 5) for r in out.select("twins", "won", "at", "row", "spot").collect())
+    assert words_of(out.collect()) <= 1.5 * 500_003
+
+
 def test_empty_and_edge_texts(docs, no_docs):
     assert mixing.mix(no_docs).count() == 0 and mixing.mixed_documents(no_docs).count() == 0
     r = by_id(mixing.mix(docs))
