@@ -3,8 +3,9 @@
 Unit vectors are cut into halves, each with its own codebook; a vector's cell
 is its pair of nearest codewords, so two codebooks of k words make a grid of
 k * k cells. A search visits cells in the order of the sum of both halves'
-distances (multi-sequence order) and stops after the count of cells that
-reaches the target recall, measured on a sample of queries. Partners planted at
+distances (multi-sequence order) and stops where the target recall is reached:
+beyond a count of cells or beyond a distance over that of the first cell,
+both measured on a sample of queries and each given half of the misses. Partners planted at
 exactly the linking cosine make up for partners that the sample has not: pairs
 count as found if either end visits the other's cell. The true links of the
 sample to other vectors (a query is no partner of itself) have to be reached too.
@@ -17,8 +18,11 @@ task as counts per vector and as a spanning forest, never as all pairs. A link
 counts for both ends whichever end found it: a task knows from both visit lists
 whether the other direction finds the link as well.
 
-Fitted on bounded samples: codebooks on about ``TRAIN`` vectors, the count of
-visited cells on about ``QUERIES`` queries. The index holds every vector.
+Fitted on bounded samples: codebooks on about ``TRAIN`` vectors (or
+``PER_WORD`` a codeword), the limits of a search on about ``QUERIES`` queries. The index holds every vector.
+The grid grows with the entries until ``WORDS[1]`` squared cells (a thousand
+million entries); beyond that cells hold more. How deep queries find their
+partners is summed in tasks: the driver gets two histograms of bounded size.
 
 Defined results: a vector that is null, empty, zero, holds null or non-finite components, or
 has another length than most vectors links with nothing and is its own
@@ -38,9 +42,12 @@ COSINE = 0.95
 RECALL = 0.999
 TRAIN = 8192
 QUERIES = 1024
-PER_CELL = 64     # entries a cell, about, when codebooks are sized
-WORDS = (8, 256)  # least and most codewords of a half
-BLOCK = 2048      # entries or visitors of a cell in one task
+PER_CELL = 64      # entries a cell, about, when codebooks are sized
+PER_WORD = 16      # training vectors a codeword, at least
+WORDS = (8, 4096)  # least and most codewords of a half
+BLOCK = 2048       # entries or visitors of a cell in one task
+SMALL_GRID = 65_536  # cells whose block counts (24 bytes each) are broadcast
+FINE = 8192        # steps of distance 1 in the histogram of distances
 SEED = 11
 
 
@@ -59,13 +66,20 @@ def distances(x, words):
     return np.maximum((x * x).sum(axis=1)[:, None] - 2 * x @ words.T + (words * words).sum(axis=1)[None, :], 0)
 
 
+def nearest(x, words):
+    """The nearest codeword of each row, some million distances at a time."""
+    import numpy as np
+    step = max(1, 4_000_000 // len(words))
+    return np.concatenate([np.zeros(0, np.int64), *(distances(x[s:s + step], words).argmin(axis=1) for s in range(0, len(x), step))])
+
+
 def codebook(x, k: int, rounds: int = 12, seed: int = SEED):
     """k-means of rows."""
     import numpy as np
     rng = np.random.default_rng(seed)
     words = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
-        near = distances(x, words).argmin(axis=1)
+        near = nearest(x, words)
         n = np.bincount(near, minlength=len(words))
         sums = np.zeros_like(words)
         np.add.at(sums, near, x)
@@ -73,40 +87,78 @@ def codebook(x, k: int, rounds: int = 12, seed: int = SEED):
     return words
 
 
-def visits(x, books, count: int):
-    """The first ``count`` cells of each row in multi-sequence order.
+def first_words(x, words, count: int):
+    """The ``count`` nearest codewords of each row in order, and their distances."""
+    import numpy as np
+    d = distances(x, words)
+    if count < len(words):
+        part = np.argpartition(d, count - 1, axis=1)[:, :count]
+        part.sort(axis=1)  # equal distances stay in order of the codewords
+        d = np.take_along_axis(d, part, 1)
+        o = d.argsort(axis=1, kind="stable")
+        return np.take_along_axis(part, o, 1), np.take_along_axis(d, o, 1)
+    o = d.argsort(axis=1, kind="stable")
+    return o, np.take_along_axis(d, o, 1)
+
+
+def visits(x, books, count: int, beyond: float = float("inf")):
+    """The first ``count`` cells of each row in multi-sequence order, -1 for
+    those whose distance is more than ``beyond`` over that of the first one.
 
     The cell of rank i in one half and j in the other comes after the
     (i+1)(j+1) - 1 cells of ranks up to i and j, so only rank pairs with
     (i+1)(j+1) <= count can be among the first ``count``."""
     import numpy as np
     h = x.shape[1] // 2
-    d1, d2 = distances(x[:, :h], books[0]), distances(x[:, h:], books[1])
-    o1, o2 = d1.argsort(axis=1, kind="stable"), d2.argsort(axis=1, kind="stable")
-    s1, s2 = np.take_along_axis(d1, o1, 1), np.take_along_axis(d2, o2, 1)
-    i, j = np.nonzero(np.outer(np.arange(1, len(books[0]) + 1), np.arange(1, len(books[1]) + 1)) <= count)
+    o1, s1 = first_words(x[:, :h], books[0], min(count, len(books[0])))
+    o2, s2 = first_words(x[:, h:], books[1], min(count, len(books[1])))
+    wide = np.minimum(o2.shape[1], count // np.arange(1, o1.shape[1] + 1))
+    i = np.repeat(np.arange(len(wide)), wide)
+    j = np.arange(len(i)) - np.repeat(np.cumsum(wide) - wide, wide)
     count = min(count, len(i))
     total = s1[:, i] + s2[:, j]
     pick = np.argsort(total, axis=1, kind="stable")[:, :count]
-    return o1[np.arange(len(x))[:, None], i[pick]] * len(books[1]) + o2[np.arange(len(x))[:, None], j[pick]]
+    at = np.arange(len(x))[:, None]
+    cells = o1[at, i[pick]] * len(books[1]) + o2[at, j[pick]]
+    total = np.take_along_axis(total, pick, 1)
+    return np.where(total - total[:, :1] <= beyond + 1e-9, cells, -1)
 
 
-def ranks(x, books, cell):
-    """The place (from 1) of one given cell of each row in multi-sequence
-    order; of equal sums the last."""
+def depths(x, books, cell):
+    """Of one given cell of each row: its place (from 1) in multi-sequence
+    order, of equal sums the last, and its distance over that of the first cell."""
     import numpy as np
     h = x.shape[1] // 2
     d1, d2 = distances(x[:, :h], books[0]), distances(x[:, h:], books[1])
     at = np.arange(len(x))
-    total = d1[at, cell // len(books[1])] + d2[at, cell % len(books[1])] + 1e-12
+    total = d1[at, cell // len(books[1])] + d2[at, cell % len(books[1])]
     d2 = np.sort(d2, axis=1)
-    return np.array([np.searchsorted(b, t - a, side="right").sum() for a, b, t in zip(d1, d2, total)], dtype=np.int64)
+    place = np.array([np.searchsorted(b, t + 1e-12 - a, side="right").sum() for a, b, t in zip(d1, d2, total)], dtype=np.int64)
+    return place, total - d1.min(axis=1, initial=np.inf) - d2[:, 0]
+
+
+def coarse(place):
+    """Places rounded up to nine leading bits: few different ones, none less deep."""
+    import numpy as np
+    step = 1 << np.maximum(0, np.floor(np.log2(place)).astype(np.int64) - 9)
+    return -(-place // step) * step
 
 
-def planted_ranks(queries, books, cosine: float, seed: int = SEED):
-    """Per kind of direction: how deep the traversal of a query or of a partner
-    at just this cosine, whichever is less deep, finds the other one. The
-    partner lies anywhere, beside one half only, or towards another query."""
+def quantile(at, weight, share: float) -> float:
+    """The least of ``at`` that has ``share`` of the weight up to it; infinite beyond all."""
+    import numpy as np
+    if not len(at):
+        return 0
+    order = np.argsort(at, kind="stable")
+    by = np.cumsum(weight[order])
+    k = int(np.searchsorted(by / by[-1], share))
+    return at[order[k]] if k < len(at) else float("inf")
+
+
+def planted_depths(queries, books, cosine: float, seed: int = SEED):
+    """Per kind of direction: how deep (place, distance) the traversal of a query
+    or of a partner at just this cosine, whichever is less deep, finds the other
+    one. The partner lies anywhere, beside one half only, or towards another query."""
     import numpy as np
     rng = np.random.default_rng(seed)
     x = np.tile(queries, (-(-QUERIES // max(1, len(queries))), 1))
@@ -122,7 +174,9 @@ def planted_ranks(queries, books, cosine: float, seed: int = SEED):
         a = x[ok]
         b = cosine * a + (1 - cosine * cosine) ** 0.5 * z[ok] / size[ok, None]
         if len(a):
-            out.append(np.minimum(ranks(a, books, visits(b, books, 1)[:, 0]), ranks(b, books, visits(a, books, 1)[:, 0])))
+            there, back = depths(a, books, visits(b, books, 1)[:, 0]), depths(b, books, visits(a, books, 1)[:, 0])
+            less = there[0] <= back[0]  # one direction for both limits: a search has to keep to both
+            out.append([np.where(less, p, q) for p, q in zip(there, back)])
     return out
 
 
@@ -177,28 +231,25 @@ def _entries(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame,
 
 
 def _sample(entries: DataFrame, size: int, total: int, salt: int) -> list:
-    share = min(1.0, size / max(1, total))
-    pick = F.pmod(F.xxhash64("v", F.lit(salt)), F.lit(1_000_000)) < int(share * 1_000_000) + 1
+    """About ``size`` of ``total`` entries by a hash of the vector, at any total."""
+    pick = F.xxhash64("v", F.lit(salt)).bitwiseAND((1 << 62) - 1) <= int(min(1.0, size / max(1, total)) * (1 << 62))
     return sorted(r["v"] for r in entries.where(pick).select("v").collect())
 
 
 def fit(entries: DataFrame, dim: int, cosine: float = COSINE, recall: float = RECALL):
-    """(codebooks, count of cells to visit)."""
+    """(codebooks, count of cells to visit, distance beyond the first cell's to stop at)."""
     import numpy as np
     total = entries.count()
-    train = unit(_sample(entries, TRAIN, total, SEED), dim)
     k = int(np.clip(round((total / PER_CELL) ** 0.5), *WORDS))
+    train = unit(_sample(entries, max(TRAIN, PER_WORD * k), total, SEED), dim)
     h = dim // 2
     books = (codebook(train[:, :h], k), codebook(train[:, h:], k))
     cells = len(books[0]) * len(books[1])
     drawn = _sample(entries, QUERIES, total, SEED + 1)
     own = {v: i for i, v in enumerate(drawn)}
-    queries = unit(drawn, dim)
-    order = visits(queries, books, cells)
-    place = np.empty_like(order)
-    np.put_along_axis(place, order, np.arange(order.shape[1])[None, :], axis=1)
+    queries = unit(drawn, dim) if drawn else np.zeros((0, dim))
 
-    def places(batches):
+    def partners(batches):
         import numpy as np
         import pyarrow as pa
         for b in batches:
@@ -212,24 +263,38 @@ def fit(entries: DataFrame, dim: int, cosine: float = COSINE, recall: float = RE
                 if v in own:  # entries are distinct: this is the query itself
                     near[own[v], i] = False
             q, m = np.nonzero(near)
-            at, n = np.unique(np.stack((q, place[q, cell[m]])), axis=1, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(at[0]), pa.array(at[1]), pa.array(n)], ["q", "place", "n"])
-
-    # How deep in its traversal a query finds its true partners: at most
-    # QUERIES * cells sums come back.
-    hits = (entries.select("v").mapInArrow(places, "q long, place long, n long")
-            .groupBy("q", "place").agg(F.sum("n").alias("n")).collect())
-    at, n, q = (np.array([r[c] for r in hits], dtype=np.int64) for c in ("place", "n", "q"))
-    need = 1
-    if len(at):
-        per_query = n / np.bincount(q, n, minlength=len(queries))[q]
-        for weight in (n.astype(float), per_query):  # over links, and over queries
-            by = np.bincount(at, weight, minlength=cells).cumsum()
-            need = max(need, int(np.searchsorted(by / by[-1], recall) + 1))
-    for rank in planted_ranks(queries, books, cosine):
-        by = np.bincount(rank - 1, minlength=cells).cumsum()
-        need = max(need, int(np.searchsorted(by / by[-1], recall) + 1))
-    return books, min(need, cells)
+            at, n = np.unique(np.stack((q, cell[m])), axis=1, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(at[0]), pa.array(at[1]), pa.array(n)], ["q", "cell", "n"])
+
+    # Where the true partners of the queries are, one row per query and cell.
+    hits = written(entries.select("v").mapInArrow(partners, "q long, cell long, n long")
+                   .groupBy("q", "cell").agg(F.sum("n").alias("n")), "multi-index-sample")
+    of = {r["q"]: r["n"] for r in hits.groupBy("q").agg(F.sum("n").alias("n")).collect()}  # one row per query
+
+    def deep(batches):
+        import numpy as np
+        import pyarrow as pa
+        for b in batches:
+            for s in range(0, b.num_rows, 1000):
+                q, cell, n = (c.to_numpy() for c in b.slice(s, 1000).columns)
+                place, over = depths(queries[q], books, cell)
+                each = n / np.array([of[i] for i in q.tolist()])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat([0, 1], len(q))), pa.array(np.concatenate((coarse(place), np.ceil(over * FINE).astype(np.int64)))),
+                     pa.array(np.tile(n, 2).astype(float)), pa.array(np.tile(each, 2))], ["kind", "at", "links", "queries"])
+
+    # Rounded, so at most some ten thousand places and 8 * FINE distances.
+    found = (hits.mapInArrow(deep, "kind long, at long, links double, queries double")
+             .groupBy("kind", "at").agg(F.sum("links").alias("links"), F.sum("queries").alias("queries")).collect())
+    share = (1 + recall) / 2  # each limit may miss half of what may be missed
+    limits = []
+    for kind, scale in ((0, 1), (1, FINE)):
+        rows = [r for r in found if r["kind"] == kind]
+        at = np.array([r["at"] for r in rows], dtype=float) / scale
+        need = [quantile(at, np.array([r[w] for r in rows]), share) for w in ("links", "queries")]
+        need += [quantile(d[kind], np.ones(len(d[kind])), share) for d in planted_depths(queries, books, cosine)]
+        limits.append(max(need, default=0))
+    return books, int(min(max(1, limits[0]), cells)), float(limits[1])
 
 
 def multi_index_links(entries: DataFrame, dim: int, cosine: float = COSINE, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
@@ -237,27 +302,31 @@ def multi_index_links(entries: DataFrame, dim: int, cosine: float = COSINE, reca
     entry's count of linked vectors, rows with ``other`` are forest links."""
     spark = entries.sparkSession
     small_batches(spark, 2000)
-    books, count = fit(entries, dim, cosine, recall)
-    fitted = spark.sparkContext.broadcast((books, count))  # 2 codebooks of at most WORDS[1] rows
+    books, count, beyond = fit(entries, dim, cosine, recall)
+    fitted = spark.sparkContext.broadcast((books, count, beyond))  # 2 codebooks of at most WORDS[1] rows
 
     def index(batches):
         import numpy as np
         import pyarrow as pa
-        books, count = fitted.value
+        books, count, beyond = fitted.value
         for b in batches:
             v = b.column(2)
             if not len(v):
                 continue
-            way = visits(unit(v.to_pylist(), dim), books, count)
-            way = pa.array(list(way.astype(np.int32)), pa.list_(pa.int32()))
+            way = visits(unit(v.to_pylist(), dim), books, count, beyond)
+            ends = np.concatenate(([0], (way >= 0).sum(axis=1).cumsum())).astype(np.int32)
+            way = pa.ListArray.from_arrays(pa.array(ends), pa.array(way[way >= 0].astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*b.columns, way], ["eid", "n", "v", "way"])
 
     placed = written(entries.select("eid", "n", "v").mapInArrow(index, "eid long, n long, v binary, way array<int>")
                      .withColumn("cell", F.col("way")[0]), "multi-index")
-    # Both counts have one row per cell: at most WORDS[1] squared.
+    # Both counts have one row per cell. Larger grids leave the join to Spark's
+    # size check and AQE, which splits a hot cell.
     held = placed.groupBy("cell").agg(F.ceil(F.count("*") / block).alias("mine"))
     asked = placed.select(F.explode("way").alias("cell")).groupBy("cell").agg(F.ceil(F.count("*") / block).alias("theirs"))
-    blocks = F.broadcast(held.join(asked, "cell"))
+    blocks = held.join(asked, "cell")
+    if len(books[0]) * len(books[1]) <= SMALL_GRID:
+        blocks = F.broadcast(blocks)
     spot = lambda n, salt: F.pmod(F.xxhash64("eid", F.lit(salt)), n)
     spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
     members = (placed.join(blocks, "cell").withColumn("a", spot(F.col("mine"), 1)).withColumn("b", spread(F.col("theirs")))
@@ -275,7 +344,10 @@ def multi_index_links(entries: DataFrame, dim: int, cosine: float = COSINE, reca
         m_id, q_id = mine.column("eid").to_numpy(), theirs.column("q_eid").to_numpy()
         m_n, q_n = mine.column("n").to_numpy(), theirs.column("q_n").to_numpy()
         home = theirs.column("q_home").to_numpy()
-        way = np.array(mine.column("way").to_pylist(), dtype=np.int32)
+        lists = mine.column("way").combine_chunks()
+        size = np.diff(lists.offsets.to_numpy())
+        way = np.full((len(size), size.max()), -1, dtype=np.int32)
+        way[np.arange(way.shape[1]) < size[:, None]] = lists.flatten().to_numpy()
         sim = unit(theirs.column("q_v").to_pylist(), dim) @ unit(mine.column("v").to_pylist(), dim).T
         q, m = np.nonzero(sim >= cosine)
         other = q_id[q] != m_id[m]

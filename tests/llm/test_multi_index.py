@@ -85,3 +85,49 @@ def test_rare_pairs_are_found(spark, seed):
     got = found(spark.createDataFrame([(i, v, 0, 1) for i, v in enumerate(vectors)], SCHEMA))
     assert sum(got[8000 + i] == (1, i, False) for i in range(60)) >= 58
     assert all(got[i] == (0, i, True) for i in range(60, 8000))
+
+
+def test_search_stops_at_either_limit():
+    rng = np.random.default_rng(6)
+    x, books = rng.normal(size=(30, 8)), (rng.normal(size=(9, 4)), rng.normal(size=(6, 4)))
+    d = ((x[:, None, :4] - books[0]) ** 2).sum(2)[:, :, None] + ((x[:, None, 4:] - books[1]) ** 2).sum(2)[:, None, :]
+    d = d.reshape(len(x), -1)
+    for count, beyond in ((54, 1.5), (5, 1.5), (5, np.inf), (54, 0.0)):
+        for way, row in zip(mi.visits(x, books, count, beyond), d):
+            order = np.argsort(row)
+            assert way[way >= 0].tolist() == [c for c in order[:count] if row[c] <= row.min() + beyond + 1e-9]
+    cell = rng.integers(0, 54, len(x))
+    place, over = mi.depths(x, books, cell)
+    assert place.tolist() == [int((row <= row[c] + 1e-12).sum()) for row, c in zip(d, cell)]
+    assert np.allclose(over, d[np.arange(len(x)), cell] - d.min(axis=1))
+
+
+def test_histograms_are_bounded_and_never_less_deep():
+    place = np.arange(1, 300_000)
+    up = mi.coarse(place)
+    assert (up >= place).all() and (up <= place * 1.002 + 1).all() and len(np.unique(up)) < 6000
+    assert mi.quantile(np.array([3.0, 1.0, 2.0]), np.array([1.0, 8.0, 1.0]), 0.9) == 2
+    assert mi.quantile(np.array([3.0]), np.ones(1), 1.1) == float("inf")
+
+
+def test_driver_memory_of_a_large_grid(spark, monkeypatch):
+    import tracemalloc
+    monkeypatch.setattr(mi, "WORDS", (256, 256))
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(9000, 64))
+    x[1000:3000] = x[0] + rng.normal(size=(2000, 64)) * 0.05  # one large group
+    df = spark.createDataFrame([(i, v, 0, 1) for i, v in enumerate(x.astype(np.float32).tolist())], SCHEMA)
+    _, entries, dim = mi._entries(df, "vec_id", "embedding")
+    tracemalloc.start()
+    books, count, beyond = mi.fit(entries, dim)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(books[0]) == len(books[1]) == 256 and 1 <= count <= 65536 and 0 < beyond < 4
+    assert peak < 500e6
+
+
+def test_sample_keeps_its_size_at_any_total(spark):
+    entries = spark.range(20000).selectExpr("unhex(lpad(hex(id), 8, '0')) v")
+    assert 900 < len(mi._sample(entries, 1000, 20000, 1)) < 1100
+    assert len(mi._sample(entries, 1000, 10 ** 13, 1)) == 0
+    assert len(mi._sample(entries, 30000, 20000, 1)) == 20000
