@@ -3,9 +3,9 @@
 Unit vectors are cut into halves, each with its own codebook; a vector's cell
 is its pair of nearest codewords, so two codebooks of k words make a grid of
 k * k cells. A search visits cells in the order of the sum of both halves'
-distances (multi-sequence order) and stops where the target recall is reached:
-beyond a count of cells or beyond a distance over that of the first cell,
-both measured on a sample of queries and each given half of the misses. Partners planted at
+distances (multi-sequence order) and stops after the count of cells that
+reaches the target recall, measured on a sample of queries. (Stopping at a
+distance over that of the first cell visits up to twice as many for the same recall.) Partners planted at
 exactly the linking cosine make up for partners that the sample has not: pairs
 count as found if either end visits the other's cell. The true links of the
 sample to other vectors (a query is no partner of itself) have to be reached too.
@@ -19,10 +19,11 @@ counts for both ends whichever end found it: a task knows from both visit lists
 whether the other direction finds the link as well.
 
 Fitted on bounded samples: codebooks on about ``TRAIN`` vectors (or
-``PER_WORD`` a codeword), the limits of a search on about ``QUERIES`` queries. The index holds every vector.
+``PER_WORD`` a codeword), the count of
+visited cells on about ``QUERIES`` queries. The index holds every vector.
 The grid grows with the entries until ``WORDS[1]`` squared cells (a thousand
 million entries); beyond that cells hold more. How deep queries find their
-partners is summed in tasks: the driver gets two histograms of bounded size.
+partners is summed in tasks: the driver gets one histogram of bounded size.
 
 Defined results: a vector that is null, empty, zero, holds null or non-finite components, or
 has another length than most vectors links with nothing and is its own
@@ -47,7 +48,6 @@ PER_WORD = 16      # training vectors a codeword, at least
 WORDS = (8, 4096)  # least and most codewords of a half
 BLOCK = 2048       # entries or visitors of a cell in one task
 SMALL_GRID = 65_536  # cells whose block counts (24 bytes each) are broadcast
-FINE = 8192        # steps of distance 1 in the histogram of distances
 SEED = 11
 
 
@@ -101,9 +101,8 @@ def first_words(x, words, count: int):
     return o, np.take_along_axis(d, o, 1)
 
 
-def visits(x, books, count: int, beyond: float = float("inf")):
-    """The first ``count`` cells of each row in multi-sequence order, -1 for
-    those whose distance is more than ``beyond`` over that of the first one.
+def visits(x, books, count: int):
+    """The first ``count`` cells of each row in multi-sequence order.
 
     The cell of rank i in one half and j in the other comes after the
     (i+1)(j+1) - 1 cells of ranks up to i and j, so only rank pairs with
@@ -119,22 +118,19 @@ def visits(x, books, count: int, beyond: float = float("inf")):
     total = s1[:, i] + s2[:, j]
     pick = np.argsort(total, axis=1, kind="stable")[:, :count]
     at = np.arange(len(x))[:, None]
-    cells = o1[at, i[pick]] * len(books[1]) + o2[at, j[pick]]
-    total = np.take_along_axis(total, pick, 1)
-    return np.where(total - total[:, :1] <= beyond + 1e-9, cells, -1)
+    return o1[at, i[pick]] * len(books[1]) + o2[at, j[pick]]
 
 
-def depths(x, books, cell):
-    """Of one given cell of each row: its place (from 1) in multi-sequence
-    order, of equal sums the last, and its distance over that of the first cell."""
+def ranks(x, books, cell):
+    """The place (from 1) of one given cell of each row in multi-sequence
+    order; of equal sums the last."""
     import numpy as np
     h = x.shape[1] // 2
     d1, d2 = distances(x[:, :h], books[0]), distances(x[:, h:], books[1])
     at = np.arange(len(x))
-    total = d1[at, cell // len(books[1])] + d2[at, cell % len(books[1])]
+    total = d1[at, cell // len(books[1])] + d2[at, cell % len(books[1])] + 1e-12
     d2 = np.sort(d2, axis=1)
-    place = np.array([np.searchsorted(b, t + 1e-12 - a, side="right").sum() for a, b, t in zip(d1, d2, total)], dtype=np.int64)
-    return place, total - d1.min(axis=1, initial=np.inf) - d2[:, 0]
+    return np.array([np.searchsorted(b, t - a, side="right").sum() for a, b, t in zip(d1, d2, total)], dtype=np.int64)
 
 
 def coarse(place):
@@ -155,10 +151,10 @@ def quantile(at, weight, share: float) -> float:
     return at[order[k]] if k < len(at) else float("inf")
 
 
-def planted_depths(queries, books, cosine: float, seed: int = SEED):
-    """Per kind of direction: how deep (place, distance) the traversal of a query
-    or of a partner at just this cosine, whichever is less deep, finds the other
-    one. The partner lies anywhere, beside one half only, or towards another query."""
+def planted_ranks(queries, books, cosine: float, seed: int = SEED):
+    """Per kind of direction: how deep the traversal of a query or of a partner
+    at just this cosine, whichever is less deep, finds the other one. The
+    partner lies anywhere, beside one half only, or towards another query."""
     import numpy as np
     rng = np.random.default_rng(seed)
     x = np.tile(queries, (-(-QUERIES // max(1, len(queries))), 1))
@@ -174,9 +170,7 @@ def planted_depths(queries, books, cosine: float, seed: int = SEED):
         a = x[ok]
         b = cosine * a + (1 - cosine * cosine) ** 0.5 * z[ok] / size[ok, None]
         if len(a):
-            there, back = depths(a, books, visits(b, books, 1)[:, 0]), depths(b, books, visits(a, books, 1)[:, 0])
-            less = there[0] <= back[0]  # one direction for both limits: a search has to keep to both
-            out.append([np.where(less, p, q) for p, q in zip(there, back)])
+            out.append(np.minimum(ranks(a, books, visits(b, books, 1)[:, 0]), ranks(b, books, visits(a, books, 1)[:, 0])))
     return out
 
 
@@ -237,7 +231,7 @@ def _sample(entries: DataFrame, size: int, total: int, salt: int) -> list:
 
 
 def fit(entries: DataFrame, dim: int, cosine: float = COSINE, recall: float = RECALL):
-    """(codebooks, count of cells to visit, distance beyond the first cell's to stop at)."""
+    """(codebooks, count of cells to visit)."""
     import numpy as np
     total = entries.count()
     k = int(np.clip(round((total / PER_CELL) ** 0.5), *WORDS))
@@ -277,24 +271,17 @@ def fit(entries: DataFrame, dim: int, cosine: float = COSINE, recall: float = RE
         for b in batches:
             for s in range(0, b.num_rows, 1000):
                 q, cell, n = (c.to_numpy() for c in b.slice(s, 1000).columns)
-                place, over = depths(queries[q], books, cell)
                 each = n / np.array([of[i] for i in q.tolist()])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat([0, 1], len(q))), pa.array(np.concatenate((coarse(place), np.ceil(over * FINE).astype(np.int64)))),
-                     pa.array(np.tile(n, 2).astype(float)), pa.array(np.tile(each, 2))], ["kind", "at", "links", "queries"])
-
-    # Rounded, so at most some ten thousand places and 8 * FINE distances.
-    found = (hits.mapInArrow(deep, "kind long, at long, links double, queries double")
-             .groupBy("kind", "at").agg(F.sum("links").alias("links"), F.sum("queries").alias("queries")).collect())
-    share = (1 + recall) / 2  # each limit may miss half of what may be missed
-    limits = []
-    for kind, scale in ((0, 1), (1, FINE)):
-        rows = [r for r in found if r["kind"] == kind]
-        at = np.array([r["at"] for r in rows], dtype=float) / scale
-        need = [quantile(at, np.array([r[w] for r in rows]), share) for w in ("links", "queries")]
-        need += [quantile(d[kind], np.ones(len(d[kind])), share) for d in planted_depths(queries, books, cosine)]
-        limits.append(max(need, default=0))
-    return books, int(min(max(1, limits[0]), cells)), float(limits[1])
+                    [pa.array(coarse(ranks(queries[q], books, cell))), pa.array(n.astype(float)), pa.array(each)], ["place", "links", "queries"])
+
+    # Places are rounded up, so at most some ten thousand rows.
+    found = (hits.mapInArrow(deep, "place long, links double, queries double")
+             .groupBy("place").agg(F.sum("links").alias("links"), F.sum("queries").alias("queries")).collect())
+    at = np.array([r["place"] for r in found], dtype=np.int64)
+    need = [quantile(at, np.array([r[w] for r in found]), recall) for w in ("links", "queries")]
+    need += [quantile(d, np.ones(len(d)), recall) for d in planted_ranks(queries, books, cosine)]
+    return books, int(min(max(1, *need), cells))
 
 
 def multi_index_links(entries: DataFrame, dim: int, cosine: float = COSINE, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
@@ -302,20 +289,20 @@ def multi_index_links(entries: DataFrame, dim: int, cosine: float = COSINE, reca
     entry's count of linked vectors, rows with ``other`` are forest links."""
     spark = entries.sparkSession
     small_batches(spark, 2000)
-    books, count, beyond = fit(entries, dim, cosine, recall)
-    fitted = spark.sparkContext.broadcast((books, count, beyond))  # 2 codebooks of at most WORDS[1] rows
+    books, count = fit(entries, dim, cosine, recall)
+    fitted = spark.sparkContext.broadcast((books, count))  # 2 codebooks of at most WORDS[1] rows
 
     def index(batches):
         import numpy as np
         import pyarrow as pa
-        books, count, beyond = fitted.value
+        books, count = fitted.value
         for b in batches:
             v = b.column(2)
             if not len(v):
                 continue
-            way = visits(unit(v.to_pylist(), dim), books, count, beyond)
-            ends = np.concatenate(([0], (way >= 0).sum(axis=1).cumsum())).astype(np.int32)
-            way = pa.ListArray.from_arrays(pa.array(ends), pa.array(way[way >= 0].astype(np.int32)))
+            way = visits(unit(v.to_pylist(), dim), books, count)
+            ends = np.arange(len(way) + 1, dtype=np.int32) * way.shape[1]
+            way = pa.ListArray.from_arrays(pa.array(ends), pa.array(way.ravel().astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*b.columns, way], ["eid", "n", "v", "way"])
 
     placed = written(entries.select("eid", "n", "v").mapInArrow(index, "eid long, n long, v binary, way array<int>")
@@ -344,10 +331,7 @@ def multi_index_links(entries: DataFrame, dim: int, cosine: float = COSINE, reca
         m_id, q_id = mine.column("eid").to_numpy(), theirs.column("q_eid").to_numpy()
         m_n, q_n = mine.column("n").to_numpy(), theirs.column("q_n").to_numpy()
         home = theirs.column("q_home").to_numpy()
-        lists = mine.column("way").combine_chunks()
-        size = np.diff(lists.offsets.to_numpy())
-        way = np.full((len(size), size.max()), -1, dtype=np.int32)
-        way[np.arange(way.shape[1]) < size[:, None]] = lists.flatten().to_numpy()
+        way = mine.column("way").combine_chunks().flatten().to_numpy().reshape(mine.num_rows, -1)
         sim = unit(theirs.column("q_v").to_pylist(), dim) @ unit(mine.column("v").to_pylist(), dim).T
         q, m = np.nonzero(sim >= cosine)
         other = q_id[q] != m_id[m]

@@ -87,19 +87,13 @@ def test_rare_pairs_are_found(spark, seed):
     assert all(got[i] == (0, i, True) for i in range(60, 8000))
 
 
-def test_search_stops_at_either_limit():
+def test_ranks_of_cells():
     rng = np.random.default_rng(6)
     x, books = rng.normal(size=(30, 8)), (rng.normal(size=(9, 4)), rng.normal(size=(6, 4)))
     d = ((x[:, None, :4] - books[0]) ** 2).sum(2)[:, :, None] + ((x[:, None, 4:] - books[1]) ** 2).sum(2)[:, None, :]
-    d = d.reshape(len(x), -1)
-    for count, beyond in ((54, 1.5), (5, 1.5), (5, np.inf), (54, 0.0)):
-        for way, row in zip(mi.visits(x, books, count, beyond), d):
-            order = np.argsort(row)
-            assert way[way >= 0].tolist() == [c for c in order[:count] if row[c] <= row.min() + beyond + 1e-9]
     cell = rng.integers(0, 54, len(x))
-    place, over = mi.depths(x, books, cell)
-    assert place.tolist() == [int((row <= row[c] + 1e-12).sum()) for row, c in zip(d, cell)]
-    assert np.allclose(over, d[np.arange(len(x)), cell] - d.min(axis=1))
+    want = [int((row <= row[c] + 1e-12).sum()) for row, c in zip(d.reshape(len(x), -1), cell)]
+    assert mi.ranks(x, books, cell).tolist() == want
 
 
 def test_histograms_are_bounded_and_never_less_deep():
@@ -119,10 +113,10 @@ def test_driver_memory_of_a_large_grid(spark, monkeypatch):
     df = spark.createDataFrame([(i, v, 0, 1) for i, v in enumerate(x.astype(np.float32).tolist())], SCHEMA)
     _, entries, dim = mi._entries(df, "vec_id", "embedding")
     tracemalloc.start()
-    books, count, beyond = mi.fit(entries, dim)
+    books, count = mi.fit(entries, dim)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert len(books[0]) == len(books[1]) == 256 and 1 <= count <= 65536 and 0 < beyond < 4
+    assert len(books[0]) == len(books[1]) == 256 and 1 <= count <= 65536
     assert peak < 500e6
 
 
