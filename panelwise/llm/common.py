@@ -4,13 +4,12 @@ scratch tables that cut lineage, null-safe text, and word patterns."""
 from __future__ import annotations
 
 import sys
-import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from panelwise.session import ensure_checkpoint_dir
+from panelwise.session import scratch_path
 
 # A word is a maximal run of characters other than space and \t..\r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,8 +30,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder that ``spark.checkpoint.dir`` names."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder that ``spark.checkpoint.dir`` names;
+    ``session.clear_scratch`` removes it."""
+    return scratch_path(spark, name)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -70,6 +70,11 @@ def returned_as(columns: list[str], results) -> list[str]:
     return names
 
 
+def asked_for(columns: list[str], results) -> list[Column]:
+    """The columns that an operator was asked for, as it returns them."""
+    return [F.col(c).alias(n) for c, n in zip(columns, returned_as(columns, results))]
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -37,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .blocks import ASKED, arrays, cut_by_part, in_blocks, joined, ordered, packed, packed_keys, row, rows, unpacked, unpacked_keys
-from .common import fields, ship, small_batches, table
+from .common import fields, returned_as, ship, small_batches, table
 
 ship(__name__)
 
@@ -49,6 +49,7 @@ MAX_MODELS = 4096    # each gets the 1 MB of depths 1 and 0; there are 65,536 tw
 SCATTER = 0x9E3779B97F4A7C15
 FOLDS, HELD_OUT = 7, 2
 SCALE = 1 << 30      # sums of log weights travel as whole numbers and such fractions: exact in any order
+RESULTS = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
 SUMS = 196_610       # counts, whole log weights, N and V, fractions of log weights
 
 
@@ -228,7 +229,8 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
            block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``columns`` of every document, held_out, n_tokens, n_known,
     train_tokens, base_score, score (log10 probability of the text), n_bytes
-    (with the end mark) and bits_per_byte (code length per byte)."""
+    (with the end mark) and bits_per_byte (code length per byte). A column
+    named like one of these is returned as ``given_<name>``."""
     small_batches(docs.sparkSession)
     held, n, wide = in_blocks(docs, [held_out(id_col), *[F.col(c) for c in columns]], id_col, text_col, block_bytes)
     n_columns = len(columns)
@@ -501,8 +503,8 @@ def scores(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_col
     scored = "n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
     given = docs.select(held_out(id_col).alias("__c0"), *[F.col(c).alias(f"__c{i + 1}") for i, c in enumerate(columns)])
     result = by_block.cogroup(answers.groupBy("block")).applyInArrow(finish, fields(given, given.columns, scored))
-    return result.select(*[F.col(f"__c{i + 1}").alias(c) for i, c in enumerate(columns)], F.col("__c0").alias("held_out"),
-                         "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+    names = returned_as(columns, RESULTS)
+    return result.select(*[F.col(f"__c{i + 1}").alias(n) for i, n in enumerate(names)], F.col("__c0").alias("held_out"), *RESULTS[1:])
 
 
 def op1_context_tree(spark, sf_dir: str) -> DataFrame:

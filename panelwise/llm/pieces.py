@@ -20,13 +20,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches_of, fields, ship, small_batches, table, text_or_empty
+from .common import asked_for, batches_of, fields, ship, small_batches, table, text_or_empty
 from .tokens import WordCache, worker_state, words_of
 
 ship(__name__)
 
 MODEL_FILE = "piece_bpe_32k.model"
 SPACE = "▁"
+RESULTS = ("ids", "ends", "decoded")
 
 
 def model_path(name: str = MODEL_FILE) -> str:
@@ -203,7 +204,8 @@ def encoded(docs: DataFrame, columns: list[str], text_col: str = "text", model:
             begin: bool = True, end: bool = True, decode: bool = True) -> DataFrame:
     """``columns`` and: ids binary and ends binary (little-endian unsigned
     32-bit integers: the ids, and the byte of the original text where each
-    id's span ends; it begins where the one before ends), decoded string (the library's decode(ids))."""
+    id's span ends; it begins where the one before ends), decoded string (the library's decode(ids)).
+    A column named like one of these is returned as ``given_<name>``."""
     path = model or model_path()
     small_batches(docs.sparkSession)
 
@@ -221,8 +223,8 @@ def encoded(docs: DataFrame, columns: list[str], text_col: str = "text", model:
                     [*part.columns[:-1], pa.array(ids, pa.binary()), pa.array([x for _, x in both], pa.binary()), pa.array(back, pa.string())],
                     [*part.schema.names[:-1], "ids", "ends", "decoded"])
 
-    given = docs.select(*columns, text_or_empty(text_col).alias("__text"))
-    return given.mapInArrow(run, fields(given, columns, "ids binary, ends binary, decoded string"))
+    given = docs.select(*asked_for(columns, RESULTS), text_or_empty(text_col).alias("__text"))
+    return given.mapInArrow(run, fields(given, given.columns[:-1], "ids binary, ends binary, decoded string"))
 
 
 def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:

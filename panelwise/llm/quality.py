@@ -32,7 +32,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import batches_of, fields, ship, small_batches, table, text_or_empty, written
+from .common import asked_for, batches_of, fields, ship, small_batches, table, text_or_empty, written
 
 ship(__name__)
 
@@ -45,6 +45,7 @@ L2 = 1e-6
 SEED = 7
 MIN_DF = 3
 MIN_Z = 3.5
+RESULTS = ("score", "expected_grade", "tail", "tail_probability", "selected")
 PREFIXES = (5, 8)
 
 
@@ -232,7 +233,8 @@ def train(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model, columns: list[str], text_col: str = "text", bits: int = BITS) -> DataFrame:
     """``columns`` of every document and: score, expected_grade double,
-    tail array<double> (P(grade >= k) for k = 1, 2, ...)."""
+    tail array<double> (P(grade >= k) for k = 1, 2, ...). A column named like
+    a result of this or of ``rated`` is returned as ``given_<name>``."""
     spark = docs.sparkSession
     small_batches(spark)
     # 2^bits weights and flags: a fixed 2.25 MB.
@@ -261,8 +263,8 @@ def score(docs: DataFrame, model, columns: list[str], text_col: str = "text", bi
                     [*part.columns[:-1], pa.array(sums), pa.array(tail.sum(axis=1)), pa.array(list(tail), pa.list_(pa.float64()))],
                     [*part.schema.names[:-1], "score", "expected_grade", "tail"])
 
-    given = docs.select(*columns, text_or_empty(text_col).alias("__text"))
-    return given.mapInArrow(run, fields(given, columns, "score double, expected_grade double, tail array<double>"))
+    given = docs.select(*asked_for(columns, RESULTS), text_or_empty(text_col).alias("__text"))
+    return given.mapInArrow(run, fields(given, given.columns[:-1], "score double, expected_grade double, tail array<double>"))
 
 
 def rated(docs: DataFrame, labels: DataFrame, columns: list[str], grade: int = GRADES - 1, least: float = 0.5, **kw) -> DataFrame:

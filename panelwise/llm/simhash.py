@@ -31,9 +31,9 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import batches_of, fields, ship, small_batches, table, text_or_empty, written
+from .common import asked_for, batches_of, fields, returned_as, ship, small_batches, table, text_or_empty, written
 from .graph import components
 
 ship(__name__)
@@ -178,26 +178,32 @@ def _blocks(bits: list[int], n: int) -> list[list[int]]:
     return out
 
 
-def _filed(entries: DataFrame, free: list[int], distance: int) -> tuple[DataFrame, list]:
-    """Entries (fp, key) filed under every pair of ``distance + 2`` blocks of
-    the free bits. Also the masks used, and the bits still free under each."""
+def _ways(free: list[int], distance: int) -> list[tuple[int, int, list[int]]]:
+    """(number, mask, bits still free) of every pair of ``distance + 2`` blocks of the free bits."""
     blocks = _blocks(free, distance + 2)
     ways = []
     for k, (a, b) in enumerate(combinations(range(len(blocks)), 2)):
         mask = sum(1 << i for i in blocks[a] + blocks[b])
         ways.append((k, mask, [i for c, bl in enumerate(blocks) if c not in (a, b) for i in bl]))
+    return ways
+
+
+def _keys(ways: list) -> Column:
     signed = lambda m: m - (1 << 64) if m >= 1 << 63 else m
-    keys = F.array(*[F.struct(F.lit(k).alias("way"), F.col("fp").bitwiseAND(F.lit(signed(m)).cast("long")).alias("part"))
+    return F.array(*[F.struct(F.lit(k).cast("long").alias("way"), F.col("fp").bitwiseAND(F.lit(signed(m)).cast("long")).alias("part"))
                      for k, m, _ in ways])
-    filed = (entries.withColumn("__k", F.explode(keys))
-             .select("fp", F.concat(F.col("key"), F.array(F.col("__k.way").cast("long"), F.col("__k.part"))).alias("key")))
-    return filed, ways
+
+
+def _filed(entries: DataFrame, keys: Column) -> DataFrame:
+    """Entries (fp, key) once under each of their further keys."""
+    return (entries.withColumn("__k", F.explode(keys))
+            .select("fp", F.concat(F.col("key"), F.array(F.col("__k.way"), F.col("__k.part"))).alias("key")))
 
 
 def fingerprint_links(entries: DataFrame, distance: int = DISTANCE, large: int = LARGE) -> DataFrame:
     """(a, b) links of distinct fingerprints (column fp) that connect exactly
     what ``distance`` or fewer differing bits connect."""
-    def forest(batches_key, tbl):
+    def forest(key, tbl):
         import numpy as np
         import pyarrow as pa
         fp = np.unique(tbl.column("fp").to_numpy().view(np.uint64))
@@ -205,25 +211,27 @@ def fingerprint_links(entries: DataFrame, distance: int = DISTANCE, large: int =
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
     start = entries.withColumn("key", F.array().cast("array<bigint>"))
-    filed, ways = _filed(start, list(range(64)), distance)
+    ways = _ways(list(range(64)), distance)
+    filed = _filed(start, _keys(ways))
     sizes = filed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     # Groups of one entry have no links and go; large groups are filed again.
     small = filed.join(sizes.where(F.col("n") <= large), "key").select("fp", "key")
     big = written(filed.join(sizes.where(F.col("n") > large), "key").select("fp", "key"), "large-groups")
-    out = small.groupBy("key").applyInArrow(forest, "a long, b long")
-    for k, _, free in ways:
-        again, _ = _filed(big.where(F.col("key")[0] == k), free, distance)
-        out = out.unionByName(again.groupBy("key").applyInArrow(forest, "a long, b long"))
-    return out
+    # One filing for the groups of all ways, each under its own free bits: one
+    # exchange and one plan whatever the number of ways.
+    own = F.coalesce(*[F.when(F.col("key")[0] == k, _keys(_ways(free, distance))) for k, _, free in ways])
+    return small.unionByName(_filed(big, own)).groupBy("key").applyInArrow(forest, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, columns: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text",
                     words: int = WORDS, distance: int = DISTANCE, with_root: bool = False) -> DataFrame:
     """One row per document: id, ``columns``, fp long and component_id, the
     smallest id that links reach; if asked for, also root: one number per
-    component, whatever its ids."""
-    columns = columns or []
-    marked = written(fingerprints(docs, [id_col, *columns], text_col, words), "simhash")  # texts only if asked for
+    component, whatever its ids. A column named like one of these is returned as ``given_<name>``."""
+    results = [id_col, "fp", "component_id", *["root"] * with_root]
+    names = returned_as(columns or [], results)
+    given = docs.select(id_col, *asked_for(columns or [], results), F.col(text_col).alias("__given_text"))
+    marked = written(fingerprints(given, [id_col, *names], "__given_text", words), "simhash")  # texts only if asked for
     entries = written(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-entries")
     roots = components(fingerprint_links(entries.select("fp"), distance))
     # Least id of each component, from one row per distinct fingerprint.

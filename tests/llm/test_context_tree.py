@@ -148,3 +148,13 @@ def test_contexts_of_six_bytes_are_learnt(spark):
     got = [r for r in ct.scores(make_docs(spark, texts), ["doc_id"]).collect() if r["held_out"]]
     # One free bit in eight bytes; a second one if the x or y is out of sight.
     assert got and all(r["bits_per_byte"] < 0.19 for r in got)
+
+
+def test_clashing_names(spark, docs):
+    from panelwise.llm import context_tree
+    given = docs.selectExpr("doc_id", "text", "'own' score", "1 n_bytes", "2 held_out")
+    out = context_tree.scores(given, ["doc_id", "score", "n_bytes", "held_out"])
+    assert out.columns[:4] == ["doc_id", "given_score", "given_n_bytes", "given_held_out"]
+    rows = out.collect()
+    assert len(rows) == docs.count() and all((r["given_score"], r["given_n_bytes"], r["given_held_out"]) == ("own", 1, 2) for r in rows)
+    assert all(r["score"] < 0 for r in rows)

@@ -105,3 +105,17 @@ def test_query_form(spark, no_docs):
     for r in rows:
         assert r["decoded"] == (texts[r["doc_id"]] or "").replace("▁", " ")
     assert pieces.encoded(no_docs, ["doc_id"]).count() == 0
+
+
+def test_clashing_names_and_very_long_texts(spark):
+    import sentencepiece
+    from panelwise.llm import pieces
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
+    texts = ["Ärger  of 日本 " * 40_000, "no_spaces" * 20_000, "b c"]
+    docs = spark.createDataFrame([(i, t, b"own", "end", 5) for i, t in enumerate(texts)], "doc_id long, text string, ids binary, ends string, decoded int")
+    rows = {r["doc_id"]: r for r in pieces.encoded(docs, ["doc_id", "ids", "ends", "decoded"]).collect()}
+    for i, t in enumerate(texts):
+        want = [sp.bos_id(), *sp.encode(t), sp.eos_id()]
+        assert np.frombuffer(rows[i]["ids"], "<u4").tolist() == want and rows[i]["decoded"] == sp.decode(want)
+        assert np.frombuffer(rows[i]["ends"], "<u4")[-1] == len(t.encode())
+        assert (bytes(rows[i]["given_ids"]), rows[i]["given_ends"], rows[i]["given_decoded"]) == (b"own", "end", 5)

@@ -94,3 +94,12 @@ def test_edges(spark, tables, no_docs):
     odd_texts = spark.createDataFrame([(i, t, "", "", 0, 1, 2, 3, 4) for i, t in enumerate([None, "", " \n", "x" * 100_000, "a"])], SCHEMA)
     out = quality.rated(odd_texts, labels, ["doc_id", "size"]).collect()
     assert len(out) == 5 and out[0]["score"] == out[1]["score"] == out[2]["score"]
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(i, f"good text {i} of words" if i % 2 else "bad bad x", 1, 2, 3) for i in range(40)],
+                                 "doc_id long, text string, score int, selected int, tail int")
+    weights = (np.zeros(1 << quality.BITS), np.array([0.0, 1.0]), np.zeros(1 << quality.BITS, dtype=bool))
+    out = quality.score(docs, weights, ["doc_id", "score", "selected", "tail"])
+    assert out.columns == ["doc_id", "given_score", "given_selected", "given_tail", "score", "expected_grade", "tail"]
+    assert out.where("given_score = 1 and given_selected = 2 and given_tail = 3 and score = 0").count() == 40

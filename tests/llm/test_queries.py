@@ -21,3 +21,17 @@ def test_sql_gives_the_same_rows(spark, name):
 
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
+
+
+def test_scratch_tables_are_cleared(spark, tmp_path):
+    import os
+    from panelwise import session
+    from panelwise.llm import common
+    made = common.written(spark.range(3), "to-clear")
+    path = session._SCRATCH[-1]
+    assert made.count() == 3 and "to-clear" in path
+    local = path.split(":", 1)[-1]
+    assert os.path.exists(local)
+    session._SCRATCH[:], kept = [path], session._SCRATCH[:-1]  # tables of other tests stay
+    assert session.clear_scratch(spark) == 1 and not os.path.exists(local)
+    session._SCRATCH[:] = kept

@@ -83,3 +83,19 @@ def test_repeated_and_null_ids(spark):
     assert sorted((r["doc_id"] or -1, r["component_id"]) for r in rows) == [(-1, None), (2, 2), (5, 5), (5, 5), (9, 2)]
     kept = simhash.first_of_id(docs, ["doc_id", "text", "fp"])
     assert kept.count() == 4
+
+
+def test_clashing_names_and_very_long_texts(spark):
+    long = " ".join(f"w{i * i % 9973}" for i in range(200_000))
+    docs = make_docs(spark, ["a b c d", long, "x y z", long + " end"]).selectExpr("*", "7 component_id", "8 root", "9 node", "10 least", "text k")
+    rows = simhash.near_duplicates(docs, ["fp", "component_id", "root", "node", "least", "doc_id"], with_root=True).collect()
+    assert {(r["given_fp"], r["given_component_id"], r["given_root"], r["node"], r["least"]) for r in rows} == {(3, 7, 8, 9, 10)}
+    assert all(r["given_doc_id"] == r["doc_id"] for r in rows) and len({r["root"] for r in rows}) == 3
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {0: 0, 1: 1, 2: 2, 3: 1}
+    assert {r["doc_id"]: r["fp"] & (2 ** 64 - 1) for r in rows}[1] == fingerprint(long)
+
+
+def test_groups_are_filed_again_in_one_plan(spark, capsys):
+    entries = spark.createDataFrame([(i,) for i in range(40)], "fp long")
+    simhash.fingerprint_links(entries, large=3).explain()
+    assert capsys.readouterr().out.count("FlatMapGroupsInArrow") == 1
