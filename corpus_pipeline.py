@@ -7,12 +7,10 @@ table and returns the columns of ``documents``; the last one returns ids.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelwise.llm import common, mixing, pieces, quality, simhash, suffixes
-from panelwise.session import ensure_checkpoint_dir
+from panelwise.session import scratch_path
 
 REST = "__rest"
 
@@ -84,7 +82,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
-    folder = f"{ensure_checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "corpus")
     for k, (_, stage) in enumerate(STAGES):
         made = stage(spark, docs, sf_dir)
         made.write.parquet(f"{folder}/{k}")
