@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import (beta_grad, beta_hess, clip, cross_entropy, cross_entropy_grad, cross_entropy_hess,
                          logistic_grad, logistic_hess, sigmoid)
 from ..spec import col
+from .ranges import Key
 from .scan import ordered_scan
 
 # fixed values of the metric: label weights 20 (negative) / 1 (positive), top share 0.04
@@ -29,11 +30,11 @@ NEG_WEIGHT = 20.0
 TOP_SHARE = 0.04
 
 
-def best_first(score: Column, tiebreak: list[str]) -> list[Column]:
+def best_first(score: Column, tiebreak: list[str]) -> list[Key]:
     """Descending by ``score``, ties by ``tiebreak``."""
     if not tiebreak:
         raise ValueError("rows with equal scores need a tie-break column")
-    return [score.desc(), *[col(t).asc() for t in tiebreak]]
+    return [Key(score, descending=True), *[Key(col(t)) for t in tiebreak]]
 
 
 def ranking_metric_table(df: DataFrame, prediction: str, label: str, tiebreak: list[str],

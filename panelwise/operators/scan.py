@@ -4,7 +4,16 @@ global order, optionally restarting at every value of a segment column.
 A plain ``Window.orderBy(...)`` without ``partitionBy`` moves every row to one
 task, and ``Window.partitionBy(key)`` puts a whole key in one task, which is a
 straggler when one key holds a large share of the rows. The scan here is a
-two-pass prefix computation instead:
+two-pass prefix computation instead, in one of two forms.
+
+**Ranges** (rows of files changed one by one, ``ranges.recomputable``, and keys
+whose direction is known: names and ``Key``): bounds from a small sample become
+constants of the plan; a map-side combined aggregate of the narrow columns gives
+every range's totals, and one window a range gives the running values. Rows are
+shuffled once, all in the JVM; nothing is written, and columns that only pass
+through are read once, by the last step.
+
+**Arrow pass** (all other inputs, which have to be fixed first):
 
 1. ``repartitionByRange`` on (segment, order): the sampled range bounds split
    a hot segment over many partitions; each partition is sorted locally.
@@ -13,9 +22,10 @@ two-pass prefix computation instead:
 3. The result is written as a Parquet table under the reliable checkpoint
    directory (``materialize``), so the partition ids and local values are
    fixed even if executors are lost.
-4. One row per partition (its last row) is brought to the driver - at most
-   ``num_partitions`` rows - and turned into carry-in values.
-5. The carries are broadcast (bounded by the partition count) and added.
+
+In both, one row per range or partition (its last row) is brought to the driver
+and turned into carry-in values, which are broadcast (bounded by the count of
+ranges) and added.
 """
 
 from __future__ import annotations
@@ -31,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
+from .ranges import Key, as_keys, as_struct, comparable, range_of, recomputable
 
 # The per-partition Arrow function is shipped by value, so executors need
 # only numpy/pandas/pyarrow, not this package on their Python path.
@@ -68,9 +79,56 @@ def _window_scan(df, order, segment, sums, count, lags) -> DataFrame:
 
 
 def _as_sort(c) -> Column:
+    if isinstance(c, Key):
+        return c.sort()
     return F.col(c).asc() if isinstance(c, str) else c
 
 
+def _range_scan(work: DataFrame, order: list, segment: str | None, sum_names: list[str], lag_src: list[str],
+                index: bool, n: int | None) -> tuple[DataFrame, list] | None:
+    """Range-local running values and the last row of every range, as the
+    Arrow pass gives them; None if a key does not compare as a constant."""
+    keys = as_keys(([Key(F.col(segment))] if segment else []) + list(order))
+    fields = comparable(work, keys) if keys else None
+    if fields is None:
+        return None
+    dealt = work.withColumn(_P + "pid", range_of(work, fields, n))
+    by = [_P + "pid", *([segment] if segment else [])]
+    sort = [k.sort() for k in keys]
+    w = Window.partitionBy(*[F.col(c) for c in by]).orderBy(*sort[1 if segment else 0:])
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    outs = {_P + "cnt": F.row_number().over(w).cast("long"), _P + "first": F.lit(True)}
+    if index:
+        outs[_P + "pos"] = F.row_number().over(Window.partitionBy(F.col(_P + "pid")).orderBy(*sort)).cast("long") - 1
+    for i, c in enumerate(sum_names):
+        outs[_P + "sum" + str(i)] = F.sum(F.coalesce(F.col(c), F.lit(0.0))).over(run)
+    for j, c in enumerate(lag_src):
+        outs[_P + "lag" + str(j)] = F.lag(F.col(c)).over(w)
+
+    # totals per range: rows, and of its last segment the rows, sums and last values
+    totals = [F.count(F.lit(1)).alias(_P + "cnt")]
+    totals += [F.sum(F.coalesce(F.col(c), F.lit(0.0))).alias(_P + "sum" + str(i)) for i, c in enumerate(sum_names)]
+    if lag_src:
+        values = F.struct(*[F.col(c).alias(f"c{j}") for j, c in enumerate(lag_src)])
+        totals.append(F.max_by(values, as_struct(fields)).alias(_P + "lags"))
+    tails = dealt.groupBy(*[F.col(c) for c in by]).agg(*totals)
+    if segment:
+        tails = tails.withColumn(_P + "key", as_struct(comparable(tails, keys[:1])))
+        last = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(tails.columns[1:-1])])
+        names = tails.columns[1:-1]
+        tails = tails.groupBy(_P + "pid").agg(F.max_by(last, F.col(_P + "key")).alias("v"), F.count(F.lit(1)).alias("n"),
+                                              F.sum(_P + "cnt").alias("rows"))
+        tails = tails.select(_P + "pid", *[F.col("v")[f"c{i}"].alias(c) for i, c in enumerate(names)],
+                             (F.col("n") == 1).alias(_P + "first"), (F.col("rows") - 1).alias(_P + "pos"))
+    else:
+        tails = tails.withColumns({_P + "first": F.lit(True), _P + "pos": F.col(_P + "cnt") - 1})
+    got = []
+    for r in sorted((r.asDict(recursive=False) for r in tails.collect()), key=lambda r: r[_P + "pid"]):
+        r[_P + "last"] = list(r[_P + "lags"]) if lag_src else []
+        got.append(r)
+    return dealt.withColumns(outs), got
+
+
 def materialize(df: DataFrame, name: str = "scan") -> DataFrame:
     """Cut the lineage: write ``df`` as a Parquet table in a fresh folder
     under the session's reliable checkpoint directory and read it back
@@ -196,6 +254,33 @@ def _emit(rb, cols, last):
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+def _arrow_scan(work: DataFrame, sort_keys: list[Column], segment: str | None, sum_names: list[str],
+                lag_src: list[str], num_partitions: int | None) -> tuple[DataFrame, list]:
+    """Partition-local running values as a written table, and its last rows."""
+    # without an explicit count AQE may coalesce the range partitions; it
+    # merges neighbours only, so partition ids stay in range order
+    ranged = (work.repartitionByRange(*([num_partitions] if num_partitions else []), *sort_keys)
+              .sortWithinPartitions(*sort_keys)
+              .withColumn(_P + "pid", F.spark_partition_id()))
+    fields = list(ranged.schema.fields)
+    fields += [T.StructField(_P + "pos", T.LongType()), T.StructField(_P + "first", T.BooleanType()),
+               T.StructField(_P + "cnt", T.LongType())]
+    fields += [T.StructField(_P + "sum" + str(i), T.DoubleType()) for i in range(len(sum_names))]
+    src_types = {f.name: f.dataType for f in ranged.schema.fields}
+    fields += [T.StructField(_P + "lag" + str(j), src_types[c]) for j, c in enumerate(lag_src)]
+    fields += [T.StructField(_P + "last", T.BooleanType())]
+    local = ranged.mapInArrow(_local_scan(segment, sum_names, lag_src), T.StructType(fields))
+    local = materialize(local)
+
+    # one row per non-empty partition: its last row
+    keep = [_P + "pid", _P + "first", _P + "cnt", _P + "pos"] + [_P + "sum" + str(i) for i in range(len(sum_names))]
+    keep += dict.fromkeys(([segment] if segment else []) + lag_src)
+    tails = []
+    for r in sorted(local.filter(F.col(_P + "last")).select(*keep).collect(), key=lambda r: r[0]):
+        tails.append({**r.asDict(recursive=False), _P + "last": [r[c] for c in lag_src]})
+    return local, tails
+
+
 def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
                  sums: Mapping[str, Column] | None = None,
                  count: str | None = None,
@@ -222,13 +307,14 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
     strategy  ``auto``: with a segment, one aggregate job measures the
            largest segment; when it is at most ``window_max_rows`` rows an
            ordinary per-segment window is used (every group fits a task),
-           otherwise the range-partitioned scan. ``scan``/``window`` force one.
+           otherwise the range-partitioned scan, by ranges where the input allows
+           it. ``ranges``/``scan`` (the Arrow pass)/``window`` force one.
     largest  rows of the largest segment, if the caller has measured it
     """
     spark = df.sparkSession
     sums = dict(sums or {})
     lags = dict(lags or {})
-    if segment is not None and index is None and strategy != "scan":
+    if segment is not None and index is None and strategy not in ("scan", "ranges"):
         largest, rows = (largest, None) if largest is not None and totals is None else largest_segment(df, segment)
         if strategy == "window" or largest <= window_max_rows:
             if totals is not None:
@@ -239,34 +325,21 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
     sum_names = [_P + "in" + str(i) for i in range(len(sums))]
     work = df.withColumns({nm: e.cast("double") for nm, e in zip(sum_names, sums.values())}) if sums else df
     sort_keys = ([F.col(segment).asc()] if segment else []) + [_as_sort(o) for o in order]
-    # without an explicit count AQE may coalesce the range partitions; it
-    # merges neighbours only, so partition ids stay in range order
-    ranged = (work.repartitionByRange(*([num_partitions] if num_partitions else []), *sort_keys)
-              .sortWithinPartitions(*sort_keys)
-              .withColumn(_P + "pid", F.spark_partition_id()))
-
     lag_src = list(lags.values())
-    fields = list(ranged.schema.fields)
-    fields += [T.StructField(_P + "pos", T.LongType()), T.StructField(_P + "first", T.BooleanType()),
-               T.StructField(_P + "cnt", T.LongType())]
-    fields += [T.StructField(_P + "sum" + str(i), T.DoubleType()) for i in range(len(sums))]
-    src_types = {f.name: f.dataType for f in ranged.schema.fields}
-    fields += [T.StructField(_P + "lag" + str(j), src_types[c]) for j, c in enumerate(lag_src)]
-    fields += [T.StructField(_P + "last", T.BooleanType())]
-    local = ranged.mapInArrow(_local_scan(segment, sum_names, lag_src), T.StructType(fields))
-    local = materialize(local)
-
-    # one row per non-empty partition: its last row
-    keep = [_P + "pid", _P + "first", _P + "cnt", _P + "pos"] + [_P + "sum" + str(i) for i in range(len(sums))]
-    keep += ([segment] if segment else []) + lag_src
-    tails = sorted(local.filter(F.col(_P + "last")).select(*keep).collect(), key=lambda r: r[0])
+    src_types = {f.name: f.dataType for f in work.schema.fields}
+    ranged = None
+    if strategy == "ranges" or (strategy == "auto" and recomputable(df)):
+        ranged = _range_scan(work, order, segment, sum_names, lag_src, index is not None, num_partitions)
+        if ranged is None and strategy == "ranges":
+            raise ValueError("ranges need names or keys of plain types as the order")
+    local, tails = ranged or _arrow_scan(work, sort_keys, segment, sum_names, lag_src, num_partitions)
 
     carry_rows = []
     c_seg, c_cnt, c_sums, c_last, have = None, 0, [0.0] * len(sums), [None] * len(lag_src), False
     c_rows = 0
     for r in tails:
         if have:
-            carry_rows.append((r[0], c_rows, c_seg, c_cnt, *c_sums, *c_last))
+            carry_rows.append((r[_P + "pid"], c_rows, c_seg, c_cnt, *c_sums, *c_last))
         c_rows += int(r[_P + "pos"]) + 1
         seg_val = r[segment] if segment else None
         single = bool(r[_P + "first"])
@@ -277,7 +350,7 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
             c_cnt = int(r[_P + "cnt"])
             c_sums = [float(r[_P + "sum" + str(i)]) for i in range(len(sums))]
         c_seg = seg_val
-        c_last = [r[c] for c in lag_src]
+        c_last = r[_P + "last"]
         have = True
 
     if totals is not None:
@@ -306,7 +379,7 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
     for i, nm in enumerate(sums):
         outs[nm] = F.col(_P + "sum" + str(i)) + F.when(cont, F.col(_P + "csum" + str(i))).otherwise(F.lit(0.0))
     for j, nm in enumerate(lags):
-        outs[nm] = F.when(cont & (F.col(_P + "pos") == 0), F.col(_P + "clag" + str(j))) \
+        outs[nm] = F.when(cont & (F.col(_P + "cnt") == 1), F.col(_P + "clag" + str(j))) \
                     .otherwise(F.col(_P + "lag" + str(j)))
     result = joined.withColumns(outs)
     return result.drop(*[c for c in result.columns if c.startswith(_P)])

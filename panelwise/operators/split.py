@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import col
+from .ranges import Key
 from .scan import ordered_scan
 
 
@@ -42,7 +43,7 @@ def split_labels(df: DataFrame, train_fraction: float = 0.75, order: Column | No
     tb = tiebreak or df.columns
     key = order if order is not None else permutation_key(tb, seed)
     tot: dict = {}
-    scanned = ordered_scan(df.withColumn("__perm", key), [F.col("__perm")] + [col(c) for c in tb],
+    scanned = ordered_scan(df.withColumn("__perm", key), [Key(F.col("__perm")), *[Key(col(c)) for c in tb]],
                            count="__pos", totals=tot)
     cut = int(train_fraction * tot["rows"])
     return scanned.withColumn(name, F.col("__pos") <= F.lit(cut)).drop("__perm", "__pos")
@@ -53,7 +54,7 @@ def key_starts(df: DataFrame, key: str, totals: dict | None = None) -> DataFrame
     inclusive) of the key in a table sorted by key. ``totals["__cum"]``
     receives the table's row count."""
     counts = df.groupBy(col(key)).agg(F.count(F.lit(1)).alias("__cnt"))
-    scanned = ordered_scan(counts, [col(key)], sums={"__cum": F.col("__cnt")}, totals=totals)
+    scanned = ordered_scan(counts, [Key(col(key))], sums={"__cum": F.col("__cnt")}, totals=totals)
     cum = F.col("__cum").cast("long")
     return scanned.select(col(key), F.col("__cnt").alias("count"),
                           (cum - F.col("__cnt")).alias("start"), (cum - F.lit(1)).alias("end"))
@@ -161,7 +162,7 @@ def stratified_folds(df: DataFrame, label: str, order: list[str], k: int = 5, na
     classes = df.groupBy(col(label).alias("__label")).agg(F.count(F.lit(1)).alias("__N"), F.min(first).alias("__first"))
     classes = ordered_scan(classes, [F.col("__first")], sums={"__end": F.col("__N")})
     classes = classes.select("__label", (F.col("__end").cast("long") - F.col("__N")).alias("__S"), "__N")
-    scanned = ordered_scan(df, [col(o) for o in order], segment=label, count="__r")
+    scanned = ordered_scan(df, [Key(col(o)) for o in order], segment=label, count="__r")
     scanned = scanned.join(classes, col(label).eqNullSafe(F.col("__label")), "left")
     r0 = F.col("__r") - F.lit(1)
 
