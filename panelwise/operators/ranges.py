@@ -9,7 +9,6 @@ aggregate and a wide projection agree on it without a table between them.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +17,7 @@ from pyspark.sql import types as T
 
 # rows that are not worth splitting, and sampled rows for a range (at most
 # some 20 times the shuffle partitions reach the driver)
-ROWS_PER_RANGE = 10_000
+ROWS_PER_RANGE = 100_000
 SAMPLES_PER_RANGE = 20
 
 
@@ -40,7 +39,7 @@ def as_keys(order: list) -> list[Key] | None:
 
 
 def _fields(c: Column, kind: T.DataType, descending: bool) -> list[tuple[Column, T.DataType]] | None:
-    """(flag, value) that compare ascending as the key sorts; None if its type has no such form."""
+    """(flag, value), never NULL, that compare ascending as the key sorts; None if its type has no such form."""
     if kind == T.TimestampType():
         c, kind = F.unix_micros(c), T.LongType()
     elif kind == T.DateType():
@@ -50,7 +49,7 @@ def _fields(c: Column, kind: T.DataType, descending: bool) -> list[tuple[Column,
     if not descending:
         if not (whole or real or isinstance(kind, (T.DecimalType, T.BooleanType, T.TimestampNTZType)) or kind == T.StringType()):
             return None
-        return [(F.when(c.isNull(), F.lit(0)).otherwise(F.lit(1)), T.IntegerType()), (c, kind)]
+        return [(F.when(c.isNull(), F.lit(0)).otherwise(F.lit(1)), T.IntegerType()), (_filled(c, kind), kind)]
     flag = F.when(c.isNull(), F.lit(2)).otherwise(F.lit(1))
     if whole:
         c = F.bitwise_not(c)  # the negative would overflow at the least number
@@ -63,7 +62,12 @@ def _fields(c: Column, kind: T.DataType, descending: bool) -> list[tuple[Column,
         c = ~c
     else:
         return None
-    return [(flag, T.IntegerType()), (c, kind)]
+    return [(flag, T.IntegerType()), (_filled(c, kind), kind)]
+
+
+def _filled(c: Column, kind: T.DataType) -> Column:
+    some = "" if kind == T.StringType() else "1970-01-01" if isinstance(kind, T.TimestampNTZType) else "0"
+    return F.coalesce(c, F.lit(some).cast(kind))
 
 
 def comparable(df: DataFrame, keys: list[Key]) -> list[tuple[Column, T.DataType]] | None:
@@ -78,39 +82,53 @@ def as_struct(fields: list[tuple[Column, T.DataType]]) -> Column:
     return F.struct(*[c.cast(kind).alias(f"f{i}") for i, (c, kind) in enumerate(fields)])
 
 
-def range_of(df: DataFrame, fields: list[tuple[Column, T.DataType]], n: int | None = None) -> Column:
-    """The number of a row's range (0-based, ascending in the order of ``fields``).
-    Rows with equal fields share a range. Without ``n`` there are twice as many
-    ranges as shuffle partitions, fewer if they would hold under
-    ``ROWS_PER_RANGE`` rows."""
-    spark = df.sparkSession
+def deal(df: DataFrame, fields: list[tuple[Column, T.DataType]], name: str, n: int | None = None) -> tuple[DataFrame, int]:
+    """(df with ``name``, count of ranges): adds the number of a row's range (0-based, ascending in the order of
+    ``fields``); rows with equal fields share a range. Without ``n`` there are
+    twice as many ranges as shuffle partitions, fewer if they would hold under
+    ``ROWS_PER_RANGE`` rows.
+
+    A row finds its range by halving among the bounds, one projection a step,
+    so the work per row grows with the logarithm of their count. Only as many
+    leading fields are compared as tell the bounds apart: a value that fills
+    several ranges is cut by the fields behind it."""
+    bounds, m = _bounds(df, fields, n)
+    if not bounds:
+        return df.withColumn(name, F.lit(0)), 1
+    row, held = name + "_row", F.expr("array(" + ", ".join(_constant(b, fields) for b in bounds) + ")")
+    out = df.withColumns({row: as_struct(fields[:m]), name: F.lit(0)})
+    step = 1 << (len(bounds).bit_length() - 1)
+    while step:
+        at = F.col(name) + F.lit(step - 1)
+        passed = F.coalesce(F.get(held, at) <= F.col(row), F.lit(False))  # no bound there: not passed
+        out = out.withColumn(name, F.when(passed, F.col(name) + F.lit(step)).otherwise(F.col(name)))
+        step //= 2
+    return out.drop(row), len(bounds) + 1
+
+
+def _constant(bound: tuple, fields: list[tuple[Column, T.DataType]]) -> str:
+    """A bound as SQL; in hex, so that no text needs quoting. (One expression
+    of text plans faster than some calls to the JVM for every value.)"""
+    return "named_struct(" + ", ".join(f"'f{i}', CAST(decode(unhex('{v.encode().hex()}'), 'UTF-8') AS {kind.simpleString()})"
+                                       for i, (v, (_, kind)) in enumerate(zip(bound, fields))) + ")"
+
+
+def _bounds(df: DataFrame, fields: list[tuple[Column, T.DataType]], n: int | None) -> tuple[list[tuple], int]:
+    """Ascending bounds between ranges as texts, and how many leading fields they need."""
     narrow = df.select(*[c.cast(kind).alias(f"f{i}") for i, (c, kind) in enumerate(fields)])
     rows = narrow.count()
     if n is None:
-        n = min(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_RANGE))
+        n = min(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_RANGE))
     if n <= 1 or rows <= 1:
-        return F.lit(0)
+        return [], 0
     if rows > 2 * SAMPLES_PER_RANGE * n:
         narrow = narrow.sample(SAMPLES_PER_RANGE * n / rows, seed=1)
-    # text of a value gives the same value back, floating or not
+    # the text of a value gives the same value back, floating or not
     sample = [tuple(r) for r in narrow.repartition(1).sortWithinPartitions(*narrow.columns)
               .select(*[F.col(c).cast("string") for c in narrow.columns]).collect()]
-    picked = dict.fromkeys(sample[i * len(sample) // n] for i in range(1, n)) if sample else {}
-    bounds = [as_struct([(F.lit(v), kind) for v, (_, kind) in zip(b, fields)]) for b in picked]
-    if not bounds:
-        return F.lit(0)
-    row = as_struct(fields)
-
-    def passed(some: Column) -> Column:
-        return F.size(F.filter(some, lambda b: b <= row))
-
-    if len(bounds) <= 32:
-        return passed(F.array(*bounds))
-    # many bounds: first the group of bounds, then the bounds of that group
-    w = math.isqrt(len(bounds))
-    groups = F.array(*[F.array(*bounds[i:i + w]) for i in range(0, len(bounds), w)])
-    at = passed(F.array(*bounds[::w]))
-    return F.when(at == 0, F.lit(0)).otherwise((at - 1) * F.lit(w) + passed(F.get(groups, at - 1)))
+    picked = list(dict.fromkeys(sample[i * len(sample) // n] for i in range(1, n))) if sample else []
+    m = next((m for m in range(2, len(fields), 2) if len({b[:m] for b in picked}) == len(picked)), len(fields))
+    return [b[:m] for b in picked], m
 
 
 # operators that give a row for a row, or drop it, by the row's own values

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
-from .ranges import Key, as_keys, as_struct, comparable, range_of, recomputable
+from .ranges import Key, as_keys, as_struct, comparable, deal, recomputable
 
 # The per-partition Arrow function is shipped by value, so executors need
 # only numpy/pandas/pyarrow, not this package on their Python path.
@@ -85,14 +85,14 @@ def _as_sort(c) -> Column:
 
 
 def _range_scan(work: DataFrame, order: list, segment: str | None, sum_names: list[str], lag_src: list[str],
-                index: bool, n: int | None) -> tuple[DataFrame, list] | None:
+                index: bool, totals_asked: bool, n: int | None) -> tuple[DataFrame, list] | None:
     """Range-local running values and the last row of every range, as the
     Arrow pass gives them; None if a key does not compare as a constant."""
     keys = as_keys(([Key(F.col(segment))] if segment else []) + list(order))
     fields = comparable(work, keys) if keys else None
     if fields is None:
         return None
-    dealt = work.withColumn(_P + "pid", range_of(work, fields, n))
+    dealt, ranges = deal(work, fields, _P + "pid", n)
     by = [_P + "pid", *([segment] if segment else [])]
     sort = [k.sort() for k in keys]
     w = Window.partitionBy(*[F.col(c) for c in by]).orderBy(*sort[1 if segment else 0:])
@@ -105,6 +105,8 @@ def _range_scan(work: DataFrame, order: list, segment: str | None, sum_names: li
     for j, c in enumerate(lag_src):
         outs[_P + "lag" + str(j)] = F.lag(F.col(c)).over(w)
 
+    if ranges == 1 and not totals_asked:
+        return dealt.withColumns(outs), []  # nothing to carry
     # totals per range: rows, and of its last segment the rows, sums and last values
     totals = [F.count(F.lit(1)).alias(_P + "cnt")]
     totals += [F.sum(F.coalesce(F.col(c), F.lit(0.0))).alias(_P + "sum" + str(i)) for i, c in enumerate(sum_names)]
@@ -329,7 +331,7 @@ def ordered_scan(df: DataFrame, order: list, *, segment: str | None = None,
     src_types = {f.name: f.dataType for f in work.schema.fields}
     ranged = None
     if strategy == "ranges" or (strategy == "auto" and recomputable(df)):
-        ranged = _range_scan(work, order, segment, sum_names, lag_src, index is not None, num_partitions)
+        ranged = _range_scan(work, order, segment, sum_names, lag_src, index is not None, totals is not None, num_partitions)
         if ranged is None and strategy == "ranges":
             raise ValueError("ranges need names or keys of plain types as the order")
     local, tails = ranged or _arrow_scan(work, sort_keys, segment, sum_names, lag_src, num_partitions)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwise import session
-from panelwise.operators.ranges import Key, as_struct, comparable, range_of, recomputable
+from panelwise.operators.ranges import Key, as_struct, comparable, deal, recomputable
 from panelwise.operators.scan import ordered_scan
 from conftest import SF_SMALL
 
@@ -79,7 +79,7 @@ def test_ranges_follow_the_order_of_every_type(spark, kind, down):
     if fields is None:
         assert down and kind in ("string", "timestamp_ntz")
         return
-    got = [(r.x, r.p) for r in df.withColumn("p", range_of(df, fields, 50)).orderBy(key.sort()).collect()]
+    got = [(r.x, r.p) for r in deal(df, fields, "p", 50)[0].orderBy(key.sort()).collect()]
     places = [p for _, p in got]
     assert places == sorted(places) and places[0] != places[-1]
     by_value = {}
@@ -114,8 +114,7 @@ def test_hot_segment_and_empty_table(spark):
     df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
                                F.col("id").alias("t"), F.lit(1.0).alias("v"))
     keys = [Key(F.col("k")), Key(F.col("t"))]
-    place = range_of(df, comparable(df, keys), 30)
-    sizes = df.withColumn("p", place).groupBy("p").count().collect()
+    sizes = deal(df, comparable(df, keys), "p", 30)[0].groupBy("p").count().collect()
     assert len(sizes) > 20 and max(r["count"] for r in sizes) < 4 * n / 30
     hot = ordered_scan(df, ["t"], segment="k", sums={"cv": F.col("v")}, count="n", window_max_rows=n // 10, num_partitions=30).where("k = -1")
     assert sorted((r.n, r.cv) for r in hot.select("n", "cv").collect()) == [(i, float(i)) for i in range(1, n // 3 + 1)]
