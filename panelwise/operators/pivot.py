@@ -58,17 +58,15 @@ def pivot_to_array(df: DataFrame, key: str, rank: str = RANK_COLUMN, periods: in
     wide panels: element ``v * periods + (r - 1)`` is value column ``v`` at
     rank ``r`` (the same column-major order as the wide form; the names are
     returned). One bounded per-key aggregate (at most ``periods`` rows per
-    key) replaces ``periods x len(values)`` pivot aggregates."""
+    key) replaces ``periods x len(values)`` pivot aggregates. Each period's
+    values leave the key's map once, as a column that the elements are then taken from."""
     if values is None:
         values = [c for c in df.columns if c not in (key, rank)]
     vals = F.array(*[col(c).cast("float") for c in values])
     in_range = col(rank).between(1, periods)
-    g = df.groupBy(col(key)).agg(F.map_from_entries(F.collect_list(
-        F.when(in_range, F.struct(col(rank), vals)))).alias("__m"))
-    m = F.col("__m")
-    flat = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.lit(len(values))),
-        lambda v: F.transform(F.sequence(F.lit(1), F.lit(periods)),
-                              lambda r: F.try_element_at(F.try_element_at(m, r), v))))
+    per_key = df.groupBy(col(key)).agg(F.map_from_entries(F.collect_list(
+        F.when(in_range, F.struct(col(rank), vals)))).alias("__periods"))
+    apart = per_key.selectExpr(q(key), *[f"try_element_at(__periods, {r}) AS __p{r}" for r in range(1, periods + 1)])
+    flat = ", ".join(f"__p{r}[{v}]" for v in range(len(values)) for r in range(1, periods + 1))
     names = [f"{c}_{r}" for c in values for r in range(1, periods + 1)]
-    return g.select(col(key), flat.alias(name)), names
+    return apart.selectExpr(q(key), f"array({flat}) AS {q(name)}"), names

@@ -15,12 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import col
-from .ranges import Key
+from .ranges import ROWS_PER_RANGE, Key
 from .scan import ordered_scan
 
 
 # keys that one look-up of chunk boundaries brings to the driver at most
 KEYS_AT_ONCE = 1_000_000
+# rows of a class that one task may take: classes are few and their rows wide
+CLASS_ROWS = ROWS_PER_RANGE
 
 
 def permutation_key(columns: list[str], seed: int = 1) -> Column:
@@ -162,7 +164,7 @@ def stratified_folds(df: DataFrame, label: str, order: list[str], k: int = 5, na
     classes = df.groupBy(col(label).alias("__label")).agg(F.count(F.lit(1)).alias("__N"), F.min(first).alias("__first"))
     classes = ordered_scan(classes, [F.col("__first")], sums={"__end": F.col("__N")})
     classes = classes.select("__label", (F.col("__end").cast("long") - F.col("__N")).alias("__S"), "__N")
-    scanned = ordered_scan(df, [Key(col(o)) for o in order], segment=label, count="__r")
+    scanned = ordered_scan(df, [Key(col(o)) for o in order], segment=label, count="__r", window_max_rows=CLASS_ROWS)
     scanned = scanned.join(classes, col(label).eqNullSafe(F.col("__label")), "left")
     r0 = F.col("__r") - F.lit(1)
 

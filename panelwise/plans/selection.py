@@ -9,7 +9,9 @@ aggregated by Spark instead of being walked on the driver.
 
 Rows are prepared once (``prepare``): folds, label and one vector with nominal
 and missing values (``training``), from named columns or the array form of the
-feature build. Selection rounds slice that vector.
+feature build. The input is computed once and written; everything else reads
+that. Selection rounds slice the vector, and a slice is written as well: every
+fold's fit reads its rows several times.
 
 Driver work is the loop over folds and selection rounds only.
 """
@@ -101,11 +103,15 @@ def prepare(df: DataFrame, features: list[str] | str, label: str, order: list[st
     column names, or the name of an array column (``build_features`` with
     ``as_array=True``). ``nominal``: feature -> number of codes
     (``training.nominal_sizes``); all others are numbers."""
-    spec = vector_spec(df, features, nominal)
+    array = isinstance(features, str)
     named = df.select(*[col(o).alias(f"__o{i}") for i, o in enumerate(order)], col(label).cast("double").alias("__y"),
-                      *[col(c) for c in ([spec.source] if isinstance(spec.source, str) else spec.source)])
+                      *[col(c) for c in ([features] if array else dict.fromkeys(features))])
+    rows = materialize(named, "rows")  # read for the missing values, the classes and the folds
+    if array:
+        rows = rows.withMetadata(features, df.schema[features].metadata or {})
+    spec = vector_spec(rows, features, nominal)
     places = [f"__o{i}" for i in range(len(order))]
-    folded = stratified_folds(named, "__y", places, k=folds, name="__fold")
+    folded = stratified_folds(rows, "__y", places, k=folds, name="__fold")
     data = materialize(spec.apply(folded, "__vector").select("__fold", F.col("__y").alias("__label"), "__vector", *places), "training")
     return Prepared(data.withMetadata("__vector", spec.metadata()), spec, places, folds)
 
@@ -140,7 +146,9 @@ def cross_validate_prepared(prepared: Prepared, columns: list[str] | None = None
     vector, slots = "__vector", spec.slots
     if columns is not None and set(columns) != set(spec.features):
         places = spec.positions(columns)
-        data, vector, slots = sliced(data, "__vector", places, "__slice"), "__slice", [slots[i] for i in places]
+        part = sliced(data, "__vector", places, "__slice").drop("__vector")
+        data = materialize(part, "slice").withMetadata("__slice", part.schema["__slice"].metadata)
+        vector, slots = "__slice", [slots[i] for i in places]
     patience = early_stopping if not isinstance(early_stopping, bool) else None
 
     def fit(k: int):

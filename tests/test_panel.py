@@ -264,3 +264,17 @@ def test_source_is_read_twice(spark, tmp_path):
     out = build_features(df.mapInArrow(seen, df.schema), SPEC, balance=(), payment=(), drop_key=False)
     out.write.format("noop").mode("overwrite").save()
     assert n.value == 2 * rows
+
+
+def test_array_pivot_builds_a_key_s_map_once(spark):
+    from panelwise.operators.pivot import pivot_to_array
+    rows = [(1, 1, 1.0, 5), (1, 3, 2.0, None), (2, 2, None, 7), (None, 1, 4.0, 8), (2, 9, 6.0, 6)]
+    df = spark.createDataFrame(rows, "k long, rank int, a double, b int")
+    arr, names = pivot_to_array(df, "k", "rank", 3, ["a", "b"])
+    assert names == ["a_1", "a_2", "a_3", "b_1", "b_2", "b_3"]
+    got = {r["k"]: list(r["features"]) for r in arr.collect()}
+    assert got == {1: [1.0, None, 2.0, 5.0, None, None], 2: [None, None, None, None, 7.0, None],
+                   None: [4.0, None, None, 8.0, None, None]}
+    plan = arr._jdf.queryExecution().optimizedPlan().toString()
+    # inside a lambda the map would be built anew for every element
+    assert not any("lambdafunction" in x and "map_from_entries" in x for x in plan.splitlines())

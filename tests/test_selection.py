@@ -61,3 +61,21 @@ def test_feature_elimination_writes_reports(spark, tmp_path):
     assert best is not None and best > 0.5
     assert (tmp_path / "feature_importance_00").exists() and (tmp_path / "feature_importance_01").exists()
     assert ranking.first()["columns"] == "x1"
+
+
+def test_input_is_computed_once_and_fits_read_a_narrow_slice(spark):
+    from panelwise.plans.selection import cross_validate_prepared, prepare
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(*x):
+        seen.add(1)
+        return [float("nan") if v is None else v for v in x]
+
+    data = _data(spark).withColumn("x2", F.when(F.col("id") % 7 > 0, F.col("x2")))
+    data = data.select("id", "y", F.udf(counted, "array<double>")("x1", "x2", "x3").alias("v")).withMetadata("v", {"names": ["x1", "x2", "x3"]})
+    prepared = prepare(data, "v", "y", ["id"])
+    assert seen.value == 400
+    assert prepared.spec.features == ("x1", "x2", "x3") and prepared.spec.missing == (1,)
+    cv = cross_validate_prepared(prepared, ["x2", "x3"], max_iter=2)
+    assert cv.held_out.count() == 400 and {r.feature for r in cv.importances.collect()} == {"x2", "x3"}
+    assert all("/slice-" in f for f in cv.held_out.inputFiles())
