@@ -139,10 +139,10 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
         for b in batches:
             key, text = b.column(0), b.column(1)
-            for s, e in batches_of(text, 1 << 20):
-                for k, ids in zip(key.slice(s, e - s).to_pylist(), enc.encode(text.slice(s, e - s).to_pylist())):
+            for s, e in batches_of(text, 2 << 20):
+                for k, ids in zip(key.slice(s, e - s).to_pylist(), enc.encode(text.slice(s, e - s))):
                     n = len(ids) // 4 + 1
-                    held.append(ids + end)
+                    held += (ids, end)
                     docs_of.append({"key": k, "at": size, "n": n})
                     size += n
                     if size * 4 >= shard_bytes:

@@ -142,3 +142,19 @@ def test_histogram_with_the_end_id(spark, library):
 def test_histogram_of_nothing(no_docs):
     h = token_counts.length_histogram(token_counts.token_lengths(no_docs))
     assert h.count() == 0 and token_counts.quantile(h, 0.5) is None and token_counts.truncated_total(h, 9) == 0
+
+
+def test_words_with_marks_equal_library_and_skip_its_splitting(library):
+    words = ["naïve", "ŁÓDŹ", "ªº", "ǅungla", "ɏz", "ɐz", "ﬁx", "x1", "a_b", "don't", "rock'", "x!", "x!?", "(x)", "x'!", "a.b", "µm,", "x­", "ß;;", "é—", "aё", "Ab~`", "x̀", "1,"]
+    texts = [f"{a} {b}\n{a}{b} {b}\n{b},{a} {a}." for a in words for b in words]
+    texts += ["h " + " ".join(f"zq{chr(97 + i % 26)}{chr(97 + i // 26)}{'áé'[i % 2]}{'!' * (i % 5)}" for i in range(600))]
+    enc = tokens.ByteBpe(tokens.tokenizer_path())
+    want = library(texts)
+    assert [as_ids(x) for x in enc.encode(texts)] == want
+    enc.cache.young, enc.cache.old = {}, {}
+    handed, ids = [], enc._ids
+    enc._ids = lambda asked: (handed.extend(asked), ids(asked))[1]
+    assert as_ids(enc.encode(texts[-1:])[0]) == want[-1]
+    assert sum(map(len, handed)) < 20 < len(texts[-1])  # the first word only, and no words of letters
+    import pyarrow as pa
+    assert [bytes(x) for x in enc.encode(pa.array(["", *texts]).slice(1))] == [bytes(x) for x in enc.encode(texts)]
