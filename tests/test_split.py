@@ -101,7 +101,7 @@ def test_large_classes_are_split_over_tasks(spark):
     df = spark.range(n).selectExpr("id", "int(id % 10 = 0) AS y")
     folds = split.stratified_folds(df, "y", ["id"], k=5)
     plan = folds._jdf.queryExecution().executedPlan().toString()
-    assert "__scan_pid" in plan  # not one window, and so one task, a class
+    assert "windowspecdefinition(__scan_pid#" in plan and "windowspecdefinition(y#" not in plan  # not one window, and so one task, a class
     got = folds.groupBy("y", "fold").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("z")).orderBy("y", "fold").collect()
     assert [r["n"] for r in got] == [n * 9 // 50] * 5 + [n // 50] * 5
     assert all(x["z"] < z["a"] for x, z in zip(got, got[1:]) if x["y"] == z["y"])
