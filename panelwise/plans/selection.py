@@ -10,8 +10,8 @@ aggregated by Spark instead of being walked on the driver.
 Rows are prepared once (``prepare``): folds, label and one vector with nominal
 and missing values (``training``), from named columns or the array form of the
 feature build. The input is computed once and written; everything else reads
-that. Selection rounds slice the vector, and a slice is written as well: every
-fold's fit reads its rows several times.
+that. Selection rounds slice the vector, and a narrow slice is written as well:
+every fold's fit reads its rows several times.
 
 Driver work is the loop over folds and selection rounds only.
 """
@@ -48,6 +48,7 @@ SELECTION_ROUNDS = 10
 SELECTION_ITER = 3
 SELECTION_PATIENCE = 33
 CV_ITER = 10
+NARROW = 10  # a slice of at most a tenth of the vector is written
 
 
 @dataclass
@@ -146,8 +147,9 @@ def cross_validate_prepared(prepared: Prepared, columns: list[str] | None = None
     vector, slots = "__vector", spec.slots
     if columns is not None and set(columns) != set(spec.features):
         places = spec.positions(columns)
-        part = sliced(data, "__vector", places, "__slice").drop("__vector")
-        data = materialize(part, "slice").withMetadata("__slice", part.schema["__slice"].metadata)
+        data = sliced(data, "__vector", places, "__slice").drop("__vector")
+        if NARROW * len(places) <= len(slots):
+            data = materialize(data, "slice").withMetadata("__slice", data.schema["__slice"].metadata)
         vector, slots = "__slice", [slots[i] for i in places]
     patience = early_stopping if not isinstance(early_stopping, bool) else None
 

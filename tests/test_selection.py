@@ -69,13 +69,14 @@ def test_input_is_computed_once_and_fits_read_a_narrow_slice(spark):
 
     def counted(*x):
         seen.add(1)
-        return [float("nan") if v is None else v for v in x]
+        return [float("nan") if v is None else v for v in x] * 8
 
+    names = [f"f{i}" for i in range(24)]
     data = _data(spark).withColumn("x2", F.when(F.col("id") % 7 > 0, F.col("x2")))
-    data = data.select("id", "y", F.udf(counted, "array<double>")("x1", "x2", "x3").alias("v")).withMetadata("v", {"names": ["x1", "x2", "x3"]})
+    data = data.select("id", "y", F.udf(counted, "array<double>")("x1", "x2", "x3").alias("v")).withMetadata("v", {"names": names})
     prepared = prepare(data, "v", "y", ["id"])
     assert seen.value == 400
-    assert prepared.spec.features == ("x1", "x2", "x3") and prepared.spec.missing == (1,)
-    cv = cross_validate_prepared(prepared, ["x2", "x3"], max_iter=2)
-    assert cv.held_out.count() == 400 and {r.feature for r in cv.importances.collect()} == {"x2", "x3"}
+    assert prepared.spec.features == tuple(names) and prepared.spec.missing == tuple(range(1, 24, 3))
+    cv = cross_validate_prepared(prepared, ["f1", "f2"], max_iter=2)
+    assert cv.held_out.count() == 400 and {r.feature for r in cv.importances.collect()} == {"f1", "f2"}
     assert all("/slice-" in f for f in cv.held_out.inputFiles())
